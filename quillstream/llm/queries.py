@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from quillstream.llm import exact_dedup, packing, sentencepiece_codec
+from quillstream.llm import exact_dedup, packing, sentencepiece_codec, substring_dedup
 
 QUERIES = {
     "op1_sentencepiece": sentencepiece_codec.op1_sentencepiece,
     "op4_packing": packing.op4_packing,
+    "op6_substring_dedup": substring_dedup.op6_substring_dedup,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 
