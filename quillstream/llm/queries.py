@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from quillstream.llm import exact_dedup, packing, sentencepiece_codec, substring_dedup
+from quillstream.llm import exact_dedup, jaccard_join, packing, sentencepiece_codec, substring_dedup
 
 QUERIES = {
     "op1_sentencepiece": sentencepiece_codec.op1_sentencepiece,
+    "op3_jaccard_join": jaccard_join.op3_jaccard_join,
     "op4_packing": packing.op4_packing,
     "op6_substring_dedup": substring_dedup.op6_substring_dedup,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
