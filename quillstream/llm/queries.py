@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from quillstream.llm import exact_dedup, jaccard_join, packing, sentencepiece_codec, substring_dedup
+from quillstream.llm import exact_dedup, jaccard_join, packing, quality, sentencepiece_codec, substring_dedup
 
 QUERIES = {
     "op1_sentencepiece": sentencepiece_codec.op1_sentencepiece,
+    "op2_quality": quality.op2_quality,
     "op3_jaccard_join": jaccard_join.op3_jaccard_join,
     "op4_packing": packing.op4_packing,
     "op6_substring_dedup": substring_dedup.op6_substring_dedup,
