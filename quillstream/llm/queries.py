@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from quillstream.llm import exact_dedup, jaccard_join, packing, quality, sentencepiece_codec, substring_dedup
+from quillstream.llm import exact_dedup, html_text, jaccard_join, lm_scoring, packing, quality, sentencepiece_codec, substring_dedup
 
 QUERIES = {
     "op1_sentencepiece": sentencepiece_codec.op1_sentencepiece,
     "op2_quality": quality.op2_quality,
     "op3_jaccard_join": jaccard_join.op3_jaccard_join,
     "op4_packing": packing.op4_packing,
+    "op5_html_text": html_text.op5_html_text,
     "op6_substring_dedup": substring_dedup.op6_substring_dedup,
+    "op7_lm_scoring": lm_scoring.op7_lm_scoring,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 
