@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quillstream.llm import exact_dedup, html_text, jaccard_join, lm_scoring, packing, quality, sentencepiece_codec, substring_dedup
+from quillstream.llm import ann, exact_dedup, html_text, jaccard_join, lm_scoring, packing, quality, sentencepiece_codec, substring_dedup, warc
 
 QUERIES = {
     "op1_sentencepiece": sentencepiece_codec.op1_sentencepiece,
@@ -12,7 +12,9 @@ QUERIES = {
     "op5_html_text": html_text.op5_html_text,
     "op6_substring_dedup": substring_dedup.op6_substring_dedup,
     "op7_lm_scoring": lm_scoring.op7_lm_scoring,
+    "op8_ann": ann.op8_ann,
+    "op9_warc": warc.op9_warc,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 
-ORACLE = {"op10_exact_dedup": exact_dedup.SQL}
+ORACLE = {"op9_warc": warc.SQL, "op10_exact_dedup": exact_dedup.SQL}
