@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -21,9 +22,36 @@ def shared_folder(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+_recording: list[str] | None = None
+_left: list[str] = []
+
+
+def pipeline_stage(function):
+    """For stages that run one after the other, each on the stored result of the one before: a stage first deletes the
+    tables that `written` made inside the stage before it."""
+
+    @functools.wraps(function)
+    def run(spark: SparkSession, *args, **named) -> DataFrame:
+        global _recording
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        while _left:
+            path = jvm.org.apache.hadoop.fs.Path(_left.pop())
+            path.getFileSystem(conf).delete(path, True)
+        _recording = []
+        try:
+            return function(spark, *args, **named)
+        finally:
+            _left.extend(_recording)
+            _recording = None
+
+    return run
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The table, written as Parquet in the shared folder and read back: cuts lineage, outlives lost executors."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    if _recording is not None:
+        _recording.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

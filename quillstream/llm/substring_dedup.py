@@ -179,44 +179,84 @@ def covered(n_words: int, places: list[bytes], window: int) -> np.ndarray:
     return np.cumsum(edge)[:-1] > 0
 
 
+def _cut(rows: Words, batch: pa.RecordBatch, a: int, b: int, spans: int, window: int) -> np.ndarray:
+    """Which words of rows a to b of a batch are covered by the windows in its column `spans`."""
+    n = np.diff(rows.first)
+    gone = np.zeros(len(rows.starts), bool)
+    for row in range(b - a):
+        if places := batch.column(spans)[a + row].as_py():
+            gone[rows.first[row] : rows.first[row + 1]] = covered(int(n[row]), places, window)
+    return gone
+
+
+def _kept_texts(words: Words, gone: np.ndarray, rows: int) -> list[bytes]:
+    """The words left of every row, joined by one space."""
+    starts, lengths, row_of = words.starts[~gone], (words.ends - words.starts)[~gone], words.row[~gone]
+    spaced = np.append(words.data, np.uint8(0x20))
+    index = ragged(starts, lengths + 1)
+    index[np.cumsum(lengths + 1) - 1] = len(words.data)
+    joined = spaced[index].tobytes()
+    ends = np.cumsum(np.bincount(row_of, lengths + 1, rows).astype(np.int64))
+    return [joined[x : max(x, y - 1)] for x, y in zip(np.r_[0, ends[:-1]].tolist(), ends.tolist(), strict=True)]
+
+
+def _with_spans(docs: DataFrame, window: int, seed: int) -> DataFrame:
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    spans = repeated_spans(plain, window, seed).groupBy("doc_id").agg(F.collect_list("places").alias("spans"))
+    return docs.join(spans.select(F.col("doc_id").alias("_doc_id"), F.col("spans").alias("_spans")).hint("shuffle_hash"), F.col("doc_id") == F.col("_doc_id"), "left").drop("_doc_id")
+
+
 def substring_dedup(docs: DataFrame, window: int = WINDOW, seed: int = SEED, with_text: bool = True) -> DataFrame:
     """Removes every word covered by a window that also starts elsewhere, in the same text or another.
 
     Returns doc_id, n_words, n_removed, kept_sha256 and, with_text, kept_text (the words left, joined by one space).
     Windows are judged on the input. Null and empty texts have no words; texts shorter than a window lose none; very
     long texts are read whole; rows repeated with the same text are copies of each other and lose all their windows.
-    Rows are told apart by doc_id: where several rows share one, their removals add up. An empty table gives no rows;
-    other columns are not read.
+    Rows are told apart by doc_id: where several rows share one, their removals add up. A null doc_id keeps its words.
+    An empty table gives no rows; other columns are not read.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    spans = repeated_spans(docs, window, seed).groupBy("doc_id").agg(F.collect_list("places").alias("spans"))
-    joined = docs.join(spans.hint("shuffle_hash"), "doc_id", "left")
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + (", kept_text string" if with_text else "")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, data, offsets in blocks(batch, "text"):
                 words = Words(data, offsets)
-                n = np.diff(words.first)
-                gone = np.zeros(len(words.starts), bool)
-                for row in range(b - a):
-                    if places := batch.column(2)[a + row].as_py():
-                        gone[words.first[row] : words.first[row + 1]] = covered(int(n[row]), places, window)
-                starts, lengths, row_of = words.starts[~gone], (words.ends - words.starts)[~gone], words.row[~gone]
-                spaced = np.append(data, np.uint8(0x20))
-                index = ragged(starts, lengths + 1)
-                index[np.cumsum(lengths + 1) - 1] = len(data)
-                joined_bytes = spaced[index].tobytes()
-                ends = np.cumsum(np.bincount(row_of, lengths + 1, b - a).astype(np.int64))
-                begins = np.r_[0, ends[:-1]]
-                kept = [joined_bytes[x : max(x, y - 1)] for x, y in zip(begins.tolist(), ends.tolist(), strict=True)]
-                columns = [batch.column(0)[a:b], pa.array(n, pa.int64()), pa.array(np.bincount(words.row[gone], minlength=b - a), pa.int64())]
+                gone = _cut(words, batch, a, b, 2, window)
+                kept = _kept_texts(words, gone, b - a)
+                columns = [batch.column(0)[a:b], pa.array(np.diff(words.first), pa.int64()), pa.array(np.bincount(words.row[gone], minlength=b - a), pa.int64())]
                 columns.append(pa.array([hashlib.sha256(x).hexdigest() for x in kept]))
                 if with_text:
                     columns.append(pa.array([x.decode() for x in kept], pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in schema.split(", ")])
 
-    return joined.select("doc_id", "text", "spans").mapInArrow(cut, schema)
+    return _with_spans(docs, window, seed).select("doc_id", "text", "_spans").mapInArrow(cut, schema)
+
+
+def without_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFrame:
+    """docs with the words of repeated windows taken out of text (and n_chars set to what is left, where there is such
+    a column); texts that lose nothing stay as they are, white space included. Columns and other values are kept."""
+    schema = docs.schema
+    place = schema.names.index("text")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, data, offsets in blocks(batch, "text"):
+                words = Words(data, offsets)
+                gone = _cut(words, batch, a, b, len(schema), window)
+                kept = _kept_texts(words, gone, b - a)
+                lost = np.bincount(words.row[gone], minlength=b - a) > 0
+                own = batch[a:b]
+                texts = [k.decode() if cut_down else t for k, t, cut_down in zip(kept, own.column(place).to_pylist(), lost.tolist(), strict=True)]
+                columns = list(own.columns[:-1])
+                columns[place] = pa.array(texts, columns[place].type)
+                if "n_chars" in schema.names:
+                    k = schema.names.index("n_chars")
+                    sizes = [len(t or "") if cut_down else n for t, n, cut_down in zip(texts, columns[k].to_pylist(), lost.tolist(), strict=True)]
+                    columns[k] = pa.array(sizes, columns[k].type)
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    return _with_spans(docs, window, seed).select(*schema.names, "_spans").mapInArrow(cut, schema)
 
 
 def op6_substring_dedup(spark, sf_dir: str) -> DataFrame:
