@@ -60,6 +60,12 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def sized(df: DataFrame, rows: int, each: int = 50_000) -> DataFrame:
+    """A shuffled table of known size in no more tasks than it is worth; large tables keep their partitions."""
+    n = max(1, -(-rows // each))
+    return df.coalesce(n) if n < partitions(df.sparkSession) else df
+
+
 def fold(doc_id: str | object, n: int = 5):
     """crc32(doc_id as text) mod n, as a column."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % n
@@ -70,9 +76,10 @@ def safe(docs: DataFrame, *names: str) -> DataFrame:
     return docs.select(*names)
 
 
-def to_buckets(keys: np.ndarray, columns: list[np.ndarray], buckets: int) -> Iterator[tuple[int, list[bytes]]]:
-    """Rows dealt by the top bits of their key: (bucket, [keys, *columns] as bytes), a row for each bucket that has any."""
-    bucket = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+def to_buckets(keys: np.ndarray, columns: list[np.ndarray], buckets: int, deal: np.ndarray | None = None) -> Iterator[tuple[int, list[bytes]]]:
+    """Rows dealt by the top bits of their key, or of `deal`: (bucket, [keys, *columns] as bytes), a row for each bucket
+    that has any; the order within a bucket stays."""
+    bucket = (((keys if deal is None else deal) >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
     order = np.argsort(bucket, kind="stable")
     bucket = bucket[order]
     sorted_columns = [c[order] for c in (keys, *columns)]

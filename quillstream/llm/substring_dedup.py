@@ -98,8 +98,9 @@ class _Sender:
     def __init__(self, buckets: int):
         self.buckets, self.parts, self.n = buckets, [], 0
 
-    def add(self, keys: np.ndarray, docs: np.ndarray, places: np.ndarray) -> Iterator[pa.RecordBatch]:
-        self.parts.append((keys, docs, places.astype(np.int32)))
+    def add(self, keys: np.ndarray, docs: np.ndarray, places: np.ndarray, deal: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """deal: what decides a key's bucket; the same for equal keys."""
+        self.parts.append((keys, docs, places.astype(np.int32), deal))
         self.n += len(keys)
         if self.n >= FLUSH:
             yield from self.flush()
@@ -107,15 +108,14 @@ class _Sender:
     def flush(self) -> Iterator[pa.RecordBatch]:
         if not self.n:
             return
-        keys, docs, places = (np.concatenate(x) for x in zip(*self.parts, strict=True))
+        keys, docs, places, deal = (np.concatenate(x) for x in zip(*self.parts, strict=True))
         self.parts, self.n = [], 0
-        order = np.argsort(keys, kind="stable")
-        keys, docs, places = keys[order], docs[order], places[order]
-        new = np.r_[True, keys[1:] != keys[:-1]]
-        first = np.flatnonzero(new)
-        times = np.diff(np.r_[first, len(keys)])
-        again = np.repeat(times > 1, times)
-        rows = list(to_buckets(keys[first], [np.minimum(times, 2).astype(np.uint8), docs[first], places[first]], self.buckets))
+        _, first, inverse, times = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
+        again = times[inverse] > 1
+        sent = np.zeros(len(keys), bool)
+        sent[first] = True
+        # In the order of documents, which packs well.
+        rows = list(to_buckets(keys[sent], [1 + again[sent].astype(np.uint8), docs[sent], places[sent]], self.buckets, deal[sent]))
         own = grouped(docs[again], places[again])
         bucket = [b for b, _ in rows] + [i % self.buckets for i in range(len(own))]
         none = [None] * len(own)
@@ -131,7 +131,8 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> D
     """(doc_id, places) with the first words (int32, little-endian) of all windows of `window` words whose word
     sequence starts at least twice in docs(doc_id, text); doc_id is a unique long. In several rows a document."""
     spark = docs.sparkSession
-    buckets = 8 * partitions(spark)
+    # Windows are dealt by their anchor, so that neighbours come back together: few rows for each document.
+    buckets = 64 * partitions(spark)
 
     def seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sender = _Sender(buckets)
@@ -142,7 +143,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> D
                 _, anchor, gram_hash = anchors(words, words.hashes(), window, seed)
                 anchor = np.unique(anchor)
                 row = words.row[anchor]
-                yield from sender.add(gram_hash[anchor], ids[a + row], anchor - words.first[row])
+                yield from sender.add(gram_hash[anchor], ids[a + row], anchor - words.first[row], gram_hash[anchor])
         yield from sender.flush()
 
     shared = _flags(docs.mapInArrow(seeds, PACKED)).groupBy("doc_id").agg(F.collect_list("places").alias("seeds"))
@@ -155,7 +156,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> D
             for a, b, data, offsets in blocks(batch, "text"):
                 words = Words(data, offsets)
                 hashes = words.hashes()
-                starts, anchor, _ = anchors(words, hashes, window, seed)
+                _, anchor, gram_hash = anchors(words, hashes, window, seed)
                 shared_at = np.zeros(len(hashes), bool)
                 for row in range(b - a):
                     for places in lists[a + row].as_py():
@@ -163,7 +164,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> D
                 at, window_hash = words.windows(hashes, window)
                 keep = shared_at[anchor]
                 row = words.row[at[keep]]
-                yield from sender.add(window_hash[keep], ids[a + row], at[keep] - words.first[row])
+                yield from sender.add(window_hash[keep], ids[a + row], at[keep] - words.first[row], gram_hash[anchor[keep]])
         yield from sender.flush()
 
     return _flags(seeded.select("doc_id", "text", "seeds").mapInArrow(extend, PACKED))
