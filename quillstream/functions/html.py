@@ -108,6 +108,53 @@ def body_text(rows: DataFrame, least: int = 0) -> DataFrame:
     return inside.groupBy("page_id").agg(text.alias("text")).where(F.length("text") >= least)
 
 
+def card_rules(spark, rules: list[tuple]) -> DataFrame:
+    """(source_id, card_tag, card_class, title_tag, date_tag): a listing's layout as data; null matches any."""
+    return spark.createDataFrame(rules, "source_id string, card_tag string, card_class string, title_tag string, date_tag string")
+
+
+def body_rules(spark, rules: list[tuple]) -> DataFrame:
+    """(source_id, selector_rank, tag, class): where a source keeps its body, best first."""
+    return spark.createDataFrame(rules, "source_id string, selector_rank int, body_tag string, body_class string")
+
+
+def _has_class(name: str):
+    return F.col(name).isNull() | F.array_contains(F.split(F.coalesce("classes", F.lit("")), " "), F.col(name))
+
+
+def cards(rows: DataFrame, rules: DataFrame) -> DataFrame:
+    """Listing rows of elements(source_id, page_id, ..): one for each card element of the source's rule, with its first
+    title, link and date text. What a card holds is found by a window over the page, not by joining its elements."""
+    from pyspark.sql import Window
+
+    marked = rows.join(rules, "source_id").withColumn("is_card", (F.col("tag") == F.col("card_tag")) & _has_class("card_class"))
+    seen = Window.partitionBy("page_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    last = F.max(F.when(F.col("is_card"), F.struct("pos", "end_pos"))).over(seen)
+    inside = marked.withColumn("_card", last).where("pos >= _card.pos and end_pos <= _card.end_pos")
+    first = lambda value, test: F.min_by(value, F.when(test & value.isNotNull() & (value != ""), F.col("pos")))
+    text = F.col("text")
+    found = inside.groupBy("source_id", "page_id", F.col("_card.pos").alias("pos")).agg(
+        first(text, F.col("tag") == F.col("title_tag")).alias("title"),
+        first(F.col("href"), F.col("tag") == "a").alias("href"),
+        first(text, F.col("tag") == F.coalesce("date_tag", F.lit("time"))).alias("date_raw"),
+    )
+    return found.where("title is not null")
+
+
+def body_by_rules(rows: DataFrame, rules: DataFrame, least: int = 100) -> DataFrame:
+    """page_id, selector_rank and text: the first selector of the source's ranked rules whose text is longer than
+    `least`, chrome left out; a page has at most as many candidates as its source has rules."""
+    from pyspark.sql import Window
+
+    hits = rows.join(rules, "source_id").where((F.col("tag") == F.col("body_tag")) & _has_class("body_class"))
+    order = F.row_number().over(Window.partitionBy("page_id", "selector_rank").orderBy("pos"))
+    hits = hits.withColumn("_n", order).where("_n = 1").select("page_id", "selector_rank", F.col("pos").alias("_a"), F.col("end_pos").alias("_b"))
+    inside = without_chrome(rows).where("text <> ''").join(hits, "page_id").where("pos >= _a and end_pos <= _b")
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda x: x["text"]), "\n")
+    texts = inside.groupBy("page_id", "selector_rank").agg(text.alias("text")).where(F.length("text") > least)
+    return texts.groupBy("page_id").agg(F.min(F.struct("selector_rank", "text")).alias("b")).select("page_id", "b.selector_rank", "b.text")
+
+
 def feeds(rows: DataFrame) -> DataFrame:
     """(page_id, pos, href) of linked RSS and Atom feeds."""
     return rows.where("tag = 'link' and href is not null").where(F.lower("rel").contains("alternate") & F.lower("kind").rlike("rss|atom")).select("page_id", "pos", "href")

@@ -185,19 +185,20 @@ def two_hop(read):
 
 
 @query(f"""WITH {LINKS} SELECT l.page_id, count(*) AS n_new FROM good_links l WHERE NOT EXISTS (
-SELECT 1 FROM good_links o WHERE o.page_id < 100 AND o.link = l.link) AND l.page_id >= 100 GROUP BY 1""")
+SELECT 1 FROM good_links o JOIN pages q ON q.page_id = o.page_id WHERE contains(q.url, '/en/') AND o.link = l.link) AND NOT contains((SELECT url FROM pages q WHERE q.page_id = l.page_id), '/en/') GROUP BY 1""")
 def new_articles_anti(read):
-    rows = page_links(read)
-    fresh = ingest.new_rows(rows.where("page_id >= 100").withColumnRenamed("link", "id"), rows.where("page_id < 100").select(F.col("link").alias("id")).distinct())
+    stored = F.contains(F.col("url"), F.lit("/en/"))
+    rows = page_links(read).join(read("pages").select("page_id", stored.alias("stored")), "page_id")
+    fresh = ingest.new_rows(rows.where("not stored").withColumnRenamed("link", "id"), rows.where("stored").select(F.col("link").alias("id")).distinct())
     return fresh.groupBy("page_id").agg(F.count(F.lit(1)).alias("n_new"))
 
 
 @query(f"""WITH p AS (SELECT page_id, url, {SQL_HOST} AS host FROM pages), s AS (SELECT host AS source_id, min(url) AS url FROM p GROUP BY host),
-e AS (SELECT host AS source_id, arg_min(url, page_id) AS ep FROM p WHERE page_id % 3 = 0 GROUP BY host)
+e AS (SELECT host AS source_id, arg_min(url, page_id) AS ep FROM p WHERE contains(url, '?') GROUP BY host)
 SELECT source_id, coalesce(ep, url) AS url FROM s LEFT JOIN e USING (source_id)""")
 def entrypoint_fallback(read):
     p = read("pages").select("page_id", "url", urls.host(F.col("url")).alias("source_id"))
-    entry = p.select("source_id", "url", F.col("page_id").alias("pos"), F.when(F.col("page_id") % 3 == 0, True).alias("active"))
+    entry = p.select("source_id", "url", F.col("page_id").alias("pos"), F.when(F.contains(F.col("url"), F.lit("?")), True).alias("active"))
     return ingest.resolve_sources(p.groupBy("source_id").agg(F.min("url").alias("url")), entry)
 
 
@@ -230,6 +231,22 @@ def body_text_dom(read):
     return html.body_text(html.elements(read("pages")), 101)
 
 
+CARD_RULES = [("", "article", None, "h1", None)]  # one layout for all hosts of the driver's pages
+
+
+@query()
+def listing_cards(read):
+    rows = html.elements(read("pages")).withColumn("source_id", F.lit(""))
+    return html.cards(rows, F.broadcast(html.card_rules(rows.sparkSession, CARD_RULES)))
+
+
+@query()
+def body_by_rules(read):
+    rows = html.elements(read("pages")).withColumn("source_id", F.lit(""))
+    rules = html.body_rules(rows.sparkSession, [("", 1, "main", None), ("", 2, "article", None), ("", 3, "body", None)])
+    return html.body_by_rules(rows, F.broadcast(rules))
+
+
 @query()
 def chrome_removed_length(read):
     rows = html.without_chrome(html.elements(read("pages")))
@@ -451,7 +468,7 @@ def anomaly_alerts(read):
 
 TRIALS = """WITH checks AS (SELECT trial_id, date, accessible, article_count FROM (SELECT user_id AS trial_id, CAST(ts AS DATE) AS date, event_type <> 'error' AS accessible, CAST(floor(value) AS BIGINT) % 5 AS article_count,
   row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id) AS rn FROM events) WHERE rn = 1),
-samples AS (SELECT user_id AS trial_id, CAST(json_extract(props, '$.k') AS BIGINT) % 100 / 100.0::DOUBLE AS overall FROM events WHERE event_id % 3 = 0),
+samples AS (SELECT user_id AS trial_id, CAST(json_extract(props, '$.k') AS BIGINT) % 100 / 100.0::DOUBLE AS overall FROM events WHERE value > 30),
 a AS (SELECT trial_id, coalesce(sum(article_count) FILTER (accessible), 0)::BIGINT AS articles, count(*) FILTER (accessible AND article_count > 0) AS days FROM checks GROUP BY 1),
 b AS (SELECT trial_id, avg(overall) AS mean, count(overall) AS n_samples FROM samples GROUP BY 1),
 rolled AS (SELECT trial_id, articles, days, round(coalesce(mean, 0.0), 3) AS mean, coalesce(n_samples, 0) AS n_samples, CASE WHEN days < 2 THEN 'fail_quantity' WHEN coalesce(n_samples, 0) = 0 OR mean < 0.5 THEN 'fail_quality' ELSE 'pass' END AS outcome FROM a LEFT JOIN b USING (trial_id))
@@ -461,7 +478,7 @@ rolled AS (SELECT trial_id, articles, days, round(coalesce(mean, 0.0), 3) AS mea
 def trials(read) -> DataFrame:
     e = read("events")
     checks = e.select(F.col("user_id").alias("trial_id"), F.to_date("ts").alias("date"), (F.col("event_type") != "error").alias("accessible"), (F.floor("value") % 5).alias("article_count"), "ts", "event_id")
-    samples = e.where("event_id % 3 = 0").select(F.col("user_id").alias("trial_id"), (F.get_json_object("props", "$.k").cast("long") % 100 / F.lit(100.0)).alias("overall"))
+    samples = e.where("value > 30").select(F.col("user_id").alias("trial_id"), (F.get_json_object("props", "$.k").cast("long") % 100 / F.lit(100.0)).alias("overall"))
     return funnel.trial_rollup(funnel.first_of_day(checks, ["trial_id", "date"], ["ts", "event_id"]), samples)
 
 
@@ -479,9 +496,9 @@ def trial_summary(read):
 
 CANDIDATES = """WITH candidates AS (SELECT c_custkey AS id, CASE c_mktsegment WHEN 'BUILDING' THEN 'validated' WHEN 'MACHINERY' THEN 'inaccessible' WHEN 'AUTOMOBILE' THEN 'watchlist' WHEN 'HOUSEHOLD' THEN 'rejected' ELSE 'seed' END AS status,
   CASE WHEN c_nationkey < 8 THEN 'HIGH' WHEN c_nationkey < 16 THEN 'MEDIUM' ELSE 'LOW' END AS quality, CASE WHEN c_custkey % 4 = 0 THEN 0.0 ELSE (c_custkey % 10) / 10.0 END::DOUBLE AS quality_score, (c_custkey % 7) / 7.0::DOUBLE AS fit_score FROM customer),
-history AS (SELECT o_custkey AS id, o_orderkey AS seq, CASE o_orderstatus WHEN 'F' THEN 'pass' WHEN 'O' THEN 'fail_quality' ELSE 'skipped' END AS outcome FROM orders),
+history AS (SELECT o_custkey AS id, o_orderkey AS seq, o_orderpriority AS priority, CASE o_orderstatus WHEN 'F' THEN 'pass' WHEN 'O' THEN 'fail_quality' ELSE 'skipped' END AS outcome FROM orders),
 production AS (SELECT DISTINCT n_nationkey AS id FROM nation),
-recent AS (SELECT DISTINCT id FROM history WHERE seq % 5 = 0)
+recent AS (SELECT DISTINCT id FROM history WHERE priority = '1-URGENT')
 """
 PRIORITY = "coalesce(nullif(quality_score, 0.0), CASE quality WHEN 'HIGH' THEN 1.0 WHEN 'MEDIUM' THEN 0.5 ELSE 0.0 END) * 0.6::DOUBLE + fit_score * 0.4::DOUBLE"
 
@@ -495,7 +512,7 @@ def candidates(read) -> DataFrame:
 
 def history(read) -> DataFrame:
     s = F.col("o_orderstatus")
-    return read("orders").select(F.col("o_custkey").alias("id"), F.col("o_orderkey").alias("seq"), F.when(s == "F", "pass").when(s == "O", "fail_quality").otherwise("skipped").alias("outcome"))
+    return read("orders").select(F.col("o_custkey").alias("id"), F.col("o_orderkey").alias("seq"), F.col("o_orderpriority").alias("priority"), F.when(s == "F", "pass").when(s == "O", "fail_quality").otherwise("skipped").alias("outcome"))
 
 
 def production(read) -> DataFrame:
@@ -511,7 +528,7 @@ QUEUE = f"queue AS (SELECT id, {PRIORITY} AS priority FROM candidates WHERE stat
 
 
 def queue(read) -> DataFrame:
-    return funnel.trial_queue(candidates(read), history(read).where("seq % 5 = 0"), production(read))
+    return funnel.trial_queue(candidates(read), history(read).where("priority = '1-URGENT'"), production(read))
 
 
 @query(CANDIDATES + f", {QUEUE} SELECT id, round(priority, 6) AS priority FROM queue")
@@ -519,16 +536,16 @@ def trial_queue(read):
     return queue(read).select("id", F.round("priority", 6).alias("priority"))
 
 
-@query(CANDIDATES + f", {QUEUE} SELECT id, row_number() OVER (ORDER BY priority DESC, id) AS slot FROM queue QUALIFY slot <= 2")
+@query(CANDIDATES + f", {QUEUE} SELECT id, row_number() OVER (ORDER BY priority DESC, id) AS slot FROM queue QUALIFY slot <= 3 - (SELECT count(*) FROM region WHERE r_name = 'ASIA')")
 def trial_slots(read):
-    active = read("region").limit(1)
+    active = read("region").where("r_name = 'ASIA'")
     return funnel.fill_slots(queue(read), active).select("id", "slot")
 
 
 @query(CANDIDATES + """, last AS (SELECT id, arg_max(outcome, seq) AS outcome, max(seq) AS seq FROM history GROUP BY id)
 SELECT c.id, c.status, l.seq FROM candidates c JOIN last l USING (id) WHERE l.outcome = 'pass' AND c.id NOT IN (SELECT id FROM production)""")
 def pass_pending(read):
-    return funnel.pass_pending(history(read), candidates(read).select("id", "status"), production(read)).select("id", "status", "seq")
+    return funnel.pass_pending(history(read).drop("priority"), candidates(read).select("id", "status"), production(read)).select("id", "status", "seq")
 
 
 @query(CANDIDATES + """, tried AS (SELECT o_custkey AS id, max(o_orderdate) AS tried_at FROM orders GROUP BY 1)
@@ -538,18 +555,18 @@ def retry_targets(read):
     return funnel.retry_targets(candidates(read).join(tried, "id", "left"), production(read), F.lit("1998-01-01").cast("timestamp")).select("id", "quality")
 
 
-@query(CANDIDATES + """, done AS (SELECT o_custkey AS id, CAST(max(o_orderdate) AS DATE) AS analysed FROM orders WHERE o_custkey % 3 > 0 GROUP BY 1)
+@query(CANDIDATES + """, done AS (SELECT o_custkey AS id, CAST(max(o_orderdate) AS DATE) AS analysed FROM orders WHERE o_orderpriority <> '1-URGENT' GROUP BY 1)
 SELECT id, status, analysed FROM candidates LEFT JOIN done USING (id) WHERE analysed IS NULL OR DATE '1998-08-02' - analysed > CASE WHEN status IN ('rejected', 'watchlist') THEN 30 ELSE 7 END ORDER BY analysed NULLS FIRST, id LIMIT 4""")
 def recheck_due(read):
-    done = read("orders").where("o_custkey % 3 > 0").groupBy(F.col("o_custkey").alias("id")).agg(F.to_date(F.max("o_orderdate")).alias("analysed"))
+    done = read("orders").where("o_orderpriority <> '1-URGENT'").groupBy(F.col("o_custkey").alias("id")).agg(F.to_date(F.max("o_orderdate")).alias("analysed"))
     return funnel.recheck_due(candidates(read).join(done, "id", "left"), F.lit("1998-08-02").cast("date")).select("id", "status", "analysed")
 
 
-@query("""WITH a AS (SELECT DISTINCT s_nationkey AS id FROM supplier WHERE s_suppkey % 3 = 0), b AS (SELECT DISTINCT n_nationkey AS id FROM nation WHERE n_nationkey > 4)
+@query("""WITH a AS (SELECT DISTINCT s_nationkey AS id FROM supplier WHERE s_acctbal > 2000), b AS (SELECT DISTINCT n_nationkey AS id FROM nation WHERE n_regionkey > 0)
 SELECT id::BIGINT AS id, CASE WHEN x IS NULL THEN 'orphan' ELSE 'missing' END AS gap FROM (SELECT coalesce(a.id, b.id) AS id, a.id AS x, b.id AS y FROM a FULL JOIN b ON a.id = b.id) WHERE x IS NULL OR y IS NULL""")
 def registry_check(read):
-    a = read("supplier").where("s_suppkey % 3 = 0").select(F.col("s_nationkey").alias("id"))
-    return health.registry_gaps(a, read("nation").where("n_nationkey > 4").select(F.col("n_nationkey").alias("id")), "id")
+    a = read("supplier").where("s_acctbal > 2000").select(F.col("s_nationkey").alias("id"))
+    return health.registry_gaps(a, read("nation").where("n_regionkey > 0").select(F.col("n_nationkey").alias("id")), "id")
 
 
 @query("""WITH u AS (SELECT s_suppkey AS k, s_name AS n, CASE WHEN s_suppkey % 2 = 0 THEN s_acctbal END AS b FROM supplier)
@@ -565,10 +582,10 @@ def upsert_replace(read):
     return ingest.replace_keys(read("customer").select(F.col("c_custkey").alias("k"), F.col("c_nationkey").cast("long").alias("v")), new, "k")
 
 
-@query("""SELECT n_name AS tag, count(c_custkey) AS n FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey AND c_custkey % 50 = 0 GROUP BY 1""")
+@query("""SELECT n_name AS tag, count(c_custkey) AS n FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey AND c_acctbal > 5000 GROUP BY 1""")
 def tag_coverage(read):
     names = read("nation").select("n_nationkey", F.col("n_name").alias("tag"))
-    items = read("customer").where("c_custkey % 50 = 0").join(F.broadcast(names), F.col("c_nationkey") == F.col("n_nationkey")).select(F.array("tag").alias("tags"))
+    items = read("customer").where("c_acctbal > 5000").join(F.broadcast(names), F.col("c_nationkey") == F.col("n_nationkey")).select(F.array("tag").alias("tags"))
     return funnel.tag_coverage(names.select("tag"), items)
 
 
