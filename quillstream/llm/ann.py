@@ -170,10 +170,15 @@ def best_of_lists(key, queries: pa.Table, rows: pa.Table, k: int) -> pa.Table:
         s[q_id[a : a + 512, None] == x_id] = -np.inf
         n = min(k, len(x_id))
         cut = np.partition(s, len(x_id) - n, axis=1)[:, len(x_id) - n, None]
-        i, j = np.nonzero((s >= cut - 1e-9 * np.abs(cut)) & (s > -np.inf))  # ties of the last stay
-        out[0].append(q_id[a : a + 512][i])
-        out[1].append(x_id[j])
-        out[2].append((q[a + i] * x[j]).sum(1))
+        # The product of matrices may round equal sums differently: near the cut, sums are taken anew, one way for all.
+        i, j = np.nonzero((s >= cut - 1e-9 * np.abs(cut)) & (s > -np.inf))
+        score = (q[a + i] * x[j]).sum(1)
+        order = np.lexsort((x_id[j], -score, i))
+        i, j, score = i[order], j[order], score[order]
+        keep = np.arange(len(i)) - np.searchsorted(i, i) < k
+        out[0].append(q_id[a : a + 512][i[keep]])
+        out[1].append(x_id[j[keep]])
+        out[2].append(score[keep])
     empty = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
     return pa.table(dict(zip(("query_id", "vec_id", "score"), [np.concatenate(o) if o else e for o, e in zip(out, empty, strict=True)], strict=True)))
 
