@@ -24,12 +24,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillstream.llm.components import components
-from quillstream.llm.stage import bucket_count, to_buckets, written
+from quillstream.llm.stage import bucket_count, sized, to_buckets, written
 from quillstream.llm.textcore import Words, blocks, mix
 
 SHINGLE = 5
 BAND, PARTS = 80, 256  # sizes up to BAND * 2**level; parts of level 0, then 64, 128, ..
 FLUSH = 1 << 21
+BITS = 1024
 FEW = 2_000_000  # representatives whose ids may be broadcast (16 MB); beyond, the texts are shuffled
 EMPTY = np.uint64(0x5BD1E9955BD1E995)
 
@@ -188,52 +189,104 @@ def shared_signatures(docs: DataFrame, buckets: int, shingle: int = SHINGLE) ->
 
 
 def representatives_shingles(docs: DataFrame, wanted: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(set_id, n_shingles, shingles) of the rows of docs whose doc_id is in wanted(doc_id)."""
+    """(set_id, n_shingles, shingles, bits) of the rows of docs whose doc_id is in wanted(doc_id).
+
+    bits: the parity of the number of shingles that fall on each of BITS places. Where two sets' bits differ, so does
+    at least one shingle for each, so their number bounds the sets' difference from below.
+    """
     few = wanted.count() <= FEW
     chosen = docs.join(wanted.hint("broadcast" if few else "shuffle_hash"), "doc_id", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, sets in _blocks(batches, shingle):
             lists = pa.LargeListArray.from_arrays(pa.array(sets.first, pa.int64()), pa.array(sets.value.view(np.int64))).cast(pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(sets.identity), pa.array(sets.size, pa.int64()), lists], names=["set_id", "n_shingles", "shingles"])
+            at = sets.row * BITS + (sets.value % np.uint64(BITS)).astype(np.int64)
+            odd = np.bincount(at, minlength=sets.rows * BITS).astype(np.uint8) & 1
+            words = np.packbits(odd).view(np.int64)
+            bits = pa.ListArray.from_arrays(pa.array(np.arange(sets.rows + 1) * (BITS // 64), pa.int32()), pa.array(words))
+            yield pa.RecordBatch.from_arrays([pa.array(sets.identity), pa.array(sets.size, pa.int64()), lists, bits], names=["set_id", "n_shingles", "shingles", "bits"])
 
-    return chosen.mapInArrow(run, "set_id long, n_shingles long, shingles array<long>")
+    return chosen.mapInArrow(run, "set_id long, n_shingles long, shingles array<long>, bits array<long>")
 
 
-def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of pairs(u, v) whose sets have 100 * intersection >= percent * union."""
+def linked(pairs: DataFrame, sets: DataFrame, percent: int, size: int) -> DataFrame:
+    """Those of pairs(u, v) whose sets have 100 * intersection >= percent * union; size: what the joins are
+    sized by."""
     a = sets.select(F.col("set_id").alias("u"), F.col("n_shingles").alias("_n"), F.col("shingles").alias("_a"))
     b = sets.select(F.col("set_id").alias("v"), F.col("n_shingles").alias("_m"), F.col("shingles").alias("_b"))
-    sizes = pairs.join(a.drop("_a").hint("shuffle_hash"), "u").join(b.drop("_b").hint("shuffle_hash"), "v")
-    close = sizes.where(f"100 * least(_n, _m) >= {percent} * greatest(_n, _m)").select("u", "v")
-    both = close.join(a.hint("merge"), "u").join(b.hint("merge"), "v")
+    both = sized(pairs.join(a.hint("merge"), "u"), size).join(b.hint("merge"), "v")
     common = F.size(F.array_intersect("_a", "_b"))
     return both.where(100 * common >= percent * (F.col("_n") + F.col("_m") - common)).select("u", "v")
 
 
-def _links(kept: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links enough to join all sets that are linked, directly or not, from kept(signature, set_id, central)."""
-    spark = kept.sparkSession
-    links = spark.createDataFrame([], "u long, v long")
-    label = F.col("set_id")
-    rows, pivots = kept.withColumn("label", label), 1
+def _shared_sizes(sets: DataFrame) -> DataFrame:
+    """(set_id, n, m): the size, and how many of the shingles another of the sets has as well."""
+    each = sets.select("set_id", F.explode("shingles").alias("_s")).groupBy("_s").agg(F.count(F.lit(1)).alias("_n"), F.min("set_id").alias("set_id"))
+    alone = each.where("_n = 1").groupBy("set_id").agg(F.count(F.lit(1)).alias("_alone"))
+    sizes = sets.select("set_id", F.col("n_shingles").alias("n")).join(alone.hint("shuffle_hash"), "set_id", "left")
+    return sizes.select("set_id", "n", (F.col("n") - F.coalesce("_alone", F.lit(0))).alias("m"))
+
+
+def _open(rows: DataFrame, percent: int, size: int) -> tuple[DataFrame, int]:
+    """The rows(signature, set_id, central, n, m, label) that may still be linked with one of another component, and
+    their number; size: that of rows.
+
+    Two sets have at most min(m, m') shingles in common, of which (100 + percent) * common >= percent * (n + n') must
+    hold; so a set whose m is too small even for the smallest set of its signature is left out.
+    """
+    while True:
+        of_one = rows.groupBy("signature").agg(F.min("label").alias("_a"), F.max("label").alias("_b"), F.min("n").alias("_least"), F.count(F.lit(1)).alias("_sets"))
+        of_one = written(sized(of_one.where("_a <> _b").select("signature", "_least", "_sets"), size), "open")
+        before = of_one.agg(F.sum("_sets")).first()[0] or 0
+        if not before:
+            return rows.limit(0), 0
+        rows = rows.join(of_one.hint("merge"), "signature").where(f"{100 + percent} * m >= {percent} * (n + _least)").drop("_least", "_sets")
+        rows = written(sized(rows, size), "open-rows")
+        size = rows.count()
+        if size > 0.9 * before:
+            return rows, size
+
+
+def _labels(kept: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(set_id, label): the component of every set in kept(signature, set_id, central)."""
+    size, n_sets, pivots = kept.count(), sets.count(), 1
+    sizes = sized(_shared_sizes(sets), 10 * n_sets)
+    rows = written(sized(kept.join(sizes.hint("shuffle_hash"), "set_id").withColumn("label", F.col("set_id")), size), "rows")
+    labels = written(sets.select("set_id", F.col("set_id").alias("label")), "labels")
     while True:
-        # A signature whose sets are all in one component has nothing left to compare.
-        open_ones = written(rows.groupBy("signature").agg(F.min("label").alias("_a"), F.max("label").alias("_b")).where("_a <> _b").select("signature"), "open")
-        if open_ones.isEmpty():
-            return links
-        rows = written(rows.join(open_ones.hint("merge"), "signature", "left_semi"), "open-rows")
+        rows, size = _open(rows, percent, size)
+        if not size:
+            return labels
+        if pivots > 1 and "bits" not in rows.columns:
+            # What is left after the first round is compared by bits first.
+            rows = written(sized(rows.join(sets.select("set_id", "bits").hint("shuffle_hash"), "set_id"), max(size, 2 * n_sets)), "rows")
         slot = F.pmod(F.hash("set_id"), F.lit(pivots))
-        best = F.max(F.struct("central", "set_id", "label"))
-        chosen = written(rows.groupBy("signature", slot.alias("_slot")).agg(best.alias("p")).select("signature", F.col("p.set_id").alias("pivot"), F.col("p.label").alias("pivot_label")), "pivots")
-        pairs = rows.join(chosen.hint("merge"), "signature").where("label <> pivot_label")
-        pairs = written(pairs.select(F.least("set_id", "pivot").alias("u"), F.greatest("set_id", "pivot").alias("v")).distinct(), "pairs")
-        links = written(links.unionByName(linked(pairs, sets, percent)), "links")
-        found = written(components(links).select(F.col("node").alias("set_id"), F.col("component").alias("_found")), "found")
-        done = chosen.select("signature", F.col("pivot").alias("set_id"))
-        rows = rows.join(done.hint("merge"), ["signature", "set_id"], "left_anti").join(found.hint("merge"), "set_id", "left")
-        rows = written(rows.withColumn("label", F.coalesce("_found", "set_id")).drop("_found"), "rows")
-        pivots *= 4
+        own = ["set_id", "label", "n", "m"] + ["bits"] * (pivots > 1)
+        chosen = rows.groupBy("signature", slot.alias("_slot")).agg(F.max(F.struct("central", *own)).alias("p"))
+        chosen = written(sized(chosen.select("signature", *[F.col(f"p.{c}").alias(f"p_{c}") for c in own]), size), "pivots")
+        near = f"label <> p_label and {100 + percent} * least(m, p_m) >= {percent} * (n + p_n)"
+        if pivots > 1:
+            differ = " + ".join(f"bit_count(bits[{i}] ^ p_bits[{i}])" for i in range(BITS // 64))
+            near += f" and {100 + percent} * ({differ}) <= {100 - percent} * (n + p_n)"
+        pairs = rows.join(chosen.hint("merge"), "signature").where(near)
+        pairs = written(sized(pairs.select(F.least("set_id", "p_set_id").alias("u"), F.greatest("set_id", "p_set_id").alias("v")).distinct(), size), "pairs")
+        # A joined table is sized by its larger side; sets are wide rows.
+        wide = 10 * max(5 * pairs.count(), n_sets)
+        links = written(sized(linked(pairs, sets, percent, wide), wide), "links")
+        done = chosen.select("signature", F.col("p_set_id").alias("set_id"))
+        rows = sized(rows.join(done.hint("merge"), ["signature", "set_id"], "left_anti"), size)
+        if n_links := links.count():
+            # The links among components, and the components' own components.
+            one, two = labels.select(F.col("set_id").alias("u"), F.col("label").alias("_u")), labels.select(F.col("set_id").alias("v"), F.col("label").alias("_v"))
+            most = max(n_links, n_sets)
+            across = sized(sized(links.join(one.hint("merge"), "u"), most).join(two.hint("merge"), "v"), most)
+            found = components(across.select(F.col("_u").alias("u"), F.col("_v").alias("v")))
+            found = written(sized(found, n_links), "found").select(F.col("node").alias("label"), F.col("component").alias("_to"))
+            labels = sized(labels.join(found.hint("merge"), "label", "left"), most).select("set_id", F.coalesce("_to", "label").alias("label"))
+            labels = written(labels, "labels")
+            rows = sized(rows.drop("label").join(labels.hint("merge"), "set_id"), max(size, n_sets))
+        rows = written(rows, "rows")
+        pivots *= 32
 
 
 def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = 75) -> DataFrame:
@@ -260,10 +313,9 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = 7
     kept = written(flagged.where("_nth <= central").select("signature", "set_id", "central"), "kept")
     wanted = written(classes.join(kept.select("set_id").distinct().hint("shuffle_hash"), "set_id", "left_semi").select(F.col("least_id").alias("doc_id")), "wanted")
     sets = written(representatives_shingles(docs, wanted, shingle), "sets")
-    links = _links(kept, sets, percent)
-    found = components(links) if not links.isEmpty() else docs.sparkSession.createDataFrame([], "node long, component long")
-    roots = classes.select("set_id", "least_id").join(found.withColumnRenamed("node", "set_id").hint("shuffle_hash"), "set_id", "left")
-    roots = written(roots.withColumn("component", F.coalesce("component", "set_id")), "roots")
+    found = _labels(kept, sets, percent)
+    roots = classes.select("set_id", "least_id").join(found.hint("shuffle_hash"), "set_id", "left")
+    roots = written(roots.select("set_id", "least_id", F.coalesce("label", "set_id").alias("component")), "roots")
     least = roots.groupBy("component").agg(F.min("least_id").alias("component_id"))
     named = written(roots.join(written(least, "least").hint("merge"), "component").select("set_id", "component_id"), "named")
     out = own.select("doc_id", "n_shingles", "set_id").join(named.hint("merge"), "set_id", "left")
