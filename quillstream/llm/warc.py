@@ -1,9 +1,8 @@
 """WARC archives of pages: writing, normalising whole-file gzip streams, and reading back by offset.
 
-Pages are dealt over archives of about ARCHIVE_BYTES; tasks stream each one into a single gzip member under the shared
-folder. The normaliser inflates such a stream once, in chunks, rewrites every record as its own member, and writes a
+Every task streams its pages into archives of about ARCHIVE_BYTES, each a single gzip member under the shared folder. The normaliser inflates such a stream once, in chunks, rewrites every record as its own member, and writes a
 sidecar index of offsets; readers then inflate single records. Files get their final name only when complete, and the
-name follows from the archive, so a task that runs again leaves the same files. Records with equal payloads of at
+name follows from the partition, so a task that runs again leaves the same files. Records with equal payloads of at
 least REVISIT_BYTES point to the one with the smallest page_id; groups are found by the tree of `tree_merge`.
 """
 
@@ -18,6 +17,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,7 +29,7 @@ REVISIT_BYTES = 100
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 CHUNK = 1 << 20
-MANIFEST = "archive int, path string, records long"
+MANIFEST = "archive long, path string, records long"
 
 
 def records_of(pages: DataFrame) -> DataFrame:
@@ -88,33 +88,34 @@ class _File:
         return self.path
 
 
-def write_archives(records: DataFrame, folder: str, archives: int) -> DataFrame:
-    """Writes records (as from records_of) to archive-N.warc.gz in the folder, each one gzip member; returns the
-    manifest: archive, path, records."""
-    dealt = records.withColumn("archive", F.pmod(F.xxhash64("page_id", "url"), F.lit(archives)).cast("int"))
-    dealt = dealt.repartition(min(archives, 8 * partitions(records.sparkSession)), "archive").sortWithinPartitions("archive", "page_id")
+def write_archives(records: DataFrame, folder: str, archive_bytes: int) -> DataFrame:
+    """Writes records (as from records_of) to archives in the folder, each one gzip member of about archive_bytes before
+    packing; returns the manifest: archive, path, records. A partition's rows go in a fixed order, and are not dealt
+    anew: the join with the groups has left them spread by page."""
+    columns = ["page_id", "url", F.col("html").cast("string").alias("html"), "payload_digest", "payload_bytes", "refers_to"]
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, file, packer, n = None, None, None, 0
+        part, number, file, packer, n, size = TaskContext.get().partitionId(), 0, None, None, 0, 0
 
         def finish() -> pa.RecordBatch:
             file.write(packer.flush())
-            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([file.done()]), pa.array([n], pa.int64())], names=["archive", "path", "records"])
+            return pa.RecordBatch.from_arrays([pa.array([part * 100_000 + number], pa.int64()), pa.array([file.done()]), pa.array([n], pa.int64())], names=["archive", "path", "records"])
 
         for batch in batches:
             for start in range(0, len(batch), 200):
                 for r in batch[start : start + 200].to_pylist():
-                    if r["archive"] != now:
-                        if file:
-                            yield finish()
-                        now, file, packer, n = r["archive"], _File(folder, f"archive-{r['archive']:06d}.warc.gz"), zlib.compressobj(6, wbits=31), 0
-                    file.write(packer.compress(record(r["page_id"], r["url"], (r["html"] or "").encode(), r["payload_digest"], r["payload_bytes"], r["refers_to"])))
-                    n += 1
+                    if file and size >= archive_bytes:
+                        yield finish()
+                        file, number = None, number + 1
+                    if not file:
+                        file, packer, n, size = _File(folder, f"archive-{part:06d}-{number:05d}.warc.gz"), zlib.compressobj(6, wbits=31), 0, 0
+                    raw = record(r["page_id"], r["url"], (r["html"] or "").encode(), r["payload_digest"], r["payload_bytes"], r["refers_to"])
+                    file.write(packer.compress(raw))
+                    n, size = n + 1, size + len(raw)
         if file:
             yield finish()
 
-    columns = ["archive", "page_id", "url", F.col("html").cast("string").alias("html"), "payload_digest", "payload_bytes", "refers_to"]
-    return written(dealt.select(*columns).mapInArrow(write, MANIFEST), "archives")
+    return written(records.sortWithinPartitions("page_id", "url").select(*columns).mapInArrow(write, MANIFEST), "archives")
 
 
 def inflated(stream) -> Iterator[bytes]:
@@ -185,13 +186,13 @@ def normalise(manifest: DataFrame, folder: str) -> DataFrame:
                 path = file.done()
                 index.done()
                 fs.delete_file(r["path"]) if r["path"] != path else None
-                yield pa.RecordBatch.from_arrays([pa.array([r["archive"]], pa.int32()), pa.array([path]), pa.array([n], pa.int64())], names=["archive", "path", "records"])
+                yield pa.RecordBatch.from_arrays([pa.array([r["archive"]], pa.int64()), pa.array([path]), pa.array([n], pa.int64())], names=["archive", "path", "records"])
 
     files = manifest.repartition(max(1, partitions(manifest.sparkSession)), "archive")
     return written(files.mapInArrow(run, MANIFEST), "members")
 
 
-READ = "archive int, position long, page_id long, url string, record_type string, payload_digest string, payload_bytes long, refers_to long, html string"
+READ = "archive long, position long, page_id long, url string, record_type string, payload_digest string, payload_bytes long, refers_to long, html string"
 
 
 def read_archives(manifest: DataFrame, folder: str, with_payload: bool = True) -> DataFrame:
@@ -205,7 +206,7 @@ def read_archives(manifest: DataFrame, folder: str, with_payload: bool = True) -
                 rows: list[tuple] = []
 
                 def out(rows=rows) -> pa.RecordBatch:
-                    types = [pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string()]
+                    types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string()]
                     found = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
                     rows.clear()
                     return found
@@ -245,10 +246,7 @@ def archived(pages: DataFrame, folder: str | None = None, archive_bytes: int = A
     spark: SparkSession = pages.sparkSession
     folder = folder or f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
     folder = folder if re.match(r"[a-z0-9]+:/", folder) else f"file://{folder}"
-    records = records_of(pages)
-    total = pages.agg(F.sum(F.octet_length(F.col("html").cast("string")))).first()[0] or 0
-    archives = max(2 * partitions(spark), -(-total // archive_bytes))
-    return read_archives(normalise(write_archives(records, folder, archives), folder), folder, with_payload)
+    return read_archives(normalise(write_archives(records_of(pages), folder, archive_bytes), folder), folder, with_payload)
 
 
 def op9_warc(spark, sf_dir: str) -> DataFrame:
