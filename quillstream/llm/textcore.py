@@ -133,7 +133,7 @@ class PieceCache:
     encode(list of texts) -> (number of ids of each, all ids). Only chunks not yet seen are encoded.
     """
 
-    def __init__(self, encode, most: int = 3_000_000):
+    def __init__(self, encode, most: int = 1_500_000):
         self.encode, self.most = encode, most
         self._clear()
 
