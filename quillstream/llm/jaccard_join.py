@@ -117,26 +117,27 @@ def _levels(sets: Sets) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     yield rows[above > own], above[above > own]
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[tuple[np.ndarray, Sets]]:
+def _blocks(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[tuple[pa.RecordBatch, Sets]]:
     for batch in batches:
-        ids = batch.column(0).to_numpy(zero_copy_only=False)
         for a, b, data, offsets in blocks(batch, "text"):
-            yield ids[a:b], Sets(data, offsets, shingle)
+            yield batch[a:b], Sets(data, offsets, shingle)
 
 
 def shingle_sets(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles, set_id (equal for equal sets, null for none), and per level how many signatures may be
-    dropped: drop_0 at even levels, drop_1 at odd ones."""
+    dropped: drop_0 at even levels, drop_1 at odd ones; then the columns of docs(doc_id, text, ..) beyond the second."""
+    others = docs.schema[2:]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, sets in _blocks(batches, shingle):
+        for own, sets in _blocks(batches, shingle):
             drop = np.zeros((2, sets.rows), np.int64)
             for rows, level in _levels(sets):
                 drop[level % 2, rows] = signatures(sets, rows, level)[2]
-            columns = [pa.array(ids, pa.int64()), pa.array(sets.size, pa.int64()), pa.array(sets.identity, mask=sets.size == 0), pa.array(drop[0]), pa.array(drop[1])]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "set_id", "drop_0", "drop_1"])
+            columns = [own.column(0), pa.array(sets.size, pa.int64()), pa.array(sets.identity, mask=sets.size == 0), pa.array(drop[0]), pa.array(drop[1])]
+            yield pa.RecordBatch.from_arrays(columns + own.columns[2:], names=["doc_id", "n_shingles", "set_id", "drop_0", "drop_1", *names])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, set_id long, drop_0 long, drop_1 long")
+    names = [f.name for f in others]
+    return docs.mapInArrow(run, ", ".join(["doc_id long, n_shingles long, set_id long, drop_0 long, drop_1 long", *(f"{f.name} {f.dataType.simpleString()}" for f in others)]))
 
 
 def shared_signatures(docs: DataFrame, buckets: int, shingle: int = SHINGLE) -> DataFrame:
@@ -189,13 +190,16 @@ def shared_signatures(docs: DataFrame, buckets: int, shingle: int = SHINGLE) ->
 
 
 def representatives_shingles(docs: DataFrame, wanted: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(set_id, n_shingles, shingles, bits) of the rows of docs whose doc_id is in wanted(doc_id).
+    """(set_id, n_shingles, shingles, bits) of each set of wanted(doc_id, set_id), once. Its shingles are taken from
+    rows with that doc_id, or from those without one where it is null; such rows may repeat and may hold other sets.
 
     bits: the parity of the number of shingles that fall on each of BITS places. Where two sets' bits differ, so does
     at least one shingle for each, so their number bounds the sets' difference from below.
     """
-    few = wanted.count() <= FEW
-    chosen = docs.join(wanted.hint("broadcast" if few else "shuffle_hash"), "doc_id", "left_semi")
+    few = "broadcast" if wanted.count() <= FEW else "shuffle_hash"
+    chosen = docs.join(wanted.select("doc_id").hint(few), "doc_id", "left_semi")
+    if not wanted.where("doc_id is null").isEmpty():
+        chosen = chosen.unionByName(docs.where("doc_id is null"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, sets in _blocks(batches, shingle):
@@ -206,7 +210,8 @@ def representatives_shingles(docs: DataFrame, wanted: DataFrame, shingle: int =
             bits = pa.ListArray.from_arrays(pa.array(np.arange(sets.rows + 1) * (BITS // 64), pa.int32()), pa.array(words))
             yield pa.RecordBatch.from_arrays([pa.array(sets.identity), pa.array(sets.size, pa.int64()), lists, bits], names=["set_id", "n_shingles", "shingles", "bits"])
 
-    return chosen.mapInArrow(run, "set_id long, n_shingles long, shingles array<long>, bits array<long>")
+    found = chosen.mapInArrow(run, "set_id long, n_shingles long, shingles array<long>, bits array<long>")
+    return found.join(wanted.select("set_id").hint(few), "set_id", "left_semi").dropDuplicates(["set_id"])
 
 
 def linked(pairs: DataFrame, sets: DataFrame, percent: int, size: int) -> DataFrame:
@@ -290,17 +295,26 @@ def _labels(kept: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = 75) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id reachable by links, itself included), set_id.
+    """doc_id, n_shingles, component_id (smallest doc_id reachable by links, itself included), set_id: a row for each of
+    docs.
 
     Words are lower-cased in A-Z only. Texts with fewer words than a shingle are one shingle; null, empty and blank
     texts have none, are linked with nothing and have a null set_id. Copies are linked; repeated rows are copies.
-    Rows are told apart by doc_id. Very long texts are read whole. An empty table gives no rows; other columns are not
-    read. percent may be 75 or more: the bands are laid out for that.
+    Rows without a doc_id are linked like others; a component of such rows alone has a null component_id. Very long
+    texts are read whole. An empty table gives no rows; other columns are not read. percent may be 75 or more: the
+    bands are laid out for that.
     """
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    return _linked_up(docs, shingle, percent).select("doc_id", "n_shingles", "component_id", "set_id")
+
+
+def _linked_up(docs: DataFrame, shingle: int = SHINGLE, percent: int = 75) -> DataFrame:
+    """doc_id, n_shingles, set_id, component (one of the component's set_ids, null without shingles), component_id and
+    the further columns of docs(doc_id, text, ..)."""
     if percent < 75:
         raise ValueError("the size bands hold for a similarity of 0.75 or more")
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     own = written(shingle_sets(docs, shingle), "shingle-sets")
+    docs = docs.select("doc_id", "text")
     classes = own.where("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("least_id"), F.first("drop_0").alias("drop_0"), F.first("drop_1").alias("drop_1"))
     classes = written(classes, "classes")
     total = own.agg(F.sum("n_shingles")).first()[0] or 0
@@ -311,15 +325,15 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = 7
     flagged = flagged.withColumn("central", F.count(F.lit(1)).over(of_set) - F.expr("if(_odd = 0, drop_0, drop_1)"))
     flagged = flagged.where("central > 0").withColumn("_nth", F.row_number().over(of_set.orderBy("n", "signature")))
     kept = written(flagged.where("_nth <= central").select("signature", "set_id", "central"), "kept")
-    wanted = written(classes.join(kept.select("set_id").distinct().hint("shuffle_hash"), "set_id", "left_semi").select(F.col("least_id").alias("doc_id")), "wanted")
+    wanted = written(classes.join(kept.select("set_id").distinct().hint("shuffle_hash"), "set_id", "left_semi").select(F.col("least_id").alias("doc_id"), "set_id"), "wanted")
     sets = written(representatives_shingles(docs, wanted, shingle), "sets")
     found = _labels(kept, sets, percent)
     roots = classes.select("set_id", "least_id").join(found.hint("shuffle_hash"), "set_id", "left")
     roots = written(roots.select("set_id", "least_id", F.coalesce("label", "set_id").alias("component")), "roots")
     least = roots.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    named = written(roots.join(written(least, "least").hint("merge"), "component").select("set_id", "component_id"), "named")
-    out = own.select("doc_id", "n_shingles", "set_id").join(named.hint("merge"), "set_id", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "set_id")
+    named = written(roots.join(written(least, "least").hint("merge"), "component").select("set_id", "component", "component_id"), "named")
+    out = own.drop("drop_0", "drop_1").join(named.hint("merge"), "set_id", "left")
+    return out.withColumn("component_id", F.coalesce("component_id", "doc_id"))
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:

@@ -60,3 +60,14 @@ def test_against_brute_force(spark, seed):
 
 def test_empty_table(spark):
     assert jaccard_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_repeated_rows_and_null_ids_with_near_copies(spark):
+    rng = random.Random(3)
+    words = lambda: [f"w{rng.randrange(400)}" for _ in range(120)]
+    a, b, c = words(), words(), words()
+    near = lambda w: " ".join(w[:-2])
+    rows = [(1, " ".join(a)), (1, " ".join(a)), (2, near(a)), (3, " ".join(a)), (None, " ".join(b)), (None, " ".join(b)), (7, near(b)), (None, " ".join(c)), (None, near(c)), (2**60 + 1, "alone")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(((r.doc_id or -1), r.component_id or -1) for r in jaccard_components(docs).collect())
+    assert got == sorted([(1, 1), (1, 1), (2, 1), (3, 1), (-1, 7), (-1, 7), (7, 7), (-1, -1), (-1, -1), (2**60 + 1, 2**60 + 1)])
