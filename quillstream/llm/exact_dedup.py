@@ -8,7 +8,7 @@ rows is thus at most FAN rows per key in every merge and every join, whatever it
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillstream.llm.stage import partitions, written
@@ -38,6 +38,10 @@ def tree_merge(rows: DataFrame, key: list[str], id_column: str, runs: int, fan:
     return rows.join(top.hint("shuffle_hash"), ["_run", *key]).drop("_run")
 
 
+def text_digest(text: Column) -> Column:
+    return F.sha2(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), 256)
+
+
 def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Groups of equal texts (equal after lower-casing A-Z only); of each, the row with the largest doc_id stays.
 
@@ -47,18 +51,32 @@ def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     a number; where a group has no other, keep_id is null and its rows are kept. An empty table gives no rows; other
     columns are not read.
     """
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.sha2(F.translate(F.coalesce(F.col(text), F.lit("")), UPPER, LOWER), 256).alias("text_sha256"))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), text_digest(F.col(text)).alias("text_sha256"))
     rows = written(rows, "digests")
     runs = FAN ** max(1, len(f"{partitions(docs.sparkSession) - 1:o}"))
     merged = tree_merge(rows, ["text_sha256"], "doc_id", runs)
     return merged.select("doc_id", F.col("largest_id").alias("keep_id"), "smallest_id", "group_size", F.col("doc_id").eqNullSafe(F.col("largest_id")).alias("kept"), "text_sha256")
 
 
+def row_key(digest: Column) -> Column:
+    """One key for a row's doc_id, which may be null, and its text's digest."""
+    return F.sha2(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), digest), 256)
+
+
+def one_of_each_key(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """Of docs(.., _key), one row for each _key in kept(_key), without that column: the smallest by all columns. Rows
+    that repeat a key are merged before they are exchanged."""
+    columns = [c for c in docs.columns if c != "_key"]
+    row = F.struct(*columns)
+    orderable = not any(t in docs.select(*columns).schema.simpleString() for t in ("map<", "variant", "interval"))
+    one = docs.groupBy("_key").agg((F.min(row) if orderable else F.first(row)).alias("_row"))
+    return one.join(kept.hint("shuffle_hash"), "_key", "left_semi").select("_row.*")
+
+
 def keep_first_copies(docs: DataFrame) -> DataFrame:
     """The rows of docs that exact_dedup keeps, all columns; one of rows that share doc_id and text."""
-    kept = exact_dedup(docs).where("kept").select("doc_id", "text_sha256").distinct()
-    one = docs.join(kept.select(F.col("doc_id").alias("_kept")).hint("shuffle_hash"), docs.doc_id.eqNullSafe(F.col("_kept")), "left_semi")
-    return one
+    kept = exact_dedup(docs).where("kept").select(row_key(F.col("text_sha256")).alias("_key")).distinct()
+    return one_of_each_key(docs.withColumn("_key", row_key(text_digest(F.col("text")))), kept)
 
 
 def op10_exact_dedup(spark, sf_dir: str) -> DataFrame:

@@ -53,3 +53,25 @@ def test_quality_edges(spark):
     rows = quality.score(docs, model).collect()
     assert len(rows) == 4 and all(0 <= r.score <= 1 for r in rows)
     assert quality.score(docs.limit(0), model).count() == 0
+
+
+def test_repeated_rows_and_null_ids_keep_one_copy(spark, tmp_path):
+    import random
+
+    rng = random.Random(6)
+    words = lambda n=90: " ".join(f"w{rng.randrange(3000)}" for _ in range(n))
+    a, b, c, d, e = (words() for _ in range(5))
+    rows = [(1, a), (1, a), (2, b), (5, b), (5, c), (None, d), (None, e), (None, e), (8, a + " more"), (None, d + " more"), (9, None), (9, "")]
+    docs = spark.createDataFrame([(i, t, len(t or "")) for i, t in rows], "doc_id long, text string, n_chars long").repartition(3)
+    corpus_pipeline.drop_copies(spark, docs, "").write.parquet(f"{tmp_path}/once")
+    once = spark.read.parquet(f"{tmp_path}/once")
+    key = lambda rows: sorted((r.doc_id or -1, r.text or "") for r in rows)
+    want = [(1, a), (5, b), (5, c), (None, d), (None, e), (8, a + " more"), (None, d + " more"), (9, "")]
+    assert once.columns == docs.columns and key(once.collect()) == sorted((i or -1, t) for i, t in want)
+    one = corpus_pipeline.drop_near_copies(spark, docs, "").collect()
+    got = key(one)
+    assert [g for g in got if g[0] != -1] == sorted([(1, a), (5, c), (9, ""), (2, b)])
+    assert len(got) == 6 and (-1, e) in got and sum(t in (d, d + " more") for _, t in got) == 1
+    corpus_pipeline.drop_near_copies(spark, once, "").write.parquet(f"{tmp_path}/one")
+    out = corpus_pipeline.cut_repeats(spark, spark.read.parquet(f"{tmp_path}/one"), "").collect()
+    assert {(r.doc_id or -1, r.text or "") for r in out} >= {(1, a), (5, b), (5, c), (-1, e), (9, "")} and len(out) == 6
