@@ -168,7 +168,8 @@ def parse_head(raw: bytes) -> dict[str, str]:
 
 def normalise(manifest: DataFrame, folder: str) -> DataFrame:
     """Rewrites each archive of a manifest with a gzip member for each record, next to an index (a JSON line of record
-    id, type, offset and length for each); returns the manifest of the new files."""
+    id, type, offset and length for each); returns the manifest of the new files. The sources stay until that manifest
+    is written, so that a task can run again; then they are deleted, in a job of their own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -185,11 +186,21 @@ def normalise(manifest: DataFrame, folder: str) -> DataFrame:
                         n += 1
                 path = file.done()
                 index.done()
-                fs.delete_file(r["path"]) if r["path"] != path else None
                 yield pa.RecordBatch.from_arrays([pa.array([r["archive"]], pa.int64()), pa.array([path]), pa.array([n], pa.int64())], names=["archive", "path", "records"])
 
     files = manifest.repartition(max(1, partitions(manifest.sparkSession)), "archive")
-    return written(files.mapInArrow(run, MANIFEST), "members")
+    members = written(files.mapInArrow(run, MANIFEST), "members")
+
+    def delete(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                fs, _ = pyarrow.fs.FileSystem.from_uri(folder)
+                if fs.get_file_info(path).type != pyarrow.fs.FileType.NotFound:  # an attempt before may have deleted it
+                    fs.delete_file(path)
+            yield batch
+
+    manifest.select("path").mapInArrow(delete, "path string").count()
+    return members
 
 
 READ = "archive long, position long, page_id long, url string, record_type string, payload_digest string, payload_bytes long, refers_to long, html string"

@@ -235,6 +235,18 @@ def test_warc_round_trip(spark, tmp_path):
     assert warc.archived(pages.limit(0), f"file://{tmp_path}/v").count() == 0
 
 
+def test_warc_sources_outlive_the_tasks_that_read_them(spark, tmp_path, monkeypatch):
+    pages = spark.createDataFrame([(i, "u", f"<p>{i}") for i in range(6)], "page_id long, url string, html string").coalesce(1)
+    folder = f"file://{tmp_path}/w"
+    manifest = warc.write_archives(warc.records_of(pages), folder, 1)
+    sources, seen = len(list(tmp_path.glob("w/archive-*"))), []
+    store = warc.written
+    monkeypatch.setattr(warc, "written", lambda df, name: (store(df, name), seen.append(len(list(tmp_path.glob("w/archive-*")))))[0])
+    members = warc.normalise(manifest, folder)
+    assert sources == 6 and seen == [6]  # all there when the manifest of members is written
+    assert not list(tmp_path.glob("w/archive-*")) and members.count() == 6
+
+
 def test_warc_broken_stream():
     with pytest.raises(ValueError):
         list(warc.split_records(iter([b"WARC/1.1\r\nContent-Length: 10\r\n\r\nabc"])))
