@@ -7,8 +7,9 @@ class, then each further subword (or the word's end) given the two before it. Al
 bounded sample of training texts, all counts on every training text; the rest is smoothed, so no text has probability 0.
 Windows overlap by OVERLAP places; each position is scored once, in the first window that it has that much context in.
 
-The counts of whole words grow with the corpus: they are dealt by hash, never gathered in one place. Every bucket sums
-up its own words' part of each document's base score.
+The counts of whole words and of subword triples grow with the corpus: they are tables dealt by hash, none left out, and
+never gathered in one place. Each distinct word's spelling is scored by joins with the triples; every bucket sums up its
+own words' part of each document's base score and spelling.
 """
 
 from __future__ import annotations
@@ -27,10 +28,10 @@ from quillstream.llm.textcore import Words, blocks, mix, ragged
 
 VOCABULARY, N_IDS = "byte_bpe_50k.tiktoken", 50257
 END = 50256  # free in this vocabulary: the end token, and the end of a word
+CLASSES, WIDTH, CONTEXT, OVERLAP = 96, 16, 32, 16
+STEPS = 2_500
 SAMPLE = 1_500  # most texts that the attention layer is trained on
 SAMPLE_WORDS = 400  # of each, from a place that its id decides
-CLASSES, WIDTH, CONTEXT, OVERLAP = 96, 16, 32, 8
-TRIPLES, STEPS = 500_000, 2_500
 FLUSH = 1 << 20
 
 
@@ -45,22 +46,11 @@ class Spelled:
         at, n, self.which = cache.look_up(self.hashes ^ np.uint64(0x5851F42D4C957F2D), lambda i: " " + words.text(i))
         kinds, one, self.times = np.unique(self.which, return_index=True, return_counts=True)
         self.n = n[one]
+        self.kind_hashes = self.hashes[one]
         self.flat = cache.ids[ragged(at[one], self.n)].astype(np.int64)
         self.begin = np.cumsum(self.n) - self.n
         self.first_id = self.flat[self.begin][self.which] if len(kinds) else np.zeros(0, np.int64)
 
-    def owner(self) -> np.ndarray:
-        return np.repeat(np.arange(len(self.n)), self.n)
-
-    def triples(self) -> np.ndarray:
-        """(id before or END, id, next id or END) as one number, for every subword of the distinct words."""
-        if not len(self.flat):
-            return np.zeros(0, np.int64)
-        before, after = np.r_[END, self.flat[:-1]], np.append(self.flat[1:], END)
-        before[self.begin] = END
-        after[np.cumsum(self.n) - 1] = END
-        return (before * N_IDS + self.flat) * N_IDS + after
-
 
 def _blocks(batches: Iterator[pa.RecordBatch]):
     for batch in batches:
@@ -68,73 +58,128 @@ def _blocks(batches: Iterator[pa.RecordBatch]):
             yield batch, a, b, Spelled(data, offsets)
 
 
-def subword_counts(docs: DataFrame, most: int = TRIPLES) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray]]:
-    """Over all rows: how often each id begins a word (END: a text's end), and how often two ids of a word (END: its
-    begin) are followed by a third (END: its end). Partial sums are made in the tasks; the model holds the `most`
-    frequent triples, a parameter of its size as its width is."""
+def _triples(begin: np.ndarray, n: np.ndarray, flat: np.ndarray) -> np.ndarray:
+    """(id before or END, id, next id or END) as one number, for every subword of words."""
+    if not len(flat):
+        return np.zeros(0, np.int64)
+    before, after = np.r_[END, flat[:-1]], np.append(flat[1:], END)
+    before[begin] = END
+    after[begin + n - 1] = END
+    return (before * N_IDS + flat) * N_IDS + after
+
+
+def spellings(docs: DataFrame) -> DataFrame:
+    """(word, ids, n): the hash of every distinct word of docs(doc_id, text, train, ..), its subwords, and how often it
+    occurs in training texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = np.zeros(N_IDS, np.int64)
-        key, total = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        held: list[tuple] = []
+
+        def merged() -> tuple:
+            key, n, size, flat = (np.concatenate(x) for x in zip(*held, strict=True))
+            own, first, inverse = np.unique(key, return_index=True, return_inverse=True)
+            total = np.bincount(inverse, n, len(own)).astype(np.int64)
+            return own, total, size[first], flat[ragged((np.cumsum(size) - size)[first], size[first])]
 
-        def rows(key: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[pa.RecordBatch]:
+            key, n, size, flat = merged()
+            ends = np.r_[0, np.cumsum(size)]
             for a in range(0, len(key), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(key[a : a + 100_000]), pa.array(n[a : a + 100_000])], names=["key", "n"])
-
-        for _, a, b, s in _blocks(batches):
-            first += np.bincount(s.first_id, minlength=N_IDS)
-            first[END] += b - a
-            triple = s.triples()
-            order = np.argsort(triple, kind="stable")
-            own, begin = np.unique(triple[order], return_index=True)
-            weight = np.r_[0, np.cumsum(s.times[s.owner()][order])]
-            n = weight[np.append(begin, len(triple))[1:]] - weight[begin]
-            merged, inverse = np.unique(np.r_[key, own], return_inverse=True)
-            total = np.bincount(inverse, np.r_[total, n], len(merged)).astype(np.int64)
-            key = merged
-            if len(key) > 1_000_000:
-                yield from rows(key, total)
-                key, total = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        used = np.flatnonzero(first)
-        yield from rows(np.r_[key, -1 - used], np.r_[total, first[used]])
-
-    summed = written(docs.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "triples")
-    table = summed.where("key < 0").unionByName(summed.where("key >= 0 and n > 1").orderBy(F.desc("n"), "key").limit(most)).toPandas()
-    key, n = table["key"].to_numpy(np.int64), table["n"].to_numpy(np.int64)
-    first = np.zeros(N_IDS)
-    first[-1 - key[key < 0]] = n[key < 0]
-    return first, (key[key >= 0], n[key >= 0])
-
-
-class _Table:
-    """Counts of (context, next): absolute discounting over a lower-order probability."""
-
-    def __init__(self, context: np.ndarray, after: np.ndarray, n: np.ndarray):
-        key = context * N_IDS + after
-        order = np.argsort(key, kind="stable")
-        key, begin = np.unique(key[order], return_index=True)
-        self.key = key
-        self.n = np.add.reduceat(n[order].astype(float), begin) if len(key) else np.zeros(0)
-        self.context, begin, self.kinds = np.unique(key // N_IDS, return_index=True, return_counts=True)
-        self.total = np.add.reduceat(self.n, begin) if len(key) else np.zeros(0)
-
-    def probability(self, context: np.ndarray, after: np.ndarray, lower: np.ndarray) -> np.ndarray:
-        if not len(self.key):
-            return lower
-        key = context * N_IDS + after
-        at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
-        seen = np.where(self.key[at] == key, self.n[at], 0.0)
-        at = np.minimum(np.searchsorted(self.context, context), len(self.context) - 1)
-        known = self.context[at] == context
-        kinds, total = np.where(known, self.kinds[at], 0), np.where(known, self.total[at], 0.0)
-        # Half a count more for what the table has not seen.
-        return (np.maximum(seen - 0.75, 0) + (0.75 * kinds + 0.5) * lower) / (total + 0.5)
+                b = min(a + 100_000, len(key))
+                raw = flat[ends[a] : ends[b]].astype("<u2").tobytes()
+                ids = pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer((2 * (ends[a : b + 1] - ends[a])).astype(np.int32).tobytes()), pa.py_buffer(raw)])
+                yield pa.RecordBatch.from_arrays([pa.array(key[a:b].view(np.int64)), ids, pa.array(n[a:b])], names=["word", "ids", "n"])
+
+        for batch, a, b, s in _blocks(batches):
+            learn = batch.column(2)[a:b].to_numpy(zero_copy_only=False).astype(float)
+            held.append((s.kind_hashes, np.bincount(s.which, learn[s.words.row], len(s.n)).astype(np.int64), s.n, s.flat))
+            if sum(len(h[0]) for h in held) > 1_000_000:
+                held[:] = [merged()]
+                if len(held[0][0]) > 500_000:
+                    yield from rows()
+                    held.clear()
+        if held:
+            yield from rows()
+
+    return docs.mapInArrow(run, "word long, ids binary, n long").groupBy("word", "ids").agg(F.sum("n").alias("n"))
+
+
+def _flat_ids(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(begin, n, flat) of the column ids."""
+    lists = [np.frombuffer(x, "<u2") for x in batch.column("ids").to_pylist()]
+    n = np.array([len(x) for x in lists], np.int64)
+    return np.cumsum(n) - n, n, np.concatenate([*lists, np.zeros(0, "<u2")]).astype(np.int64)
+
+
+def first_counts(words: DataFrame, texts: int) -> np.ndarray:
+    """How often each id begins a training word (END: a text's end), of words as from spellings()."""
+    first = F.conv(F.hex(F.concat(F.substring("ids", 2, 1), F.substring("ids", 1, 1))), 16, 10).cast("long")
+    # At most N_IDS rows.
+    table = words.where("n > 0").groupBy(first.alias("id")).agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros(N_IDS)
+    out[table["id"].to_numpy(np.int64)] = table["n"].to_numpy(np.int64)
+    out[END] += texts
+    return out
+
+
+def triple_scores(words: DataFrame) -> DataFrame:
+    """(triple, score): log10 P(third | first two) of every triple of words, from how often training texts have each:
+    absolute discounting, interpolated with the probability given the second one alone, and that with how many
+    triples end in the third. Triples without training text have what the shorter contexts give."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            begin, n, flat = _flat_ids(batch)
+            own, inverse = np.unique(_triples(begin, n, flat), return_inverse=True)
+            weight = np.repeat(batch.column("n").to_numpy(), n)
+            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(np.bincount(inverse, weight, len(own)).astype(np.int64))], names=["triple", "n"])
+
+    table = words.mapInArrow(count, "triple long, n long").groupBy("triple").agg(F.sum("n").alias("n"))
+    context, pair = F.expr(f"triple div {N_IDS}").alias("context"), (F.col("triple") % (N_IDS * N_IDS)).alias("pair")
+    table = written(table.select("triple", context, pair, "n"), "triples")
+    seen = table.where("n > 0")
+    three = seen.groupBy("context").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
+    pairs = written(seen.groupBy("pair").agg(F.sum(F.least("n", F.lit(3))).alias("n_pair")), "pairs")
+    # At most N_IDS rows each.
+    middle = pairs.groupBy(F.expr(f"pair div {N_IDS}").alias("id")).agg(F.sum("n_pair").alias("n"), F.count(F.lit(1)).alias("kinds")).toPandas()
+    last = seen.groupBy((F.col("pair") % N_IDS).alias("id")).agg(F.count(F.lit(1)).alias("n")).toPandas()
+    total_two, kinds_two, back = np.zeros(N_IDS), np.zeros(N_IDS), np.full(N_IDS, 0.02)
+    total_two[middle["id"].to_numpy(np.int64)] = middle["n"].to_numpy(np.int64)
+    kinds_two[middle["id"].to_numpy(np.int64)] = middle["kinds"].to_numpy(np.int64)
+    back[last["id"].to_numpy(np.int64)] += last["n"].to_numpy(np.int64)
+    back /= back.sum()
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            triple, n, total, kinds, n_pair = (c.to_numpy() for c in batch.columns)
+            i, after = triple // N_IDS % N_IDS, triple % N_IDS
+            # Half a count more for what the table has not seen.
+            p = (np.maximum(n_pair - 0.75, 0) + (0.75 * kinds_two[i] + 0.5) * back[after]) / (total_two[i] + 0.5)
+            p = (np.maximum(n - 0.75, 0) + (0.75 * kinds + 0.5) * p) / (total + 0.5)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.log10(p))], names=["triple", "score"])
+
+    joined = table.join(three, "context", "left").join(pairs, "pair", "left")
+    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    return joined.select("triple", "n", zero("total"), zero("kinds"), zero("n_pair")).mapInArrow(score, "triple long, score double")
+
+
+def spelled(words: DataFrame) -> DataFrame:
+    """(word, n, spelling): log10 P(subwords after the first, and the word's end) of every word of spellings()."""
+
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            begin, n, flat = _flat_ids(batch)
+            word, times = (np.repeat(batch.column(c).to_numpy(), n) for c in ("word", "n"))
+            yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(times), pa.array(_triples(begin, n, flat))], names=["word", "n", "triple"])
+
+    each = words.mapInArrow(explode, "word long, n long, triple long")
+    return each.join(written(triple_scores(words), "triple-scores"), "triple").groupBy("word", "n").agg(F.sum("score").alias("spelling"))
 
 
 class Speller:
-    """log10 P(first subword | class), and log10 P(next subword | two before it) interpolated with shorter contexts."""
+    """Classes of first subwords, and log10 P(first subword | class)."""
 
-    def __init__(self, first: np.ndarray, triples: tuple[np.ndarray, np.ndarray]):
+    def __init__(self, first: np.ndarray):
         order = np.argsort(-first, kind="stable")
         # The most frequent first subwords have a class of their own; the rest share classes of about equal mass.
         alone = CLASSES // 2
@@ -144,22 +189,6 @@ class Speller:
         self.klass[order[alone:]] = alone + np.minimum(CLASSES - alone - 1, (mass / mass[-1] * (CLASSES - alone)).astype(int))
         smooth = first + 0.1
         self.within = np.log10(smooth / np.bincount(self.klass, smooth, CLASSES)[self.klass])
-        key, n = triples
-        context, after = key // N_IDS, key % N_IDS
-        self.three = _Table(context, after, n)
-        self.two = _Table(self.three.key // N_IDS % N_IDS, self.three.key % N_IDS, np.minimum(self.three.n, 3))
-        back = np.bincount(after, minlength=N_IDS) + 0.02
-        self.back = back / back.sum()
-
-    def spelling(self, words: Spelled) -> np.ndarray:
-        """log10 P(subwords after the first, and the word's end) of every distinct word."""
-        key = words.triples()
-        if not len(key):
-            return np.zeros(0)
-        context, after = key // N_IDS, key % N_IDS
-        p = self.two.probability(context % N_IDS, after, self.back[after])
-        p = self.three.probability(context, after, p)
-        return np.add.reduceat(np.log10(p), np.cumsum(words.n) - words.n)
 
 
 class Attention:
@@ -172,7 +201,7 @@ class Attention:
     @classmethod
     def fresh(cls, seed: int = 11) -> Attention:
         rng = np.random.default_rng(seed)
-        shapes = {"emb": (N_IDS, WIDTH), "pos": (CONTEXT, WIDTH), "Q": (WIDTH, WIDTH), "K": (WIDTH, WIDTH), "V": (WIDTH, WIDTH), "A": (WIDTH, WIDTH), "B": (WIDTH, WIDTH), "out": (WIDTH, CLASSES)}
+        shapes = {"emb": (N_IDS, WIDTH), "pos": (CONTEXT, WIDTH), "Q": (WIDTH, WIDTH), "K": (WIDTH, WIDTH), "V": (WIDTH, WIDTH), "A": (WIDTH, 2 * WIDTH), "B": (2 * WIDTH, WIDTH), "out": (WIDTH, CLASSES)}
         return cls({k: rng.normal(0, 0.3 if k in ("emb",) else 0.25, s).astype(np.float32) for k, s in shapes.items()} | {"bias": np.zeros(CLASSES, np.float32)})
 
     def forward(self, x: np.ndarray) -> tuple[np.ndarray, tuple]:
@@ -287,10 +316,9 @@ def train(texts: list[tuple[np.ndarray, np.ndarray]], speller: Speller, steps: i
     return model
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE, steps: int = STEPS) -> tuple[Attention, Speller]:
-    """The model, from training rows (doc_id, text): counts over all of them, the layer from the `sample` first by a
-    hash of their doc_id, SAMPLE_WORDS words of each."""
-    speller = Speller(*subword_counts(docs))
+def fit(docs: DataFrame, speller: Speller, sample: int = SAMPLE, steps: int = STEPS) -> Attention:
+    """The layer, from the `sample` first training rows (doc_id, text) by a hash of their doc_id, SAMPLE_WORDS words of
+    each."""
     chosen = docs.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).distinct()
     rows = docs.join(F.broadcast(chosen), "doc_id")
 
@@ -310,11 +338,11 @@ def fit(docs: DataFrame, sample: int = SAMPLE, steps: int = STEPS) -> tuple[Atte
 
     found = sorted(rows.mapInArrow(spell, "doc_id long, ids binary, n binary").collect(), key=lambda r: (r["doc_id"] or 0, r["ids"]))
     texts = [(np.frombuffer(r["ids"], "<u2").astype(np.int64), np.frombuffer(r["n"], "<u2").astype(np.int64)) for r in found]
-    return train(texts, speller, steps), speller
+    return train(texts, speller, steps)
 
 
 def model_scores(s: Spelled, model: Attention, speller: Speller) -> np.ndarray:
-    """log10 probability of every row: its words and its end."""
+    """log10 probability of every row's first subwords, of its words and its end; spellings not included."""
     words = s.words
     rows = len(words.first) - 1
     count = np.diff(words.first)
@@ -323,10 +351,8 @@ def model_scores(s: Spelled, model: Attention, speller: Speller) -> np.ndarray:
     row_of = np.repeat(np.arange(rows), places)
     index = np.arange(len(row_of)) - (np.cumsum(places) - places)[row_of]
     is_end = index == count[row_of]
-    first_id, static = np.full(len(row_of), END), np.zeros(len(row_of))
+    first_id = np.full(len(row_of), END)
     first_id[~is_end] = s.first_id
-    static[~is_end] = speller.spelling(s)[s.which]
-    static += speller.within[first_id]
     klass = speller.klass[first_id]
     x = np.zeros((len(row_of), WIDTH), np.float32)
     x[np.flatnonzero(~is_end) + 1] = model.embedded(s.begin, s.n, s.flat)[s.which]
@@ -339,7 +365,7 @@ def model_scores(s: Spelled, model: Attention, speller: Speller) -> np.ndarray:
     begin = base[row] + nth * step
     score_from = np.where(nth > 0, OVERLAP, 0)
     size = np.minimum(CONTEXT, places[row] - nth * step)
-    out = static.copy()
+    out = speller.within[first_id]
     for a in range(0, len(begin), 256):
         b, lo, hi = begin[a : a + 256, None], score_from[a : a + 256, None], size[a : a + 256, None]
         w, p = np.nonzero((np.arange(CONTEXT) >= lo) & (np.arange(CONTEXT) < hi))
@@ -349,24 +375,23 @@ def model_scores(s: Spelled, model: Attention, speller: Speller) -> np.ndarray:
     return np.bincount(row_of, out, rows)
 
 
-def base_parts(docs: DataFrame, buckets: int) -> DataFrame:
-    """Per bucket rows: (doc_id, part) sums of log10(c + 0.5) and known counts of its words, and (null, ..) the number
-    of distinct training words of the bucket. docs(doc_id, text, train)."""
+def base_parts(docs: DataFrame, words: DataFrame, buckets: int) -> DataFrame:
+    """Per bucket rows: (row, part, known, spelling, words) sums of log10(c + 0.5), known counts, spellings and counts of
+    its words. docs(row, text), words(word, n, spelling)."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list = []
 
         def flush() -> Iterator[pa.RecordBatch]:
-            key, doc, n, learn = (np.concatenate(x) for x in zip(*parts, strict=True))
-            rows = list(to_buckets(key, [doc, n, learn], buckets))
-            columns = [pa.array([b for b, _ in rows], pa.int32())] + [pa.array([x[k] for _, x in rows], pa.binary()) for k in range(4)]
-            batch = pa.RecordBatch.from_arrays(columns, names=["bucket", "words", "docs", "n", "learn"])
+            key, doc, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+            rows = list(to_buckets(key, [doc, n], buckets))
+            columns = [pa.array([b for b, _ in rows], pa.int32())] + [pa.array([x[k] for _, x in rows], pa.binary()) for k in range(3)]
+            batch = pa.RecordBatch.from_arrays(columns, names=["bucket", "words", "docs", "n"])
             for a in range(0, len(batch), 2000):
                 yield batch[a : a + 2000]
 
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            learn = batch.column(2).to_numpy(zero_copy_only=False).astype(np.uint8)
             for a, _, data, offsets in blocks(batch, "text"):
                 words = Words(data, offsets, lower=True)
                 hashes = words.hashes()
@@ -374,64 +399,72 @@ def base_parts(docs: DataFrame, buckets: int) -> DataFrame:
                 key, row = hashes[order], words.row[order]
                 new = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (row[1:] != row[:-1])]) if len(key) else np.zeros(0, np.int64)
                 n = np.diff(np.append(new, len(key)))
-                parts.append((key[new], ids[a + row[new]], n.astype(np.uint32), learn[a + row[new]]))
+                parts.append((key[new], ids[a + row[new]], n.astype(np.uint32)))
             if sum(len(p[0]) for p in parts) >= FLUSH:
                 yield from flush()
                 parts.clear()
         if parts:
             yield from flush()
 
-    def add_up(table: pa.Table) -> pa.Table:
+    def add_up(table: pa.Table, own: pa.Table) -> pa.Table:
         def column(name, dtype):
             return np.frombuffer(b"".join(table.column(name).to_pylist()), dtype)
 
-        key, doc, n, learn = column("words", np.uint64), column("docs", np.int64), column("n", np.uint32), column("learn", np.uint8)
-        order = np.argsort(key, kind="stable")
-        begin = np.flatnonzero(np.r_[True, key[order][1:] != key[order][:-1]]) if len(key) else np.zeros(0, np.int64)
-        count = np.add.reduceat((n * learn).astype(np.int64)[order], begin) if len(key) else np.zeros(0, np.int64)
-        c = np.empty(len(key), np.int64)
-        c[order] = np.repeat(count, np.diff(np.append(begin, len(key))))
+        key, doc, n = column("words", np.uint64), column("docs", np.int64), column("n", np.uint32)
+        word = own.column("word").to_numpy().view(np.uint64)
+        order = np.argsort(word)
+        at = order[np.searchsorted(word, key, sorter=order)] if len(word) else np.zeros(0, np.int64)
+        c, spelling = own.column("n").to_numpy()[at], own.column("spelling").to_numpy()[at]
         docs_of, inverse = np.unique(doc, return_inverse=True)
-        part = np.bincount(inverse, n * np.log10(c + 0.5), len(docs_of))
-        known = np.bincount(inverse, n * (c > 0), len(docs_of)).astype(np.int64)
-        return pa.table({"doc_id": pa.array([*docs_of.tolist(), None], pa.int64()), "part": np.r_[part, 0.0], "known": np.r_[known, (count > 0).sum()]})
+        total = lambda x: np.bincount(inverse, x, len(docs_of))
+        return pa.table({"row": docs_of, "part": total(n * np.log10(c + 0.5)), "known": total(n * (c > 0)).astype(np.int64), "spelling": total(n * spelling), "words": total(n).astype(np.int64)})
 
-    packed = docs.mapInArrow(send, "bucket int, words binary, docs binary, n binary, learn binary")
-    return packed.groupBy("bucket").applyInArrow(add_up, "doc_id long, part double, known long")
+    packed = docs.mapInArrow(send, "bucket int, words binary, docs binary, n binary")
+    # The bucket of a word as to_buckets deals it.
+    bucket = F.shiftright(F.shiftrightunsigned("word", 32) * F.lit(buckets).cast("long"), 32).cast("int")
+    dealt = words.withColumn("bucket", bucket).groupBy("bucket")
+    return packed.groupBy("bucket").cogroup(dealt).applyInArrow(add_up, "row long, part double, known long, spelling double, words long")
 
 
 def lm_scores(docs: DataFrame, train_where=None, steps: int = STEPS) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score of every row of docs.
 
     train_where: a column that tells training rows (all if none). Null and empty texts are one end token; very long
-    texts are scored whole; repeated rows are scored each, and counted each in training. Rows are told apart by doc_id.
+    texts are scored whole; repeated rows are scored each, and counted each in training.
     An empty table gives no rows; columns other than doc_id and text are not read.
     """
     learn = F.lit(True) if train_where is None else train_where
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), learn.alias("train"))
-    model, speller = fit(docs.where("train").select("doc_id", "text"), steps=steps)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce(learn, F.lit(False)).alias("train"))
+    docs = docs.withColumn("row", F.xxhash64("doc_id", "text"))
+    words = written(spellings(docs), "spellings")
+    totals = words.agg(F.sum("n"), F.count_if(F.col("n") > 0)).first()
+    train_docs = docs.where("train").count()
+    train_tokens, distinct = (totals[0] or 0) + train_docs, totals[1] + (1 if train_docs else 0)
+    speller = Speller(first_counts(words, train_docs))
+    model = fit(docs.where("train").select("doc_id", "text"), speller, steps=steps)
     shared = docs.sparkSession.sparkContext.broadcast((model.w, speller))  # size set by the vocabulary and the layer
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w, own_speller = shared.value
         layer = Attention(w)
         for batch, a, b, s in _blocks(batches):
-            columns = [batch.column(0)[a:b], batch.column(2)[a:b], pa.array(np.diff(s.words.first) + 1, pa.int64()), pa.array(model_scores(s, layer, own_speller))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "train", "n_tokens", "score"])
+            columns = [batch.column(0)[a:b], batch.column(3)[a:b], pa.array(np.diff(s.words.first) + 1, pa.int64()), pa.array(model_scores(s, layer, own_speller))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "row", "n_tokens", "score"])
 
-    scored = written(docs.mapInArrow(score, "doc_id long, train boolean, n_tokens long, score double"), "lm-scores")
+    scored = written(docs.mapInArrow(score, "doc_id long, row long, n_tokens long, score double"), "lm-scores")
     shared.destroy()  # the scores are stored
-    totals = scored.agg(F.sum("n_tokens"), F.sum(F.when(F.col("train"), F.col("n_tokens"))), F.count_if("train")).first()
-    all_tokens, train_tokens, train_docs = totals[0] or 0, totals[1] or 0, totals[2] or 0
-    parts = written(base_parts(docs, bucket_count(docs.sparkSession, 0.7 * all_tokens)), "base-parts")
-    distinct = (parts.where("doc_id is null").agg(F.sum("known")).first()[0] or 0) + (1 if train_docs else 0)
-    summed = parts.where("doc_id is not null").groupBy("doc_id").agg(F.sum("part").alias("part"), F.sum("known").alias("known"))
+    all_tokens = scored.agg(F.sum("n_tokens")).first()[0] or 0
+    scores = written(spelled(words), "spelled")
+    parts = written(base_parts(docs.select("row", "text"), scores, bucket_count(docs.sparkSession, 0.7 * all_tokens)), "base-parts")
+    summed = parts.groupBy("row").agg(*[F.sum(c).alias(c) for c in ("part", "known", "spelling", "words")])
     end = math.log10(train_docs + 0.5)
     norm = math.log10(train_tokens + 0.5 * (distinct + 1))
-    out = scored.join(summed.hint("shuffle_hash"), "doc_id", "left")
-    base = F.coalesce("part", F.lit(0.0)) + F.lit(end) - F.col("n_tokens") * F.lit(norm)
-    known = F.coalesce("known", F.lit(0)) + F.lit(1 if train_docs else 0)
-    return out.select("doc_id", "n_tokens", known.cast("long").alias("n_known"), F.lit(train_tokens).cast("long").alias("train_tokens"), base.alias("base_score"), "score")
+    out = scored.withColumnRenamed("score", "_score").join(summed.hint("shuffle_hash"), "row", "left")
+    # Equal rows are added up together: each has its share of the sums.
+    share = lambda c: F.coalesce(F.col(c) * (F.col("n_tokens") - 1) / F.col("words"), F.lit(0.0))
+    base = share("part") + F.lit(end) - F.col("n_tokens") * F.lit(norm)
+    known = F.round(share("known")) + F.lit(1 if train_docs else 0)
+    return out.select("doc_id", "n_tokens", known.cast("long").alias("n_known"), F.lit(train_tokens).cast("long").alias("train_tokens"), base.alias("base_score"), (F.col("_score") + share("spelling")).alias("score"))
 
 
 def op7_lm_scoring(spark, sf_dir: str) -> DataFrame:

@@ -177,6 +177,45 @@ def test_lm_scores_base_and_model(spark):
     assert sum(rows[i].score for i in seen) / sum(len(tokens[i]) for i in seen) > -1.3
 
 
+def test_lm_spellings_use_every_triple(spark):
+    """Each word's spelling against plain counts of all triples, those met once included; rows that repeat are scored alike."""
+    texts = ["alpha betatron gammaray"] * 3 + ["zyxwvut quetzalcoatl", "alphabet unseenword alpha", "quetzal zyxw"]
+    docs = spark.createDataFrame([(i, t, i < 5) for i, t in enumerate(texts)], "doc_id long, text string, train boolean")
+    words = lm_scoring.spellings(docs).collect()
+    ids = {r.word: np.frombuffer(r.ids, "<u2").tolist() for r in words}
+    end, count = lm_scoring.END, Counter()
+    triples = lambda w: list(zip([end, *w[:-1]], w, [*w[1:], end]))
+    for r in words:
+        for t in triples(ids[r.word]):
+            count[t] += r.n
+    count = {t: n for t, n in count.items() if n}
+    back = Counter(t[2] for t in count)
+    pair = Counter()
+    for t, n in count.items():
+        pair[t[1:]] += min(n, 3)
+
+    def p(a, b, c):
+        q = (back[c] + 0.02) / (len(count) + 0.02 * lm_scoring.N_IDS)
+        own = {k: n for k, n in pair.items() if k[0] == b}
+        q = (max(pair[b, c] - 0.75, 0) + (0.75 * len(own) + 0.5) * q) / (sum(own.values()) + 0.5)
+        own = {k: n for k, n in count.items() if k[:2] == (a, b)}
+        return (max(count.get((a, b, c), 0) - 0.75, 0) + (0.75 * len(own) + 0.5) * q) / (sum(own.values()) + 0.5)
+
+    assert min(count.values()) == 1
+    got = {r.word: r.spelling for r in lm_scoring.spelled(lm_scoring.spellings(docs)).collect()}
+    assert got.keys() == ids.keys()
+    assert all(math.isclose(got[w], sum(math.log10(p(*t)) for t in triples(ids[w])), rel_tol=1e-9) for w in ids)
+
+
+def test_lm_repeated_rows_are_scored_alike(spark):
+    rows = [(1, "some words here"), (1, "some words here"), (1, "other text"), (None, "some words here"), (2, "some words here")]
+    got = lm_scoring.lm_scores(spark.createDataFrame(rows, "doc_id long, text string"), steps=5).collect()
+    same = [r for r in got if r.n_tokens == 4]
+    assert len(got) == 5 and len(same) == 4
+    assert max(r.score for r in same) - min(r.score for r in same) < 1e-4 and max(r.base_score for r in same) - min(r.base_score for r in same) < 1e-9
+    assert {r.n_known for r in same} == {4}
+
+
 def test_lm_probabilities_sum_to_one_over_classes():
     model = lm_scoring.Attention.fresh()
     x = np.random.default_rng(1).normal(size=(3, lm_scoring.CONTEXT, lm_scoring.WIDTH)).astype(np.float32)
