@@ -3,10 +3,13 @@
 The model. A text is its lower-cased words and an end token. Every word is spelled in subword ids of a public
 byte-level BPE; a position's input is the mean of its word's subword embeddings. One causal self-attention layer over
 a window of positions predicts the next word: a softmax over classes of first subwords, the first subword within its
-class, then each further subword (or the word's end) given the two before it. All parameters are learned in numpy on a
-bounded sample of training texts, all counts on every training text; the rest is smoothed, so no text has probability 0.
+class, then each further subword (or the word's end) given the two before it. All parameters and all counts are learned
+from every training text; the rest is smoothed, so no text has probability 0.
 Windows overlap by OVERLAP places; each position is scored once, in the first window that it has that much context in.
 
+The layer is trained in rounds: every training text is read whole in one of them, tasks start from the same weights, and
+what they changed is averaged in the cluster, so that only arrays of the model's size reach the driver.
+
 The counts of whole words and of subword triples grow with the corpus: they are tables dealt by hash, none left out, and
 never gathered in one place. Each distinct word's spelling is scored by joins with the triples; every bucket sums up its
 own words' part of each document's base score and spelling.
@@ -19,20 +22,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillstream.llm.packing import bpe_cache
 from quillstream.llm.stage import bucket_count, fold, to_buckets, written
-from quillstream.llm.textcore import Words, blocks, mix, ragged
+from quillstream.llm.textcore import Words, blocks, ragged
 
 VOCABULARY, N_IDS = "byte_bpe_50k.tiktoken", 50257
 END = 50256  # free in this vocabulary: the end token, and the end of a word
 CLASSES, WIDTH, CONTEXT, OVERLAP = 96, 16, 32, 16
-STEPS = 2_500
-SAMPLE = 1_500  # most texts that the attention layer is trained on
-SAMPLE_WORDS = 400  # of each, from a place that its id decides
+BATCH, STEPS, ROUNDS = 64, 2_500, 8  # windows of a step; steps that small corpora are passed over for; rounds of large ones
 FLUSH = 1 << 20
+CHUNK = 1_024  # embeddings that are averaged together
 
 
 class Spelled:
@@ -272,75 +275,132 @@ def windows(length: int) -> list[int]:
     return [0, *range(CONTEXT - OVERLAP, max(length - OVERLAP, 0), CONTEXT - OVERLAP)]
 
 
-def train(texts: list[tuple[np.ndarray, np.ndarray]], speller: Speller, steps: int = STEPS, batch: int = 64, rate: float = 0.01, seed: int = 5) -> Attention:
-    """Adam on windows of (subword ids, words' lengths) of the sample."""
-    model, rng = Attention.fresh(), np.random.default_rng(seed)
-    if not texts:
-        return model
-    ids = np.concatenate([t for t, _ in texts] + [np.array([END])]).astype(np.int64)
-    n = np.concatenate([m for _, m in texts] + [np.array([1])])
-    at = np.cumsum(n) - n
-    # Places of each text: its words after a start (the end token, which opens and closes a text).
-    count = np.array([len(m) for _, m in texts])
-    first = np.cumsum(count) - count
-    starts = [(t, s) for t in range(len(texts)) for s in windows(int(count[t]) + 1)]
-    end_word = len(n) - 1
-    moments: dict[str, tuple] = {}
-    emb_m, emb_v = np.zeros_like(model.w["emb"]), np.zeros_like(model.w["emb"])
-    for step in range(1, steps + 1):
-        picked = rng.integers(0, len(starts), batch)
-        place = np.array([starts[i][1] for i in picked])[:, None] + np.arange(CONTEXT)
-        text = np.array([starts[i][0] for i in picked])[:, None]
-        size = count[text]
-        target_word = np.where(place < size, first[text] + np.minimum(place, np.maximum(size - 1, 0)), end_word)
-        input_word = np.where(place == 0, end_word, first[text] + np.clip(place - 1, 0, np.maximum(size - 1, 0)))
-        valid = place <= size
-        used, inverse = np.unique(input_word, return_inverse=True)
-        x = model.embedded(at[used], n[used], ids)[inverse.reshape(place.shape)]
+class Learner:
+    """Adam over the windows of blocks of texts, from some weights; what it changed, in chunks."""
+
+    def __init__(self, w: dict[str, np.ndarray], klass: np.ndarray, rate, seed: int):
+        self.start, self.model = w, Attention({k: v.copy() for k, v in w.items()})
+        self.klass, self.rate, self.rng = klass, rate, np.random.default_rng(seed)
+        self.moments: dict[str, tuple] = {}
+        self.emb_m, self.emb_v = np.zeros_like(w["emb"]), np.zeros_like(w["emb"])
+        self.touched = np.zeros(N_IDS, bool)
+        self.step, self.windows = 0, 0
+
+    def learn(self, s: Spelled) -> None:
+        """One pass over the block: every word, and every text's end, is predicted once."""
+        ids, n = np.append(s.flat, END), np.append(s.n[s.which], 1)
+        at = np.append(s.begin[s.which], len(s.flat))
+        end_word = len(n) - 1
+        first = s.words.first[:-1].astype(np.int64)
+        count = np.diff(s.words.first).astype(np.int64)
+        n_windows = count // CONTEXT + 1
+        text = np.repeat(np.arange(len(count)), n_windows)
+        start = (np.arange(len(text)) - np.repeat(np.cumsum(n_windows) - n_windows, n_windows)) * CONTEXT
+        order = self.rng.permutation(len(text))
+        self.windows += len(text)
+        for a in range(0, len(order), BATCH):
+            picked = order[a : a + BATCH]
+            place, own = start[picked][:, None] + np.arange(CONTEXT), text[picked][:, None]
+            size = count[own]
+            target = np.where(place < size, first[own] + np.minimum(place, np.maximum(size - 1, 0)), end_word)
+            given = np.where(place == 0, end_word, first[own] + np.clip(place - 1, 0, np.maximum(size - 1, 0)))
+            # Places behind a text's end are masked; an empty text at the block's end has no word to stand there.
+            self._step(ids, at, n, np.minimum(given, end_word), np.minimum(target, end_word), place <= size)
+
+    def _step(self, ids, at, n, given, target, valid) -> None:
+        self.step += 1
+        model, lr = self.model, self.rate(self.step)
+        used, inverse = np.unique(given, return_inverse=True)
+        x = model.embedded(at[used], n[used], ids)[inverse.reshape(given.shape)]
         o, kept = model.forward(x)
-        grads, dx = model.gradients(o, kept, speller.klass[ids[at[target_word]]], valid)
-        lr = rate * min(1, step / 50) * (1 - 0.9 * step / steps)
+        grads, dx = model.gradients(o, kept, self.klass[ids[at[target]]], valid)
         for name, g in grads.items():
-            m, v = moments.get(name, (0.0, 0.0))
+            m, v = self.moments.get(name, (0.0, 0.0))
             m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
-            moments[name] = m, v
-            model.w[name] = (model.w[name] - lr * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
+            self.moments[name] = m, v
+            model.w[name] = (model.w[name] - lr * (m / (1 - 0.9**self.step)) / (np.sqrt(v / (1 - 0.99**self.step)) + 1e-8)).astype(np.float32)
         dword = np.zeros((len(used), WIDTH), np.float32)
         np.add.at(dword, inverse.ravel(), dx.reshape(-1, WIDTH))
         rows = ids[ragged(at[used], n[used])]
         own, back = np.unique(rows, return_inverse=True)
         g = np.zeros((len(own), WIDTH), np.float32)
         np.add.at(g, back, np.repeat(dword / n[used][:, None], n[used], axis=0))
-        emb_m[own], emb_v[own] = 0.8 * emb_m[own] + 0.2 * g, 0.95 * emb_v[own] + 0.05 * g * g
-        model.w["emb"][own] -= lr * emb_m[own] / (np.sqrt(emb_v[own]) + 1e-8)
+        self.touched[own] = True
+        m, v = self.emb_m, self.emb_v
+        m[own], v[own] = 0.8 * m[own] + 0.2 * g, 0.95 * v[own] + 0.05 * g * g
+        model.w["emb"][own] -= lr * m[own] / (np.sqrt(v[own]) + 1e-8)
+
+    def changes(self, task: int) -> pa.RecordBatch:
+        """(chunk, task, windows, ids, change): embeddings by chunk, those touched only; all else as chunk -1."""
+        w, rows = self.model.w, []
+        dense = np.concatenate([(w[k] - self.start[k]).ravel() for k in sorted(w) if k != "emb"])
+        rows.append((-1, task, self.windows, b"", dense.astype("<f4").tobytes()))
+        own = np.flatnonzero(self.touched)
+        for ids in np.split(own, np.flatnonzero(np.diff(own // CHUNK)) + 1) if len(own) else []:
+            rows.append((int(ids[0]) // CHUNK, task, self.windows, ids.astype("<i4").tobytes(), (w["emb"][ids] - self.start["emb"][ids]).astype("<f4").tobytes()))
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["chunk", "task", "windows", "ids", "change"])
+
+
+CHANGES = "chunk int, task int, windows long, ids binary, change binary"
+
+
+def _averaged(table: pa.Table) -> pa.Table:
+    """The mean change of a chunk, weighted by windows; of an embedding, over the tasks that met it."""
+    rows = sorted(table.to_pylist(), key=lambda r: r["task"])
+    if rows[0]["chunk"] < 0:
+        total = sum(np.frombuffer(r["change"], "<f4").astype(float) * r["windows"] for r in rows) / sum(r["windows"] for r in rows)
+        ids = np.zeros(0, np.int64)
+    else:
+        base = rows[0]["chunk"] * CHUNK
+        change, weight = np.zeros((CHUNK, WIDTH)), np.zeros(CHUNK)
+        for r in rows:
+            own = np.frombuffer(r["ids"], "<i4") - base
+            change[own] += np.frombuffer(r["change"], "<f4").reshape(-1, WIDTH) * float(r["windows"])
+            weight[own] += r["windows"]
+        ids = np.flatnonzero(weight)
+        total = change[ids] / weight[ids, None]
+        ids = ids + base
+    out = [[rows[0]["chunk"]], [0], [0], [ids.astype("<i4").tobytes()], [total.astype("<f4").tobytes()]]
+    return pa.table([pa.array(c, t) for c, t in zip(out, (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["chunk", "task", "windows", "ids", "change"])
+
+
+def train(docs: DataFrame, klass: np.ndarray, windows: int, steps: int = STEPS, rate: float = 0.01, rounds: int = ROUNDS) -> Attention:
+    """The layer, from all training rows (doc_id, text, ..); windows: about how many these have.
+
+    A corpus of less than `steps` steps is passed over by one task until it has made so many; a larger one is read
+    once, each text in the round that its hash decides, by as many tasks as have `steps` steps each to make."""
+    model = Attention.fresh()
+    tasks = min(max(1, windows // (steps * BATCH)), docs.rdd.getNumPartitions())
+    passes = max(1, -(-steps * BATCH // max(1, windows)))
+    rounds = rounds if tasks > 1 else 1
+    expected = max(1, passes * windows // (BATCH * tasks * rounds))
+    for nth in range(rounds):
+        part = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds)) == nth).coalesce(tasks)
+        shared = docs.sparkSession.sparkContext.broadcast((model.w, klass))  # size set by the vocabulary and the layer
+
+        def run(batches: Iterator[pa.RecordBatch], nth=nth, shared=shared) -> Iterator[pa.RecordBatch]:
+            task = TaskContext.get().partitionId()
+            weights, own_klass = shared.value
+            decayed = lambda step: rate * min(1, step / 50) * (1 - 0.9 * min(1, (nth + step / expected) / rounds))
+            learner = Learner(weights, own_klass, decayed, 1000 * task + nth)
+            found = (s for _, _, _, s in _blocks(batches))
+            for s in found if passes == 1 else list(found) * passes:
+                learner.learn(s)
+            if learner.windows:
+                yield learner.changes(task)
+
+        for r in part.mapInArrow(run, CHANGES).groupBy("chunk").applyInArrow(_averaged, CHANGES).collect():
+            change, at = np.frombuffer(r["change"], "<f4"), 0
+            if r["chunk"] >= 0:
+                model.w["emb"][np.frombuffer(r["ids"], "<i4")] += change.reshape(-1, WIDTH)
+                continue
+            for k in sorted(k for k in model.w if k != "emb"):
+                model.w[k] = model.w[k] + change[at : at + model.w[k].size].reshape(model.w[k].shape)
+                at += model.w[k].size
+        shared.destroy()
     return model
 
 
-def fit(docs: DataFrame, speller: Speller, sample: int = SAMPLE, steps: int = STEPS) -> Attention:
-    """The layer, from the `sample` first training rows (doc_id, text) by a hash of their doc_id, SAMPLE_WORDS words of
-    each."""
-    chosen = docs.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).distinct()
-    rows = docs.join(F.broadcast(chosen), "doc_id")
-
-    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, a, b, s in _blocks(batches):
-            words, at, n = s.words, s.begin[s.which], s.n[s.which]
-            names, out, sizes = [], [], []
-            for row in range(b - a):
-                x, y = int(words.first[row]), int(words.first[row + 1])
-                doc = batch.column(0)[a + row].as_py()
-                x += int(mix(np.array([doc or 0], np.int64).view(np.uint64))[0] % np.uint64(max(1, y - x - SAMPLE_WORDS)))
-                y = min(y, x + SAMPLE_WORDS)
-                names.append(doc)
-                out.append(s.flat[ragged(at[x:y], n[x:y])].astype("<u2").tobytes())
-                sizes.append(n[x:y].astype("<u2").tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(out, pa.binary()), pa.array(sizes, pa.binary())], names=["doc_id", "ids", "n"])
-
-    found = sorted(rows.mapInArrow(spell, "doc_id long, ids binary, n binary").collect(), key=lambda r: (r["doc_id"] or 0, r["ids"]))
-    texts = [(np.frombuffer(r["ids"], "<u2").astype(np.int64), np.frombuffer(r["n"], "<u2").astype(np.int64)) for r in found]
-    return train(texts, speller, steps)
-
-
 def model_scores(s: Spelled, model: Attention, speller: Speller) -> np.ndarray:
     """log10 probability of every row's first subwords, of its words and its end; spellings not included."""
     words = s.words
@@ -441,7 +501,7 @@ def lm_scores(docs: DataFrame, train_where=None, steps: int = STEPS) -> DataFram
     train_docs = docs.where("train").count()
     train_tokens, distinct = (totals[0] or 0) + train_docs, totals[1] + (1 if train_docs else 0)
     speller = Speller(first_counts(words, train_docs))
-    model = fit(docs.where("train").select("doc_id", "text"), speller, steps=steps)
+    model = train(docs.where("train"), speller.klass, train_tokens // CONTEXT + train_docs // 2, steps)
     shared = docs.sparkSession.sparkContext.broadcast((model.w, speller))  # size set by the vocabulary and the layer
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

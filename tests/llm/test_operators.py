@@ -207,6 +207,17 @@ def test_lm_spellings_use_every_triple(spark):
     assert all(math.isclose(got[w], sum(math.log10(p(*t)) for t in triples(ids[w])), rel_tol=1e-9) for w in ids)
 
 
+def test_lm_layer_learns_from_whole_texts_and_all_of_them(spark):
+    texts = ["the of " * 3000 + "zebra the"] + ["the of"] * 2000 + ["xylophone the"]
+    docs = spark.createDataFrame([(i, t, True) for i, t in enumerate(texts)], "doc_id long, text string, train boolean").repartition(4)
+    words = lm_scoring.spellings(docs)
+    speller = lm_scoring.Speller(lm_scoring.first_counts(words, len(texts)))
+    met = sorted({i for r in words.collect() for i in np.frombuffer(r.ids, "<u2").tolist()})
+    model = lm_scoring.train(docs, speller.klass, 2200, steps=10, rounds=2)
+    fresh, now = lm_scoring.Attention.fresh().w["emb"], model.w["emb"]
+    assert len(met) > 3 and all((fresh[i] != now[i]).any() for i in met)
+
+
 def test_lm_repeated_rows_are_scored_alike(spark):
     rows = [(1, "some words here"), (1, "some words here"), (1, "other text"), (None, "some words here"), (2, "some words here")]
     got = lm_scoring.lm_scores(spark.createDataFrame(rows, "doc_id long, text string"), steps=5).collect()
