@@ -66,6 +66,9 @@ def _is_out(tag: str, attrs: dict[str, str], in_label: bool) -> bool:
     names = [*attrs.get("class", "").split(), *attrs.get("id", "").split()]
     if tag == "header" or any(OUT_HEADER.match(n) for n in names):
         return not in_label
+    if in_label:
+        # Ids name an article's own sections and headings ("related-work"); only a container's class tells what it is.
+        names = attrs.get("class", "").split() if tag in PLAIN else []
     return tag not in LABEL and tag not in ("body", "html") and any(OUT_NAMES.search(n) for n in names)
 
 

@@ -159,6 +159,13 @@ def test_html_text(spark):
     assert html_text.extract(pages.limit(0), {}).count() == 0
 
 
+def test_html_text_keeps_an_articles_own_sections(spark):
+    page = """<body><article><h1 id="search-methods">Search methods of note</h1><section id="related-work"><p>Earlier work on this.</p></section>
+<div class="share-bar">Tell your friends</div><p class="intro">Closing words of the piece.</p></article></body>"""
+    text = html_text.main_text(page, {})
+    assert "Search methods of note" in text and "Earlier work on this." in text and "Closing words" in text and "friends" not in text
+
+
 def test_lm_scores_base_and_model(spark):
     rng = random.Random(5)
     texts = [" ".join(rng.choice(["the", "of", "And", "tion", "qué", "zu"]) for _ in range(rng.randrange(0, 60))) for _ in range(60)] + [None, "", "neverseen words", "x " * 3000]
