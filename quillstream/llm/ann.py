@@ -150,8 +150,11 @@ def probed_lists(queries: DataFrame, graph: CentroidGraph, probes: int, prune: f
             x = np.c_[x, np.zeros(len(x))]
             rows, lists = [], []
             for i, q in enumerate(x):
-                found, d = graph.search(q, probes)
-                found = found[np.sqrt(d) <= np.sqrt(d[0]) * prune]
+                if probes >= len(graph.c) and np.isinf(prune):
+                    found = np.arange(len(graph.c))
+                else:
+                    found, d = graph.search(q, probes)
+                    found = found[np.sqrt(d) <= np.sqrt(d[0]) * prune]
                 rows += [i] * len(found)
                 lists += found.tolist()
             picked = pa.array(rows, pa.int64())
@@ -197,18 +200,29 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, probes: int = P
     lists = written(posting_lists(vectors, graph, bound), "posting-lists")
     # At most CENTROIDS rows: how many parts each list is dealt over.
     sizes = {r["list"]: -(-r["n"] // (4 * LIST)) for r in lists.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect()}
-    # A query with fewer than k candidates in its lists reads every list.
     parts = F.coalesce(F.create_map(*[F.lit(int(x)) for pair in sizes.items() for x in pair])[F.col("list")], F.lit(1)) if sizes else F.lit(1)
     rows = lists.withColumn("part", F.pmod(F.xxhash64("vec_id"), parts).cast("int"))
-    small = sum(sizes.values()) <= 4
-    asked = probed_lists(queries, graph, len(graph.c) if small else probes, np.inf if small else prune)
-    asked = asked.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
 
     def run(key, a: pa.Table, b: pa.Table) -> pa.Table:
         return best_of_lists(key, a, b, k)
 
-    found = asked.groupBy("list", "part").cogroup(rows.groupBy("list", "part")).applyInArrow(run, "query_id long, vec_id long, score double")
-    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    def search(asking: DataFrame, probes: int, prune: float) -> DataFrame:
+        asked = probed_lists(asking, graph, probes, prune).withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
+        hits = asked.groupBy("list", "part").cogroup(rows.groupBy("list", "part")).applyInArrow(run, "query_id long, vec_id long, score double")
+        return written(hits.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")), "hits")
+
+    found, read_all = search(queries, probes, prune), False
+    while True:
+        # Queries with fewer than k hits read further lists, none pruned, until they have k or have read all.
+        enough = found.groupBy("query_id").agg(F.count_distinct("vec_id").alias("n")).where(F.col("n") >= k)
+        short = written(queries.join(enough.select(F.col("query_id").alias("vec_id")), "vec_id", "left_anti").select("vec_id", "vector"), "short")
+        if short.isEmpty():
+            break
+        if read_all:
+            break
+        read_all, prune = probes >= len(graph.c), np.inf
+        found = written(found.unionByName(search(short, probes, prune)).groupBy("query_id", "vec_id").agg(F.max("score").alias("score")), "found")
+        probes *= 8
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

@@ -275,6 +275,17 @@ def test_ann_recall(spark, n):
     assert ann.nearest(vectors.limit(0), vectors, k=3).count() == 0
 
 
+def test_ann_gives_k_hits_to_outliers_and_duplicates(spark, monkeypatch):
+    """Lists that hold fewer than k vectors: those near a query are not all that it gets."""
+    monkeypatch.setattr(ann, "LIST", 20)
+    monkeypatch.setattr(ann.build, "__defaults__", (ann.SAMPLE, 20))
+    rng = np.random.default_rng(8)
+    x = np.r_[rng.normal(size=(400, 6)) + 5, np.tile([[-90.0, 0, 0, 0, 0, 0]], (3, 1)), [[0, 0, -70.0, 0, 0, 0]]].round(3)
+    vectors = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(x)], "vec_id long, vector array<double>").repartition(4)
+    got = ann.nearest(vectors, vectors.where("vec_id >= 395"), k=10, probes=1, prune=1.0).groupBy("query_id").count().collect()
+    assert {r.query_id: r["count"] for r in got} == {i: 10 for i in range(395, len(x))}
+
+
 def test_warc_round_trip(spark, tmp_path):
     long = "<p>" + "payload é " * 30
     pages = spark.createDataFrame([(5, "http://x/ a", long, 1), (2, "u", long, 1), (9, None, long, 1), (7, "u", "short", 1), (8, "u", "short", 1), (3, "u", None, 1), (4, "u", "x" * 300000, 1), (4, "u", "x" * 300000, 1)], "page_id long, url string, html string, records int")
