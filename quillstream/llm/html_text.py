@@ -1,10 +1,12 @@
 """Main text of web pages by a maximum-scoring subsequence.
 
-A page is read once into blocks of text, each with the elements it stands in. A block scores its words times a learned
-weight, and the tags before it count against it; Kadane's scan finds the contiguous run of blocks with the largest
-sum. The weights are log odds of element names, classes and ids, learned on a bounded sample of pages whose markup
-labels their content (an article or main element). Blocks of the run that stand in a menu, header, footer, sidebar,
-notice, advert, form or comment section are left out.
+A page is read once into blocks of text, each with the elements it stands in and the tags since the block before. Words
+and tags are tokens with a score each: the log odds that the token is inside the content, counted on a bounded
+sample of pages whose markup labels their content (an article or main element). A word's odds are the mean over the
+element names, classes and ids that it stands in, a tag's those of its name. A linear scan finds the contiguous run of
+blocks with the largest sum. Blocks of the run that stand in a menu, header, footer, sidebar, notice, advert, form or
+comment section are left out: by HTML's own elements and roles, by common class names of such parts, and by classes that
+the labelled pages have outside their content alone.
 """
 
 from __future__ import annotations
@@ -20,18 +22,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SAMPLE = 2_000  # most pages that the weights are learned from
-TAG_COST = 0.3
+#: Tokens that count as seen on every page before any is: text is mostly words, what surrounds it mostly tags.
+PRIOR = {"inside": (60.0, 24.0), "outside": (20.0, 30.0)}
+MOST, SMOOTH = 3.0, 6.0  # largest weight of a token, either way; tokens on either side beside those of a name
+ALONE = 20  # words that a class must have outside the content, with none inside, to be left out
 
 _MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?>[^>"']|"[^"]*"|'[^']*')*)>|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^<>]*(?:>|\Z)""", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""")
-RAW = {"script", "style", "noscript", "template", "textarea", "svg", "iframe", "title", "math", "object", "canvas", "audio", "video", "select"}
+RAW = {"script", "style", "template", "textarea", "iframe", "title", "select"}
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = set(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 LABEL = {"article", "main"}
-PLAIN = set("html body div section ul ol li dl dt dd table tbody thead tr td th center blockquote pre figure figcaption".split())
+PLAIN = set("div section span a ul ol li dl dt dd table tbody thead tr td th center blockquote pre figure figcaption".split())
 #: Elements that are never content, roles and first parts of class or id names of such.
 OUT_TAGS = {"nav", "aside", "footer", "form", "button", "menu", "dialog", "fieldset"}
 OUT_ROLES = {"navigation", "banner", "contentinfo", "search", "complementary", "dialog", "alert", "alertdialog", "menu", "menubar", "form", "note", "status"}
@@ -47,7 +52,7 @@ OUT_HEADER = re.compile(r"^(?:(?:site|page|top|main|global|blog)[-_]?)?header$",
 class Block:
     __slots__ = ("text", "features", "out", "inside", "tags")
 
-    def __init__(self, text: str, features: frozenset, out: bool, inside: bool, tags: int):
+    def __init__(self, text: str, features: frozenset, out: bool, inside: bool, tags: list[str]):
         self.text, self.features, self.out, self.inside, self.tags = text, features, out, inside, tags
 
 
@@ -74,12 +79,12 @@ def _is_out(tag: str, attrs: dict[str, str], in_label: bool) -> bool:
 
 def blocks_of(page: str) -> list[Block]:
     """Blocks of a page in order: text, what it stands in, whether that is no content, whether it is inside an article
-    or main element, and the tags since the block before."""
+    or main element, and the names of the tags since the block before."""
     out: list[Block] = []
     # Open elements: (name, features so far, out, inside a labelled element).
     stack: list[tuple[str, frozenset, bool, bool]] = [("", frozenset(), False, False)]
     parts: list[str] = []
-    place, tags = 0, 0
+    place, tags = 0, []
     holder = stack[0]
 
     def close() -> None:
@@ -89,7 +94,7 @@ def blocks_of(page: str) -> list[Block]:
         if text:
             name, features, is_out, inside = holder
             out.append(Block(text, features, is_out, inside, tags))
-            tags = 0
+            tags = []
 
     for m in iter(lambda: _MARKUP.search(page, place), None):
         if m.start() > place:
@@ -101,7 +106,7 @@ def blocks_of(page: str) -> list[Block]:
         if name is None:
             continue
         name = name.lower()
-        tags += 1
+        tags.append(name)
         if name in RAW:
             if not m["end"] and not m["attrs"].endswith("/"):
                 stop = re.compile(rf"</{re.escape(name)}\s*[^>]*>", re.I).search(page, place)
@@ -141,7 +146,7 @@ def blocks_of(page: str) -> list[Block]:
         _, features, is_out, inside = stack[-1]
         attrs = _attributes(m["attrs"]) if m["attrs"] else {}
         own = {name} | {f".{c.lower()}" for c in attrs.get("class", "").split()} | ({f"#{attrs['id'].lower()}"} if attrs.get("id") else set())
-        stack.append((name, features if name in LABEL else features | own, is_out or _is_out(name, attrs, inside), inside or name in LABEL))
+        stack.append((name, features | own, is_out or _is_out(name, attrs, inside), inside or name in LABEL))
     if place < len(page):
         if not parts:
             holder = stack[-1]
@@ -150,17 +155,30 @@ def blocks_of(page: str) -> list[Block]:
     return out
 
 
-def region(blocks: list[Block], weights: dict[str, float]) -> tuple[int, int]:
-    """Ends of the run of blocks with the largest score; the first and shortest of equals."""
-    labelled = any(b.inside for b in blocks)
-    best, begin, total, start = (0.0, 0, 0), 0, 0.0, 0
-    for i, b in enumerate(blocks):
-        # Words are worth one each, changed by what their block stands in.
-        w = 1.0 + sum(weights.get(f, 0.0) for f in b.features) / max(1, len(b.features))
-        w += (3.0 if b.inside else -3.0) if labelled else 0.0
-        if b.out:
-            w = -0.05 if b.inside else min(w, -0.2)
-        score = (1 + b.text.count(" ")) * w - TAG_COST * min(b.tags, 8)
+class Weights:
+    """Scores of tokens: of words by the names they stand in, of tags by their name; and classes that are no content."""
+
+    def __init__(self, words: dict[str, float], tags: dict[str, float], word: float, tag: float, alone: frozenset = frozenset()):
+        self.words, self.tags, self.word, self.tag, self.alone = words, tags, word, tag, alone
+
+    def of(self, b: Block) -> float:
+        """Score of a block with the tags before it. Words left out never count for the run, and inside labelled
+        content not against it either."""
+        known = [self.words[f] for f in b.features if f in self.words]
+        w = sum(known) / len(known) if known else self.word
+        if self.is_out(b):
+            w = 0.0 if b.inside else min(w, -0.2)
+        return (1 + b.text.count(" ")) * w + sum(self.tags.get(t, self.tag) for t in b.tags)
+
+    def is_out(self, b: Block) -> bool:
+        return b.out or not self.alone.isdisjoint(b.features)
+
+
+def best_run(scores: list[float]) -> tuple[int, int]:
+    """Ends of the contiguous run with the largest sum, the first and shortest of equals; an empty run where no sum is
+    above 0."""
+    best, total, start = (0.0, 0, 0), 0.0, 0
+    for i, score in enumerate(scores):
         if total <= 0:
             total, start = 0.0, i
         total += score
@@ -169,14 +187,52 @@ def region(blocks: list[Block], weights: dict[str, float]) -> tuple[int, int]:
     return best[1], best[2]
 
 
-def main_text(page: str | None, weights: dict[str, float]) -> str:
+def main_text(page: str | None, weights: Weights) -> str:
     blocks = blocks_of(page or "")
-    a, b = region(blocks, weights)
-    return "\n".join(x.text for x in blocks[a:b] if not x.out)
-
-
-def fit(pages: DataFrame, sample: int = SAMPLE) -> dict[str, float]:
-    """Weights from the `sample` first pages by a hash of their page_id; none from pages without labelled markup."""
+    a, b = best_run([weights.of(x) for x in blocks])
+    return "\n\n".join(x.text for x in blocks[a:b] if not weights.is_out(x))
+
+
+def token_counts(page: str) -> tuple[Counter, Counter]:
+    """Tokens of a labelled page, (inside, outside) its content: words as the names they stand in, tags as <name>, and
+    all words as "". None of a page without a labelled element."""
+    inside, outside = Counter(), Counter()
+    blocks = blocks_of(page)
+    if any(b.inside for b in blocks):
+        for b in blocks:
+            own = inside if b.inside and not b.out else outside
+            n = 1 + b.text.count(" ")
+            for f in b.features:
+                own[f] += n
+            own[""] += n
+            for t in b.tags:
+                own[f"<{t}>"] += 1
+    return inside, outside
+
+
+def log_odds(counts: dict[str, tuple[int, int]]) -> Weights:
+    """Weights from (inside, outside) counts of each token, as token_counts names them."""
+    (words_in, tags_in), (words_out, tags_out) = PRIOR["inside"], PRIOR["outside"]
+    word = counts.get("", (0, 0))
+    tag = [sum(n[k] for t, n in counts.items() if t.startswith("<")) for k in (0, 1)]
+    plain_word = max(0.0, math.log((word[0] + words_in) / (word[1] + words_out)))
+    plain_tag = min(0.0, math.log((tag[0] + tags_in) / (tag[1] + tags_out)))
+
+    def weight(name: str, x: int, y: int) -> float:
+        # Some tokens on both sides stand beside a name's own; plain containers occur in menus and articles alike.
+        most = 1.0 if name in PLAIN else MOST
+        return max(-most, min(most, math.log((x + SMOOTH) / (y + SMOOTH))))
+
+    words = {f: weight(f, x, y) for f, (x, y) in counts.items() if f and not f.startswith("<")}
+    # Tags speak against content: what a page's text is made of are words.
+    tags = {t[1:-1]: min(0.0, weight(t[1:-1], x, y)) for t, (x, y) in counts.items() if t.startswith("<")}
+    words |= {f: MOST for f in LABEL}  # they are the content by what they mean
+    alone = frozenset(f for f, (x, y) in counts.items() if f.startswith(".") and x == 0 and y >= ALONE)
+    return Weights(words, tags, plain_word, plain_tag, alone)
+
+
+def fit(pages: DataFrame, sample: int = SAMPLE) -> Weights:
+    """Weights from the `sample` first pages by a hash of their page_id; the prior's where no page is labelled."""
     rows = pages.select("page_id", "html").where("html is not null")
     chosen = rows.select("page_id").orderBy(F.xxhash64("page_id"), "page_id").limit(sample).distinct()
     found = rows.join(F.broadcast(chosen), "page_id")
@@ -185,34 +241,24 @@ def fit(pages: DataFrame, sample: int = SAMPLE) -> dict[str, float]:
         for batch in batches:
             inside, outside = Counter(), Counter()
             for page in batch.column(1).to_pylist():
-                blocks = blocks_of(page)
-                if any(b.inside for b in blocks):
-                    for b in blocks:
-                        for f in b.features:
-                            (inside if b.inside and not b.out else outside)[f] += 1 + b.text.count(" ")
+                own = token_counts(page)
+                inside.update(own[0])
+                outside.update(own[1])
             keys = list(inside | outside)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array([inside[k] for k in keys], pa.int64()), pa.array([outside[k] for k in keys], pa.int64())], names=["feature", "a", "b"])
-
-    # Element names, classes and ids of at most `sample` pages; those of a single page are left out.
-    counted = found.mapInArrow(count, "feature string, a long, b long").groupBy("feature").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-    table = counted.orderBy(F.desc(F.col("a") + F.col("b")), "feature").limit(10_000).collect()
-    return log_odds({r["feature"]: (r["a"], r["b"]) for r in table})
-
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array([inside[k] for k in keys], pa.int64()), pa.array([outside[k] for k in keys], pa.int64())], names=["token", "a", "b"])
 
-def log_odds(counts: dict[str, tuple[int, int]]) -> dict[str, float]:
-    """Log odds of each element name, class and id to hold content, per word. Plain containers and lists occur in
-    menus and articles alike, so that their names count for at most 1."""
-    a, b = sum(x for x, _ in counts.values()) + 1, sum(y for _, y in counts.values()) + 1
-    most = {f: 1.0 if f in PLAIN else 3.0 for f in counts}
-    return {f: max(-most[f], min(most[f], math.log((x + 5) / a) - math.log((y + 5) / b))) for f, (x, y) in counts.items()}
+    # Names of elements, classes and ids of at most `sample` pages.
+    counted = found.mapInArrow(count, "token string, a long, b long").groupBy("token").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    return log_odds({r["token"]: (r["a"], r["b"]) for r in counted.collect()})
 
 
-def extract(pages: DataFrame, weights: dict[str, float]) -> DataFrame:
+def extract(pages: DataFrame, weights: Weights) -> DataFrame:
     """page_id, url, text, n_chars of every page, from its whole html.
 
     Null or empty html and pages without content give an empty text. Character references are decoded, white space
-    inside a block becomes one space, blocks are joined by a line feed. Very long pages are read whole; repeated rows
-    give repeated rows; an empty table none; columns other than page_id, url and html are not read.
+    inside a block becomes one space, blocks are joined by two line feeds. Of runs with equal scores the first and
+    shortest is taken. Very long pages are read whole; repeated rows give repeated rows; an empty table none; columns
+    other than page_id, url and html are not read.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -153,19 +153,42 @@ PAGE = """<!DOCTYPE html><html><head><title>no</title><style>p{}</style></head><
 def test_html_text(spark):
     pages = spark.createDataFrame([(1, "u", PAGE, 1), (2, None, None, 1), (3, "u", "", 1), (4, "u", "<p>only words, no markup of note</p>", 1), (4, "u", "<p>only words, no markup of note</p>", 1), (5, "u", "<p>cut <b", 1)], "page_id long, url string, html string, text int")
     got = [(r.page_id, r.text, r.n_chars) for r in html_text.extract(pages, html_text.fit(pages)).collect()]
-    want = "Title & more\nFirst para has words.\nSecond <one> is here.\nA point of the list"
+    want = "Title & more\n\nFirst para has words.\n\nSecond <one> is here.\n\nA point of the list"
     assert dict((a, b) for a, b, _ in got) == {1: want, 2: "", 3: "", 4: "only words, no markup of note", 5: "cut"} and len(got) == 6
     assert all(n == len(t) for _, t, n in got)
-    assert html_text.extract(pages.limit(0), {}).count() == 0
+    assert html_text.extract(pages.limit(0), html_text.log_odds({})).count() == 0
 
 
 def test_html_text_keeps_an_articles_own_sections(spark):
     page = """<body><article><h1 id="search-methods">Search methods of note</h1><section id="related-work"><p>Earlier work on this.</p></section>
 <div class="share-bar">Tell your friends</div><p class="intro">Closing words of the piece.</p></article></body>"""
-    text = html_text.main_text(page, {})
+    text = html_text.main_text(page, html_text.log_odds({}))
     assert "Search methods of note" in text and "Earlier work on this." in text and "Closing words" in text and "friends" not in text
 
 
+def test_html_text_best_run_is_the_maximum_sum():
+    rng = random.Random(3)
+    for _ in range(300):
+        scores = [rng.choice([-3.5, -1.0, -0.25, 0.0, 0.5, 2.0, 4.25]) for _ in range(rng.randrange(0, 12))]
+        runs = [(sum(scores[a:b]), -a, -b) for a in range(len(scores)) for b in range(a + 1, len(scores) + 1)]
+        best = max(runs, default=(0.0, 0, 0))
+        a, b = html_text.best_run(scores)
+        assert sum(scores[a:b]) == max(best[0], 0.0)
+        if best[0] > 0:
+            assert (-a, -b) in [r[1:] for r in runs if r[0] == best[0]]
+
+
+def test_html_text_learned_weights_decide(spark):
+    """Boxes whose class says nothing are left out where labelled pages have them outside their content; also on pages
+    without an article element, and on a very long one."""
+    page = lambda tag, n: f"<body><div class='zq7'>{'box words ' * 15}</div><{tag}><h1>Head line</h1>{'<p>Some words of the piece.</p>' * n}</{tag}><div class='zq7'>{'box words ' * 15}</div></body>"
+    pages = spark.createDataFrame([(i, "u", page("article", 4)) for i in range(20)] + [(90, "u", page("section", 4)), (91, "u", page("article", 20_000))], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_text.extract(pages, html_text.fit(pages)).collect()}
+    want = lambda n: "\n\n".join(["Head line", *["Some words of the piece."] * n])
+    assert got[0] == got[90] == want(4) and got[91] == want(20_000)
+    assert "box words" in html_text.main_text(page("section", 4), html_text.log_odds({}))
+
+
 def test_lm_scores_base_and_model(spark):
     rng = random.Random(5)
     texts = [" ".join(rng.choice(["the", "of", "And", "tion", "qué", "zu"]) for _ in range(rng.randrange(0, 60))) for _ in range(60)] + [None, "", "neverseen words", "x " * 3000]
