@@ -10,6 +10,7 @@ counts per (length, salt), so a length that a third of all pieces share is numbe
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -50,6 +51,22 @@ def chunk_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(begin[:-1])
 
 
+#: The vocabulary's one added token: where a text holds it, tokenizers gives its id, and tokenises what is before and
+#: behind it apart.
+ADDED, ADDED_ID = "<|endoftext|>", 50256
+_ADDED = re.compile(re.escape(ADDED.encode()))
+
+
+def isolate_added(data: np.ndarray, offsets: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """starts, with each occurrence of the added token a chunk of its own."""
+    found = [m.span() for m in _ADDED.finditer(data.tobytes())]
+    row = np.searchsorted(offsets, [a for a, _ in found], "right")
+    for (a, b), r in zip(found, row.tolist(), strict=True):
+        if b <= offsets[r]:  # not across two texts
+            starts = np.r_[starts[starts < a], a, [b] if b < len(data) else np.zeros(0, int), starts[starts > b]].astype(np.int64)
+    return starts
+
+
 _caches: dict[tuple, PieceCache] = {}
 
 
@@ -62,13 +79,13 @@ def bpe_cache(vocabulary: str) -> PieceCache:
         with open(public_tokenizers.path(vocabulary)) as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(str.split, lines)}
         model = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        _caches["bpe", vocabulary] = PieceCache(lambda texts: flattened([model.encode_ordinary(t) for t in texts]))
+        _caches["bpe", vocabulary] = PieceCache(lambda texts: flattened([[ADDED_ID] if t == ADDED else model.encode_ordinary(t) for t in texts]))
     return _caches["bpe", vocabulary]
 
 
 def token_ids(data: np.ndarray, offsets: np.ndarray, cache: PieceCache) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all rows, offsets of each row in them)."""
-    starts = chunk_starts(data, offsets)
+    starts = isolate_added(data, offsets, chunk_starts(data, offsets))
     ends = np.r_[starts[1:], len(data)].astype(np.int64)
     raw = data.tobytes()
     at, n, _ = cache.look_up(spans_hash(_RANDOM[data], starts, ends), lambda i: raw[starts[i] : ends[i]].decode())
@@ -181,8 +198,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY, **kind) -> DataFrame:
     """Pieces of all documents with their sequence and offset.
 
-    Null or empty text: one piece of the end id. Very long texts: cut. Repeated rows: packed once each. An empty table
-    gives no rows; columns other than doc_id and text are not read.
+    Null or empty text: one piece of the end id. Very long texts: cut. Repeated rows: packed once each, as are rows that
+    share a doc_id or have none (null stays null). Pieces of one length may stand for each other: which of them takes
+    which place follows doc_id and piece. An empty table gives no rows; columns other than doc_id and text are not read.
     """
     return pack(written(tokenised_pieces(docs, capacity, **kind), "pieces"), capacity)
 

@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillstream.llm.stage import partitions, to_buckets
@@ -29,12 +29,14 @@ from quillstream.llm.textcore import Words, blocks, ragged
 
 WINDOW, SEED = 35, 12
 FLUSH = 1 << 21
-PACKED = "bucket int, keys binary, seen binary, docs binary, places binary, doc_id long"
-REPEATED = "doc_id long, places binary"
+PACKED = "bucket int, keys binary, seen binary, docs binary, places binary, row long"
+REPEATED = "row long, places binary"
 
 
-def _doc_ids(batch: pa.RecordBatch) -> np.ndarray:
-    return batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+def row_key() -> Column:
+    """What tells rows apart: a hash of doc_id, which may be null or shared, and text. Rows that agree in both are copies
+    of each other and lose the same words."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")))
 
 
 def anchors(words: Words, hashes: np.ndarray, window: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -62,7 +64,7 @@ def anchors(words: Words, hashes: np.ndarray, window: int, seed: int) -> tuple[n
 
 
 def _flags(bucketed: DataFrame) -> DataFrame:
-    """(doc_id, places) of the keys seen more than once, in several rows a document; rows without keys are settled."""
+    """(row, places) of the keys seen more than once, in several rows a document; rows without keys are settled."""
 
     def repeated(table: pa.Table) -> pa.Table:
         def column(name, dtype):
@@ -76,7 +78,7 @@ def _flags(bucketed: DataFrame) -> DataFrame:
         hit = np.empty(len(keys), bool)
         hit[order] = same[1:] | same[:-1]
         hit &= seen == 1  # what a task has seen more than once, it has settled itself
-        settled = table.filter(pa.compute.is_null(table.column("keys"))).select(["doc_id", "places"])
+        settled = table.filter(pa.compute.is_null(table.column("keys"))).select(["row", "places"])
         return pa.concat_tables([grouped(docs[hit], places[hit]), settled])
 
     return bucketed.groupBy("bucket").applyInArrow(repeated, REPEATED)
@@ -88,12 +90,12 @@ def grouped(docs: np.ndarray, places: np.ndarray) -> pa.Table:
     first = np.flatnonzero(np.r_[True, docs[1:] != docs[:-1]]) if len(docs) else np.zeros(0, np.int64)
     ends = np.append(first, len(docs))[1:]
     rows = [places[a:b].tobytes() for a, b in zip(first, ends, strict=True)]
-    return pa.table({"doc_id": pa.array(docs[first], pa.int64()), "places": pa.array(rows, pa.binary())})
+    return pa.table({"row": pa.array(docs[first], pa.int64()), "places": pa.array(rows, pa.binary())})
 
 
 class _Sender:
     """Gathers (key, doc, place) of a task; sends each key once, with 2 for keys seen more often, and gives those
-    repeated inside the task as (doc_id, places) rows without keys, dealt evenly."""
+    repeated inside the task as (row, places) rows without keys, dealt evenly."""
 
     def __init__(self, buckets: int):
         self.buckets, self.parts, self.n = buckets, [], 0
@@ -122,14 +124,15 @@ class _Sender:
         columns = [pa.array([x[k] for _, x in rows] + none, pa.binary()) for k in range(3)]
         columns.append(pa.array([x[3] for _, x in rows] + own.column(1).to_pylist(), pa.binary()))
         columns.append(pa.array([None] * len(rows) + own.column(0).to_pylist(), pa.int64()))
-        batch = pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), *columns], names=["bucket", "keys", "seen", "docs", "places", "doc_id"])
+        batch = pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), *columns], names=["bucket", "keys", "seen", "docs", "places", "row"])
         for a in range(0, len(batch), 2000):
             yield batch[a : a + 2000]
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFrame:
-    """(doc_id, places) with the first words (int32, little-endian) of all windows of `window` words whose word
-    sequence starts at least twice in docs(doc_id, text); doc_id is a unique long. In several rows a document."""
+    """(row, places) with the first words (int32, little-endian) of all windows of `window` words whose word sequence
+    starts at least twice in docs(row, text); row is a long that rows with another text do not have. In several rows
+    each."""
     spark = docs.sparkSession
     # Windows are dealt by their anchor, so that neighbours come back together: few rows for each document.
     buckets = 64 * partitions(spark)
@@ -137,7 +140,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> D
     def seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sender = _Sender(buckets)
         for batch in batches:
-            ids = _doc_ids(batch)
+            ids = batch.column(0).to_numpy()
             for a, _, data, offsets in blocks(batch, "text"):
                 words = Words(data, offsets)
                 _, anchor, gram_hash = anchors(words, words.hashes(), window, seed)
@@ -146,13 +149,13 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> D
                 yield from sender.add(gram_hash[anchor], ids[a + row], anchor - words.first[row], gram_hash[anchor])
         yield from sender.flush()
 
-    shared = _flags(docs.mapInArrow(seeds, PACKED)).groupBy("doc_id").agg(F.collect_list("places").alias("seeds"))
-    seeded = docs.join(shared.hint("shuffle_hash"), "doc_id")
+    shared = _flags(docs.mapInArrow(seeds, PACKED)).groupBy("row").agg(F.collect_list("places").alias("seeds"))
+    seeded = docs.join(shared.hint("shuffle_hash"), "row")
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sender = _Sender(buckets)
         for batch in batches:
-            ids, lists = _doc_ids(batch), batch.column(2)
+            ids, lists = batch.column(0).to_numpy(), batch.column(2)
             for a, b, data, offsets in blocks(batch, "text"):
                 words = Words(data, offsets)
                 hashes = words.hashes()
@@ -160,14 +163,15 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> D
                 shared_at = np.zeros(len(hashes), bool)
                 for row in range(b - a):
                     for places in lists[a + row].as_py():
-                        shared_at[words.first[row] + np.frombuffer(places, np.int32)] = True
+                        found = words.first[row] + np.frombuffer(places, np.int32)
+                        shared_at[found[found < words.first[row + 1]]] = True
                 at, window_hash = words.windows(hashes, window)
                 keep = shared_at[anchor]
                 row = words.row[at[keep]]
                 yield from sender.add(window_hash[keep], ids[a + row], at[keep] - words.first[row], gram_hash[anchor[keep]])
         yield from sender.flush()
 
-    return _flags(seeded.select("doc_id", "text", "seeds").mapInArrow(extend, PACKED))
+    return _flags(seeded.select("row", "text", "seeds").mapInArrow(extend, PACKED))
 
 
 def covered(n_words: int, places: list[bytes], window: int) -> np.ndarray:
@@ -175,6 +179,7 @@ def covered(n_words: int, places: list[bytes], window: int) -> np.ndarray:
     edge = np.zeros(n_words + 1, np.int64)
     for own in places:
         at = np.frombuffer(own, np.int32)
+        at = at[at + window <= n_words]
         np.add.at(edge, at, 1)
         np.add.at(edge, at + window, -1)
     return np.cumsum(edge)[:-1] > 0
@@ -202,9 +207,10 @@ def _kept_texts(words: Words, gone: np.ndarray, rows: int) -> list[bytes]:
 
 
 def _with_spans(docs: DataFrame, window: int, seed: int) -> DataFrame:
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    spans = repeated_spans(plain, window, seed).groupBy("doc_id").agg(F.collect_list("places").alias("spans"))
-    return docs.join(spans.select(F.col("doc_id").alias("_doc_id"), F.col("spans").alias("_spans")).hint("shuffle_hash"), F.col("doc_id") == F.col("_doc_id"), "left").drop("_doc_id")
+    plain = docs.select(row_key().alias("row"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    spans = repeated_spans(plain, window, seed).groupBy("row").agg(F.collect_list("places").alias("_spans"))
+    keyed = docs.withColumn("_row", row_key())
+    return keyed.join(spans.withColumnRenamed("row", "_row").hint("shuffle_hash"), "_row", "left").drop("_row")
 
 
 def substring_dedup(docs: DataFrame, window: int = WINDOW, seed: int = SEED, with_text: bool = True) -> DataFrame:
@@ -213,8 +219,8 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, seed: int = SEED, wit
     Returns doc_id, n_words, n_removed, kept_sha256 and, with_text, kept_text (the words left, joined by one space).
     Windows are judged on the input. Null and empty texts have no words; texts shorter than a window lose none; very
     long texts are read whole; rows repeated with the same text are copies of each other and lose all their windows.
-    Rows are told apart by doc_id: where several rows share one, their removals add up. A null doc_id keeps its words.
-    An empty table gives no rows; other columns are not read.
+    Rows that share a doc_id, or have none, are told apart by their texts. An empty table gives no rows; other columns
+    are not read. Windows and rows are compared by 64-bit hashes.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + (", kept_text string" if with_text else "")

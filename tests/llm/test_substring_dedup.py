@@ -38,3 +38,18 @@ def test_repeated_rows_and_empty_table(spark):
     docs = spark.createDataFrame([(1, "w " * 50), (1, "w " * 50)], "doc_id long, text string")
     assert [r.n_removed for r in substring_dedup(docs).collect()] == [50, 50]
     assert substring_dedup(docs.limit(0)).count() == 0
+
+
+def test_shared_and_null_doc_ids(spark):
+    """Rows with one doc_id, or none, are judged each by its own text."""
+    rng = random.Random(9)
+    word = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    passage = word(40)
+    texts = [f"{word(30)} {passage}", word(50), f"{passage} {word(5)}", word(36), "short one", f"{word(3)} {passage} {word(3)}"]
+    ids = [1, 1, None, None, 1, 2**60 + 1]
+    docs = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+    want = [(i, *brute(list(enumerate(texts)), 35)[n][:3]) for n, i in enumerate(ids)]
+    got = [(r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup(docs).collect()]
+    key = lambda r: (r[0] or 0, r[1:])
+    assert sorted(got, key=key) == sorted(want, key=key)
+    assert [r[2] for r in want] == [40, 0, 40, 0, 0, 40]
