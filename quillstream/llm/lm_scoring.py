@@ -11,8 +11,9 @@ The layer is trained in rounds: every training text is read whole in one of them
 what they changed is averaged in the cluster, so that only arrays of the model's size reach the driver.
 
 The counts of whole words and of subword triples grow with the corpus: they are tables dealt by hash, none left out, and
-never gathered in one place. Each distinct word's spelling is scored by joins with the triples; every bucket sums up its
-own words' part of each document's base score and spelling.
+never gathered in one place. Each distinct word's spelling is scored by joins with the triples. Words that make up more
+than one in HOT of all words are looked up in a broadcast table of at most HOT rows; the others, which no key can be hot
+among, are dealt by word, looked up in buckets, and dealt back by document: one entry for each document and such word.
 """
 
 from __future__ import annotations
@@ -36,6 +37,7 @@ CLASSES, WIDTH, CONTEXT, OVERLAP = 96, 16, 32, 16
 BATCH, STEPS, ROUNDS = 64, 2_500, 8  # windows of a step; steps that small corpora are passed over for; rounds of large ones
 FLUSH = 1 << 20
 CHUNK = 1_024  # embeddings that are averaged together
+HOT = 250_000  # most words in the broadcast table: those with one in HOT of all occurrences, or more
 
 
 class Spelled:
@@ -46,13 +48,12 @@ class Spelled:
         self.words = words = Words(data, offsets, lower=True)
         self.hashes = words.hashes()
         cache = bpe_cache(VOCABULARY)
-        at, n, self.which = cache.look_up(self.hashes ^ np.uint64(0x5851F42D4C957F2D), lambda i: " " + words.text(i))
-        kinds, one, self.times = np.unique(self.which, return_index=True, return_counts=True)
-        self.n = n[one]
+        _, one, at, self.n, self.which = cache.distinct(self.hashes ^ np.uint64(0x5851F42D4C957F2D), lambda i: " " + words.text(i))
+        self.times = np.bincount(self.which, minlength=len(one))
         self.kind_hashes = self.hashes[one]
-        self.flat = cache.ids[ragged(at[one], self.n)].astype(np.int64)
+        self.flat = cache.ids[ragged(at, self.n)].astype(np.int64)
         self.begin = np.cumsum(self.n) - self.n
-        self.first_id = self.flat[self.begin][self.which] if len(kinds) else np.zeros(0, np.int64)
+        self.first_id = self.flat[self.begin][self.which] if len(one) else np.zeros(0, np.int64)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]):
@@ -72,30 +73,30 @@ def _triples(begin: np.ndarray, n: np.ndarray, flat: np.ndarray) -> np.ndarray:
 
 
 def spellings(docs: DataFrame) -> DataFrame:
-    """(word, ids, n): the hash of every distinct word of docs(doc_id, text, train, ..), its subwords, and how often it
-    occurs in training texts."""
+    """(word, ids, n, n_all): the hash of every distinct word of docs(doc_id, text, train, ..), its subwords, and how often
+    it occurs in training texts and in all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
 
         def merged() -> tuple:
-            key, n, size, flat = (np.concatenate(x) for x in zip(*held, strict=True))
+            key, n, n_all, size, flat = (np.concatenate(x) for x in zip(*held, strict=True))
             own, first, inverse = np.unique(key, return_index=True, return_inverse=True)
-            total = np.bincount(inverse, n, len(own)).astype(np.int64)
-            return own, total, size[first], flat[ragged((np.cumsum(size) - size)[first], size[first])]
+            total, total_all = (np.bincount(inverse, x, len(own)).astype(np.int64) for x in (n, n_all))
+            return own, total, total_all, size[first], flat[ragged((np.cumsum(size) - size)[first], size[first])]
 
         def rows() -> Iterator[pa.RecordBatch]:
-            key, n, size, flat = merged()
+            key, n, n_all, size, flat = merged()
             ends = np.r_[0, np.cumsum(size)]
             for a in range(0, len(key), 100_000):
                 b = min(a + 100_000, len(key))
                 raw = flat[ends[a] : ends[b]].astype("<u2").tobytes()
                 ids = pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer((2 * (ends[a : b + 1] - ends[a])).astype(np.int32).tobytes()), pa.py_buffer(raw)])
-                yield pa.RecordBatch.from_arrays([pa.array(key[a:b].view(np.int64)), ids, pa.array(n[a:b])], names=["word", "ids", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(key[a:b].view(np.int64)), ids, pa.array(n[a:b]), pa.array(n_all[a:b])], names=["word", "ids", "n", "n_all"])
 
         for batch, a, b, s in _blocks(batches):
             learn = batch.column(2)[a:b].to_numpy(zero_copy_only=False).astype(float)
-            held.append((s.kind_hashes, np.bincount(s.which, learn[s.words.row], len(s.n)).astype(np.int64), s.n, s.flat))
+            held.append((s.kind_hashes, np.bincount(s.which, learn[s.words.row], len(s.n)).astype(np.int64), s.times, s.n, s.flat.astype(np.uint16)))
             if sum(len(h[0]) for h in held) > 1_000_000:
                 held[:] = [merged()]
                 if len(held[0][0]) > 500_000:
@@ -104,7 +105,8 @@ def spellings(docs: DataFrame) -> DataFrame:
         if held:
             yield from rows()
 
-    return docs.mapInArrow(run, "word long, ids binary, n long").groupBy("word", "ids").agg(F.sum("n").alias("n"))
+    found = docs.mapInArrow(run, "word long, ids binary, n long, n_all long")
+    return found.groupBy("word", "ids").agg(F.sum("n").alias("n"), F.sum("n_all").alias("n_all"))
 
 
 def _flat_ids(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -161,22 +163,23 @@ def triple_scores(words: DataFrame) -> DataFrame:
             p = (np.maximum(n - 0.75, 0) + (0.75 * kinds + 0.5) * p) / (total + 0.5)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.log10(p))], names=["triple", "score"])
 
-    joined = table.join(three, "context", "left").join(pairs, "pair", "left")
+    joined = table.join(three.hint("merge"), "context", "left").join(pairs.hint("merge"), "pair", "left")
     zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
     return joined.select("triple", "n", zero("total"), zero("kinds"), zero("n_pair")).mapInArrow(score, "triple long, score double")
 
 
 def spelled(words: DataFrame) -> DataFrame:
-    """(word, n, spelling): log10 P(subwords after the first, and the word's end) of every word of spellings()."""
+    """(word, n, n_all, spelling): log10 P(subwords after the first, and the word's end) of every word of spellings()."""
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             begin, n, flat = _flat_ids(batch)
-            word, times = (np.repeat(batch.column(c).to_numpy(), n) for c in ("word", "n"))
-            yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(times), pa.array(_triples(begin, n, flat))], names=["word", "n", "triple"])
+            word, times, times_all = (np.repeat(batch.column(c).to_numpy(), n) for c in ("word", "n", "n_all"))
+            yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(times), pa.array(times_all), pa.array(_triples(begin, n, flat))], names=["word", "n", "n_all", "triple"])
 
-    each = words.mapInArrow(explode, "word long, n long, triple long")
-    return each.join(written(triple_scores(words), "triple-scores"), "triple").groupBy("word", "n").agg(F.sum("score").alias("spelling"))
+    each = written(words.mapInArrow(explode, "word long, n long, n_all long, triple long"), "word-triples")
+    scores = written(triple_scores(words), "triple-scores")
+    return each.join(scores.hint("merge"), "triple").groupBy("word", "n", "n_all").agg(F.sum("score").alias("spelling"))
 
 
 class Speller:
@@ -221,8 +224,11 @@ class Attention:
         z = h + r @ w["B"]
         o = z @ w["out"] + w["bias"]
         o -= o.max(-1, keepdims=True)
-        o -= np.log(np.exp(o).sum(-1, keepdims=True))
-        return o, (x, q, k, v, s, h, r, z)
+        p = np.exp(o)
+        total = p.sum(-1, keepdims=True)
+        p /= total
+        o -= np.log(total)
+        return o, (x, q, k, v, s, h, r, z, p)
 
     def scored(self, x: np.ndarray, window: np.ndarray, place: np.ndarray, target: np.ndarray) -> np.ndarray:
         """log10 probabilities of target classes at some places of windows; the same sums as forward, without what only
@@ -242,9 +248,8 @@ class Attention:
         return (own - np.log(o.sum(-1))) / math.log(10)
 
     def gradients(self, o: np.ndarray, kept: tuple, target: np.ndarray, valid: np.ndarray) -> tuple[dict, np.ndarray]:
-        """(gradients of the parameters, of the inputs) of the mean negative log probability."""
-        w, (x, q, k, v, s, h, r, z) = self.w, kept
-        d = np.exp(o)
+        """(gradients of the parameters, of the inputs) of the mean negative log probability. Uses up what forward kept."""
+        w, (x, q, k, v, s, h, r, z, d) = self.w, kept
         d[np.arange(len(o))[:, None], np.arange(CONTEXT), target] -= 1
         d *= (valid / max(valid.sum(), 1))[:, :, None].astype(np.float32)
         flat = lambda a: a.reshape(-1, a.shape[-1])
@@ -275,6 +280,13 @@ def windows(length: int) -> list[int]:
     return [0, *range(CONTEXT - OVERLAP, max(length - OVERLAP, 0), CONTEXT - OVERLAP)]
 
 
+def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order that sorts values, where each distinct one begins in it)."""
+    order = np.argsort(values, kind="stable")
+    held = values[order]
+    return order, np.flatnonzero(np.r_[True, held[1:] != held[:-1]])
+
+
 class Learner:
     """Adam over the windows of blocks of texts, from some weights; what it changed, in chunks."""
 
@@ -310,7 +322,9 @@ class Learner:
     def _step(self, ids, at, n, given, target, valid) -> None:
         self.step += 1
         model, lr = self.model, self.rate(self.step)
-        used, inverse = np.unique(given, return_inverse=True)
+        order, starts = _runs(given.ravel())
+        used, inverse = given.ravel()[order[starts]], np.empty(given.size, np.int64)
+        inverse[order] = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, given.size)))
         x = model.embedded(at[used], n[used], ids)[inverse.reshape(given.shape)]
         o, kept = model.forward(x)
         grads, dx = model.gradients(o, kept, self.klass[ids[at[target]]], valid)
@@ -319,12 +333,11 @@ class Learner:
             m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
             self.moments[name] = m, v
             model.w[name] = (model.w[name] - lr * (m / (1 - 0.9**self.step)) / (np.sqrt(v / (1 - 0.99**self.step)) + 1e-8)).astype(np.float32)
-        dword = np.zeros((len(used), WIDTH), np.float32)
-        np.add.at(dword, inverse.ravel(), dx.reshape(-1, WIDTH))
+        dword = np.add.reduceat(dx.reshape(-1, WIDTH)[order], starts, axis=0) / n[used][:, None].astype(np.float32)
         rows = ids[ragged(at[used], n[used])]
-        own, back = np.unique(rows, return_inverse=True)
-        g = np.zeros((len(own), WIDTH), np.float32)
-        np.add.at(g, back, np.repeat(dword / n[used][:, None], n[used], axis=0))
+        order, starts = _runs(rows)
+        own = rows[order[starts]]
+        g = np.add.reduceat(dword[np.repeat(np.arange(len(used)), n[used])[order]], starts, axis=0)
         self.touched[own] = True
         m, v = self.emb_m, self.emb_v
         m[own], v[own] = 0.8 * m[own] + 0.2 * g, 0.95 * v[own] + 0.05 * g * g
@@ -383,9 +396,10 @@ def train(docs: DataFrame, klass: np.ndarray, windows: int, steps: int = STEPS,
             weights, own_klass = shared.value
             decayed = lambda step: rate * min(1, step / 50) * (1 - 0.9 * min(1, (nth + step / expected) / rounds))
             learner = Learner(weights, own_klass, decayed, 1000 * task + nth)
-            found = (s for _, _, _, s in _blocks(batches))
-            for s in found if passes == 1 else list(found) * passes:
-                learner.learn(s)
+            texts = ((data, offsets) for batch in batches for _, _, data, offsets in blocks(batch, "text", most=1 << 20))
+            # More than one pass is made over less than `steps` steps only.
+            for data, offsets in texts if passes == 1 else [(d.copy(), o) for d, o in texts] * passes:
+                learner.learn(Spelled(data, offsets))
             if learner.windows:
                 yield learner.changes(task)
 
@@ -435,96 +449,145 @@ def model_scores(s: Spelled, model: Attention, speller: Speller) -> np.ndarray:
     return np.bincount(row_of, out, rows)
 
 
-def base_parts(docs: DataFrame, words: DataFrame, buckets: int) -> DataFrame:
-    """Per bucket rows: (row, part, known, spelling, words) sums of log10(c + 0.5), known counts, spellings and counts of
-    its words. docs(row, text), words(word, n, spelling)."""
+SCORED = "doc_id long, row long, n_tokens long, score double, part double, known long, rare long, bucket int, words binary, docs binary, n binary"
+
+
+class Hot:
+    """The frequent words' hashes (sorted), counts in training texts, and spellings."""
+
+    def __init__(self, word: np.ndarray, n: np.ndarray, spelling: np.ndarray):
+        order = np.argsort(word.view(np.uint64))
+        self.word, self.n, self.spelling = word.view(np.uint64)[order], n[order], spelling[order]
+
+    def look_up(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(held, log10(count + 0.5), count > 0, spelling) of each word; zeros for words not held."""
+        if not len(self.word):
+            return np.zeros(len(words), bool), *(np.zeros(len(words)) for _ in range(3))
+        at = np.minimum(np.searchsorted(self.word, words), len(self.word) - 1)
+        held = self.word[at] == words
+        n = self.n[at]
+        return held, np.where(held, np.log10(n + 0.5), 0.0), (held & (n > 0)).astype(float), np.where(held, self.spelling[at], 0.0)
+
 
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: list = []
+def score_texts(docs: DataFrame, shared, buckets: int) -> DataFrame:
+    """Two kinds of rows (SCORED) from docs(doc_id, text, train, row): without a bucket, the scores of a document by the
+    model and by its frequent words, and how many rare ones it has; with a bucket, (word, row, times) of rare words.
+    shared: broadcast (layer's weights, Speller, Hot)."""
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+    names = [x.split()[0] for x in SCORED.split(", ")]
+
+    def batch_of(columns: dict, n: int) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(columns[c], t) if c in columns else pa.nulls(n, t) for c, t in zip(names, types, strict=True)], names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w, speller, hot = shared.value
+        layer = Attention(w)
+        held: list = []
 
         def flush() -> Iterator[pa.RecordBatch]:
-            key, doc, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+            key, doc, n = (np.concatenate(x) for x in zip(*held, strict=True))
+            held.clear()
             rows = list(to_buckets(key, [doc, n], buckets))
-            columns = [pa.array([b for b, _ in rows], pa.int32())] + [pa.array([x[k] for _, x in rows], pa.binary()) for k in range(3)]
-            batch = pa.RecordBatch.from_arrays(columns, names=["bucket", "words", "docs", "n"])
-            for a in range(0, len(batch), 2000):
-                yield batch[a : a + 2000]
+            for a in range(0, len(rows), 2000):
+                own = rows[a : a + 2000]
+                yield batch_of({"bucket": [b for b, _ in own]} | {c: [x[k] for _, x in own] for k, c in enumerate(("words", "docs", "n"))}, len(own))
 
-        for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            for a, _, data, offsets in blocks(batch, "text"):
-                words = Words(data, offsets, lower=True)
-                hashes = words.hashes()
-                order = np.lexsort((hashes, words.row))
-                key, row = hashes[order], words.row[order]
-                new = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (row[1:] != row[:-1])]) if len(key) else np.zeros(0, np.int64)
-                n = np.diff(np.append(new, len(key)))
-                parts.append((key[new], ids[a + row[new]], n.astype(np.uint32)))
-            if sum(len(p[0]) for p in parts) >= FLUSH:
-                yield from flush()
-                parts.clear()
-        if parts:
+        for batch, a, b, s in _blocks(batches):
+            row_id, row, rows = batch.column(3)[a:b].to_numpy(), s.words.row, b - a
+            frequent, part, known, spelling = hot.look_up(s.kind_hashes)
+            total = lambda x, s=s, row=row, rows=rows: np.bincount(row, x[s.which], rows)
+            rare = np.flatnonzero(~frequent[s.which])
+            columns = {
+                "doc_id": batch.column(0)[a:b],
+                "row": row_id,
+                "n_tokens": np.diff(s.words.first) + 1,
+                "score": model_scores(s, layer, speller) + total(spelling),
+                "part": total(part),
+                "known": total(known).astype(np.int64),
+                "rare": np.bincount(row[rare], minlength=rows),
+            }
+            yield batch_of(columns, rows)
+            if len(rare):
+                own, times = np.unique(row[rare] * len(s.n) + s.which[rare], return_counts=True)
+                held.append((s.kind_hashes[own % len(s.n)], row_id[own // len(s.n)], times.astype(np.uint32)))
+                if sum(len(h[0]) for h in held) >= FLUSH:
+                    yield from flush()
+        if held:
             yield from flush()
 
-    def add_up(table: pa.Table, own: pa.Table) -> pa.Table:
-        def column(name, dtype):
-            return np.frombuffer(b"".join(table.column(name).to_pylist()), dtype)
+    return docs.select("doc_id", "text", "train", "row").mapInArrow(run, SCORED)
 
-        key, doc, n = column("words", np.uint64), column("docs", np.int64), column("n", np.uint32)
+
+def rare_parts(packed: DataFrame, words: DataFrame, buckets: int) -> DataFrame:
+    """(row, part, known, spelling, words): sums of log10(c + 0.5), known counts, spellings and counts of each row's rare
+    words. packed(bucket, words, docs, n) as from score_texts, words(word, n, spelling)."""
+    columns = ("docs", "part", "known", "spelling", "words")
+    dtypes = (np.int64, np.float64, np.int64, np.float64, np.int64)
+
+    def whole(table: pa.Table, name: str, dtype) -> np.ndarray:
+        return np.frombuffer(b"".join(table.column(name).to_pylist()), dtype)
+
+    def sums(doc: np.ndarray, values: list[np.ndarray]) -> list[np.ndarray]:
+        docs_of, inverse = np.unique(doc, return_inverse=True)
+        return [docs_of, *(np.bincount(inverse, x, len(docs_of)).astype(t) for x, t in zip(values, dtypes[1:], strict=True))]
+
+    def look_up(table: pa.Table, own: pa.Table) -> pa.Table:
+        key, doc, n = whole(table, "words", np.uint64), whole(table, "docs", np.int64), whole(table, "n", np.uint32)
         word = own.column("word").to_numpy().view(np.uint64)
         order = np.argsort(word)
         at = order[np.searchsorted(word, key, sorter=order)] if len(word) else np.zeros(0, np.int64)
         c, spelling = own.column("n").to_numpy()[at], own.column("spelling").to_numpy()[at]
-        docs_of, inverse = np.unique(doc, return_inverse=True)
-        total = lambda x: np.bincount(inverse, x, len(docs_of))
-        return pa.table({"row": docs_of, "part": total(n * np.log10(c + 0.5)), "known": total(n * (c > 0)).astype(np.int64), "spelling": total(n * spelling), "words": total(n).astype(np.int64)})
+        found = sums(doc, [n * np.log10(c + 0.5), n * (c > 0), n * spelling, n])
+        rows = list(to_buckets(found[0].view(np.uint64), found[1:], buckets))
+        return pa.table({"bucket": pa.array([b for b, _ in rows], pa.int32())} | {c: pa.array([x[k] for _, x in rows], pa.binary()) for k, c in enumerate(columns)})
+
+    def add_up(table: pa.Table) -> pa.Table:
+        docs, *values = (whole(table, c, t) for c, t in zip(columns, dtypes, strict=True))
+        return pa.table(dict(zip(("row", *columns[1:]), sums(docs, values), strict=True)))
 
-    packed = docs.mapInArrow(send, "bucket int, words binary, docs binary, n binary")
     # The bucket of a word as to_buckets deals it.
     bucket = F.shiftright(F.shiftrightunsigned("word", 32) * F.lit(buckets).cast("long"), 32).cast("int")
     dealt = words.withColumn("bucket", bucket).groupBy("bucket")
-    return packed.groupBy("bucket").cogroup(dealt).applyInArrow(add_up, "row long, part double, known long, spelling double, words long")
+    by_document = packed.groupBy("bucket").cogroup(dealt).applyInArrow(look_up, "bucket int, " + ", ".join(f"{c} binary" for c in columns))
+    return by_document.groupBy("bucket").applyInArrow(add_up, "row long, part double, known long, spelling double, words long")
 
 
-def lm_scores(docs: DataFrame, train_where=None, steps: int = STEPS) -> DataFrame:
+def lm_scores(docs: DataFrame, train_where=None, steps: int = STEPS, hot: int = HOT) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score of every row of docs.
 
     train_where: a column that tells training rows (all if none). Null and empty texts are one end token; very long
-    texts are scored whole; repeated rows are scored each, and counted each in training.
+    texts are scored whole; repeated rows are scored each, and counted each in training; rows may share a doc_id or
+    have none. hot: most words that are broadcast; the result is the same for any.
     An empty table gives no rows; columns other than doc_id and text are not read.
     """
     learn = F.lit(True) if train_where is None else train_where
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce(learn, F.lit(False)).alias("train"))
     docs = docs.withColumn("row", F.xxhash64("doc_id", "text"))
     words = written(spellings(docs), "spellings")
-    totals = words.agg(F.sum("n"), F.count_if(F.col("n") > 0)).first()
+    totals = words.agg(F.sum("n"), F.count_if(F.col("n") > 0), F.sum("n_all")).first()
     train_docs = docs.where("train").count()
     train_tokens, distinct = (totals[0] or 0) + train_docs, totals[1] + (1 if train_docs else 0)
     speller = Speller(first_counts(words, train_docs))
     model = train(docs.where("train"), speller.klass, train_tokens // CONTEXT + train_docs // 2, steps)
-    shared = docs.sparkSession.sparkContext.broadcast((model.w, speller))  # size set by the vocabulary and the layer
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w, own_speller = shared.value
-        layer = Attention(w)
-        for batch, a, b, s in _blocks(batches):
-            columns = [batch.column(0)[a:b], batch.column(3)[a:b], pa.array(np.diff(s.words.first) + 1, pa.int64()), pa.array(model_scores(s, layer, own_speller))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "row", "n_tokens", "score"])
-
-    scored = written(docs.mapInArrow(score, "doc_id long, row long, n_tokens long, score double"), "lm-scores")
-    shared.destroy()  # the scores are stored
-    all_tokens = scored.agg(F.sum("n_tokens")).first()[0] or 0
     scores = written(spelled(words), "spelled")
-    parts = written(base_parts(docs.select("row", "text"), scores, bucket_count(docs.sparkSession, 0.7 * all_tokens)), "base-parts")
-    summed = parts.groupBy("row").agg(*[F.sum(c).alias(c) for c in ("part", "known", "spelling", "words")])
-    end = math.log10(train_docs + 0.5)
-    norm = math.log10(train_tokens + 0.5 * (distinct + 1))
-    out = scored.withColumnRenamed("score", "_score").join(summed.hint("shuffle_hash"), "row", "left")
-    # Equal rows are added up together: each has its share of the sums.
-    share = lambda c: F.coalesce(F.col(c) * (F.col("n_tokens") - 1) / F.col("words"), F.lit(0.0))
-    base = share("part") + F.lit(end) - F.col("n_tokens") * F.lit(norm)
-    known = F.round(share("known")) + F.lit(1 if train_docs else 0)
-    return out.select("doc_id", "n_tokens", known.cast("long").alias("n_known"), F.lit(train_tokens).cast("long").alias("train_tokens"), base.alias("base_score"), (F.col("_score") + share("spelling")).alias("score"))
+    often = max(1, -(-(totals[2] or 0) // hot))
+    # At most `hot` rows, as each has `often` of all occurrences.
+    frequent = scores.where(F.col("n_all") >= often).select("word", "n", "spelling").toPandas()
+    table = Hot(*(frequent[c].to_numpy(t) for c, t in (("word", np.int64), ("n", np.int64), ("spelling", np.float64))))
+    rare = scores.where(F.col("n_all") < often)
+    buckets = bucket_count(docs.sparkSession, rare.agg(F.sum("n_all")).first()[0] or 0)
+    shared = docs.sparkSession.sparkContext.broadcast((model.w, speller, table))  # sizes set by the vocabulary, the layer and HOT
+    scored = written(score_texts(docs, shared, buckets), "lm-scores")
+    shared.destroy()  # the scores are stored
+    summed = rare_parts(scored.where("bucket is not null").select("bucket", "words", "docs", "n"), rare.select("word", "n", "spelling"), buckets)
+    summed = summed.select("row", *[F.col(c).alias(f"_{c}") for c in ("part", "known", "spelling", "words")])
+    out = scored.where("bucket is null").join(written(summed, "rare-parts").hint("merge"), "row", "left")
+    # Equal rows' rare words are added up together: each row has its share of the sums.
+    share = lambda c: F.coalesce(F.col(f"_{c}") * F.col("rare") / F.col("_words"), F.lit(0.0))
+    end, norm = math.log10(train_docs + 0.5), math.log10(train_tokens + 0.5 * (distinct + 1))
+    base = F.col("part") + share("part") + F.lit(end) - F.col("n_tokens") * F.lit(norm)
+    known = F.col("known") + F.round(share("known")) + F.lit(1 if train_docs else 0)
+    return out.select("doc_id", "n_tokens", known.cast("long").alias("n_known"), F.lit(train_tokens).cast("long").alias("train_tokens"), base.alias("base_score"), (F.col("score") + share("spelling")).alias("score"))
 
 
 def op7_lm_scoring(spark, sf_dir: str) -> DataFrame:

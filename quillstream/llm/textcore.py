@@ -130,38 +130,65 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 class PieceCache:
     """Ids of word-like chunks by hash, kept by a worker between batches; bounded, and started anew when full.
 
-    encode(list of texts) -> (number of ids of each, all ids). Only chunks not yet seen are encoded.
+    encode(list of texts) -> (number of ids of each, all ids). Only chunks not yet seen are encoded. Sorted tables of
+    doubling size are merged as they fill, so that a few new chunks do not move all the others.
     """
 
-    def __init__(self, encode, most: int = 1_500_000):
+    def __init__(self, encode, most: int = 1_000_000):
         self.encode, self.most = encode, most
         self._clear()
 
     def _clear(self) -> None:
-        self.keys = np.zeros(0, np.uint64)
-        self.at = np.zeros(0, np.int64)
-        self.n = np.zeros(0, np.int64)
+        self.tables: list[tuple[np.ndarray, np.ndarray]] = []  # (sorted keys, place of each)
+        self.at = np.zeros(0, np.int64)  # start in ids of each place's chunk, then the end
         self.ids = np.zeros(0, np.uint16)
+        self.used, self.places = 0, 0
+
+    def _append(self, keys: np.ndarray, n: np.ndarray, flat: np.ndarray) -> None:
+        """keys are sorted."""
+        for name, new, used in (("ids", flat.astype(np.uint16), self.used), ("at", self.used + np.r_[0, np.cumsum(n)], self.places)):
+            own = getattr(self, name)
+            if len(own) < used + len(new):
+                own = np.concatenate([own[:used], np.zeros(used + len(new), own.dtype)])
+                setattr(self, name, own)
+            own[used : used + len(new)] = new
+        table = keys, np.arange(self.places, self.places + len(keys))
+        self.used, self.places = self.used + len(flat), self.places + len(keys)
+        while self.tables and len(self.tables[-1][0]) <= 2 * len(table[0]):
+            other = self.tables.pop()
+            merged = np.concatenate([other[0], table[0]])
+            order = np.argsort(merged, kind="stable")
+            table = merged[order], np.concatenate([other[1], table[1]])[order]
+        self.tables.append(table)
+
+    def _places(self, keys: np.ndarray) -> np.ndarray:
+        """Place of each key, -1 if it is not held."""
+        out = np.full(len(keys), -1)
+        for own, place in self.tables:
+            left = np.flatnonzero(out < 0)
+            at = np.minimum(np.searchsorted(own, keys[left]), len(own) - 1)
+            out[left] = np.where(own[at] == keys[left], place[at], -1)
+        return out
 
-    def look_up(self, hashes: np.ndarray, text_of) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(start, length) in self.ids of each chunk and the chunk's number among the distinct ones; text_of(i) is the text of chunk i."""
+    def distinct(self, hashes: np.ndarray, text_of) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """For the distinct chunks: (hash, number of one chunk that has it, start and length in self.ids); and for each
+        chunk the number of its distinct one. text_of(i) is the text of chunk i."""
         keys, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        place = np.searchsorted(self.keys, keys)
-        known = np.zeros(len(keys), bool)
-        inside = place < len(self.keys)
-        known[inside] = self.keys[place[inside]] == keys[inside]
-        new = np.flatnonzero(~known)
+        place = self._places(keys)
+        new = np.flatnonzero(place < 0)
         if len(new):
-            if len(self.keys) + len(new) > self.most:
+            if self.places + len(new) > self.most:
                 self._clear()
                 new = np.arange(len(keys))
             n, flat = self.encode([text_of(i) for i in first[new].tolist()])
-            at = len(self.ids) + np.cumsum(n) - n
-            self.ids = np.concatenate([self.ids, flat.astype(np.uint16)])
-            order = np.argsort(merged := np.concatenate([self.keys, keys[new]]), kind="stable")
-            self.keys, self.at, self.n = merged[order], np.concatenate([self.at, at])[order], np.concatenate([self.n, n])[order]
-            place = np.searchsorted(self.keys, keys)
-        return self.at[place][inverse], self.n[place][inverse], inverse
+            place[new] = np.arange(self.places, self.places + len(new))
+            self._append(keys[new], n, flat)
+        return keys, first, self.at[place], self.at[place + 1] - self.at[place], inverse
+
+    def look_up(self, hashes: np.ndarray, text_of) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, length) in self.ids of each chunk and the chunk's number among the distinct ones."""
+        _, _, at, n, inverse = self.distinct(hashes, text_of)
+        return at[inverse], n[inverse], inverse
 
 
 def flattened(found: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:

@@ -256,6 +256,39 @@ def test_lm_repeated_rows_are_scored_alike(spark):
     assert {r.n_known for r in same} == {4}
 
 
+def test_lm_rare_words_are_dealt_and_hot_ones_looked_up_alike(spark):
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice(["the", "of", *(f"w{rng.randrange(90)}" for _ in range(3))]) for _ in range(rng.randrange(0, 80))) for _ in range(50)]
+    docs = table(spark, [*texts, texts[3], None, "only unseen words"]).coalesce(1)
+    own = lambda hot: {r.doc_id: r for r in lm_scoring.lm_scores(docs, docs.doc_id < 45, steps=5, hot=hot).collect()}
+    few, all_hot = own(4), own(10**6)
+    assert few.keys() == all_hot.keys() == set(range(53))
+    for i, r in few.items():
+        assert r.n_known == all_hot[i].n_known and math.isclose(r.base_score, all_hot[i].base_score, rel_tol=1e-9) and math.isclose(r.score, all_hot[i].score, rel_tol=1e-6)
+
+
+def test_lm_model_scores_against_window_by_window():
+    rng = random.Random(4)
+    texts = ["", "one", " ".join(rng.choice(["the", "of", "xylo", "Tion"]) for _ in range(31)), " ".join(rng.choice(["the", "of", "xylo"]) for _ in range(150))]
+    data, offsets = textcore.column_bytes(pa.array(texts))
+    s = lm_scoring.Spelled(data, offsets)
+    model, speller = lm_scoring.Attention.fresh(), lm_scoring.Speller(np.bincount(s.first_id, minlength=lm_scoring.N_IDS).astype(float))
+    context, overlap = lm_scoring.CONTEXT, lm_scoring.OVERLAP
+    cache = packing.bpe_cache(lm_scoring.VOCABULARY)
+    for text, got in zip(texts, lm_scoring.model_scores(s, model, speller)):
+        spelled = [cache.encode([" " + w])[1].tolist() for w in text.lower().split()]
+        inputs = [model.w["emb"][[lm_scoring.END]].mean(0), *(model.w["emb"][ids].mean(0) for ids in spelled)]
+        targets, total = [*(ids[0] for ids in spelled), lm_scoring.END], 0.0
+        for place, target in enumerate(targets):
+            # The first window in which the place has OVERLAP places before it, or the text's first one.
+            begin = 0 if place < context else ((place - overlap) // (context - overlap)) * (context - overlap)
+            x = np.zeros((1, context, lm_scoring.WIDTH), np.float32)
+            seen = inputs[begin : begin + context]
+            x[0, : len(seen)] = seen
+            total += model.forward(x)[0][0, place - begin, speller.klass[target]] / math.log(10) + speller.within[target]
+        assert math.isclose(got, total, rel_tol=1e-4), text[:20]
+
+
 def test_lm_probabilities_sum_to_one_over_classes():
     model = lm_scoring.Attention.fresh()
     x = np.random.default_rng(1).normal(size=(3, lm_scoring.CONTEXT, lm_scoring.WIDTH)).astype(np.float32)
