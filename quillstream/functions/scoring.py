@@ -15,7 +15,7 @@ WEIGHTS = {"domain": 0.2, "path": 0.3, "structure": 0.3, "gate": 0.2}
 WALL_PHRASES = ["subscribe to read", "register to continue", "log in to read", "log in to continue", "sign up to read", "register to read", "for clients only"]
 NOTICE_PHRASES = ["cookie preferences", "privacy policy", "terms of use", "manage cookies", "accept all cookies"]
 
-# What a page's markup counts for. (pattern, points for 1, points for more, threshold of more)
+# What a page's markup counts for. SIGNS_FOR give a point each; SIGNS_AGAINST are (pattern, points).
 ARTICLE, TIME, PDF = r"<article[\s>]", r"<time[\s>]", r"""href=["'][^"']*\.pdf["']"""
 SIGNS_FOR = [
     r"""class=["'][^"']*\b(author|byline)\b[^"']*["']""",
@@ -33,6 +33,16 @@ SIGNS_AGAINST = [
 ]
 
 
+# Markers of a body that is a gate or a disclaimer, and what URLs say of a page that was not fetched.
+GATE_MARKERS = ["subscribe to read", "sign up to read", "register to continue", "register to read", "log in to continue", "log in to read", "accept all cookies", "cookie preferences", "manage cookies", "manage preferences", "privacy policy", "terms of use"]
+DISCLAIMER_MARKERS = ["this content is available", "disclaimer"]
+URL_AGAINST = ["career", "cookie", "privacy", "legal", "terms", "contact", "login", "subscribe", "account"]
+URL_FOR = ["insight", "research", "library", "publication", "white", "perspective", "commentary", "analysis"]
+# Dates as screening and as trial checks count them.
+SCREEN_DATES = r"(?i)\b(?:\d{4}[-/]\d{1,2}[-/]\d{1,2})|(?:(?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)\w*\s+\d{1,2},?\s+\d{4})|(?:\d{1,2}\s+(?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)\w*\s+\d{4})\b"
+CHECK_DATES = r"(?i)\b20\d{2}[-/]\d{2}[-/]\d{2}\b|\b(?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[a-z]* \d{1,2},? 20\d{2}\b|\b\d{1,2} (?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[a-z]* 20\d{2}\b"
+
+
 def _points(test: Column, n: int = 1) -> Column:
     return F.when(test, n).otherwise(0)
 
@@ -66,6 +76,36 @@ def page_score(url: Column, html: Column, allowed: Column, weights: dict = WEIGH
     return F.struct(d.alias("domain_score"), p.alias("path_score"), s.alias("structure_score"), g.alias("gate_penalty"), final_score(d, p, s, g, weights).alias("final_score"))
 
 
+def looks_gated(text: Column, markers: list[str] = GATE_MARKERS + DISCLAIMER_MARKERS) -> Column:
+    """One of the markers occurs in the lower-cased text with its white space squeezed."""
+    low = F.lower(F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"\s+", " ")))
+    return phrase_count(low, markers) > 0
+
+
+def page_components(url: Column, html: Column, allowed: Column, weights: dict = WEIGHTS) -> Column:
+    """page_score with every number rounded to four digits, as rows are stored."""
+    s = page_score(url, html, allowed, weights)
+    names = ("domain_score", "path_score", "structure_score", "gate_penalty", "final_score")
+    return F.struct(*[F.round(s[n], 4).alias(n) for n in names])
+
+
+def url_only_score(url: Column, allowed: Column, weights: dict = WEIGHTS) -> Column:
+    """Components of a page that was never fetched: structure and gate are estimated from its URL."""
+    low = F.lower(url)
+    against, speaks_for = phrase_count(low, URL_AGAINST) > 0, phrase_count(low, URL_FOR) > 0
+    d, p = urls.domain_score(url, allowed), urls.path_score(url)
+    s, g = F.when(against, 0.1).when(speaks_for, 0.8).otherwise(0.5), F.when(against, 0.5).otherwise(0.1)
+    final = final_score(d, p, s, g, weights)
+    return F.struct(*[F.round(c, 4).alias(n) for n, c in (("domain_score", d), ("path_score", p), ("structure_score", s), ("gate_penalty", g), ("final_score", final))])
+
+
+def weights_or_default(weights: Column) -> Column:
+    """A struct of four weights where all are there and sum to 1 within 0.01, else the defaults."""
+    total = reduce(add, [weights[k] for k in WEIGHTS])
+    default = F.struct(*[F.lit(v).alias(k) for k, v in WEIGHTS.items()])
+    return F.when(F.coalesce(F.round(F.abs(total - 1), 9) <= 0.01, F.lit(False)), F.struct(*[weights[k].alias(k) for k in WEIGHTS])).otherwise(default)
+
+
 def valid_weights(weights: dict[str, float | None]) -> dict[str, float]:
     """The weights if all four are there and sum to 1 within 0.01, else the defaults."""
     got = [weights.get(k) for k in WEIGHTS]
@@ -93,7 +133,8 @@ def health(html: Column, score: Column, least: float = 0.4) -> Column:
 
 
 def sample_overall(relevance: Column, depth: Column, extractable: Column) -> Column:
-    return relevance * 0.4 + depth * 0.4 + extractable * 0.2
+    """To three digits."""
+    return F.round(relevance * 0.4 + depth * 0.4 + extractable * 0.2, 3)
 
 
 def queue_priority(score: Column, label: Column, fit: Column) -> Column:

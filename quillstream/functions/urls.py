@@ -42,16 +42,35 @@ def canonical(url: Column) -> Column:
     return F.concat(F.regexp_extract(url, ORIGIN, 1), path(url))
 
 
+def _without_dots(url: Column) -> Column:
+    """Dot segments of the path are taken out, as browsers do: /a/./b/../c is /a/c; those above the root vanish."""
+    origin, tail = F.regexp_extract(url, ORIGIN, 1), F.regexp_extract(url, r"([?#].*)$", 1)
+    parts = F.split(path(url), "/")
+
+    def walk(done: Column, part: Column) -> Column:
+        up = F.when(F.size(done) > 1, F.slice(done, 1, F.size(done) - 1)).otherwise(done)
+        return F.when(part == ".", done).when(part == "..", up).otherwise(F.concat(done, F.array(part)))
+
+    kept = F.aggregate(F.slice(parts, 2, F.size(parts)), F.array(F.lit("")), walk)
+    # A path that ends in a dot segment ends in a slash.
+    ends = F.when(path(url).rlike(r"/\.{1,2}$"), F.lit("/")).otherwise(F.lit(""))
+    return F.when(path(url).rlike(r"/\.{1,2}(/|$)"), F.concat(origin, F.array_join(kept, "/"), ends, tail)).otherwise(url)
+
+
 def resolve(base: Column, href: Column) -> Column:
-    """href against the page's URL: absolute, scheme-relative, root-relative, query, or relative to the directory."""
-    origin, directory = F.regexp_extract(base, ORIGIN, 1), F.regexp_replace(F.regexp_replace(base, r"[?#].*$", ""), r"(://[^/]+/(?:.*/)?)[^/]*$", "$1")
-    return (
+    """href against the page's URL: absolute, scheme-relative, root-relative, query, fragment, or relative to the
+    directory; dot segments are taken out."""
+    origin, bare = F.regexp_extract(base, ORIGIN, 1), F.regexp_replace(base, r"[?#].*$", "")
+    directory = F.concat(origin, F.coalesce(F.nullif(F.regexp_extract(path(base), r"^(.*/)", 1), F.lit("")), F.lit("/")))
+    found = (
         F.when(href.rlike(SCHEME), href)
         .when(href.startswith("//"), F.concat(F.regexp_extract(base, SCHEME, 1), href))
         .when(href.startswith("/"), F.concat(origin, href))
-        .when(href.startswith("?"), F.concat(F.regexp_replace(base, r"[?#].*$", ""), href))
+        .when(href.startswith("?"), F.concat(bare, href))
+        .when(href.startswith("#") | (href == ""), F.concat(F.regexp_replace(base, r"#.*$", ""), href))
         .otherwise(F.concat(directory, href))
     )
+    return _without_dots(found)
 
 
 def is_followable(href: Column) -> Column:
