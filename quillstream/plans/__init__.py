@@ -1,4 +1,4 @@
 """The queries over the driver's tables, with their SQL."""
 
-from quillstream.plans import registry, scalars, states  # noqa: F401
+from quillstream.plans import registry, scalars, states, stored  # noqa: F401
 from quillstream.plans.base import ORACLE, QUERIES  # noqa: F401

@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from quillstream.functions import dates, text
+from quillstream.operators import health, ingest
+
 ARTICLE = "id string, source_id string, source_name string, title string, url string, date date, date_raw string, fetched_at string, summarized boolean, content_path string, content_status string, summary_en string, summary_zh string, themes array<string>, key_takeaway_en string, key_takeaway_zh string, analysis_model string, analysis_confidence string"
 ENTRYPOINTS = "sources map<string, struct<entrypoints: array<struct<url: string, content_type: string, confidence: double, final_score: double, active: boolean, last_verified_at: string, verified_by: string>>>>"
 CANDIDATE = "id string, name string, status string, homepage_url string, research_url string, rss_url string, official_domain string, quality string, fit_score double, quality_score double, is_publicly_accessible boolean, has_article_index boolean, topics string, notes string, strategy_tags array<string>, last_screened_at string, last_validated_at string, synthesis_attempted_at string"
-TRIAL = "id string, name string, research_url string, start_date date, end_date date, auto_decided boolean, outcome string, fit_score double, quality string, daily_checks map<string, struct<accessible: boolean, article_count: int, date_count: int, error: string>>"
+TRIAL = "id string, name string, research_url string, start_date date, end_date date, auto_decided boolean, outcome string, fit_score double, quality string, daily_checks map<string, struct<accessible: boolean, article_count: int, date_count: int, error: string>>, quality_samples array<struct<day: int, date: date, sampled: int, error: string, articles: array<struct<url: string, relevance: double, depth: double, extractable: double, overall: double, notes: string>>>>"
 EXPERIMENT = "commit_hash string, yield double, status string, description string"
 
 
@@ -29,9 +32,9 @@ def read_list(spark: SparkSession, path: str, field: str, schema: str) -> DataFr
     """Rows of a JSON document that is a list, or an object with the list under `field`."""
     items = StructType.fromDDL(schema)
     named = StructType.fromDDL(f"`{field}` array<struct<{', '.join(f'`{f.name}`: {f.dataType.simpleString()}' for f in items.fields)}>>")
-    text = spark.read.text(path, wholetext=True).withColumn("_list", F.ltrim("value").startswith("["))
+    whole = spark.read.text(path, wholetext=True).withColumn("_list", F.ltrim("value").startswith("["))
     wrapped = F.when(F.col("_list"), F.concat(F.lit(f'{{"{field}":'), "value", F.lit("}"))).otherwise(F.col("value"))
-    return text.select(F.from_json(wrapped, named).alias("d")).select(F.posexplode(f"d.{field}").alias("pos", "r")).select("pos", "r.*")
+    return whole.select(F.from_json(wrapped, named).alias("d")).select(F.posexplode(f"d.{field}").alias("pos", "r")).select("pos", "r.*")
 
 
 def read_entrypoints(spark: SparkSession, path: str) -> DataFrame:
@@ -41,14 +44,21 @@ def read_entrypoints(spark: SparkSession, path: str) -> DataFrame:
     return by_source.select("source_id", F.posexplode("s.entrypoints").alias("pos", "e")).select("source_id", "pos", "e.*")
 
 
-def read_trials(spark: SparkSession, path: str) -> DataFrame:
-    """Active trials of a state document; an older document has one under active_trial."""
+def read_trials(spark: SparkSession, path: str, history: bool = False) -> DataFrame:
+    """Active trials of state documents (an older one has a single trial under active_trial), or their history."""
     trial = ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in StructType.fromDDL(TRIAL).fields)
-    doc = spark.read.text(path, wholetext=True).select(F.from_json("value", f"active_trials array<struct<{trial}>>, active_trial struct<{trial}>").alias("d"))
-    rows = F.coalesce("d.active_trials", F.array_compact(F.array("d.active_trial")))
+    schema = f"active_trials array<struct<{trial}>>, active_trial struct<{trial}>, history array<struct<{trial}>>"
+    doc = spark.read.text(path, wholetext=True).select(F.from_json("value", schema).alias("d"))
+    rows = F.col("d.history") if history else F.coalesce("d.active_trials", F.array_compact(F.array("d.active_trial")))
     return doc.select(F.posexplode(rows).alias("pos", "t")).select("pos", "t.*")
 
 
+def quality_samples(trials: DataFrame) -> DataFrame:
+    """A row for each sampled article of read_trials()."""
+    each = trials.select(F.col("id").alias("trial_id"), F.explode("quality_samples").alias("s"))
+    return each.select("trial_id", "s.day", "s.date", F.explode("s.articles").alias("a")).select("trial_id", "day", "date", "a.*")
+
+
 def daily_checks(trials: DataFrame) -> DataFrame:
     each = trials.select(F.col("id").alias("trial_id"), F.explode("daily_checks").alias("date", "c"))
     return each.select("trial_id", F.to_date("date").alias("date"), "c.*")
@@ -58,9 +68,12 @@ def read_experiments(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, sep="\t", header=True, schema=EXPERIMENT)
 
 
-def read_rss(spark: SparkSession, path: str) -> DataFrame:
-    """Items of RSS 2.0 feeds."""
-    return spark.read.format("xml").option("rowTag", "item").schema("title string, link string, pubDate string, category array<string>, description string").load(path)
+def read_rss(spark: SparkSession, path: str, wanted: list[str] | None = None) -> DataFrame:
+    """Items of RSS 2.0 feeds, with or without a byte order mark; only those with a wanted category, if such are given.
+    The date is that of pubDate in its own offset, tags are taken out of the description."""
+    items = spark.read.format("xml").option("rowTag", "item").schema("title string, link string, pubDate string, category array<string>, description string").load(path)
+    items = items.where(text.wanted_category(F.col("category"), wanted)) if wanted is not None else items
+    return items.withColumns({"title": text.without_bom(F.col("title")), "date": dates.mail_date(F.col("pubDate")), "summary": text.without_tags(F.col("description"))})
 
 
 def listing_rows(payloads: DataFrame, path: str, schema: str) -> DataFrame:
@@ -79,5 +92,34 @@ def write_version(df: DataFrame, root: str, version: str) -> str:
     return f"{root}/{version}"
 
 
+def stamped_patch(old: DataFrame, changes: DataFrame, key: str, method: str, at: str) -> DataFrame:
+    """old with the non-null values of changes; rows that a change names get its method and time."""
+    hit = changes.select(key).distinct().withColumn("_hit", F.lit(True))
+    rows = ingest.patch(old, changes, key).join(hit, key, "left")
+    return rows.withColumns({"discovery_method": F.when(F.col("_hit"), method), "last_discovered_at": F.when(F.col("_hit"), F.lit(at).cast("timestamp"))}).drop("_hit")
+
+
+def fold_run(runs: DataFrame, table: str) -> DataFrame:
+    """Appends a run's raw metrics to the table of all runs and gives the state folded from it: the last metrics of each
+    source, its streak of empty runs and its alarms."""
+    append(runs, table)
+    return health.inspection_state(runs.sparkSession.read.parquet(table))
+
+
+def write_report(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").json(path)
+
+
+def write_bodies(bodies: DataFrame, table: str) -> None:
+    """Appends bodies(id, text) to the content table; a failed job leaves nothing of it."""
+    bodies.select("id", "text").write.mode("append").parquet(table)
+
+
+def read_bodies(spark: SparkSession, table: str, ids: DataFrame) -> DataFrame:
+    """Stored bodies of the ids, one for each; of several the longest."""
+    rows = spark.read.parquet(table).join(ids.select("id").distinct(), "id", "left_semi")
+    return rows.groupBy("id").agg(F.max_by("text", F.length("text")).alias("text"))
+
+
 def export_gzip(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("compression", "gzip").json(path)
