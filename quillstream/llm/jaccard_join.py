@@ -1,13 +1,16 @@
 """Exact Jaccard join of shingle sets by PartEnum signatures, and the components of its links.
 
-Sets with 100 * intersection >= 75 * union differ in at most (|a| + |b|) / 7 shingles. The sizes are divided into
-bands; a band has a partition of the shingle domain into more parts than sets of the band may differ by, so two linked
-sets agree on whole parts. A set emits one signature (level, part, sum of its shingles' hashes there) for each part
-that it touches, for its own band and for the next one where a linked set may lie in it. With `touched` parts and at
-most k differing shingles, linked sets share at least touched - k signatures; each set therefore needs only its k + 1
-rarest ones, rarest first by (count, signature) over the corpus. Signatures that one set alone has are counted among
-them, so a set without near copies keeps none, and those of boilerplate fall away. Sets that touch no more than k
-parts (a chance of one in a million) also emit the parts they miss.
+Sets with 100 * intersection >= 75 * union differ in at most (|a| + |b|) / 7 shingles. The sizes are divided into bands,
+and a band divides the shingle domain in two levels: n1 parts, each of SUBS sub-parts. Of every part a set enumerates
+the subsets of SUBS - 1 sub-parts; a signature is the hash of (band, part, subset, the set's shingles there). A set emits
+those whose shingles are not none, for its own band and for the next one where a linked set may lie in it.
+
+One differing shingle in a part leaves the subset without its sub-part equal, a second one at most none. So of a set's
+signatures a linked set lacks at most 2k (k + n1, where k > n1; k: the shingles that they may differ by), and each set
+needs only that many plus one, the rarest first by (count, signature) over the corpus: the rarest that two linked sets
+share is among those of both. Signatures that one set alone has are counted among them, so a set without near copies
+keeps none, and those of boilerplate fall away. Small sets that have no more signatures than they may lack also emit
+those without shingles.
 
 Sets that share a kept signature are linked up without listing all pairs: in each round every signature picks pivots,
 all others are compared with them in full, and sets of one component need no more comparing. Rounds go on, with twice
@@ -26,10 +29,11 @@ from pyspark.sql import functions as F
 from quillstream.llm.components import components
 from quillstream.llm.exact_dedup import one_of_each_key, row_key
 from quillstream.llm.stage import bucket_count, sized, to_buckets, written
-from quillstream.llm.textcore import Words, blocks, mix
+from quillstream.llm.textcore import Words, blocks, mix, ragged
 
 SHINGLE = 5
-BAND, PARTS = 80, 256  # sizes up to BAND * 2**level; parts of level 0, then 64, 128, ..
+BAND, SUBS = 80, 3  # sizes up to BAND * 2**level; sub-parts of a part
+PART_SHARE = 0.6  # parts of a band for each shingle that its largest sets may differ by: above 0.5, so that one has at most one difference
 FLUSH = 1 << 21
 BITS = 1024
 FEW = 2_000_000  # representatives whose ids may be broadcast (16 MB); beyond, the texts are shuffled
@@ -79,33 +83,41 @@ def level_of(size: np.ndarray) -> np.ndarray:
 
 
 def parts_of(level: np.ndarray) -> np.ndarray:
-    return np.where(level == 0, PARTS, 32 << np.minimum(level, 40))
+    """n1 of a band."""
+    return np.ceil(PART_SHARE * (2 * (BAND << np.minimum(level, 40)) // 7)).astype(np.int64)
 
 
 def signatures(sets: Sets, rows: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For some rows at a level each: (place among rows, signature) of every part touched, and how many signatures of
-    each row may be dropped. The lowest bit of a signature is its level's."""
+    """For some rows at a level each: (place among rows, signature) of every subset of sub-parts that has shingles, and
+    how many signatures of each row may be dropped. The lowest bit of a signature is its level's."""
     size = sets.size[rows]
-    index = np.concatenate([np.arange(sets.first[r], sets.first[r + 1]) for r in rows.tolist()]) if len(rows) else np.zeros(0, np.int64)
+    index = ragged(sets.first[rows], size)
     place = np.repeat(np.arange(len(rows)), size)
     value = sets.value[index]
     n_parts = parts_of(level)
-    # Hashes are sorted, so a row's parts come in order.
-    part = ((value >> np.uint64(32)) * n_parts[place].astype(np.uint64)) >> np.uint64(32)
     if not len(index):
         return place, value, np.zeros(len(rows), np.int64)
-    new = np.flatnonzero(np.r_[True, (place[1:] != place[:-1]) | (part[1:] != part[:-1])])
+    # Hashes are sorted, so a row's sub-parts come in order.
+    fine = (((value >> np.uint64(32)) * (SUBS * n_parts)[place].astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
+    new = np.flatnonzero(np.r_[True, (place[1:] != place[:-1]) | (fine[1:] != fine[:-1])])
     total = np.r_[np.uint64(0), np.cumsum(mix(value + np.uint64(7)), dtype=np.uint64)]
     content = total[np.r_[new[1:], len(index)]] - total[new]
-    place, part = place[new], part[new]
-    touched = np.bincount(place, minlength=len(rows))
+    place, part, sub = place[new], fine[new] // SUBS, fine[new] % SUBS
+    # A row of contents for each part that has shingles; a subset is named by the sub-part that it leaves out.
+    first = np.flatnonzero(np.r_[True, (place[1:] != place[:-1]) | (part[1:] != part[:-1])])
+    nth = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(place))))
+    contents, filled = np.zeros((len(first), SUBS), np.uint64), np.zeros((len(first), SUBS), np.int64)
+    contents[nth, sub], filled[nth, sub] = content, 1
+    contents = contents.sum(1, keepdims=True, dtype=np.uint64) - contents
+    at, left_out = np.nonzero(filled.sum(1, keepdims=True) - filled)
+    place, subset, content = place[first][at], part[first][at] * SUBS + left_out, contents[at, left_out]
     k = (size + np.minimum(BAND << np.minimum(level, 40), size * 4 // 3)) // 7
-    drop = touched - k - 1
+    drop = np.bincount(place, minlength=len(rows)) - (k + np.minimum(k, n_parts)) - 1
     for r in np.flatnonzero(drop < 0).tolist():
-        missed = np.setdiff1d(np.arange(n_parts[r], dtype=np.uint64), part[place == r])
-        place, part, content = np.r_[place, np.full(len(missed), r)], np.r_[part, missed], np.r_[content, np.full(len(missed), EMPTY)]
+        missed = np.setdiff1d(np.arange(SUBS * n_parts[r]), subset[place == r])
+        place, subset, content = np.r_[place, np.full(len(missed), r)], np.r_[subset, missed], np.r_[content, np.full(len(missed), EMPTY)]
     own_level = level[place].astype(np.uint64)
-    key = mix(content + mix(part * np.uint64(64) + own_level + np.uint64(99)))
+    key = mix(content + mix(subset.astype(np.uint64) * np.uint64(64) + own_level + np.uint64(99)))
     return place, (key & ~np.uint64(1)) | (own_level & np.uint64(1)), np.maximum(drop, 0)
 
 
