@@ -28,14 +28,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillstream.llm.packing import bpe_cache
-from quillstream.llm.stage import bucket_count, fold, to_buckets, written
+from quillstream.llm.stage import fold, to_buckets, written
 from quillstream.llm.textcore import Words, blocks, ragged
 
 VOCABULARY, N_IDS = "byte_bpe_50k.tiktoken", 50257
 END = 50256  # free in this vocabulary: the end token, and the end of a word
 CLASSES, WIDTH, CONTEXT, OVERLAP = 96, 16, 32, 16
-BATCH, STEPS, ROUNDS = 64, 2_500, 8  # windows of a step; steps that small corpora are passed over for; rounds of large ones
+BATCH, STEPS, ROUNDS = 128, 1_250, 4  # windows of a step; steps that small corpora are passed over for; rounds of large ones
 FLUSH = 1 << 20
+MOST = 60.0  # logits are held within this, either way, so that no exponential overflows
 CHUNK = 1_024  # embeddings that are averaged together
 HOT = 250_000  # most words in the broadcast table: those with one in HOT of all occurrences, or more
 
@@ -202,7 +203,7 @@ class Attention:
 
     def __init__(self, w: dict[str, np.ndarray]):
         self.w = w
-        self.mask = np.where(np.tri(CONTEXT, dtype=bool), 0, -1e9).astype(np.float32)
+        self.mask = np.tri(CONTEXT, dtype=np.float32)
 
     @classmethod
     def fresh(cls, seed: int = 11) -> Attention:
@@ -215,16 +216,15 @@ class Attention:
         w = self.w
         x = x + w["pos"]
         q, k, v = x @ w["Q"], x @ w["K"], x @ w["V"]
-        s = q @ k.transpose(0, 2, 1) * np.float32(WIDTH**-0.5) + self.mask
-        s -= s.max(-1, keepdims=True)
-        np.exp(s, out=s)
+        s = q @ (k * np.float32(WIDTH**-0.5)).transpose(0, 2, 1)
+        np.exp(np.clip(s, -MOST, MOST, out=s), out=s)
+        s *= self.mask
         s /= s.sum(-1, keepdims=True)
         h = x + s @ v
         r = np.maximum(h @ w["A"], 0)
         z = h + r @ w["B"]
         o = z @ w["out"] + w["bias"]
-        o -= o.max(-1, keepdims=True)
-        p = np.exp(o)
+        p = np.exp(np.clip(o, -MOST, MOST, out=o))
         total = p.sum(-1, keepdims=True)
         p /= total
         o -= np.log(total)
@@ -236,13 +236,14 @@ class Attention:
         w = self.w
         x = x + w["pos"]
         s = (x @ (w["Q"] * np.float32(WIDTH**-0.5))) @ (x @ w["K"]).transpose(0, 2, 1)
-        s += self.mask
-        s -= s.max(-1, keepdims=True)
-        np.exp(s, out=s)
-        s /= s.sum(-1, keepdims=True)
-        h = (x + s @ (x @ w["V"]))[window, place]
+        np.exp(np.clip(s, -MOST, MOST, out=s), out=s)
+        s *= self.mask
+        # A column of ones beside the values gives the weights' sum.
+        v = np.concatenate([x @ w["V"], np.ones((*x.shape[:2], 1), np.float32)], -1)
+        v = (s @ v)[window, place]
+        h = x[window, place] + v[:, :-1] / v[:, -1:]
         o = (h + np.maximum(h @ w["A"], 0) @ w["B"]) @ w["out"] + w["bias"]
-        o -= o.max(-1, keepdims=True)
+        np.clip(o, -MOST, MOST, out=o)
         own = o[np.arange(len(o)), target]
         np.exp(o, out=o)
         return (own - np.log(o.sum(-1))) / math.log(10)
@@ -388,7 +389,7 @@ def train(docs: DataFrame, klass: np.ndarray, windows: int, steps: int = STEPS,
     rounds = rounds if tasks > 1 else 1
     expected = max(1, passes * windows // (BATCH * tasks * rounds))
     for nth in range(rounds):
-        part = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds)) == nth).coalesce(tasks)
+        part = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(rounds)) == nth).coalesce(tasks)
         shared = docs.sparkSession.sparkContext.broadcast((model.w, klass))  # size set by the vocabulary and the layer
 
         def run(batches: Iterator[pa.RecordBatch], nth=nth, shared=shared) -> Iterator[pa.RecordBatch]:
@@ -575,7 +576,8 @@ def lm_scores(docs: DataFrame, train_where=None, steps: int = STEPS, hot: int =
     frequent = scores.where(F.col("n_all") >= often).select("word", "n", "spelling").toPandas()
     table = Hot(*(frequent[c].to_numpy(t) for c, t in (("word", np.int64), ("n", np.int64), ("spelling", np.float64))))
     rare = scores.where(F.col("n_all") < often)
-    buckets = bucket_count(docs.sparkSession, rare.agg(F.sum("n_all")).first()[0] or 0)
+    # Rows between the buckets of words and those of documents: no more than the square of this, nor than rare words.
+    buckets = max(8, (rare.agg(F.sum("n_all")).first()[0] or 0) >> 20)
     shared = docs.sparkSession.sparkContext.broadcast((model.w, speller, table))  # sizes set by the vocabulary, the layer and HOT
     scored = written(score_texts(docs, shared, buckets), "lm-scores")
     shared.destroy()  # the scores are stored
