@@ -1,21 +1,24 @@
 """Approximate nearest neighbours by largest inner product, with balanced posting lists.
 
-Vectors are lifted by one coordinate so that the largest inner product is the smallest distance. Centroids are fitted
-on a bounded sample by balanced k-means; every vector is put in the posting list of its nearest centroid and, near a
-boundary, in those of further centroids whose distance is within REPLICATE of the nearest one. The centroids form a
-neighbour graph that a task holds in memory; a query walks it, keeps the nearest lists, and prunes those whose distance
-ratio to the nearest is above PRUNE. Lists are joined with their queries by list and part: a list longer than its
-share is dealt over several parts, so that a hot cluster is read by many tasks.
+Vectors are divided into bands by their norm, each STEP times the next; within a band they are lifted by one coordinate
+so that the largest inner product is the smallest distance (over all norms at once, large ones would hide all others).
+Each band has centroids, fitted on a bounded sample by balanced k-means; every vector is put in the posting list of its
+nearest centroid and, near a boundary, in those of further centroids whose distance is within REPLICATE of the nearest
+one. A band's centroids form a neighbour graph that a task holds in memory; a query walks each, keeps the nearest lists,
+and prunes those whose distance ratio to the nearest is above PRUNE. Lists are joined with their queries by list, part
+and share: a list longer than its share is dealt over several parts, and the queries of one that many ask over several
+shares, so that a hot cluster is read by many tasks.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillstream.llm.stage import written
@@ -24,7 +27,9 @@ SAMPLE = 20_000  # most vectors that centroids are fitted on
 LIST = 400  # vectors a list holds on average
 CENTROIDS = 4_096  # most centroids; beyond, lists grow and are dealt over more parts
 REPLICATE, COPIES = 1.10, 4  # distance ratio within which a vector is put in further lists, at most so many in all
-PROBES, PRUNE = 32, 1.35
+PROBES, PRUNE = 32, 1.35  # lists that a query reads of each band, at most; distance ratio beyond which they are left
+BANDS, STEP = 16, 1.25  # the last band holds all norms below
+ASKED = 4_096  # queries of a list that one task answers, about
 GRAPH, EF = 24, 64
 
 
@@ -111,58 +116,101 @@ class CentroidGraph:
         return np.array([j for _, j in found], int), np.array([a for a, _ in found])
 
 
-def build(vectors: DataFrame, bound: float, sample: int = SAMPLE, list_size: int = LIST) -> CentroidGraph:
-    """Centroids from the `sample` first vectors by a hash of their vec_id, a centroid for `list_size` of all rows."""
-    n = vectors.count()
-    rows = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).toPandas()
-    x = lifted(np.array(rows["vector"].tolist(), float).reshape(len(rows), -1), bound)
-    k = max(1, min(CENTROIDS, n // list_size, len(x) // 8))
-    return CentroidGraph(balanced_centroids(x, k) if len(x) else np.zeros((1, 1)))
-
-
-def posting_lists(vectors: DataFrame, graph: CentroidGraph, bound: float) -> DataFrame:
+def banded(vectors: DataFrame) -> tuple[DataFrame, dict[int, int], float]:
+    """(vec_id, vector, band), rows of each band, largest squared norm."""
+    square = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
+    rows = vectors.select("vec_id", "vector", square.alias("_s"))
+    bound = rows.agg(F.max("_s")).first()[0]
+    if bound is None:
+        return rows.select("vec_id", "vector", F.lit(0).alias("band")), {}, 0.0
+    band = F.least(F.floor(F.log(F.lit(bound) / F.col("_s")) / F.lit(2 * math.log(STEP))), F.lit(BANDS - 1)).cast("int")
+    rows = rows.select("vec_id", "vector", F.greatest(band, F.lit(0)).alias("band"))
+    # At most BANDS rows.
+    return rows, {r["band"]: r["n"] for r in rows.groupBy("band").agg(F.count(F.lit(1)).alias("n")).collect()}, bound
+
+
+class Index:
+    """The bands' graphs; lists are numbered through all bands."""
+
+    def __init__(self, graphs: dict[int, CentroidGraph], bound: float):
+        self.graphs, self.bound = dict(sorted(graphs.items())), bound
+        self.first, n = {}, 0
+        for band, graph in self.graphs.items():
+            self.first[band] = n
+            n += len(graph.c)
+        self.lists = n
+
+    def bound_of(self, band: int) -> float:
+        return self.bound / STEP ** (2 * band)
+
+    def search(self, q: np.ndarray, probes: int, prune: float) -> np.ndarray:
+        """Lists that a query reads."""
+        found = []
+        for band, graph in self.graphs.items():
+            if probes >= len(graph.c) and np.isinf(prune):
+                own = np.arange(len(graph.c))
+            else:
+                own, d = graph.search(np.append(q, 0.0), probes)
+                own = own[np.sqrt(d) <= np.sqrt(d[0]) * prune]
+            found.append(own + self.first[band])
+        return np.concatenate(found)
+
+
+def build(rows: DataFrame, counts: dict[int, int], bound: float, sample: int = SAMPLE, list_size: int = LIST) -> Index:
+    """Centroids of each band from its share of `sample` vectors, the first by a hash of their vec_id; a centroid for
+    `list_size` of the band's rows."""
+    total, graphs, index = sum(counts.values()), {}, Index({}, bound)
+    for band, n in counts.items():
+        most = max(sample // BANDS, sample * n // total)
+        own = rows.where(F.col("band") == band).orderBy(F.xxhash64("vec_id"), "vec_id").limit(most).select("vector").toPandas()
+        x = lifted(np.array(own["vector"].tolist(), float).reshape(len(own), -1), index.bound_of(band))
+        k = max(1, min(max(1, CENTROIDS * n // total), n // list_size, len(x) // 8))
+        graphs[band] = CentroidGraph(balanced_centroids(x, k))
+    return Index(graphs, bound)
+
+
+def posting_lists(rows: DataFrame, index: Index) -> DataFrame:
     """(list, vec_id, vector): each vector in its nearest list and, near a boundary, in a few more."""
-    c = graph.c
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a in range(0, len(batch), 2048):
-                own = batch[a : a + 2048]
-                d = np.sqrt(squared(lifted(_matrix(own.column(1)), bound), c))
-                n = min(COPIES, len(c))
-                near = np.argsort(d, axis=1, kind="stable")[:, :n]
-                ratio = np.take_along_axis(d, near, 1)
-                keep = ratio <= np.maximum(ratio[:, :1], 1e-12) * REPLICATE
-                keep[:, 0] = True
-                row, _ = np.nonzero(keep)
-                picked = pa.array(row)
-                yield pa.RecordBatch.from_arrays([pa.array(near[keep], pa.int32()), own.column(0).take(picked), own.column(1).take(picked)], names=["list", "vec_id", "vector"])
-
-    return vectors.select("vec_id", "vector").mapInArrow(run, "list int, vec_id long, vector array<double>")
-
-
-def probed_lists(queries: DataFrame, graph: CentroidGraph, probes: int, prune: float) -> DataFrame:
+            bands = batch.column(2).to_numpy()
+            for band in np.unique(bands).tolist():
+                c, mine = index.graphs[band].c, np.flatnonzero(bands == band)
+                for a in range(0, len(mine), 2048):
+                    own = batch.take(pa.array(mine[a : a + 2048]))
+                    d = np.sqrt(squared(lifted(_matrix(own.column(1)), index.bound_of(band)), c))
+                    near = np.argsort(d, axis=1, kind="stable")[:, : min(COPIES, len(c))]
+                    ratio = np.take_along_axis(d, near, 1)
+                    keep = ratio <= np.maximum(ratio[:, :1], 1e-12) * REPLICATE
+                    keep[:, 0] = True
+                    picked = pa.array(np.nonzero(keep)[0])
+                    yield pa.RecordBatch.from_arrays([pa.array((near[keep] + index.first[band]).astype(np.int32)), own.column(0).take(picked), own.column(1).take(picked)], names=["list", "vec_id", "vector"])
+
+    return rows.select("vec_id", "vector", "band").mapInArrow(run, "list int, vec_id long, vector array<double>")
+
+
+def probed_lists(queries: DataFrame, index: Index, probes: int, prune: float) -> DataFrame:
     """(list, query_id, query): the lists that each query reads."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = _matrix(batch.column(1))
-            x = np.c_[x, np.zeros(len(x))]
-            rows, lists = [], []
-            for i, q in enumerate(x):
-                if probes >= len(graph.c) and np.isinf(prune):
-                    found = np.arange(len(graph.c))
-                else:
-                    found, d = graph.search(q, probes)
-                    found = found[np.sqrt(d) <= np.sqrt(d[0]) * prune]
-                rows += [i] * len(found)
-                lists += found.tolist()
-            picked = pa.array(rows, pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(lists, pa.int32()), batch.column(0).take(picked), batch.column(1).take(picked)], names=["list", "query_id", "query"])
+            found = [index.search(q, probes, prune) for q in _matrix(batch.column(1))]
+            picked = pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]))
+            lists = pa.array(np.concatenate(found).astype(np.int32)) if found else pa.array([], pa.int32())
+            yield pa.RecordBatch.from_arrays([lists, batch.column(0).take(picked), batch.column(1).take(picked)], names=["list", "query_id", "query"])
 
     return queries.select("vec_id", "vector").mapInArrow(run, "list int, query_id long, query array<double>")
 
 
+def _parts(rows: DataFrame, most: int) -> Column:
+    """Into how many parts of at most about `most` rows each list is dealt; the counts are one row for each list."""
+    more = {r["list"]: -(-r["n"] // most) for r in rows.groupBy("list").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most).collect()}
+    if not more:
+        return F.lit(1)
+    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(int(x)) for pair in more.items() for x in pair]), F.col("list")), F.lit(1))
+
+
 def best_of_lists(key, queries: pa.Table, rows: pa.Table, k: int) -> pa.Table:
     """Each query's k best of one part of a list, in blocks; scores are sums of products in double precision."""
     q, x = _matrix(queries.column("query").combine_chunks()), _matrix(rows.column("vector").combine_chunks())
@@ -191,24 +239,26 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, probes: int = P
     ties to the smaller vec_id; all candidates where they are fewer.
 
     vectors, queries: (vec_id, vector) as from usable(). Rows repeated with one vec_id count once in a result; an empty
-    table gives no rows. All vectors must have one length.
+    table gives no rows. All vectors must have one length: others are an error.
     """
-    bound = vectors.agg(F.max(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))).first()[0]
-    if bound is None:
+    rows, counts, bound = banded(vectors)
+    if not counts:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    graph = build(vectors, bound)
-    lists = written(posting_lists(vectors, graph, bound), "posting-lists")
-    # At most CENTROIDS rows: how many parts each list is dealt over.
-    sizes = {r["list"]: -(-r["n"] // (4 * LIST)) for r in lists.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect()}
-    parts = F.coalesce(F.create_map(*[F.lit(int(x)) for pair in sizes.items() for x in pair])[F.col("list")], F.lit(1)) if sizes else F.lit(1)
-    rows = lists.withColumn("part", F.pmod(F.xxhash64("vec_id"), parts).cast("int"))
+    index = build(rows, counts, bound)
+    lists = written(posting_lists(rows, index), "posting-lists")
+    parts = _parts(lists, 4 * LIST)
+    dealt = lists.withColumn("part", F.pmod(F.xxhash64("vec_id"), parts).cast("int"))
 
     def run(key, a: pa.Table, b: pa.Table) -> pa.Table:
         return best_of_lists(key, a, b, k)
 
     def search(asking: DataFrame, probes: int, prune: float) -> DataFrame:
-        asked = probed_lists(asking, graph, probes, prune).withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
-        hits = asked.groupBy("list", "part").cogroup(rows.groupBy("list", "part")).applyInArrow(run, "query_id long, vec_id long, score double")
+        asked = written(probed_lists(asking, index, probes, prune), "asked")
+        shares = _parts(asked, ASKED)
+        asked = asked.withColumn("share", F.pmod(F.xxhash64("query_id"), shares).cast("int")).withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
+        given = dealt.withColumn("share", F.explode(F.sequence(F.lit(0), shares - 1)))
+        keys = ["list", "part", "share"]
+        hits = asked.groupBy(*keys).cogroup(given.groupBy(*keys)).applyInArrow(run, "query_id long, vec_id long, score double")
         return written(hits.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")), "hits")
 
     found, read_all = search(queries, probes, prune), False
@@ -220,7 +270,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, probes: int = P
             break
         if read_all:
             break
-        read_all, prune = probes >= len(graph.c), np.inf
+        read_all, prune = probes >= index.lists, np.inf
         found = written(found.unionByName(search(short, probes, prune)).groupBy("query_id", "vec_id").agg(F.max("score").alias("score")), "found")
         probes *= 8
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))

@@ -330,6 +330,26 @@ def test_ann_recall(spark, n):
     assert ann.nearest(vectors.limit(0), vectors, k=3).count() == 0
 
 
+def test_ann_recall_on_skewed_norms(spark, monkeypatch):
+    """Some vectors of large norm, which hide all others in one lifted space; few of many lists are read."""
+    monkeypatch.setattr(ann.build, "__defaults__", (ann.SAMPLE, 40))
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(3000, 16))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x[rng.random(3000) < 0.06] *= 8
+    vectors = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(x)], "vec_id long, vector array<double>").repartition(4)
+    got = {}
+    for r in ann.nearest(vectors, vectors.where("vec_id % 30 = 0"), k=20).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    found = 0
+    for q in range(0, 3000, 30):
+        s = x @ x[q]
+        s[q] = -np.inf
+        found += len(set(np.argsort(-s)[:20].tolist()) & got[q])
+        assert len(got[q]) == 20
+    assert found >= 0.9 * 2000
+
+
 def test_ann_gives_k_hits_to_outliers_and_duplicates(spark, monkeypatch):
     """Lists that hold fewer than k vectors: those near a query are not all that it gets."""
     monkeypatch.setattr(ann, "LIST", 20)
