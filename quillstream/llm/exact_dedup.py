@@ -1,9 +1,13 @@
-"""Exact deduplication by a tree merge of digest runs. DataFrame operations only.
+"""Exact deduplication by a tree merge of sorted digest runs. DataFrame operations only.
 
-Rows are dealt into runs by a hash of doc_id. Each run keeps, for every digest, the smallest and the largest
-identifier and the number of copies. In every round FAN neighbouring runs are merged, until one is left (spread over
-all partitions by digest, never in one task); then the result goes down the same tree. A digest held by a third of all
-rows is thus at most FAN rows per key in every merge and every join, whatever its count.
+Rows are dealt into runs by a hash of doc_id. A run keeps, sorted by digest, the smallest and the largest identifier and
+the number of copies of every digest. Runs are exchanged in binomial rounds: in each, the FAN runs whose numbers differ
+in the next log2(FAN) bits alone (as many rounds of pairs at once) are merged into one, which is written sorted, until
+one run is left (spread over all partitions by digest, never in one task); then the result goes down the same tree. A
+digest held by a third of all rows is thus at most FAN rows per key in every merge and every join, whatever its count.
+
+A digest is SHA-256 with the text's length and a second, independent hash beside it: identifiers are kept for equal
+values of all three at every level, so that no identifier stands for a text that merely shares one of them.
 """
 
 from __future__ import annotations
@@ -17,29 +21,42 @@ FAN = 8
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def sorted_run(rows: DataFrame, key: list[str]) -> DataFrame:
+    """A level's runs, written with the rows of every partition sorted by run and digest."""
+    return written(rows.sortWithinPartitions("_run", *key), "runs")
+
+
 def tree_merge(rows: DataFrame, key: list[str], id_column: str, runs: int, fan: int = FAN) -> DataFrame:
     """For rows(key.., id): the rows with smallest_id, largest_id and group_size of their key.
 
-    Runs are exchanged in rounds, `fan` into one, with partial sums at every level; no key has more than `fan` rows in
-    a merge, nor more than its copies in one run in the last join.
+    Runs are exchanged in rounds, `fan` (a power of two) into one, with partial sums at every level; no key has more
+    than `fan` rows in a merge, nor more than its copies in one run in the last join.
     """
+    bits = fan.bit_length() - 1
     rows = rows.withColumn("_run", F.pmod(F.xxhash64(F.col(id_column)), F.lit(runs)))
-    levels = [rows.groupBy("_run", *key).agg(F.min(id_column).alias("smallest_id"), F.max(id_column).alias("largest_id"), F.count(F.lit(1)).alias("group_size"))]
-    levels[0] = written(levels[0], "runs")
+    sums = lambda least, most, n: [least.alias("smallest_id"), most.alias("largest_id"), n.alias("group_size")]
+    levels = [sorted_run(rows.groupBy("_run", *key).agg(*sums(F.min(id_column), F.max(id_column), F.count(F.lit(1)))), key)]
     while runs > 1:
         runs = -(-runs // fan)
-        merged = levels[-1].withColumn("_run", F.expr(f"_run div {fan}")).groupBy("_run", *key)
-        levels.append(written(merged.agg(F.min("smallest_id").alias("smallest_id"), F.max("largest_id").alias("largest_id"), F.sum("group_size").alias("group_size")), "runs"))
+        merged = levels[-1].withColumn("_run", F.shiftright("_run", bits)).groupBy("_run", *key)
+        levels.append(sorted_run(merged.agg(*sums(F.min("smallest_id"), F.max("largest_id"), F.sum("group_size"))), key))
     top = levels.pop()
     while levels:
         parent = top.select(F.col("_run").alias("_parent"), *key, "smallest_id", "largest_id", "group_size")
-        child = levels.pop().select("_run", *key, F.expr(f"_run div {fan}").alias("_parent"))
+        child = levels.pop().select("_run", *key, F.shiftright("_run", bits).alias("_parent"))
         top = child.join(parent.hint("shuffle_hash"), ["_parent", *key]).drop("_parent")
     return rows.join(top.hint("shuffle_hash"), ["_run", *key]).drop("_run")
 
 
+VERIFIED = ["text_sha256", "text_bytes", "text_check"]
+
+
+def normalised(text: Column) -> Column:
+    return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
+
+
 def text_digest(text: Column) -> Column:
-    return F.sha2(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), 256)
+    return F.sha2(normalised(text), 256)
 
 
 def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -51,10 +68,11 @@ def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     a number; where a group has no other, keep_id is null and its rows are kept. An empty table gives no rows; other
     columns are not read.
     """
-    rows = docs.select(F.col(doc_id).alias("doc_id"), text_digest(F.col(text)).alias("text_sha256"))
+    own = normalised(F.col(text))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.sha2(own, 256).alias("text_sha256"), F.octet_length(own).alias("text_bytes"), F.xxhash64(own).alias("text_check"))
     rows = written(rows, "digests")
     runs = FAN ** max(1, len(f"{partitions(docs.sparkSession) - 1:o}"))
-    merged = tree_merge(rows, ["text_sha256"], "doc_id", runs)
+    merged = tree_merge(rows, VERIFIED, "doc_id", runs)
     return merged.select("doc_id", F.col("largest_id").alias("keep_id"), "smallest_id", "group_size", F.col("doc_id").eqNullSafe(F.col("largest_id")).alias("kept"), "text_sha256")
 
 
