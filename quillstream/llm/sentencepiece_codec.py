@@ -4,11 +4,14 @@ Words are cut where a space follows a non-space (no piece of the model reaches o
 grouped by their number of characters, and words of one length advance together: hashes of substrings probe the sorted
 keys of all pieces, a vectorised maximum over the piece that ends at a character stores its back pointer.
 A model of merges (BPE) is not additive, so its own ids come from `merges`, which works on the same equal-length
-blocks and probes: the best-ranked neighbouring pair of every word is joined in each step.
+blocks and probes: the best-ranked neighbouring pair of every word is joined in each step. Words longer than LONG (a text
+without spaces is one word) are few of a length: their substrings are probed at once, and one sweep or one heap goes
+over what was found, in time that grows with their length.
 """
 
 from __future__ import annotations
 
+import heapq
 import zlib
 from collections.abc import Iterator
 
@@ -22,6 +25,7 @@ from quillstream.llm.textcore import _RANDOM, PieceCache, blocks, mix, ragged, s
 
 MODEL = "piece_bpe_32k.model"
 UNKNOWN_PENALTY = 10.0
+LONG = 64  # characters
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 
 
@@ -61,6 +65,7 @@ class Pieces:
         self.seen[self.keys >> np.uint64(43)] = True
         self.score = np.array([sp.get_score(i) for i in normal])[order]
         self.unknown = float(self.score.min()) - UNKNOWN_PENALTY
+        self.by_text = {w: (sp.get_score(i), i) for w, i in zip(words, normal, strict=True)}
         self.text_at = np.r_[0, np.cumsum([len(t) for t in text])]
         self.text = np.frombuffer(b"".join(text), np.uint8)
 
@@ -92,12 +97,85 @@ class Pieces:
 
 
 def _by_length(words: list[str]) -> Iterator[tuple[int, list[int]]]:
+    """Words of LONG characters at most, by their length."""
     own: dict[int, list[int]] = {}
     for i, w in enumerate(words):
-        own.setdefault(len(w), []).append(i)
+        if len(w) <= LONG:
+            own.setdefault(len(w), []).append(i)
     yield from own.items()
 
 
+def _long_viterbi(model: Pieces, word: str) -> tuple[list[int], list[int]]:
+    """(ids, ends) of a long word, as `viterbi` defines them."""
+    n = len(word)
+    total = model.prefix(model.letters([word], n))
+    starts, ends, places = [], [], []
+    for size in range(1, min(model.longest, n) + 1):
+        at = model.probe(total[0, size:] - total[0, :-size] * np.uint64(pow(int(_BASE), size, 1 << 64)))
+        found = np.flatnonzero(at >= 0)
+        starts.append(found)
+        ends.append(found + size)
+        places.append(at[found])
+    start, end, place = (np.concatenate(x) for x in (starts, ends, places))
+    order = np.lexsort((start, end))
+    first = np.searchsorted(end[order], np.arange(n + 2)).tolist()
+    start, score, ids = start[order].tolist(), model.score[place[order]].tolist(), model.ids[place[order]].tolist()
+    best, back, piece = [0.0] * (n + 1), [0] * (n + 1), [-1] * (n + 1)
+    for j in range(1, n + 1):
+        own, top, came, own_id = range(first[j], first[j + 1]), None, j - 1, -1
+        for c in own:
+            value = best[start[c]] + score[c]
+            if top is None or value > top:
+                top, came, own_id = value, start[c], ids[c]
+        if not own or start[own[-1]] != j - 1:
+            value = best[j - 1] + model.unknown
+            if top is None or value > top:
+                top, came, own_id = value, j - 1, -1
+        best[j], back[j], piece[j] = top, came, own_id
+    cuts = []
+    while n:
+        cuts.append(n)
+        n = back[n]
+    return [piece[j] for j in reversed(cuts)], cuts[::-1]
+
+
+def _long_merges(model: Pieces, word: str) -> tuple[list[int], list[int]]:
+    """(ids, ends) of a long word, as `merges` defines them: a heap of neighbouring pairs, stale ones skipped."""
+    n = len(word)
+    end, before = list(range(1, n + 1)), list(range(-1, n - 1))  # by a piece's first character; 0 for those joined away
+
+    def pair(i: int) -> None:
+        j = end[i]
+        if j < n and (found := model.by_text.get(word[i : end[j]])):
+            heapq.heappush(heap, (-found[0], i, j, end[j]))
+
+    heap: list[tuple] = []
+    for i in range(n - 1):
+        pair(i)
+    while heap:
+        _, i, j, stop = heapq.heappop(heap)
+        if end[i] != j or end[j] != stop:
+            continue
+        end[i], end[j] = stop, 0
+        if stop < n:
+            before[stop] = i
+        pair(i)
+        if before[i] >= 0:
+            pair(before[i])
+    ids, ends, i = [], [], 0
+    while i < n:
+        ids.append(model.by_text.get(word[i : end[i]], (0, -1))[1])
+        ends.append(end[i])
+        i = end[i]
+    return ids, ends
+
+
+def _add_long(out: _Found, model: Pieces, words: list[str], one) -> None:
+    for i, w in enumerate(words):
+        if len(w) > LONG:
+            out.add_one(i, *one(model, w))
+
+
 class _Found:
     """Ids of words, gathered group by group; spans in no piece (-1) become the ids of their UTF-8 bytes."""
 
@@ -121,6 +199,9 @@ class _Found:
             self.owner.append(np.full(len(spelled), word))
             self.ids.append(np.array(spelled))
 
+    def add_one(self, word: int, ids: list[int], ends: list[int]) -> None:
+        self.add(np.array([word]), np.array([ids]), np.array([ends]))
+
     def result(self) -> tuple[np.ndarray, np.ndarray]:
         if not self.owner:
             return np.zeros(len(self.words), np.int64), np.zeros(0, np.int64)
@@ -156,6 +237,7 @@ def viterbi(model: Pieces, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
             if not len(rows):
                 break
         out.add(np.array(own), ids, cuts)
+    _add_long(out, model, words, _long_viterbi)
     return out.result()
 
 
@@ -199,6 +281,7 @@ def merges(model: Pieces, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
                     k = side[has]
                     at = probe(index[has], cuts[has, k], cuts[has, k + 2])
                     score[has, k] = np.where(at >= 0, model.score[at], -np.inf)
+    _add_long(out, model, words, _long_merges)
     return out.result()
 
 
@@ -250,7 +333,12 @@ def decode_block(ids: np.ndarray, offsets: np.ndarray, model: str = MODEL) -> tu
 
 
 def encode(docs: DataFrame, model: str = MODEL, algorithm: str = "viterbi", text: str = "text") -> DataFrame:
-    """doc_id and ids (array<int>) of every row; null and empty texts give no ids."""
+    """doc_id and ids (array<int>) of every row.
+
+    Null and empty texts give no ids. Very long texts and words are encoded whole. Of segmentations with equal scores
+    the one whose last piece is longest is taken (of equal merges the leftmost). Repeated rows give repeated rows, an
+    empty table none; other columns are not read.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -263,7 +351,8 @@ def encode(docs: DataFrame, model: str = MODEL, algorithm: str = "viterbi", text
 
 
 def decode(rows: DataFrame, model: str = MODEL) -> DataFrame:
-    """doc_id and text of every row of (doc_id, ids); null ids give an empty text."""
+    """doc_id and text of every row of (doc_id, ids); null and empty ids give an empty text, ids that spell no whole
+    character a replacement mark. Repeated rows give repeated rows, an empty table none; other columns are not read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -277,7 +366,9 @@ def decode(rows: DataFrame, model: str = MODEL) -> DataFrame:
 
 
 def encode_report(docs: DataFrame, model: str = MODEL) -> DataFrame:
-    """Per document: number and crc32 of its Viterbi ids and of its merge ids, and whether both decode to its text."""
+    """Per document: its Viterbi ids and its merge ids, their numbers and crc32, and whether both decode to its text.
+    Rows as in encode()."""
+    names = ["doc_id", *(f"{a}{c}" for a in ALGORITHMS for c in ("_ids", "_n", "_crc32")), "round_trip"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -285,16 +376,17 @@ def encode_report(docs: DataFrame, model: str = MODEL) -> DataFrame:
                 columns, same = [], np.ones(b - a, bool)
                 for algorithm in ALGORITHMS:
                     ids, at = encode_block(data, offsets, model, algorithm)
+                    columns.append(pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids.astype(np.int32))))
                     columns.append(pa.array(np.diff(at), pa.int64()))
                     own = ids.astype("<u4")
                     columns.append(pa.array([zlib.crc32(own[x:y].tobytes()) for x, y in zip(at, at[1:], strict=False)], pa.int64()))
                     back, to = decode_block(ids, at, model)
                     if not (np.array_equal(to, offsets) and np.array_equal(back, data)):
                         same &= [np.array_equal(back[to[i] : to[i + 1]], data[offsets[i] : offsets[i + 1]]) for i in range(b - a)]
-                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], *columns, pa.array(same)], names=["doc_id", "n_viterbi", "viterbi_crc32", "n_merges", "merges_crc32", "round_trip"])
+                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], *columns, pa.array(same)], names=names)
 
-    schema = "doc_id long, n_viterbi long, viterbi_crc32 long, n_merges long, merges_crc32 long, round_trip boolean"
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
+    own = ", ".join(f"{a}_ids array<int>, {a}_n long, {a}_crc32 long" for a in ALGORITHMS)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, f"doc_id long, {own}, round_trip boolean")
 
 
 def op1_sentencepiece(spark, sf_dir: str) -> DataFrame:

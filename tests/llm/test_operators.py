@@ -60,6 +60,34 @@ def test_sentencepiece_merges_equal_the_library_and_both_decode():
         assert np.array_equal(back, data) and np.array_equal(at, offsets)
 
 
+def test_sentencepiece_long_words():
+    """One word of many characters: the same ids as words together, as the library's merges, and in little time."""
+    import time
+
+    import public_tokenizers
+    import sentencepiece
+
+    rng = random.Random(2)
+    words = ["".join(rng.choice(alphabet) for _ in range(n)) for alphabet, n in (("abcdefgh0123", 90), ("日本語テキスト漢字", 120), ("aé🙂 ", 70), ("ab", 200))]
+    words = [" " + w.replace(" ", "") for w in words]
+    model = sentencepiece_codec.Pieces(sentencepiece_codec.MODEL)
+    for algorithm, function in sentencepiece_codec.ALGORITHMS.items():
+        long = function(model, words)
+        sentencepiece_codec.LONG, kept = 10**6, sentencepiece_codec.LONG
+        try:
+            together = function(model, words)
+        finally:
+            sentencepiece_codec.LONG = kept
+        assert all(np.array_equal(a, b) for a, b in zip(long, together)), algorithm
+    whole = "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEF0123456789+/") for _ in range(100_000))
+    data, offsets = textcore.column_bytes(pa.array([whole]))
+    began = time.time()
+    ids = {a: sentencepiece_codec.encode_block(data, offsets, algorithm=a)[0] for a in sentencepiece_codec.ALGORITHMS}
+    assert time.time() - began < 60
+    sp = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(sentencepiece_codec.MODEL))
+    assert ids["merges"].tolist() == sp.encode(whole)
+
+
 def test_viterbi_is_the_best_of_all_segmentations():
     model = sentencepiece_codec.Pieces(sentencepiece_codec.MODEL)
     import public_tokenizers
