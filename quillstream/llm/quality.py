@@ -1,8 +1,9 @@
 """Document quality by attention-based multiple-instance learning.
 
-A document is a bag of passages of PASSAGE words. Every passage is encoded (surface statistics of its bytes and words,
-then a learned layer), a gated attention learned from document labels alone weighs the passages, and the weighted
-representation is scored. Training runs in numpy on a bounded sample of labelled rows; scoring runs in tasks.
+A document is a bag of passages of PASSAGE words, all of them. Every passage is encoded by a learned layer over its words
+(the mean of embeddings learned for WORDS hashes of lower-cased words) and surface statistics of its bytes and words; a
+gated attention learned from document labels alone weighs the passages, and the weighted representation is scored.
+Training runs in numpy on a bounded sample of labelled rows; scoring runs in tasks.
 """
 
 from __future__ import annotations
@@ -15,11 +16,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillstream.llm.stage import fold
-from quillstream.llm.textcore import Words, blocks
+from quillstream.llm.textcore import Words, blocks, ragged
 
 PASSAGE = 48
-SAMPLE = 6_000  # most labelled documents that are learned from
-SAMPLE_PASSAGES = 64  # of each, spread evenly over its text
+SAMPLE = 6_000  # most labelled documents that are learned from, each by its whole text
+WORDS = 4_096  # hashes of words that have an embedding
+STEPS = 150  # of training, at least
 THRESHOLD = 0.3
 HIDDEN, GATE = 16, 8
 
@@ -31,8 +33,28 @@ _CLASS[128:] = len(_CLASSES) + 1
 N_FEATURES = len(_CLASSES) + 2 + 7
 
 
-def passages(data: np.ndarray, offsets: np.ndarray, size: int = PASSAGE) -> tuple[np.ndarray, np.ndarray]:
-    """(features of every passage, first passage of each row). A row without words has one passage of zeros."""
+class Bags:
+    """Passages of some documents: features x, hashed words of all passages (words, with the first of each passage) and
+    the first passage of each document. A document without words has one passage of zeros and no words."""
+
+    def __init__(self, x: np.ndarray, words: np.ndarray, word_at: np.ndarray, first: np.ndarray):
+        self.x, self.words, self.word_at, self.first = x, words, word_at, first
+
+    def take(self, docs: np.ndarray) -> Bags:
+        n = np.diff(self.first)[docs]
+        rows = ragged(self.first[:-1][docs], n)
+        size = np.diff(self.word_at)[rows]
+        return Bags(self.x[rows], self.words[ragged(self.word_at[:-1][rows], size)], np.r_[0, np.cumsum(size)], np.r_[0, np.cumsum(n)])
+
+    @classmethod
+    def joined(cls, parts: list[Bags]) -> Bags:
+        if not parts:
+            return cls(np.zeros((0, N_FEATURES)), np.zeros(0, np.uint16), np.zeros(1, np.int64), np.zeros(1, np.int64))
+        ends = lambda at: np.r_[0, np.cumsum(np.concatenate([np.diff(a) for a in at]))].astype(np.int64)
+        return cls(np.concatenate([p.x for p in parts]), np.concatenate([p.words for p in parts]), ends([p.word_at for p in parts]), ends([p.first for p in parts]))
+
+
+def passages(data: np.ndarray, offsets: np.ndarray, size: int = PASSAGE) -> Bags:
     words = Words(data, offsets)
     rows = len(offsets) - 1
     n_words = np.diff(words.first)
@@ -40,7 +62,7 @@ def passages(data: np.ndarray, offsets: np.ndarray, size: int = PASSAGE) -> tupl
     first = np.r_[0, np.cumsum(n)]
     out = np.zeros((first[-1], N_FEATURES))
     if not len(words.starts):
-        return out, first
+        return Bags(out, np.zeros(0, np.uint16), np.zeros(first[-1] + 1, np.int64), first)
     row = words.row
     passage = first[row] + (np.arange(len(row)) - words.first[row]) // size
     begin = np.flatnonzero(np.r_[True, passage[1:] != passage[:-1]])
@@ -70,7 +92,8 @@ def passages(data: np.ndarray, offsets: np.ndarray, size: int = PASSAGE) -> tupl
     order = np.lexsort((hashes, passage))
     fresh = np.r_[True, (hashes[order][1:] != hashes[order][:-1]) | (passage[order][1:] != passage[order][:-1])]
     out[at, N_FEATURES - 1] = np.bincount(passage[order][fresh], minlength=first[rows])[at] / count
-    return out, first
+    lower = Words(data, offsets, lower=True).hashes()
+    return Bags(out, ((lower >> np.uint64(40)) % np.uint64(WORDS)).astype(np.uint16), np.r_[0, np.cumsum(np.bincount(passage, minlength=first[rows]))], first)
 
 
 class Model:
@@ -79,18 +102,23 @@ class Model:
     def __init__(self, weights: dict[str, np.ndarray]):
         self.w = weights
 
-    def forward(self, x: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, dict]:
-        w = self.w
-        x = (x - w["mean"]) / w["scale"]
+    def forward(self, bags: Bags) -> tuple[np.ndarray, dict]:
+        w, first = self.w, bags.first
+        x = (bags.x - w["mean"]) / w["scale"]
         bag = np.repeat(np.arange(len(first) - 1), np.diff(first))
-        h = np.tanh(x @ w["E"] + w["e"])
+        size = np.diff(bags.word_at)
+        full = np.flatnonzero(size)
+        lexical = np.zeros((len(x), HIDDEN))
+        if len(full):
+            lexical[full] = np.add.reduceat(w["T"][bags.words], bags.word_at[:-1][full], axis=0) / size[full, None]
+        h = np.tanh(x @ w["E"] + lexical + w["e"])
         t, g = np.tanh(h @ w["V"]), 1 / (1 + np.exp(-(h @ w["U"])))
         s = (t * g) @ w["a"]
         s = np.exp(s - np.maximum.reduceat(s, first[:-1])[bag])
         attention = s / np.add.reduceat(s, first[:-1])[bag]
         z = np.add.reduceat(attention[:, None] * h, first[:-1], axis=0)
         p = 1 / (1 + np.exp(-np.clip(z @ w["c"] + w["b"], -30, 30)))
-        return p, {"x": x, "h": h, "t": t, "g": g, "attention": attention, "z": z, "bag": bag}
+        return p, {"x": x, "bags": bags, "h": h, "t": t, "g": g, "attention": attention, "z": z, "bag": bag}
 
     def gradients(self, y: np.ndarray, p: np.ndarray, k: dict, weight: np.ndarray) -> dict[str, np.ndarray]:
         w, bag = self.w, k["bag"]
@@ -101,16 +129,26 @@ class Model:
         ds = k["attention"] * (from_z - mean[bag])
         dt, dg = ds[:, None] * w["a"] * k["g"] * (1 - k["t"] ** 2), ds[:, None] * w["a"] * k["t"] * k["g"] * (1 - k["g"])
         dh = (k["attention"][:, None] * dz[bag] + dt @ w["V"].T + dg @ w["U"].T) * (1 - k["h"] ** 2)
-        return {"E": k["x"].T @ dh, "e": dh.sum(0), "V": k["h"].T @ dt, "U": k["h"].T @ dg, "a": (k["t"] * k["g"]).T @ ds, "c": k["z"].T @ d, "b": d.sum()}
-
-
-def train(x: np.ndarray, first: np.ndarray, y: np.ndarray, epochs: int = 60, batch: int = 256, rate: float = 0.01, seed: int = 7) -> Model:
+        bags = k["bags"]
+        size = np.diff(bags.word_at)
+        order = np.argsort(bags.words, kind="stable")
+        of_word = (dh / np.maximum(size, 1)[:, None])[np.repeat(np.arange(len(size)), size)[order]]
+        held = bags.words[order]
+        starts = np.flatnonzero(np.r_[True, held[1:] != held[:-1]][: len(held)])
+        dT = np.zeros_like(w["T"])
+        if len(held):
+            dT[held[starts]] = np.add.reduceat(of_word, starts, axis=0)
+        return {"T": dT, "E": k["x"].T @ dh, "e": dh.sum(0), "V": k["h"].T @ dt, "U": k["h"].T @ dg, "a": (k["t"] * k["g"]).T @ ds, "c": k["z"].T @ d, "b": d.sum()}
+
+
+def train(bags: Bags, y: np.ndarray, epochs: int = 16, batch: int = 256, rate: float = 0.015, seed: int = 7) -> Model:
     """Adam on the logistic loss of the documents' labels; both classes weigh the same in total, within 4 to 1."""
+    x = bags.x
     rng = np.random.default_rng(seed)
     scale = x.std(0) if len(x) else np.ones(N_FEATURES)
     w = {"mean": x.mean(0) if len(x) else np.zeros(N_FEATURES), "scale": np.where(scale > 1e-9, scale, 1.0)}
     w |= {k: rng.normal(0, 0.3, s) for k, s in {"E": (N_FEATURES, HIDDEN), "V": (HIDDEN, GATE), "U": (HIDDEN, GATE), "a": GATE, "c": HIDDEN}.items()}
-    w |= {"e": np.zeros(HIDDEN), "b": np.array(0.0)}
+    w |= {"e": np.zeros(HIDDEN), "b": np.array(0.0), "T": np.zeros((WORDS, HIDDEN))}
     model = Model(w)
     if len(y) == 0:
         return model
@@ -118,13 +156,11 @@ def train(x: np.ndarray, first: np.ndarray, y: np.ndarray, epochs: int = 60, bat
     weight = np.where(y == 1, 0.5 / share, 0.5 / (1 - share)) if 0 < y.mean() < 1 else np.ones(len(y))
     weight = np.clip(weight, 0.5, 2)
     moments, step = {}, 0
-    for _ in range(epochs):
+    for _ in range(max(epochs, STEPS // max(1, len(y) // batch))):
         order = rng.permutation(len(y))
         for a in range(0, len(y), batch):
             own = order[a : a + batch]
-            n = np.diff(first)[own]
-            rows = np.concatenate([np.arange(first[i], first[i + 1]) for i in own.tolist()])
-            p, kept = model.forward(x[rows], np.r_[0, np.cumsum(n)])
+            p, kept = model.forward(bags.take(own))
             step += 1
             for name, g in model.gradients(y[own], p, kept, weight[own]).items():
                 g = g + 1e-4 * w[name]
@@ -139,7 +175,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Learns labels.quality from labelled rows whose fold is not 0: the `sample` first by a hash of their doc_id.
 
     Several labels of one document are averaged (a half counts as 1); null labels, labels without a document and null
-    texts are left out.
+    texts are left out. Without any label the model is as it was before training.
     """
     chosen = labels.where("quality is not null and doc_id is not null").where(fold("doc_id") != 0)
     chosen = chosen.groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("int").alias("_y"))
@@ -149,27 +185,27 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, data, offsets in blocks(batch, "text"):
-                x, first = passages(data, offsets)
-                out = []
-                for row in range(b - a):
-                    n = first[row + 1] - first[row]
-                    pick = first[row] + np.unique(np.linspace(0, n - 1, min(n, SAMPLE_PASSAGES)).astype(int))
-                    out.append(x[pick].astype("<f8").tobytes())
-                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], batch.column(2)[a:b], pa.array(out, pa.binary())], names=["doc_id", "y", "x"])
+                bags = passages(data, offsets)
+                own = [bags.take(np.array([row])) for row in range(b - a)]
+                columns = [[f(o).tobytes() for o in own] for f in (lambda o: o.x.astype("<f8"), lambda o: o.words.astype("<u2"), lambda o: np.diff(o.word_at).astype("<i4"))]
+                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], batch.column(2)[a:b], *(pa.array(c, pa.binary()) for c in columns)], names=["doc_id", "y", "x", "words", "sizes"])
 
-    # At most `sample` documents of SAMPLE_PASSAGES passages each.
-    found = sorted(rows.mapInArrow(features, "doc_id long, y int, x binary").collect(), key=lambda r: (r["doc_id"], r["x"]))
-    bags = [np.frombuffer(r["x"], "<f8").reshape(-1, N_FEATURES) for r in found]
-    x = np.concatenate(bags) if bags else np.zeros((0, N_FEATURES))
-    return train(x, np.r_[0, np.cumsum([len(b) for b in bags])].astype(int), np.array([r["y"] for r in found], float))
+    # At most `sample` documents.
+    found = sorted(rows.mapInArrow(features, "doc_id long, y int, x binary, words binary, sizes binary").collect(), key=lambda r: (r["doc_id"], r["x"]))
+    bags = []
+    for r in found:
+        x = np.frombuffer(r["x"], "<f8").reshape(-1, N_FEATURES)
+        bags.append(Bags(x, np.frombuffer(r["words"], "<u2"), np.r_[0, np.cumsum(np.frombuffer(r["sizes"], "<i4"))].astype(np.int64), np.array([0, len(x)])))
+    return train(Bags.joined(bags), np.array([r["y"] for r in found], float))
 
 
 def _scored(batch: pa.RecordBatch, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Score, number of passages and the passage of most attention of each row."""
     score, n, best = [np.zeros(0)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for _, _, data, offsets in blocks(batch, "text"):
-        x, first = passages(data, offsets)
-        p, kept = model.forward(x, first)
+        bags = passages(data, offsets)
+        first = bags.first
+        p, kept = model.forward(bags)
         order = np.lexsort((kept["attention"], kept["bag"]))
         score.append(p)
         n.append(np.diff(first))
@@ -178,8 +214,12 @@ def _scored(batch: pa.RecordBatch, model: Model) -> tuple[np.ndarray, np.ndarray
 
 
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, score (0 to 1), predicted, n_passages, best_passage of every row, null and empty texts (one passage of
-    zeros) and repeated rows included; whole texts; no column but doc_id and text is read."""
+    """doc_id, score (0 to 1), predicted, n_passages, best_passage of every row.
+
+    Null and empty texts have one passage of zeros; repeated rows and rows that share a doc_id, or have none, are scored
+    each; texts of any length are scored whole. Of passages with equal attention the last is best_passage. An empty
+    table gives no rows; no column but doc_id and text is read.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -191,7 +231,8 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
 
 
 def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of docs that score at least the threshold, with all their columns."""
+    """The rows of docs that score at least the threshold, with all their columns; null and empty texts, repeated rows and
+    very long texts as in score()."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
