@@ -13,7 +13,7 @@ VOID = set("area base br col embed hr img input link meta source track wbr".spli
 # Elements that are no content, and body selectors in order of preference.
 CHROME = ["nav", "footer", "header", "script", "style"]
 BODY_TAGS = ["article", "main", "body"]
-ELEMENTS = "page_id long, pos int, end_pos int, tag string, href string, kind string, rel string, classes string, label string, text string"
+ELEMENTS = "page_id long, pos int, end_pos int, tag string, href string, kind string, rel string, classes string, label string, text string, inner string"
 
 
 class _Elements(HTMLParser):
@@ -25,7 +25,7 @@ class _Elements(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         self.n += 1
-        row = {"pos": self.n, "end": None, "tag": tag, "attrs": dict(attrs), "text": []}
+        row = {"pos": self.n, "end": None, "tag": tag, "attrs": dict(attrs), "text": [], "inner": []}
         self.rows.append(row)
         if tag in VOID:
             row["end"] = self.n
@@ -49,6 +49,9 @@ class _Elements(HTMLParser):
     def handle_data(self, data):
         if self.open:
             self.open[-1]["text"].append(data)
+        for row in self.open:
+            if row["tag"] == "a":
+                row["inner"].append(data)
 
     def finish(self):
         self.close()
@@ -59,11 +62,12 @@ class _Elements(HTMLParser):
 
 
 def elements(pages: DataFrame) -> DataFrame:
-    """A row for every element of pages(page_id, html): pos and end_pos enclose those of what it holds; text is its own."""
+    """A row for every element of pages(page_id, html): pos and end_pos enclose those of what it holds; text is its own,
+    inner (of links) that of all it holds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in ELEMENTS.split(", ")]
-        types = [pa.int64(), pa.int32(), pa.int32()] + [pa.string()] * 7
+        types = [pa.int64(), pa.int32(), pa.int32()] + [pa.string()] * 8
         for batch in batches:
             for a in range(0, len(batch), 200):
                 out = []
@@ -72,7 +76,7 @@ def elements(pages: DataFrame) -> DataFrame:
                     parser.feed(text or "")
                     for r in parser.finish():
                         t = r["attrs"]
-                        out.append((page, r["pos"], r["end"], r["tag"], t.get("href"), t.get("type"), t.get("rel"), t.get("class"), t.get("aria-label"), " ".join("".join(r["text"]).split())))
+                        out.append((page, r["pos"], r["end"], r["tag"], t.get("href"), t.get("type"), t.get("rel"), t.get("class"), t.get("aria-label"), " ".join("".join(r["text"]).split()), " ".join(" ".join(r["inner"]).split()) if r["tag"] == "a" else None))
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), types, strict=True)], names=names)
 
@@ -91,7 +95,7 @@ def without_chrome(rows: DataFrame, chrome: list[str] = CHROME) -> DataFrame:
 
 def links(rows: DataFrame) -> DataFrame:
     """(page_id, pos, href, label) of anchors with a link."""
-    return rows.where("tag = 'a' and href is not null").select("page_id", "pos", "href", F.coalesce("label", "text").substr(1, 100).alias("label"))
+    return rows.where("tag = 'a' and href is not null").select("page_id", "pos", F.trim("href").alias("href"), F.coalesce(F.nullif("label", F.lit("")), "inner").substr(1, 100).alias("label"))
 
 
 def tag_counts(rows: DataFrame, tags: list[str]) -> DataFrame:
@@ -157,4 +161,34 @@ def body_by_rules(rows: DataFrame, rules: DataFrame, least: int = 100) -> DataFr
 
 def feeds(rows: DataFrame) -> DataFrame:
     """(page_id, pos, href) of linked RSS and Atom feeds."""
-    return rows.where("tag = 'link' and href is not null").where(F.lower("rel").contains("alternate") & F.lower("kind").rlike("rss|atom")).select("page_id", "pos", "href")
+    kind = F.lower(F.coalesce("kind", F.lit("")))
+    return rows.where("tag = 'link' and trim(href) <> ''").where(F.lower("rel").contains("alternate") & (kind.contains("rss+xml") | kind.contains("atom+xml"))).select("page_id", "pos", F.trim("href").alias("href"))
+
+
+@F.udtf(returnType="pos int, href string, label string")
+class HtmlLinks:
+    """html_links(html): links of one page as rows, for LATERAL joins in SQL."""
+
+    def eval(self, page: str):
+        parser = _Elements()
+        parser.feed(page or "")
+        for r in parser.finish():
+            if r["tag"] == "a" and r["attrs"].get("href") is not None:
+                yield r["pos"], r["attrs"]["href"].strip(), (r["attrs"].get("aria-label") or " ".join(" ".join(r["inner"]).split()))[:100]
+
+
+@F.udtf(returnType="pos int, end_pos int, tag string, classes string, text string")
+class HtmlElements:
+    """html_elements(html): elements of one page as rows, for LATERAL joins in SQL."""
+
+    def eval(self, page: str):
+        parser = _Elements()
+        parser.feed(page or "")
+        for r in parser.finish():
+            yield r["pos"], r["end"], r["tag"], r["attrs"].get("class"), " ".join("".join(r["text"]).split())
+
+
+def register(spark) -> None:
+    """html_links and html_elements as table functions of the session."""
+    spark.udtf.register("html_links", HtmlLinks)
+    spark.udtf.register("html_elements", HtmlElements)

@@ -135,29 +135,6 @@ def research_links(read):
     return ingest.top_n(firsts, ["page_id"], [F.col("pos")], 20).select("page_id", "link", "rn")
 
 
-@query(f"""WITH p AS (SELECT page_id, {SQL_HOST} AS host, rtrim(regexp_extract(url, '{urls.ORIGIN}', 1) || {SQL_PATH}, '/') AS canon, {SQL_PATH} AS path FROM pages)
-SELECT a.page_id, b.page_id AS target FROM p a JOIN p b ON a.host = b.host AND a.path = b.path AND a.page_id <> b.page_id
-UNION SELECT page_id, page_id FROM p WHERE len(list_filter(string_split(path, '/'), lambda x: x <> '')) >= 2""")
-def article_links(read):
-    url = F.col("url")
-    p = read("pages").select("page_id", urls.host(url).alias("host"), urls.path(url).alias("path"))
-    deep = p.where(F.size(F.filter(F.split("path", "/"), lambda x: x != "")) >= 2).select("page_id", F.col("page_id").alias("target"))
-    same = p.join(p.withColumnRenamed("page_id", "target"), ["host", "path"]).where("page_id <> target").select("page_id", "target")
-    return same.unionByName(deep).distinct()
-
-
-@query(f"""WITH {LINKS}, roots AS (SELECT host, min(page_id) AS page_id FROM (SELECT page_id, {SQL_HOST} AS host FROM pages) GROUP BY host),
-hop AS (SELECT DISTINCT l.host, l.link FROM good_links l JOIN roots r ON l.page_id = r.page_id WHERE l.pos < 3),
-p AS (SELECT page_id, {SQL_HOST} AS host FROM pages)
-SELECT h.host, count(DISTINCT h.link) AS links, count(DISTINCT p.page_id) AS pages FROM hop h JOIN p ON p.host = h.host GROUP BY h.host""")
-def two_hop(read):
-    p = read("pages").select("page_id", urls.host(F.col("url")).alias("host"))
-    roots = p.groupBy("host").agg(F.min("page_id").alias("page_id"))
-    hop = page_links(read).where("pos < 3").join(roots.select("page_id"), "page_id", "left_semi").select("host", "link").distinct()
-    links, sizes = hop.groupBy("host").agg(F.count(F.lit(1)).alias("links")), p.groupBy("host").agg(F.count_distinct("page_id").alias("pages"))
-    return links.join(sizes, "host").select("host", "links", "pages")
-
-
 @query(f"""WITH {LINKS} SELECT l.page_id, count(*) AS n_new FROM good_links l WHERE NOT EXISTS (
 SELECT 1 FROM good_links o JOIN pages q ON q.page_id = o.page_id WHERE contains(q.url, '/en/') AND o.link = l.link) AND NOT contains((SELECT url FROM pages q WHERE q.page_id = l.page_id), '/en/') GROUP BY 1""")
 def new_articles_anti(read):
@@ -190,11 +167,6 @@ def screen_verdict(read):
     return funnel.screen_verdict(rows.withColumn("estimate", estimate).withColumn("h2", F.expr("h2 div 2"))).select("page_id", "estimate", "index_signals", "reason")
 
 
-@query()
-def page_links_dom(read):
-    return html.links(html.elements(read("pages")))
-
-
 @query()
 def element_counts(read):
     return html.tag_counts(html.elements(read("pages")), ["article", "p", "li", "a", "time", "h2"])
