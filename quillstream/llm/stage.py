@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import functools
-import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 
@@ -12,18 +12,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillstream.sources.shared import shared_folder
 
-def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir as the cluster names it; a temporary folder only where it is unset (local runs, tests)."""
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = "file://" + tempfile.mkdtemp(prefix="quill-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named.rstrip("/")
 
+class _Tables(threading.local):
+    """Of a thread: the tables that `written` made inside the pipeline stage that runs, and those of the one before."""
 
-_recording: list[str] | None = None
-_left: list[str] = []
+    made: list[str] | None = None
+    left: tuple[str, ...] = ()
+
+
+_tables = _Tables()
 
 
 def pipeline_stage(function):
@@ -32,17 +31,15 @@ def pipeline_stage(function):
 
     @functools.wraps(function)
     def run(spark: SparkSession, *args, **named) -> DataFrame:
-        global _recording
         jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-        while _left:
-            path = jvm.org.apache.hadoop.fs.Path(_left.pop())
+        for name in _tables.left:
+            path = jvm.org.apache.hadoop.fs.Path(name)
             path.getFileSystem(conf).delete(path, True)
-        _recording = []
+        _tables.made, _tables.left = [], ()
         try:
             return function(spark, *args, **named)
         finally:
-            _left.extend(_recording)
-            _recording = None
+            _tables.made, _tables.left = None, tuple(_tables.made)
 
     return run
 
@@ -50,8 +47,8 @@ def pipeline_stage(function):
 def written(df: DataFrame, name: str) -> DataFrame:
     """The table, written as Parquet in the shared folder and read back: cuts lineage, outlives lost executors."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    if _recording is not None:
-        _recording.append(path)
+    if _tables.made is not None:
+        _tables.made.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -1,9 +1,9 @@
 """WARC archives of pages: writing, normalising whole-file gzip streams, and reading back by offset.
 
 Every task streams its pages into archives of about ARCHIVE_BYTES, each a single gzip member under the shared folder. The normaliser inflates such a stream once, in chunks, rewrites every record as its own member, and writes a
-sidecar index of offsets; readers then inflate single records. Files get their final name only when complete, and the
-name follows from the partition, so a task that runs again leaves the same files. Records with equal payloads of at
-least REVISIT_BYTES point to the one with the smallest page_id; groups are found by the tree of `tree_merge`.
+sidecar index of offsets; readers then inflate single records. Every attempt of a task writes files of its own name, and
+only those that the stored manifest lists count, so a task may run again at any time and nothing is ever moved or
+overwritten (what a lost attempt has written is left over). Records with equal payloads of at least REVISIT_BYTES point to the one with the smallest page_id; groups are found by the tree of `tree_merge`.
 """
 
 from __future__ import annotations
@@ -69,14 +69,23 @@ def record(page_id, url, payload: bytes, digest: str, size: int, refers_to) -> b
 
 
 class _File:
-    """A file in the shared folder that gets its name when it is complete."""
+    """A file in the shared folder with a name of its own; `end` follows it."""
 
-    def __init__(self, folder: str, name: str):
+    def __init__(self, folder: str, name: str, end: str = ".warc.gz"):
         self.fs, root = pyarrow.fs.FileSystem.from_uri(folder)
         self.fs.create_dir(root, recursive=True)
-        self.path, self.draft = f"{root}/{name}", f"{root}/.{name}-{uuid.uuid4().hex}"
-        self.out = self.fs.open_output_stream(self.draft, compression=None)
-        self.at = 0
+        self._open(f"{root}/{name}-{uuid.uuid4().hex}{end}")
+
+    def _open(self, path: str) -> None:
+        self.path, self.at = path, 0
+        self.out = self.fs.open_output_stream(path, compression=None)
+
+    def beside(self, end: str) -> _File:
+        """A file whose name is this one's and `end`."""
+        other = object.__new__(_File)
+        other.fs = self.fs
+        other._open(self.path + end)
+        return other
 
     def write(self, data: bytes) -> None:
         self.out.write(data)
@@ -84,7 +93,6 @@ class _File:
 
     def done(self) -> str:
         self.out.close()
-        self.fs.move(self.draft, self.path)
         return self.path
 
 
@@ -108,7 +116,7 @@ def write_archives(records: DataFrame, folder: str, archive_bytes: int) -> DataF
                         yield finish()
                         file, number = None, number + 1
                     if not file:
-                        file, packer, n, size = _File(folder, f"archive-{part:06d}-{number:05d}.warc.gz"), zlib.compressobj(6, wbits=31), 0, 0
+                        file, packer, n, size = _File(folder, f"archive-{part:06d}-{number:05d}"), zlib.compressobj(6, wbits=31), 0, 0
                     raw = record(r["page_id"], r["url"], (r["html"] or "").encode(), r["payload_digest"], r["payload_bytes"], r["refers_to"])
                     file.write(packer.compress(raw))
                     n, size = n + 1, size + len(raw)
@@ -175,8 +183,8 @@ def normalise(manifest: DataFrame, folder: str) -> DataFrame:
         for batch in batches:
             for r in batch.to_pylist():
                 fs, _ = pyarrow.fs.FileSystem.from_uri(folder)
-                name = r["path"].rsplit("/", 1)[-1]
-                file, index, n = _File(folder, f"members-{name}"), _File(folder, f"members-{name}.index"), 0
+                file, n = _File(folder, f"members-{r['archive']:011d}"), 0
+                index = file.beside(".index")
                 with fs.open_input_stream(r["path"], compression=None) as stream:
                     for head, raw in split_records(inflated(stream)):
                         packer = zlib.compressobj(6, wbits=31)
