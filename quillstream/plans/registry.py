@@ -167,25 +167,11 @@ def screen_verdict(read):
     return funnel.screen_verdict(rows.withColumn("estimate", estimate).withColumn("h2", F.expr("h2 div 2"))).select("page_id", "estimate", "index_signals", "reason")
 
 
-@query()
-def element_counts(read):
-    return html.tag_counts(html.elements(read("pages")), ["article", "p", "li", "a", "time", "h2"])
-
-
 @query()
 def body_text_dom(read):
     return html.body_text(html.elements(read("pages")), 101)
 
 
-CARD_RULES = [("", "article", None, "h1", None)]  # one layout for all hosts of the driver's pages
-
-
-@query()
-def listing_cards(read):
-    rows = html.elements(read("pages")).withColumn("source_id", F.lit(""))
-    return html.cards(rows, F.broadcast(html.card_rules(rows.sparkSession, CARD_RULES)))
-
-
 @query()
 def body_by_rules(read):
     rows = html.elements(read("pages")).withColumn("source_id", F.lit(""))
