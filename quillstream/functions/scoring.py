@@ -47,9 +47,10 @@ def _points(test: Column, n: int = 1) -> Column:
     return F.when(test, n).otherwise(0)
 
 
-def structure_score(html: Column) -> Column:
-    """Share of positive points among all points of the markup's signs; 0.0 for empty html."""
-    page = F.lower(html)
+def structure_score(html: Column, low: Column | None = None) -> Column:
+    """Share of positive points among all points of the markup's signs; 0.0 for empty html. low: lower(html), where it
+    stands in a column of its own already."""
+    page = F.lower(html) if low is None else low
     articles, times, pdfs = (F.regexp_count(page, F.lit(p)) for p in (ARTICLE, TIME, PDF))
     good = reduce(add, [F.least(articles, F.lit(2)), F.least(times, F.lit(1)), F.least(pdfs, F.lit(3))] + [_points(page.rlike(p)) for p in SIGNS_FOR])
     bad = reduce(add, [_points(page.rlike(p), n) for p, n in SIGNS_AGAINST] + [_points((articles == 0) & (pdfs == 0) & (times == 0), 2)])
@@ -61,8 +62,8 @@ def phrase_count(text: Column, phrases: list[str]) -> Column:
     return reduce(add, [_points(F.contains(text, F.lit(p))) for p in phrases])
 
 
-def gate_penalty(html: Column, phrases: list[str] = WALL_PHRASES + NOTICE_PHRASES) -> Column:
-    return F.least(F.lit(1.0), F.coalesce(phrase_count(F.lower(html), phrases), F.lit(0)) * F.lit(0.15))
+def gate_penalty(html: Column, phrases: list[str] = WALL_PHRASES + NOTICE_PHRASES, low: Column | None = None) -> Column:
+    return F.least(F.lit(1.0), F.coalesce(phrase_count(F.lower(html) if low is None else low, phrases), F.lit(0)) * F.lit(0.15))
 
 
 def final_score(domain: Column, path: Column, structure: Column, gate: Column, weights: dict[str, float | Column] = WEIGHTS) -> Column:

@@ -12,16 +12,25 @@ def day_or_epoch() -> Column:
     return F.coalesce("date", F.lit("1970-01-01").cast("date"))
 
 
+def numbered(rows: DataFrame, keys: list[str], name: str = "position", block: int = 100_000) -> DataFrame:
+    """rows(keys.., date, seq) numbered within their keys, newest first, undated last, ties by seq. Rows are numbered in
+    blocks of seq within a day and shifted by the rows before, so that neither a large key nor a large day is one task;
+    the counts that are summed in one place are one for each day and block."""
+    rows = rows.withColumn("_day", day_or_epoch()).withColumn("_block", F.expr(f"seq div {block}"))
+    place = [*keys, "_day", "_block"]
+    counts = rows.groupBy(*place).agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(*keys).orderBy(F.desc("_day"), "_block").rowsBetween(Window.unboundedPreceding, -1))
+    shifted = rows.join(counts.select(*place, F.coalesce(before, F.lit(0)).alias("_before")), place)
+    own = F.row_number().over(Window.partitionBy(*place).orderBy("seq"))
+    return shifted.withColumn(name, (own + F.col("_before")).cast("long")).drop("_day", "_block", "_before")
+
+
 def timeline(articles: DataFrame, visible: int = 20) -> DataFrame:
-    """Newest first, ties in the order they were stored, with the first page marked. The last step of a view: it numbers
-    all rows in one order, so range partitions are numbered on their own and shifted by the rows before them."""
-    order = [F.desc("_day"), F.asc("seq")]
-    rows = articles.withColumn("_day", day_or_epoch())
-    days = rows.groupBy("_day").agg(F.count(F.lit(1)).alias("_n"))
-    before = F.coalesce(F.sum("_n").over(Window.orderBy(F.desc("_day")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    shifted = rows.join(days.select("_day", before.alias("_before")), "_day")
-    own = F.row_number().over(Window.partitionBy("_day").orderBy(*order[1:]))
-    return shifted.withColumn("position", (own + F.col("_before")).cast("long")).withColumn("visible", F.col("position") <= visible).drop("_day", "_before")
+    """Newest first, ties in the order they were stored, with the first page marked and how many rows are left after
+    each."""
+    total = articles.agg(F.count(F.lit(1)).alias("_total"))
+    rows = numbered(articles, []).withColumn("visible", F.col("position") <= visible)
+    return rows.crossJoin(F.broadcast(total)).withColumn("remaining", F.col("_total") - F.col("position")).drop("_total")
 
 
 def theme_counts(articles: DataFrame) -> DataFrame:
@@ -31,7 +40,8 @@ def theme_counts(articles: DataFrame) -> DataFrame:
 
 
 def theme_clusters(articles: DataFrame, as_of: Column) -> DataFrame:
-    """Clusters by first theme (General without): size, size of the last week, whether several sources take part."""
+    """Clusters by first theme (General without): size, size of the last week, whether several sources take part; in
+    order: largest first, General last, ties by the first article."""
     first = F.coalesce(F.try_element_at("themes", F.lit(1)), F.lit(GENERAL))
     rows = articles.withColumn("cluster", first)
     grouped = rows.groupBy("cluster").agg(
@@ -39,15 +49,24 @@ def theme_clusters(articles: DataFrame, as_of: Column) -> DataFrame:
         F.count_if(F.col("date") >= F.date_sub(as_of, 7)).alias("n_week"),
         F.count_distinct("source_id").alias("n_sources"),
         F.array_join(F.array_sort(F.collect_set("source_id")), ",").alias("sources"),
+        F.min("seq").alias("first_seq"),
     )
-    return grouped.withColumn("cross_fund", F.col("n_sources") >= 2).withColumn("last", F.col("cluster") == GENERAL)
+    grouped = grouped.withColumn("cross_fund", F.col("n_sources") >= 2).withColumn("last", F.col("cluster") == GENERAL)
+    # As many clusters as there are themes.
+    order = F.row_number().over(Window.orderBy("last", F.desc("n"), "first_seq"))
+    return grouped.withColumn("place", order)
 
 
 def cluster_members(articles: DataFrame) -> DataFrame:
     """(cluster, id, position) of every article; kept flat, as a cluster has no bound."""
     first = F.coalesce(F.try_element_at("themes", F.lit(1)), F.lit(GENERAL))
-    order = F.row_number().over(Window.partitionBy("cluster").orderBy(F.desc(day_or_epoch()), "seq"))
-    return articles.withColumn("cluster", first).withColumn("position", order).select("cluster", "id", "position")
+    return numbered(articles.withColumn("cluster", first), ["cluster"]).select("cluster", "id", "position")
+
+
+def clusters_with_theme(members: DataFrame, articles: DataFrame, chosen: Column) -> DataFrame:
+    """Members of clusters whose articles, looked up by id, have one of the chosen themes; all if none is chosen."""
+    hit = articles.where((F.size(chosen) == 0) | F.arrays_overlap(F.coalesce("themes", F.array().cast("array<string>")), chosen)).select("id")
+    return members.join(hit, "id", "left_semi")
 
 
 def fund_rollup(sources: DataFrame, articles: DataFrame) -> DataFrame:
@@ -59,9 +78,11 @@ def fund_rollup(sources: DataFrame, articles: DataFrame) -> DataFrame:
 
 
 def fund_distribution(rollup: DataFrame) -> DataFrame:
-    """Funds with articles and their share of the largest one, in percent."""
-    most = rollup.agg(F.max("n").alias("_most"))
-    return rollup.where("n > 0").crossJoin(F.broadcast(most)).select("source_id", "n", F.round(F.col("n") / F.col("_most") * 100, 1).alias("percent"))
+    """Funds with articles and their share of the largest one, in percent; the number of all articles and of such funds
+    stands in every row."""
+    with_any = rollup.where("n > 0")
+    sums = with_any.agg(F.max("n").alias("_most"), F.sum("n").alias("total"), F.count(F.lit(1)).alias("funds"))
+    return with_any.crossJoin(F.broadcast(sums)).select("source_id", "n", F.round(F.col("n") / F.col("_most") * 100, 1).alias("percent"), "total", "funds")
 
 
 def headline(articles: DataFrame, as_of: Column, configured: int = 5) -> DataFrame:

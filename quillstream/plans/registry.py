@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from quillstream.functions import dates, html, scoring, text, urls
 from quillstream.operators import funnel, health, ingest, ranking, views
 from quillstream.plans.base import AS_OF, as_of, query
+from quillstream.sources import shared
 
 # --- pages: scores, gates, links ---------------------------------------------------------------------------------
 
@@ -30,15 +31,15 @@ def _quoted(pattern: str) -> str:
     return pattern.replace("'", "''")
 
 
-def _sql_scores() -> str:
+def _sql_scores(good_words: list[str] = GOOD_WORDS, bad_words: list[str] = BAD_WORDS, phrase_list: list[str] = PHRASES) -> str:
     domain = "greatest(" + ", ".join(f"CASE WHEN host IN ('{d}', 'www.{d}') THEN 1.0::DOUBLE WHEN ends_with(host, '.{d}') THEN 0.8::DOUBLE ELSE 0.0::DOUBLE END" for d in ALLOWED) + ")"
     tokens = "list_distinct(regexp_split_to_array(lower(path), '[/_-]'))"
-    pos, neg = (f"len(list_intersect({tokens}, {_list(w)}))" for w in (GOOD_WORDS, BAD_WORDS))
+    pos, neg = (f"len(list_intersect({tokens}, {_list(w)}))" for w in (good_words, bad_words))
     count = lambda p: f"len(regexp_extract_all(low, '{_quoted(p)}'))"
     flag = lambda p, n=1: f"CASE WHEN regexp_matches(low, '{_quoted(p)}') THEN {n} ELSE 0 END"
     good = " + ".join([f"least({count(scoring.ARTICLE)}, 2)", f"least({count(scoring.TIME)}, 1)", f"least({count(scoring.PDF)}, 3)", *[flag(p) for p in scoring.SIGNS_FOR]])
     bad = " + ".join([*[flag(p, n) for p, n in scoring.SIGNS_AGAINST], f"CASE WHEN {count(scoring.ARTICLE)} + {count(scoring.PDF)} + {count(scoring.TIME)} = 0 THEN 2 ELSE 0 END"])
-    phrases = " + ".join(f"CASE WHEN contains(low, '{p}') THEN 1 ELSE 0 END" for p in PHRASES)
+    phrases = " + ".join(f"CASE WHEN contains(low, '{p}') THEN 1 ELSE 0 END" for p in phrase_list)
     return f"""WITH base AS (SELECT page_id, url, html, lower(html) AS low, {SQL_HOST} AS host, {SQL_PATH} AS path FROM pages),
 parts AS (SELECT page_id, url, host, html, {domain} AS domain_score, {pos} AS pos, {neg} AS neg, {good} AS good, {bad} AS bad, {phrases} AS phrases FROM base),
 scored AS (SELECT page_id, url, host, html, domain_score, CASE WHEN pos + neg = 0 THEN 0.5::DOUBLE ELSE pos::DOUBLE / (pos + neg) END AS path_score,
@@ -52,9 +53,12 @@ SCORES = _sql_scores()
 
 
 def scored_pages(read) -> DataFrame:
-    url, page = F.col("url"), F.col("html")
-    rows = read("pages").select("page_id", "url", "html", urls.host(url).alias("host"), urls.domain_score(url, F.array(*map(F.lit, ALLOWED))).alias("domain_score"), urls.path_score(url, GOOD_WORDS, BAD_WORDS).alias("path_score"), scoring.structure_score(page).alias("structure_score"), scoring.gate_penalty(page, PHRASES).alias("gate_penalty"))
-    return rows.withColumn("final_score", scoring.final_score(*[F.col(c) for c in ("domain_score", "path_score", "structure_score", "gate_penalty")]))
+    """Components and final score of every page. Stored: a filter on a score is then not pushed below the scoring, which
+    would score every page twice."""
+    url, page, low = F.col("url"), F.col("html"), F.col("_low")
+    rows = read("pages").withColumn("_low", F.lower("html"))
+    rows = rows.select("page_id", "url", page.isNotNull().alias("fetched"), urls.host(url).alias("host"), urls.domain_score(url, F.array(*map(F.lit, ALLOWED))).alias("domain_score"), urls.path_score(url, GOOD_WORDS, BAD_WORDS).alias("path_score"), scoring.structure_score(page, low).alias("structure_score"), scoring.gate_penalty(page, PHRASES, low).alias("gate_penalty"))
+    return shared.stored(rows.withColumn("final_score", scoring.final_score(*[F.col(c) for c in ("domain_score", "path_score", "structure_score", "gate_penalty")])), "scores")
 
 
 @query(SCORES + "SELECT page_id, domain_score, path_score, structure_score, round(gate_penalty, 6) AS gate_penalty, round(final_score, 6) AS final_score FROM final")
@@ -76,10 +80,15 @@ def score_bands(read):
 @query(SCORES + """SELECT host, bool_or(status <> 'ok') AS any_bad, sum((status = 'degraded')::INT)::BIGINT AS degraded FROM (
 SELECT host, CASE WHEN html IS NULL THEN 'error' WHEN final_score >= 0.7 THEN 'ok' ELSE 'degraded' END AS status FROM final) GROUP BY host""")
 def health_status(read):
-    rows = scored_pages(read).withColumn("status", scoring.health(F.col("html"), F.col("final_score"), 0.7))
+    rows = scored_pages(read).withColumn("status", scoring.health(F.when(F.col("fetched"), ""), F.col("final_score"), 0.7))
     return rows.groupBy("host").agg(F.bool_or(F.col("status") != "ok").alias("any_bad"), F.count_if(F.col("status") == "degraded").alias("degraded"))
 
 
+@query(_sql_scores(urls.RESEARCH_WORDS, urls.OTHER_WORDS, scoring.WALL_PHRASES + scoring.NOTICE_PHRASES) + "SELECT page_id, round(domain_score, 4) AS domain_score, round(path_score, 4) AS path_score, round(structure_score, 4) AS structure_score, round(gate_penalty, 4) AS gate_penalty, round(final_score, 4) AS final_score FROM final")
+def page_components(read):
+    return read("pages").select("page_id", scoring.page_components(F.col("url"), F.col("html"), F.array(*map(F.lit, ALLOWED))).alias("s")).select("page_id", "s.*")
+
+
 @query(f"SELECT page_id, substr(sha256({SQL_HOST} || ':' || url), 1, 16) AS article_id FROM pages")
 def article_ids(read):
     return read("pages").select("page_id", urls.article_id(urls.host(F.col("url")), F.col("url")).alias("article_id"))
@@ -202,9 +211,9 @@ def articles(read) -> DataFrame:
     return read("documents").select(doc.alias("id"), doc.alias("seq"), F.col("source").alias("source_id"), F.substring(F.split_part("text", F.lit("\n"), F.lit(1)), 1, 40).alias("title"), day.alias("date"), (F.col("n_chars") > 500).alias("summarized"), "n_chars", "lang", "text", themes.alias("themes"))
 
 
-@query(ARTICLES + f"SELECT id, position, position <= 20 AS visible FROM (SELECT id, row_number() OVER (ORDER BY {DAY} DESC, seq) AS position FROM articles)")
+@query(ARTICLES + f"SELECT id, position, position <= 20 AS visible, (SELECT count(*) FROM articles) - position AS remaining FROM (SELECT id, row_number() OVER (ORDER BY {DAY} DESC, seq) AS position FROM articles)")
 def timeline(read):
-    return views.timeline(articles(read).select("id", "seq", "date")).select("id", "position", "visible")
+    return views.timeline(articles(read).select("id", "seq", "date")).select("id", "position", "visible", "remaining")
 
 
 @query(ARTICLES + "SELECT theme, count(*) AS n, min(seq) AS first_seq FROM (SELECT unnest(themes) AS theme, seq FROM articles WHERE summarized) GROUP BY theme")
@@ -216,7 +225,7 @@ CLUSTER = "coalesce(themes[1], 'General')"
 
 
 @query(ARTICLES + f"""SELECT {CLUSTER} AS cluster, count(*) AS n, count(*) FILTER (date >= DATE '{AS_OF}' - 7) AS n_week, count(DISTINCT source_id) AS n_sources,
-string_agg(DISTINCT source_id, ',' ORDER BY source_id) AS sources, count(DISTINCT source_id) >= 2 AS cross_fund, {CLUSTER} = 'General' AS last FROM articles GROUP BY 1, 7""")
+string_agg(DISTINCT source_id, ',' ORDER BY source_id) AS sources, count(DISTINCT source_id) >= 2 AS cross_fund, {CLUSTER} = 'General' AS last, min(seq) AS first_seq, row_number() OVER (ORDER BY {CLUSTER} = 'General', count(*) DESC, min(seq)) AS place FROM articles GROUP BY {CLUSTER}""")
 def theme_clusters(read):
     return views.theme_clusters(articles(read), as_of())
 
@@ -226,13 +235,20 @@ def cluster_members(read):
     return views.cluster_members(articles(read))
 
 
+@query(ARTICLES + f"""SELECT cluster, count(*) AS n, min(position) AS first FROM (SELECT {CLUSTER} AS cluster, themes, row_number() OVER (PARTITION BY {CLUSTER} ORDER BY {DAY} DESC, seq) AS position FROM articles) WHERE list_has_any(themes, ['Macro/Rates', 'Real Estate']) GROUP BY 1""")
+def cluster_theme_filter(read):
+    rows = articles(read)
+    hits = views.clusters_with_theme(views.cluster_members(rows), rows, F.array(F.lit("Macro/Rates"), F.lit("Real Estate")))
+    return hits.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.min("position").alias("first"))
+
+
 @query(ARTICLES + f"""SELECT s.source_id, count(a.id) AS n, count(a.id) FILTER (a.summarized) AS analysed, arg_max_null(a.date, {DAY.replace('date,', 'a.date,')} - DATE '1960-01-01' + 1 - a.seq / 1e12) AS latest
 FROM (SELECT DISTINCT source AS source_id FROM documents) s LEFT JOIN articles a ON a.source_id = s.source_id AND a.n_chars > 300 GROUP BY s.source_id""")
 def fund_rollup(read):
     return views.fund_rollup(read("documents").select(F.col("source").alias("source_id")).distinct(), articles(read).where("n_chars > 300"))
 
 
-@query(ARTICLES + "SELECT source_id, n, round(n / max(n) OVER () * 100, 1) AS percent FROM (SELECT source_id, count(*) AS n FROM articles GROUP BY 1)")
+@query(ARTICLES + "SELECT source_id, n, round(n / max(n) OVER () * 100, 1) AS percent, (sum(n) OVER ())::BIGINT AS total, count(*) OVER () AS funds FROM (SELECT source_id, count(*) AS n FROM articles GROUP BY 1)")
 def fund_distribution(read):
     return views.fund_distribution(articles(read).groupBy("source_id").agg(F.count(F.lit(1)).alias("n")))
 
@@ -268,11 +284,11 @@ def analysis_eligible(read):
     return rows.groupBy("source_id").agg(F.count_if(has & ~F.col("summarized")).alias("eligible"), F.count_if(~has).alias("failed"))
 
 
-@query(ARTICLES + """SELECT source_id, n, untitled, dated, "foreign", untitled = 0 AND dated >= n * 0.8 AND "foreign" = 0 AND n BETWEEN 1 AND 1000000 AS passed FROM (
+@query(ARTICLES + """SELECT source_id, n, untitled, dated, "foreign", untitled = 0 AND dated >= n * 0.8 AND "foreign" = 0 AND n BETWEEN 1 AND 50 AS passed FROM (
 SELECT source_id, count(*) AS n, count(*) FILTER (coalesce(title, '') = '') AS untitled, count(date) AS dated, count(*) FILTER (lang = 'xx') AS "foreign" FROM articles GROUP BY 1)""")
 def quality_audit(read):
     rows = articles(read).withColumn("admitted", F.col("lang") != "xx")
-    ranges = rows.select("source_id").distinct().withColumns({"least": F.lit(1), "most": F.lit(1000000)})
+    ranges = rows.select("source_id").distinct().withColumns({"least": F.lit(1), "most": F.lit(50)})
     return health.audit(rows, ranges)
 
 
