@@ -9,12 +9,17 @@ from quillstream.functions import dates, scoring, text, urls
 from quillstream.plans.base import as_of, query
 from quillstream.plans.registry import ALLOWED, SQL_HOST, SQL_PATH, _quoted
 
-K, DOC = F.col("doc_id"), F.col("text")
+def doc_id() -> Column:
+    return F.col("doc_id")
 
 
-def varied(values: list[str], key: Column = K) -> Column:
+def body() -> Column:
+    return F.col("text")
+
+
+def varied(values: list[str], key: Column | None = None) -> Column:
     """One of the values by key, as the CASE of `sql_varied`."""
-    out = F.lit(values[-1])
+    key, out = doc_id() if key is None else key, F.lit(values[-1])
     for i, v in enumerate(values[:-1]):
         out = F.when(key % len(values) == i, v).otherwise(out)
     return out
@@ -42,7 +47,7 @@ MARKS = ["arrow_forward {} READ MORE", "{} Learn  more", "mail_outline {}", "PRO
 
 @query("SELECT doc_id, " + squeeze(f"regexp_replace(replace({sql_varied(MARKS)}, '{{}}', text), '{text.NOISE[4:]}', '', 'gi')") + " AS clean FROM documents")
 def card_noise(read):
-    return read("documents").select("doc_id", text.without_noise(F.replace(varied(MARKS), F.lit("{}"), DOC)).alias("clean"))
+    return read("documents").select("doc_id", text.without_noise(F.replace(varied(MARKS), F.lit("{}"), body())).alias("clean"))
 
 
 PREFIX = "/content/site/global/en/"
@@ -51,8 +56,8 @@ PREFIX = "/content/site/global/en/"
 @query(f"""SELECT doc_id, CASE WHEN starts_with(a, 'By ') THEN substr(a, 4) ELSE a END AS author, CASE WHEN starts_with(p, '{PREFIX}') THEN '/' || substr(p, {len(PREFIX) + 1}) ELSE p END AS path FROM (
 SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'By ' || text ELSE text END AS a, CASE WHEN doc_id % 2 = 0 THEN '{PREFIX}' ELSE '/x/' END || source AS p FROM documents)""")
 def prefixes_rewritten(read):
-    author = F.when(K % 3 == 0, F.concat(F.lit("By "), DOC)).otherwise(DOC)
-    path = F.concat(F.when(K % 2 == 0, PREFIX).otherwise("/x/"), F.col("source"))
+    author = F.when(doc_id() % 3 == 0, F.concat(F.lit("By "), body())).otherwise(body())
+    path = F.concat(F.when(doc_id() % 2 == 0, PREFIX).otherwise("/x/"), F.col("source"))
     return read("documents").select("doc_id", text.without_prefix(author, "By ").alias("author"), text.without_prefix(path, PREFIX, "/").alias("path"))
 
 
@@ -60,14 +65,14 @@ def prefixes_rewritten(read):
 FROM (SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN source || ' | ' || lang || '|x' WHEN 1 THEN source ELSE lang || '|' || source END AS m FROM documents)""")
 def label_split(read):
     source, lang = F.col("source"), F.col("lang")
-    raw = F.when(K % 3 == 0, F.concat(source, F.lit(" | "), lang, F.lit("|x"))).when(K % 3 == 1, source).otherwise(F.concat(lang, F.lit("|"), source))
+    raw = F.when(doc_id() % 3 == 0, F.concat(source, F.lit(" | "), lang, F.lit("|x"))).when(doc_id() % 3 == 1, source).otherwise(F.concat(lang, F.lit("|"), source))
     first, second = text.split_once(raw, "|")
     return read("documents").select("doc_id", first.alias("first"), second.alias("second"))
 
 
 @query("""SELECT doc_id, substr(text, 1, 100) AS label, md5(substr(text, 1, 15000)) AS prompt, md5(substr(text, 1, 3000)) AS sample, CASE WHEN length(text) > 90 THEN substr(text, 1, 90) || '…' ELSE text END AS notes FROM documents""")
 def truncations(read):
-    return read("documents").select("doc_id", text.cut(DOC, 100).alias("label"), F.md5(text.cut(DOC, 15_000).cast("binary")).alias("prompt"), F.md5(text.cut(DOC, 3000).cast("binary")).alias("sample"), text.shortened(DOC, 90).alias("notes"))
+    return read("documents").select("doc_id", text.cut(body(), 100).alias("label"), F.md5(text.cut(body(), 15_000).cast("binary")).alias("prompt"), F.md5(text.cut(body(), 3000).cast("binary")).alias("sample"), text.shortened(body(), 90).alias("notes"))
 
 
 TEMPLATES = ["Title: {title}. Source: {source}. Text: {content}", "Only metadata. {title} ({source}): {content}"]
@@ -75,19 +80,19 @@ TEMPLATES = ["Title: {title}. Source: {source}. Text: {content}", "Only metadata
 
 @query(f"""SELECT doc_id, sha256(replace(replace(replace({sql_varied(TEMPLATES)}, '{{title}}', lang), '{{source}}', source), '{{content}}', substr(text, 1, 15000))) AS prompt_sha FROM documents""")
 def prompts(read):
-    made = text.prompt(varied(TEMPLATES), {"title": F.col("lang"), "source": F.col("source"), "content": DOC})
+    made = text.prompt(varied(TEMPLATES), {"title": F.col("lang"), "source": F.col("source"), "content": body()})
     return read("documents").select("doc_id", F.sha2(made, 256).alias("prompt_sha"))
 
 
 @query("SELECT doc_id, length(text) AS n FROM documents")
 def bom_stripped(read):
-    return read("documents").select("doc_id", F.length(text.without_bom(F.concat(F.lit("﻿"), DOC))).alias("n"))
+    return read("documents").select("doc_id", F.length(text.without_bom(F.concat(F.lit("﻿"), body()))).alias("n"))
 
 
 @query("""SELECT doc_id, coalesce(nullif(CASE doc_id % 3 WHEN 0 THEN '' WHEN 1 THEN NULL ELSE source END, ''), nullif(CASE WHEN doc_id % 2 = 0 THEN '' ELSE lang END, ''), 'none') AS filled FROM documents""")
 def field_fallbacks(read):
-    a = F.when(K % 3 == 0, "").when(K % 3 == 2, F.col("source"))
-    b = F.when(K % 2 == 0, "").otherwise(F.col("lang"))
+    a = F.when(doc_id() % 3 == 0, "").when(doc_id() % 3 == 2, F.col("source"))
+    b = F.when(doc_id() % 2 == 0, "").otherwise(F.col("lang"))
     return read("documents").select("doc_id", text.first_filled(a, b, F.lit("none")).alias("filled"))
 
 
@@ -109,7 +114,7 @@ def month_years(read):
 @query("""SELECT doc_id, list_has_any(list_transform(string_split(c, ','), lambda x: lower(trim(x))), ['analyst research', 'market commentary', 'white papers', 'market insights']) AS wanted FROM (
 SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'News, Market Commentary' WHEN 1 THEN source ELSE lang || ',White Papers ,x' END AS c FROM documents WHERE doc_id % 4 < 3 OR source IS NOT NULL)""")
 def category_whitelist(read):
-    raw = F.when(K % 4 == 0, "News, Market Commentary").when(K % 4 == 1, F.col("source")).otherwise(F.concat(F.col("lang"), F.lit(",White Papers ,x")))
+    raw = F.when(doc_id() % 4 == 0, "News, Market Commentary").when(doc_id() % 4 == 1, F.col("source")).otherwise(F.concat(F.col("lang"), F.lit(",White Papers ,x")))
     return read("documents").select("doc_id", text.wanted_category(F.split(raw, ",")).alias("wanted"))
 
 
@@ -135,7 +140,7 @@ GATES = ["{}", "{} Accept  all\ncookies", "DISCLAIMER {}", "{} log in\tto read",
 @query(f"""SELECT doc_id, ({' OR '.join(f"contains(low, '{m}')" for m in scoring.GATE_MARKERS + scoring.DISCLAIMER_MARKERS)}) AS gated FROM (
 SELECT doc_id, lower({squeeze(f"replace({sql_varied(GATES)}, '{{}}', text)")}) AS low FROM documents)""")
 def gate_pages(read):
-    return read("documents").select("doc_id", scoring.looks_gated(F.replace(varied(GATES), F.lit("{}"), DOC)).alias("gated"))
+    return read("documents").select("doc_id", scoring.looks_gated(F.replace(varied(GATES), F.lit("{}"), body())).alias("gated"))
 
 
 # --- URLs and scores ----------------------------------------------------------------------------------------------
@@ -170,8 +175,8 @@ def url_only_scores(read):
 
 @query("SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN s + 0.1::DOUBLE WHEN doc_id % 4 = 1 THEN s - 0.1::DOUBLE ELSE s END AS score FROM (SELECT doc_id, (doc_id % 10) / 10.0::DOUBLE AS s FROM documents)")
 def classifier_adjusted(read):
-    sure = F.when(K % 4 < 2, 0.8).when(K % 4 == 2, 0.79)
-    return read("documents").select("doc_id", scoring.adjusted(K % 10 / F.lit(10.0), K % 2 == 0, sure).alias("score"))
+    sure = F.when(doc_id() % 4 < 2, 0.8).when(doc_id() % 4 == 2, 0.79)
+    return read("documents").select("doc_id", scoring.adjusted(doc_id() % 10 / F.lit(10.0), doc_id() % 2 == 0, sure).alias("score"))
 
 
 @query("""SELECT c_custkey, CASE WHEN f IS NULL THEN 'none' WHEN floor(f * 100) >= 70 THEN 'high' WHEN floor(f * 100) >= 50 THEN 'middle' ELSE 'low' END AS fit, CASE WHEN q >= 0.7 THEN 'high' WHEN q >= 0.5 THEN 'middle' ELSE 'low' END AS trial,
@@ -248,8 +253,8 @@ firsts AS (SELECT doc_id, theme, min(pos) AS pos FROM named WHERE theme IS NOT N
 SELECT d.doc_id, coalesce(string_agg(theme, ',' ORDER BY pos), '') AS themes FROM documents d LEFT JOIN firsts f ON f.doc_id = d.doc_id GROUP BY 1""")
 def theme_matching(read):
     themes = F.array(*map(F.lit, text.THEMES))
-    name = lambda k, n: F.lower(F.substring(F.element_at(themes, ((K + k) % 15 + 1).cast("int")), 1, n))
-    raw = F.to_json(F.array(name(0, 50), name(1, 4), name(7, 6), F.element_at(themes, (K % 15 + 1).cast("int")), F.coalesce("lang", F.lit(""))))
+    name = lambda k, n: F.lower(F.substring(F.element_at(themes, ((doc_id() + k) % 15 + 1).cast("int")), 1, n))
+    raw = F.to_json(F.array(name(0, 50), name(1, 4), name(7, 6), F.element_at(themes, (doc_id() % 15 + 1).cast("int")), F.coalesce("lang", F.lit(""))))
     return read("documents").select("doc_id", F.array_join(text.canonical_themes(raw), ",").alias("themes"))
 
 

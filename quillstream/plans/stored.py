@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillstream import sources, streaming
@@ -12,7 +12,8 @@ from quillstream.plans.base import query
 from quillstream.plans.registry import LINKS, RUNS, page_links, runs
 from quillstream.sources import shared
 
-K = F.col("doc_id")
+def doc_id() -> Column:
+    return F.col("doc_id")
 
 
 def written_text(rows: DataFrame, name: str, one_each: bool = False) -> str:
@@ -29,8 +30,8 @@ LINES = "doc_id % 10 NOT IN (3, 4)"
 
 
 def json_lines(read) -> str:
-    row = F.to_json(F.struct(F.when(K % 7 > 0, F.concat(F.lit("a"), K.cast("string"))).alias("id"), F.col("source").alias("source_id"), F.substring("text", 1, 50).alias("title"), F.lit("extra").alias("unknown")))
-    value = F.when(K % 10 == 3, F.substring(row, 1, 15)).when(K % 10 == 4, F.lit("")).otherwise(row)
+    row = F.to_json(F.struct(F.when(doc_id() % 7 > 0, F.concat(F.lit("a"), doc_id().cast("string"))).alias("id"), F.col("source").alias("source_id"), F.substring("text", 1, 50).alias("title"), F.lit("extra").alias("unknown")))
+    value = F.when(doc_id() % 10 == 3, F.substring(row, 1, 15)).when(doc_id() % 10 == 4, F.lit("")).otherwise(row)
     return written_text(read("documents").select(value.alias("value")), "articles-jsonl")
 
 
@@ -105,9 +106,9 @@ def scan_experiments(read):
 
 @query("""SELECT 'T' || doc_id AS title, 'https://f.example/' || doc_id AS link, DATE '2024-01-01' + CAST(doc_id % 90 AS INT) AS date, 'about ' || source AS summary FROM documents WHERE doc_id % 3 <> 1""")
 def scan_rss(read):
-    key = K.cast("string")
-    day = F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (K % 90).cast("int")), "EEE, dd MMM yyyy")
-    kind = F.when(K % 3 == 0, "<category>News</category><category>White Papers</category>").when(K % 3 == 1, "<category>News</category>").otherwise("<category>market commentary</category>")
+    key = doc_id().cast("string")
+    day = F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (doc_id() % 90).cast("int")), "EEE, dd MMM yyyy")
+    kind = F.when(doc_id() % 3 == 0, "<category>News</category><category>White Papers</category>").when(doc_id() % 3 == 1, "<category>News</category>").otherwise("<category>market commentary</category>")
     item = F.concat(F.lit("<item><title>"), F.lit("T"), key, F.lit("</title><link>https://f.example/"), key, F.lit("</link><pubDate>"), day, F.lit(" 23:30:00 -0500</pubDate>"), kind, F.lit("<description>&lt;p&gt;about "), F.col("source"), F.lit("&lt;/p&gt;</description></item>"))
     # Feeds of a hundred items each, every other one behind a byte order mark.
     feeds = read("documents").groupBy(F.expr("doc_id div 100").alias("block")).agg(F.array_join(F.array_sort(F.collect_list(item)), "").alias("items"))
@@ -118,8 +119,8 @@ def scan_rss(read):
 
 @query("SELECT source AS source_id, lang AS title, p AS pos, doc_id FROM documents, (SELECT unnest([0, 1]) AS p) WHERE doc_id % 4 > 0".replace("p AS pos", "p::BIGINT AS pos"))
 def scan_listings(read):
-    rows = F.to_json(F.struct(F.struct(F.array(F.struct(F.col("lang").alias("title"), K.alias("n")), F.struct(F.col("lang").alias("title"), K.alias("n"))).alias("hits")).alias("insights")))
-    raw = F.when(K % 4 > 0, rows).otherwise('{"insights": {}}')
+    rows = F.to_json(F.struct(F.struct(F.array(F.struct(F.col("lang").alias("title"), doc_id().alias("n")), F.struct(F.col("lang").alias("title"), doc_id().alias("n"))).alias("hits")).alias("insights")))
+    raw = F.when(doc_id() % 4 > 0, rows).otherwise('{"insights": {}}')
     listing = sources.listing_rows(read("documents").select(F.col("source").alias("source_id"), raw.alias("raw")), "insights.hits", "title: string, n: bigint")
     return listing.select("source_id", "title", "pos", F.col("n").alias("doc_id"))
 
@@ -129,7 +130,7 @@ def scan_listings(read):
 
 @query("SELECT source AS source_id, count(*) AS n, count(DISTINCT doc_id) AS n_ids FROM documents GROUP BY 1")
 def sink_append(read):
-    d, spark = read("documents").select(K.alias("id"), F.col("source").alias("source_id")), read("documents").sparkSession
+    d, spark = read("documents").select(doc_id().alias("id"), F.col("source").alias("source_id")), read("documents").sparkSession
     path = shared.scratch(spark, "log")
     for part in (0, 1):
         sources.append(d.where(F.col("id") % 2 == part), path)
@@ -138,7 +139,7 @@ def sink_append(read):
 
 @query("SELECT doc_id AS id, doc_id % 2 = 0 OR n_chars > 500 AS summarized FROM documents")
 def sink_rewrite(read):
-    rows = read("documents").select(K.alias("id"), (F.col("n_chars") > 500).alias("summarized"))
+    rows = read("documents").select(doc_id().alias("id"), (F.col("n_chars") > 500).alias("summarized"))
     root = shared.scratch(rows.sparkSession, "articles")
     first = rows.sparkSession.read.parquet(sources.write_version(rows, root, "v1"))
     second = sources.write_version(first.withColumn("summarized", F.col("summarized") | (F.col("id") % 2 == 0)), root, "v2")
@@ -176,10 +177,10 @@ def sink_reports(read):
 
 @query("SELECT doc_id AS id, md5(text) AS md5 FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)")
 def body_store(read):
-    bodies = read("documents").select(K.alias("id"), "text")
+    bodies = read("documents").select(doc_id().alias("id"), "text")
     table = shared.scratch(bodies.sparkSession, "article-content")
     sources.write_bodies(bodies, table)
-    found = sources.read_bodies(bodies.sparkSession, table, read("labels").select(K.alias("id")))
+    found = sources.read_bodies(bodies.sparkSession, table, read("labels").select(doc_id().alias("id")))
     return found.select("id", F.md5(F.col("text").cast("binary")).alias("md5"))
 
 
