@@ -539,7 +539,7 @@ def rare_parts(packed: DataFrame, words: DataFrame, buckets: int) -> DataFrame:
         at = order[np.searchsorted(word, key, sorter=order)] if len(word) else np.zeros(0, np.int64)
         c, spelling = own.column("n").to_numpy()[at], own.column("spelling").to_numpy()[at]
         found = sums(doc, [n * np.log10(c + 0.5), n * (c > 0), n * spelling, n])
-        rows = list(to_buckets(found[0].view(np.uint64), found[1:], buckets))
+        rows = list(to_buckets(found[0].view(np.uint64), found[1:], -(-buckets // 8)))
         return pa.table({"bucket": pa.array([b for b, _ in rows], pa.int32())} | {c: pa.array([x[k] for _, x in rows], pa.binary()) for k, c in enumerate(columns)})
 
     def add_up(table: pa.Table) -> pa.Table:
@@ -576,8 +576,8 @@ def lm_scores(docs: DataFrame, train_where=None, steps: int = STEPS, hot: int =
     frequent = scores.where(F.col("n_all") >= often).select("word", "n", "spelling").toPandas()
     table = Hot(*(frequent[c].to_numpy(t) for c, t in (("word", np.int64), ("n", np.int64), ("spelling", np.float64))))
     rare = scores.where(F.col("n_all") < often)
-    # Rows between the buckets of words and those of documents: no more than the square of this, nor than rare words.
-    buckets = max(8, (rare.agg(F.sum("n_all")).first()[0] or 0) >> 20)
+    # A bucket of words holds some 2**17 of the rare ones, one of documents eight times as many.
+    buckets = max(8, (rare.agg(F.sum("n_all")).first()[0] or 0) >> 17)
     shared = docs.sparkSession.sparkContext.broadcast((model.w, speller, table))  # sizes set by the vocabulary, the layer and HOT
     scored = written(score_texts(docs, shared, buckets), "lm-scores")
     shared.destroy()  # the scores are stored
