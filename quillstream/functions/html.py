@@ -103,10 +103,11 @@ def tag_counts(rows: DataFrame, tags: list[str]) -> DataFrame:
 
 
 def body_text(rows: DataFrame, least: int = 0) -> DataFrame:
-    """page_id and text: what the first element of the best-ranked tag in BODY_TAGS encloses, chrome left out."""
+    """page_id and text: what the first element of the best-ranked tag in BODY_TAGS encloses, chrome left out. rows are read
+    twice: a stored table is not parsed twice."""
     rank = F.array_position(F.array(*map(F.lit, BODY_TAGS)), F.col("tag"))
     best = rows.where(F.col("tag").isin(BODY_TAGS)).groupBy("page_id").agg(F.min(F.struct(rank.alias("rank"), "pos", "end_pos")).alias("b"))
-    inside = without_chrome(rows).join(best, "page_id").where("pos >= b.pos and end_pos <= b.end_pos and text <> ''")
+    inside = without_chrome(rows).join(best.hint("merge"), "page_id").where("pos >= b.pos and end_pos <= b.end_pos and text <> ''")
     parts = F.array_sort(F.collect_list(F.struct("pos", "text")))
     text = F.array_join(F.transform(parts, lambda x: x["text"]), "\n")
     return inside.groupBy("page_id").agg(text.alias("text")).where(F.length("text") >= least)
@@ -147,13 +148,14 @@ def cards(rows: DataFrame, rules: DataFrame) -> DataFrame:
 
 def body_by_rules(rows: DataFrame, rules: DataFrame, least: int = 100) -> DataFrame:
     """page_id, selector_rank and text: the first selector of the source's ranked rules whose text is longer than
-    `least`, chrome left out; a page has at most as many candidates as its source has rules."""
+    `least`, chrome left out; a page has at most as many candidates as its source has rules. rows are read twice: a stored
+    table is not parsed twice."""
     from pyspark.sql import Window
 
     hits = rows.join(rules, "source_id").where((F.col("tag") == F.col("body_tag")) & _has_class("body_class"))
     order = F.row_number().over(Window.partitionBy("page_id", "selector_rank").orderBy("pos"))
     hits = hits.withColumn("_n", order).where("_n = 1").select("page_id", "selector_rank", F.col("pos").alias("_a"), F.col("end_pos").alias("_b"))
-    inside = without_chrome(rows).where("text <> ''").join(hits, "page_id").where("pos >= _a and end_pos <= _b")
+    inside = without_chrome(rows).where("text <> ''").join(hits.hint("merge"), "page_id").where("pos >= _a and end_pos <= _b")
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda x: x["text"]), "\n")
     texts = inside.groupBy("page_id", "selector_rank").agg(text.alias("text")).where(F.length("text") > least)
     return texts.groupBy("page_id").agg(F.min(F.struct("selector_rank", "text")).alias("b")).select("page_id", "b.selector_rank", "b.text")

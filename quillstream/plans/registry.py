@@ -176,19 +176,38 @@ def screen_verdict(read):
     return funnel.screen_verdict(rows.withColumn("estimate", estimate).withColumn("h2", F.expr("h2 div 2"))).select("page_id", "estimate", "index_signals", "reason")
 
 
-@query()
+def _decoded(sql: str) -> str:
+    for name, char in (("&quot;", '"'), ("&#x27;", "''"), ("&#39;", "''"), ("&lt;", "<"), ("&gt;", ">"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
+        sql = f"replace({sql}, '{name}', '{char}')"
+    return sql
+
+
+def _pieces(sql: str) -> str:
+    """Text between tags, white space squeezed, empty pieces left out."""
+    return f"list_filter(list_transform(regexp_split_to_array({sql}, '<[^>]+>'), lambda x: trim(regexp_replace({_decoded('x')}, '\\s+', ' ', 'g'))), lambda x: x <> '')"
+
+
+WITHOUT = "regexp_replace(regexp_replace(regexp_replace(html, '<(script|style)[^>]*>.*?</(script|style)>', '', 'gs'), '<(nav|footer)>.*?</(nav|footer)>', '', 'gs'), '<!--.*?-->', '', 'gs')"
+BODIES = f"""bodies AS (SELECT page_id, array_to_string({_pieces("regexp_extract(html, '<article>(.*?)</article>', 1, 's')")}, chr(10)) AS text, array_to_string({_pieces(f"regexp_extract({WITHOUT}, '<body>(.*)$', 1, 's')")}, chr(10)) AS whole FROM pages)"""
+
+
+def stored_elements(read) -> DataFrame:
+    return shared.stored(html.elements(read("pages")), "elements")
+
+
+@query(f"WITH {BODIES} SELECT page_id, text FROM bodies WHERE length(text) >= 101")
 def body_text_dom(read):
-    return html.body_text(html.elements(read("pages")), 101)
+    return html.body_text(stored_elements(read), 101)
 
 
-@query()
+@query(f"WITH {BODIES} SELECT page_id, CASE WHEN length(text) > 100 THEN 2 ELSE 3 END::BIGINT AS selector_rank, CASE WHEN length(text) > 100 THEN text ELSE whole END AS text FROM bodies WHERE greatest(length(text), length(whole)) > 100")
 def body_by_rules(read):
-    rows = html.elements(read("pages")).withColumn("source_id", F.lit(""))
+    rows = stored_elements(read).withColumn("source_id", F.lit(""))
     rules = html.body_rules(rows.sparkSession, [("", 1, "main", None), ("", 2, "article", None), ("", 3, "body", None)])
     return html.body_by_rules(rows, F.broadcast(rules))
 
 
-@query()
+@query(f"""SELECT page_id, coalesce(list_sum(list_transform({_pieces(WITHOUT)}, lambda x: length(x))), 0)::BIGINT AS n_chars, len(regexp_extract_all({WITHOUT}, '<[a-z]'))::BIGINT AS n_elements FROM pages""")
 def chrome_removed_length(read):
     rows = html.without_chrome(html.elements(read("pages")))
     return rows.groupBy("page_id").agg(F.sum(F.length("text")).alias("n_chars"), F.count(F.lit(1)).alias("n_elements"))
