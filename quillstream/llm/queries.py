@@ -17,4 +17,10 @@ QUERIES = {
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 
-ORACLE = {"op9_warc": warc.SQL, "op10_exact_dedup": exact_dedup.SQL}
+ORACLE = {
+    "op3_jaccard_join": jaccard_join.SQL,
+    "op5_html_text": html_text.SQL,
+    "op6_substring_dedup": substring_dedup.SQL,
+    "op9_warc": warc.SQL,
+    "op10_exact_dedup": exact_dedup.SQL,
+}

@@ -268,3 +268,16 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) ->
 
 def op6_substring_dedup(spark, sf_dir: str) -> DataFrame:
     return substring_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"), with_text=False)
+
+
+SQL = r"""
+WITH texts AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+windows AS (SELECT doc_id, i, sha256(array_to_string(words[i:i + 34], ' ')) AS key FROM (SELECT *, unnest(range(1, len(words) - 33)) AS i FROM texts)),
+repeated AS (SELECT key FROM windows GROUP BY key HAVING count(*) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS place FROM windows JOIN repeated USING (key)),
+each AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM texts),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS text FROM each ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id),
+lost AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT t.doc_id, len(words)::BIGINT AS n_words, coalesce(l.n, 0) AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM texts t LEFT JOIN kept k USING (doc_id) LEFT JOIN lost l USING (doc_id)
+"""
