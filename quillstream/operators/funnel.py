@@ -99,4 +99,4 @@ def funnel_counts(candidates: DataFrame) -> DataFrame:
 def tag_coverage(tags: DataFrame, items: DataFrame) -> DataFrame:
     """Every tag of a small registry with the number of items(tags) that carry it."""
     used = items.select(F.explode(F.array_distinct("tags")).alias("tag")).groupBy("tag").agg(F.count(F.lit(1)).alias("n"))
-    return tags.join(used, "tag", "left").select("tag", F.coalesce("n", F.lit(0)).alias("n"))
+    return tags.join(used.hint("merge"), "tag", "left").select("tag", F.coalesce("n", F.lit(0)).alias("n"))

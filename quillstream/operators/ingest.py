@@ -34,7 +34,8 @@ def prefer(rows: DataFrame, keys: list[str], preferred: Column, pos: str = "pos"
 
 
 def new_rows(rows: DataFrame, existing: DataFrame, key: str = "id") -> DataFrame:
-    return rows.join(existing.select(key), key, "left_anti")
+    """Rows whose key is not stored. Either side may come from a generator, so that Spark's sizes are not relied on."""
+    return rows.join(existing.select(key).hint("merge"), key, "left_anti")
 
 
 def canonical_articles(rows: DataFrame) -> DataFrame:

@@ -172,3 +172,16 @@ def newest_first(rows: DataFrame, keys: list[str], date: str, pos: str, n: int)
 
     order = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc_nulls_last(date), pos))
     return rows.withColumn("rn", order).where(F.col("rn") <= n)
+
+
+def validation_due(entrypoints: DataFrame, as_of: Column, days: int = 7) -> DataFrame:
+    """Entrypoints (active unless said otherwise) never verified, or not for `days`."""
+    stale = F.col("verified_at").isNull() | (F.date_diff(as_of, F.to_date("verified_at")) >= days)
+    return entrypoints.where(F.coalesce("active", F.lit(True)) & stale)
+
+
+def in_order(rows: DataFrame, by: str) -> DataFrame:
+    """A small table (one row for each source or fund) with its place by a column."""
+    from pyspark.sql import Window
+
+    return rows.withColumn("place", F.row_number().over(Window.orderBy(by)))

@@ -148,7 +148,7 @@ def research_links(read):
 SELECT 1 FROM good_links o JOIN pages q ON q.page_id = o.page_id WHERE contains(q.url, '/en/') AND o.link = l.link) AND NOT contains((SELECT url FROM pages q WHERE q.page_id = l.page_id), '/en/') GROUP BY 1""")
 def new_articles_anti(read):
     stored = F.contains(F.col("url"), F.lit("/en/"))
-    rows = page_links(read).join(read("pages").select("page_id", stored.alias("stored")), "page_id")
+    rows = page_links(read).join(read("pages").select("page_id", stored.alias("stored")).hint("merge"), "page_id")
     fresh = ingest.new_rows(rows.where("not stored").withColumnRenamed("link", "id"), rows.where("stored").select(F.col("link").alias("id")).distinct())
     return fresh.groupBy("page_id").agg(F.count(F.lit(1)).alias("n_new"))
 

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillstream.functions import scoring, urls
-from quillstream.operators import funnel, ingest, report, status
+from quillstream.operators import funnel, ingest, ranking, report, status
 from quillstream.plans.base import query
-from quillstream.plans.registry import CANDIDATES, SQL_HOST, TRIALS, candidates, history, production, trials
+from quillstream.plans.registry import CANDIDATES, LABELLED, SQL_HOST, TRIALS, candidates, history, production, rated, trials
 
 # Customers as candidates with more of their columns; suppliers as fetched pages of theirs.
 FUNNEL = CANDIDATES.rstrip() + """, funnel AS (SELECT c_custkey AS id, ['seed', 'discovered', 'screen_failed', 'screened', 'inaccessible', 'validated', 'rejected'][c_custkey % 7 + 1] AS status,
@@ -317,3 +317,28 @@ def active_candidates(read):
     rows, active, _, _ = report_parts(read)
     priority = F.round(scoring.queue_priority(F.col("quality_score"), F.col("quality"), F.col("fit_score")), 6)
     return rows.join(active.distinct(), "id").select("id", "fit_score", priority.alias("priority"))
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderkey % 5 <> 0 AND (o_orderkey % 7 = 0 OR DATE '1998-08-02' - o_orderdate::DATE >= 7)")
+def validations_due(read):
+    k = F.col("o_orderkey")
+    rows = read("orders").select("o_orderkey", F.when(k % 5 == 0, False).when(k % 5 == 1, True).alias("active"), F.when(k % 7 > 0, F.col("o_orderdate")).alias("verified_at"))
+    return status.validation_due(rows, F.lit("1998-08-02").cast("date")).select("o_orderkey")
+
+
+@query(LABELLED + "SELECT fund_id, count(*) FILTER (label = 'good') AS n_good, row_number() OVER (ORDER BY fund_id) AS place FROM scored GROUP BY 1")
+def evaluation_table(read):
+    return status.in_order(ranking.quality_per_fund(rated(read)).select("fund_id", "n_good"), "fund_id")
+
+
+@query("SELECT source AS source_id, count(*) AS n, row_number() OVER (ORDER BY min(doc_id)) AS place FROM documents GROUP BY 1")
+def source_order(read):
+    rows = read("documents").groupBy(F.col("source").alias("source_id")).agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("_pos"))
+    return status.in_order(rows, "_pos").drop("_pos")
+
+
+@query("""WITH l AS (SELECT doc_id % 100 AS id, quality FROM labels) SELECT 'good' AS label, id, count(*) AS n FROM l WHERE quality = 1 GROUP BY 2 UNION ALL SELECT 'bad', id, count(*) FROM l WHERE quality = 0 GROUP BY 2""")
+def good_and_bad(read):
+    rows = read("labels").select((F.col("doc_id") % 100).alias("id"), "quality")
+    both = status.union_all(rows.where("quality = 1").select(F.lit("good").alias("label"), "id"), rows.where("quality = 0").select(F.lit("bad").alias("label"), "id"))
+    return both.groupBy("label", "id").agg(F.count(F.lit(1)).alias("n"))
