@@ -8,6 +8,7 @@ overwritten (what a lost attempt has written is left over). Records with equal p
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 import re
@@ -26,6 +27,7 @@ from quillstream.llm.stage import partitions, shared_folder, written
 
 ARCHIVE_BYTES = 64 << 20
 REVISIT_BYTES = 100
+PARTS = 3  # groups of archives that are normalised one after the other
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 CHUNK = 1 << 20
@@ -174,10 +176,11 @@ def parse_head(raw: bytes) -> dict[str, str]:
     return {k.strip().lower(): v.strip() for k, v in (x.split(":", 1) for x in lines[1:] if ":" in x)}
 
 
-def normalise(manifest: DataFrame, folder: str) -> DataFrame:
+def normalise(manifest: DataFrame, folder: str, parts: int = 1) -> DataFrame:
     """Rewrites each archive of a manifest with a gzip member for each record, next to an index (a JSON line of record
     id, type, offset and length for each); returns the manifest of the new files. The sources stay until that manifest
-    is written, so that a task can run again; then they are deleted, in a job of their own."""
+    is written, so that a task can run again; then they are deleted, in a job of their own. With several parts the
+    archives are worked off in so many groups, each deleted before the next, so that only one group is there twice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -196,9 +199,6 @@ def normalise(manifest: DataFrame, folder: str) -> DataFrame:
                 index.done()
                 yield pa.RecordBatch.from_arrays([pa.array([r["archive"]], pa.int64()), pa.array([path]), pa.array([n], pa.int64())], names=["archive", "path", "records"])
 
-    files = manifest.repartition(max(1, partitions(manifest.sparkSession)), "archive")
-    members = written(files.mapInArrow(run, MANIFEST), "members")
-
     def delete(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path in batch.column(0).to_pylist():
@@ -207,8 +207,13 @@ def normalise(manifest: DataFrame, folder: str) -> DataFrame:
                     fs.delete_file(path)
             yield batch
 
-    manifest.select("path").mapInArrow(delete, "path string").count()
-    return members
+    members = []
+    for part in range(parts):
+        own = manifest.where(F.pmod(F.xxhash64("archive"), F.lit(parts)) == part)
+        files = own.repartition(max(1, partitions(manifest.sparkSession)), "archive")
+        members.append(written(files.mapInArrow(run, MANIFEST), "members"))
+        own.select("path").mapInArrow(delete, "path string").count()
+    return functools.reduce(DataFrame.unionByName, members)
 
 
 READ = "archive long, position long, page_id long, url string, record_type string, payload_digest string, payload_bytes long, refers_to long, html string"
@@ -265,7 +270,7 @@ def archived(pages: DataFrame, folder: str | None = None, archive_bytes: int = A
     spark: SparkSession = pages.sparkSession
     folder = folder or f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
     folder = folder if re.match(r"[a-z0-9]+:/", folder) else f"file://{folder}"
-    return read_archives(normalise(write_archives(records_of(pages), folder, archive_bytes), folder), folder, with_payload)
+    return read_archives(normalise(write_archives(records_of(pages), folder, archive_bytes), folder, PARTS), folder, with_payload)
 
 
 def op9_warc(spark, sf_dir: str) -> DataFrame:
