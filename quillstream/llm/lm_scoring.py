@@ -35,7 +35,7 @@ VOCABULARY, N_IDS = "byte_bpe_50k.tiktoken", 50257
 END = 50256  # free in this vocabulary: the end token, and the end of a word
 CLASSES, WIDTH, CONTEXT, OVERLAP = 96, 16, 32, 16
 BATCH, STEPS, ROUNDS = 128, 1_250, 4  # windows of a step; steps that small corpora are passed over for; rounds of large ones
-FLUSH = 1 << 20
+BLOCK, FLUSH = 1 << 19, 1 << 19  # bytes of text, and rare words, that a task holds at a time
 MOST = 60.0  # logits are held within this, either way, so that no exponential overflows
 CHUNK = 1_024  # embeddings that are averaged together
 HOT = 250_000  # most words in the broadcast table: those with one in HOT of all occurrences, or more
@@ -59,7 +59,7 @@ class Spelled:
 
 def _blocks(batches: Iterator[pa.RecordBatch]):
     for batch in batches:
-        for a, b, data, offsets in blocks(batch, "text", most=1 << 20):
+        for a, b, data, offsets in blocks(batch, "text", most=BLOCK):
             yield batch, a, b, Spelled(data, offsets)
 
 
@@ -397,7 +397,7 @@ def train(docs: DataFrame, klass: np.ndarray, windows: int, steps: int = STEPS,
             weights, own_klass = shared.value
             decayed = lambda step: rate * min(1, step / 50) * (1 - 0.9 * min(1, (nth + step / expected) / rounds))
             learner = Learner(weights, own_klass, decayed, 1000 * task + nth)
-            texts = ((data, offsets) for batch in batches for _, _, data, offsets in blocks(batch, "text", most=1 << 20))
+            texts = ((data, offsets) for batch in batches for _, _, data, offsets in blocks(batch, "text", most=BLOCK))
             # More than one pass is made over less than `steps` steps only.
             for data, offsets in texts if passes == 1 else [(d.copy(), o) for d, o in texts] * passes:
                 learner.learn(Spelled(data, offsets))
