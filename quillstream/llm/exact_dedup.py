@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillstream.llm.stage import partitions, written
+from quillstream.llm.stage import free_name, partitions, written
 
 FAN = 8
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -81,20 +81,21 @@ def row_key(digest: Column) -> Column:
     return F.sha2(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), digest), 256)
 
 
-def one_of_each_key(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """Of docs(.., _key), one row for each _key in kept(_key), without that column: the smallest by all columns. Rows
-    that repeat a key are merged before they are exchanged."""
-    columns = [c for c in docs.columns if c != "_key"]
-    row = F.struct(*columns)
-    orderable = not any(t in docs.select(*columns).schema.simpleString() for t in ("map<", "variant", "interval"))
-    one = docs.groupBy("_key").agg((F.min(row) if orderable else F.first(row)).alias("_row"))
+def one_of_each_key(docs: DataFrame, kept: DataFrame, key: str) -> DataFrame:
+    """Of docs(.., key), one row for each key in kept(_key), without that column: the smallest by all columns. Rows that
+    repeat a key are merged before they are exchanged."""
+    columns = [c for c in docs.columns if c != key]
+    row = F.struct(*[F.col(f"`{c}`") for c in columns])
+    orderable = not any(t in docs.schema.simpleString() for t in ("map<", "variant", "interval"))
+    one = docs.groupBy(F.col(key).alias("_key")).agg((F.min(row) if orderable else F.first(row)).alias("_row"))
     return one.join(kept.hint("shuffle_hash"), "_key", "left_semi").select("_row.*")
 
 
 def keep_first_copies(docs: DataFrame) -> DataFrame:
     """The rows of docs that exact_dedup keeps, all columns; one of rows that share doc_id and text."""
     kept = exact_dedup(docs).where("kept").select(row_key(F.col("text_sha256")).alias("_key")).distinct()
-    return one_of_each_key(docs.withColumn("_key", row_key(text_digest(F.col("text")))), kept)
+    key = free_name(docs, "_key")
+    return one_of_each_key(docs.withColumn(key, row_key(text_digest(F.col("text")))), kept, key)
 
 
 def op10_exact_dedup(spark, sf_dir: str) -> DataFrame:

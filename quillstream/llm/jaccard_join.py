@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from quillstream.llm.components import components
 from quillstream.llm.exact_dedup import one_of_each_key, row_key
-from quillstream.llm.stage import bucket_count, sized, to_buckets, written
+from quillstream.llm.stage import bucket_count, free_name, sized, to_buckets, written
 from quillstream.llm.textcore import Words, blocks, mix, ragged
 
 SHINGLE = 5
@@ -352,11 +352,12 @@ def _linked_up(docs: DataFrame, shingle: int = SHINGLE, percent: int = 75) -> Da
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
     """One row of each near-duplicate group of docs: that with the smallest doc_id (one without only where no other has
     one), then the smallest digest. Rows without shingles all stay, but for repeated ones."""
-    docs = docs.withColumn("_key", row_key(F.sha2(F.coalesce("text", F.lit("")), 256)))
-    rows = _linked_up(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), "_key"))
+    key = free_name(docs, "_key")
+    docs = docs.withColumn(key, row_key(F.sha2(F.coalesce("text", F.lit("")), 256)))
+    rows = _linked_up(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.col(key).alias("_key")))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_key")).alias("row")
     kept = rows.groupBy("component", F.when(F.col("component").isNull(), F.col("_key")).alias("_alone")).agg(first).select("row._key")
-    return one_of_each_key(docs, kept)
+    return one_of_each_key(docs, kept, key)
 
 
 def op3_jaccard_join(spark, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillstream.llm.stage import fold
+from quillstream.llm.stage import fold, map_batches
 from quillstream.llm.textcore import Words, blocks, ragged
 
 PASSAGE = 48
@@ -238,7 +238,7 @@ def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> Da
         for batch in batches:
             yield batch.filter(pa.array(_scored(batch, model)[0] >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_batches(docs, run, docs.schema)
 
 
 def op2_quality(spark, sf_dir: str) -> DataFrame:

@@ -68,11 +68,6 @@ def fold(doc_id: str | object, n: int = 5):
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % n
 
 
-def safe(docs: DataFrame, *names: str) -> DataFrame:
-    """Only the named columns: others may have any name or type."""
-    return docs.select(*names)
-
-
 def to_buckets(keys: np.ndarray, columns: list[np.ndarray], buckets: int, deal: np.ndarray | None = None) -> Iterator[tuple[int, list[bytes]]]:
     """Rows dealt by the top bits of their key, or of `deal`: (bucket, [keys, *columns] as bytes), a row for each bucket
     that has any; the order within a bucket stays."""
@@ -86,14 +81,24 @@ def to_buckets(keys: np.ndarray, columns: list[np.ndarray], buckets: int, deal:
         yield int(bucket[a]), [c[a:b].tobytes() for c in sorted_columns]
 
 
-def binary(values: list[bytes]) -> pa.Array:
-    return pa.array(values, pa.binary())
+def bucket_count(spark: SparkSession, rows: float, each: int = 1 << 20) -> int:
+    """Buckets so that each holds about `each` rows, and every shuffle partition a few."""
+    return int(max(4 * partitions(spark), -(-rows // each)))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with as many underscores in front as no column of df has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
 
 
-def read_binary(table: pa.Table, name: str, dtype) -> list[np.ndarray]:
-    return [np.frombuffer(x, dtype) for x in table.column(name).to_pylist()]
+def map_batches(df: DataFrame, run, schema) -> DataFrame:
+    """df.mapInArrow(run, schema) for columns of any name: they go under plain ones and have their own again in run."""
+    names = df.columns
 
+    def renamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(pa.RecordBatch.from_arrays(b.columns, names=names) for b in batches)
 
-def bucket_count(spark: SparkSession, rows: float, each: int = 1 << 20) -> int:
-    """Buckets so that each holds about `each` rows, and every shuffle partition a few."""
-    return int(max(4 * partitions(spark), -(-rows // each)))
+    return df.toDF(*[f"c{k}" for k in range(len(names))]).mapInArrow(renamed, schema)

@@ -24,10 +24,11 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillstream.llm.stage import partitions, to_buckets
+from quillstream.llm.stage import free_name, map_batches, partitions, to_buckets
 from quillstream.llm.textcore import Words, blocks, ragged
 
 WINDOW, SEED = 35, 12
+SPANS = "_repeated_spans_"  # added beside the columns of a table of documents
 FLUSH = 1 << 21
 PACKED = "bucket int, keys binary, seen binary, docs binary, places binary, row long"
 REPEATED = "row long, places binary"
@@ -208,9 +209,10 @@ def _kept_texts(words: Words, gone: np.ndarray, rows: int) -> list[bytes]:
 
 def _with_spans(docs: DataFrame, window: int, seed: int) -> DataFrame:
     plain = docs.select(row_key().alias("row"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    spans = repeated_spans(plain, window, seed).groupBy("row").agg(F.collect_list("places").alias("_spans"))
-    keyed = docs.withColumn("_row", row_key())
-    return keyed.join(spans.withColumnRenamed("row", "_row").hint("shuffle_hash"), "_row", "left").drop("_row")
+    spans = repeated_spans(plain, window, seed).groupBy("row").agg(F.collect_list("places").alias(SPANS))
+    row = free_name(docs, "_row")
+    keyed = docs.withColumn(row, row_key())
+    return keyed.join(spans.withColumnRenamed("row", row).hint("shuffle_hash"), row, "left").drop(row)
 
 
 def substring_dedup(docs: DataFrame, window: int = WINDOW, seed: int = SEED, with_text: bool = True) -> DataFrame:
@@ -237,7 +239,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, seed: int = SEED, wit
                     columns.append(pa.array([x.decode() for x in kept], pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in schema.split(", ")])
 
-    return _with_spans(docs, window, seed).select("doc_id", "text", "_spans").mapInArrow(cut, schema)
+    return _with_spans(docs, window, seed).select("doc_id", "text", SPANS).mapInArrow(cut, schema)
 
 
 def without_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFrame:
@@ -263,7 +265,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) ->
                     columns[k] = pa.array(sizes, columns[k].type)
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return _with_spans(docs, window, seed).select(*schema.names, "_spans").mapInArrow(cut, schema)
+    return map_batches(_with_spans(docs, window, seed).select(*[F.col(f"`{c}`") for c in schema.names], SPANS), cut, schema)
 
 
 def op6_substring_dedup(spark, sf_dir: str) -> DataFrame:

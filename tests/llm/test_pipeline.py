@@ -75,3 +75,25 @@ def test_repeated_rows_and_null_ids_keep_one_copy(spark, tmp_path):
     corpus_pipeline.drop_near_copies(spark, once, "").write.parquet(f"{tmp_path}/one")
     out = corpus_pipeline.cut_repeats(spark, spark.read.parquet(f"{tmp_path}/one"), "").collect()
     assert {(r.doc_id or -1, r.text or "") for r in out} >= {(1, a), (5, b), (5, c), (-1, e), (9, "")} and len(out) == 6
+
+
+def test_stages_on_odd_tables(spark, tmp_path):
+    """Empty tables, and columns named as the stages' own, with null and very long texts: nothing is lost or renamed."""
+    import random
+
+    rng = random.Random(7)
+    long = " ".join(f"w{rng.randrange(10**6)}" for _ in range(150_000))
+    names = ["_key", "_row", "_run", "set_id", "component", "row", "places", "bucket", "spans", "label", "x.y"]
+    rows = [(i, t, len(t or ""), *(f"{n}{i}" for n in names)) for i, t in enumerate([None, "", long, "one two three four five six", "ONE two three four five six"])]
+    schema = "doc_id long, text string, n_chars long, " + ", ".join(f"`{n}` string" for n in names)
+    docs = spark.createDataFrame(rows, schema).repartition(2)
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    want = {1: {"", long, "ONE two three four five six"}, 2: {None, "", long, "one two three four five six"}, 3: {None, "", long, "one two three four five six", "ONE two three four five six"}}
+    for k, (_, function) in enumerate(corpus_pipeline.STAGES):
+        assert function(spark, docs.limit(0), str(tmp_path)).count() == 0
+        out = function(spark, docs, str(tmp_path))
+        if 0 < k < 4:
+            got = out.collect()
+            assert out.columns == docs.columns and {r.text for r in got} - {None} == want[k] - {None}
+            assert all(r[n] == f"{n}{r.doc_id}" for r in got for n in names)
+    assert {r.doc_id for r in out.collect()} == {0, 1, 2, 3, 4}
