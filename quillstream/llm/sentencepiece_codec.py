@@ -298,24 +298,37 @@ def _model(name: str) -> Pieces:
 
 def _cache(name: str, algorithm: str) -> PieceCache:
     if (name, algorithm) not in _caches:
-        _caches[name, algorithm] = PieceCache(lambda words: ALGORITHMS[algorithm](_model(name), words))
+        _caches[name, algorithm] = PieceCache(lambda words: ALGORITHMS[algorithm](_model(name), words), 1_500_000)
     return _caches[name, algorithm]
 
 
+class Chunks:
+    """Words of UTF-8 texts, each with the spaces before it (every non-empty text gets one leading space), the distinct
+    ones found once for all algorithms."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+        full = np.diff(offsets) > 0
+        data = np.insert(data, offsets[:-1][full], 0x20)
+        offsets = offsets + np.r_[0, np.cumsum(full)]
+        begin = np.zeros(len(data) + 1, bool)
+        begin[offsets] = True
+        begin[1:-1] |= (data[1:] == 0x20) & (data[:-1] != 0x20)
+        self.starts = np.flatnonzero(begin[:-1])
+        self.ends = np.r_[self.starts[1:], len(data)].astype(np.int64)
+        self.raw, self.rows = data.tobytes(), np.searchsorted(self.starts, offsets)
+        self.keys, self.first, self.which = np.unique(spans_hash(_RANDOM[data], self.starts, self.ends), return_index=True, return_inverse=True)
+
+    def encoded(self, model: str, algorithm: str) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all rows, offsets of each row in them)."""
+        cache = _cache(model, algorithm)
+        at, n = cache.of(self.keys, self.first, lambda i: self.raw[self.starts[i] : self.ends[i]].decode())
+        at, n = at[self.which], n[self.which]
+        return cache.ids[ragged(at, n)], np.r_[0, np.cumsum(n)][self.rows]
+
+
 def encode_block(data: np.ndarray, offsets: np.ndarray, model: str = MODEL, algorithm: str = "viterbi") -> tuple[np.ndarray, np.ndarray]:
     """(ids of all rows, offsets of each row in them) of UTF-8 texts; every non-empty text gets one leading space."""
-    full = np.diff(offsets) > 0
-    data = np.insert(data, offsets[:-1][full], 0x20)
-    offsets = offsets + np.r_[0, np.cumsum(full)]
-    begin = np.zeros(len(data) + 1, bool)
-    begin[offsets] = True
-    begin[1:-1] |= (data[1:] == 0x20) & (data[:-1] != 0x20)
-    starts = np.flatnonzero(begin[:-1])
-    ends = np.r_[starts[1:], len(data)].astype(np.int64)
-    raw, cache = data.tobytes(), _cache(model, algorithm)
-    at, n, _ = cache.look_up(spans_hash(_RANDOM[data], starts, ends), lambda i: raw[starts[i] : ends[i]].decode())
-    total = np.r_[0, np.cumsum(n)]
-    return cache.ids[ragged(at, n)], total[np.searchsorted(starts, offsets)]
+    return Chunks(data, offsets).encoded(model, algorithm)
 
 
 def decode_block(ids: np.ndarray, offsets: np.ndarray, model: str = MODEL) -> tuple[np.ndarray, np.ndarray]:
@@ -373,9 +386,9 @@ def encode_report(docs: DataFrame, model: str = MODEL) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, data, offsets in blocks(batch, "text"):
-                columns, same = [], np.ones(b - a, bool)
+                columns, same, chunks = [], np.ones(b - a, bool), Chunks(data, offsets)
                 for algorithm in ALGORITHMS:
-                    ids, at = encode_block(data, offsets, model, algorithm)
+                    ids, at = chunks.encoded(model, algorithm)
                     columns.append(pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids.astype(np.int32))))
                     columns.append(pa.array(np.diff(at), pa.int64()))
                     own = ids.astype("<u4")

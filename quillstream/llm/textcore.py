@@ -174,6 +174,10 @@ class PieceCache:
         """For the distinct chunks: (hash, number of one chunk that has it, start and length in self.ids); and for each
         chunk the number of its distinct one. text_of(i) is the text of chunk i."""
         keys, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        return keys, first, *self.of(keys, first, text_of), inverse
+
+    def of(self, keys: np.ndarray, first: np.ndarray, text_of) -> tuple[np.ndarray, np.ndarray]:
+        """Start and length in self.ids of distinct, sorted hashes; first: the number of one chunk that has each."""
         place = self._places(keys)
         new = np.flatnonzero(place < 0)
         if len(new):
@@ -183,7 +187,7 @@ class PieceCache:
             n, flat = self.encode([text_of(i) for i in first[new].tolist()])
             place[new] = np.arange(self.places, self.places + len(new))
             self._append(keys[new], n, flat)
-        return keys, first, self.at[place], self.at[place + 1] - self.at[place], inverse
+        return self.at[place], self.at[place + 1] - self.at[place]
 
     def look_up(self, hashes: np.ndarray, text_of) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(start, length) in self.ids of each chunk and the chunk's number among the distinct ones."""
