@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quillstream.llm import ann, exact_dedup, html_text, jaccard_join, lm_scoring, packing, quality, sentencepiece_codec, substring_dedup, warc
+from quillstream.llm import ann, exact_dedup, filter_audit, html_text, jaccard_join, lm_scoring, packing, quality, sentencepiece_codec, substring_dedup, warc
 
 QUERIES = {
     "op1_sentencepiece": sentencepiece_codec.op1_sentencepiece,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_ann": ann.op8_ann,
     "op9_warc": warc.op9_warc,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
+    "op12_filter_audit": filter_audit.op12_filter_audit,
 }
 
 ORACLE = {
@@ -23,4 +24,5 @@ ORACLE = {
     "op6_substring_dedup": substring_dedup.SQL,
     "op9_warc": warc.SQL,
     "op10_exact_dedup": exact_dedup.SQL,
+    "op12_filter_audit": filter_audit.SQL,
 }
