@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quillstream.llm import ann, exact_dedup, filter_audit, html_text, jaccard_join, lm_scoring, packing, quality, sentencepiece_codec, substring_dedup, warc
+from quillstream.llm import ann, exact_dedup, filter_audit, html_text, jaccard_join, lexical_search, lm_scoring, packing, quality, sentencepiece_codec, substring_dedup, warc
 
 QUERIES = {
     "op1_sentencepiece": sentencepiece_codec.op1_sentencepiece,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_warc": warc.op9_warc,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
     "op12_filter_audit": filter_audit.op12_filter_audit,
+    "op13_lexical_search": lexical_search.op13_lexical_search,
 }
 
 ORACLE = {
@@ -25,4 +26,5 @@ ORACLE = {
     "op9_warc": warc.SQL,
     "op10_exact_dedup": exact_dedup.SQL,
     "op12_filter_audit": filter_audit.SQL,
+    "op13_lexical_search": lexical_search.SQL,
 }
