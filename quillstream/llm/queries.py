@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quillstream.llm import ann, exact_dedup, filter_audit, html_text, jaccard_join, lexical_search, lm_scoring, packing, quality, sentencepiece_codec, substring_dedup, warc
+from quillstream.llm import ann, exact_dedup, filter_audit, html_text, jaccard_join, lexical_search, lm_scoring, packing, quality, sentencepiece_codec, substring_dedup, suffix_dedup, warc
 
 QUERIES = {
     "op1_sentencepiece": sentencepiece_codec.op1_sentencepiece,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_ann": ann.op8_ann,
     "op9_warc": warc.op9_warc,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
+    "op11_suffix_dedup": suffix_dedup.op11_suffix_dedup,
     "op12_filter_audit": filter_audit.op12_filter_audit,
     "op13_lexical_search": lexical_search.op13_lexical_search,
 }
@@ -25,6 +26,7 @@ ORACLE = {
     "op6_substring_dedup": substring_dedup.SQL,
     "op9_warc": warc.SQL,
     "op10_exact_dedup": exact_dedup.SQL,
+    "op11_suffix_dedup": suffix_dedup.SQL,
     "op12_filter_audit": filter_audit.SQL,
     "op13_lexical_search": lexical_search.SQL,
 }

@@ -24,7 +24,7 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillstream.llm.stage import free_name, map_batches, partitions, to_buckets
+from quillstream.llm.stage import bucket_count, free_name, map_batches, to_buckets
 from quillstream.llm.textcore import Words, blocks, ragged
 
 WINDOW, SEED = 35, 12
@@ -40,6 +40,14 @@ def row_key() -> Column:
     return F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")))
 
 
+def distinct_rows(docs: DataFrame) -> DataFrame:
+    """(row, text, many) with one row for those of docs(row, text) that are copies of each other; many: it stands for
+    several. Texts are exchanged for that only if there are such rows at all, which their keys tell."""
+    if docs.groupBy("row").count().where("count > 1").isEmpty():
+        return docs.withColumn("many", F.lit(False))
+    return docs.groupBy("row").agg(F.first("text").alias("text"), (F.count(F.lit(1)) > 1).alias("many"))
+
+
 def anchors(words: Words, hashes: np.ndarray, window: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(first words of all windows, first word of each window's anchor, hash of each gram).
 
@@ -64,7 +72,7 @@ def anchors(words: Words, hashes: np.ndarray, window: int, seed: int) -> tuple[n
     return starts, place[starts], full
 
 
-def _flags(bucketed: DataFrame) -> DataFrame:
+def flags(bucketed: DataFrame, kind=np.int32) -> DataFrame:
     """(row, places) of the keys seen more than once, in several rows a document; rows without keys are settled."""
 
     def repeated(table: pa.Table) -> pa.Table:
@@ -72,7 +80,7 @@ def _flags(bucketed: DataFrame) -> DataFrame:
             return np.frombuffer(b"".join(fresh.column(name).to_pylist()), dtype)
 
         fresh = table.filter(pa.compute.is_valid(table.column("keys")))
-        keys, seen, docs, places = column("keys", np.uint64), column("seen", np.uint8), column("docs", np.int64), column("places", np.int32)
+        keys, seen, docs, places = column("keys", np.uint64), column("seen", np.uint8), column("docs", np.int64), column("places", kind)
         order = np.argsort(keys, kind="stable")
         keys = keys[order]
         same = np.r_[False, keys[1:] == keys[:-1], False] if len(keys) else np.zeros(1, bool)
@@ -94,16 +102,16 @@ def grouped(docs: np.ndarray, places: np.ndarray) -> pa.Table:
     return pa.table({"row": pa.array(docs[first], pa.int64()), "places": pa.array(rows, pa.binary())})
 
 
-class _Sender:
+class Sender:
     """Gathers (key, doc, place) of a task; sends each key once, with 2 for keys seen more often, and gives those
-    repeated inside the task as (row, places) rows without keys, dealt evenly."""
+    repeated inside the task as (row, places) rows without keys, dealt evenly. kind: the type of places."""
 
-    def __init__(self, buckets: int):
-        self.buckets, self.parts, self.n = buckets, [], 0
+    def __init__(self, buckets: int, kind=np.int32):
+        self.buckets, self.kind, self.parts, self.n = buckets, kind, [], 0
 
-    def add(self, keys: np.ndarray, docs: np.ndarray, places: np.ndarray, deal: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """deal: what decides a key's bucket; the same for equal keys."""
-        self.parts.append((keys, docs, places.astype(np.int32), deal))
+    def add(self, keys: np.ndarray, docs: np.ndarray, places: np.ndarray, deal: np.ndarray, many: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """deal: what decides a key's bucket; the same for equal keys. many: keys of rows that stand for several."""
+        self.parts.append((keys, docs, places.astype(self.kind), deal, many))
         self.n += len(keys)
         if self.n >= FLUSH:
             yield from self.flush()
@@ -111,10 +119,10 @@ class _Sender:
     def flush(self) -> Iterator[pa.RecordBatch]:
         if not self.n:
             return
-        keys, docs, places, deal = (np.concatenate(x) for x in zip(*self.parts, strict=True))
+        keys, docs, places, deal, many = (np.concatenate(x) for x in zip(*self.parts, strict=True))
         self.parts, self.n = [], 0
         _, first, inverse, times = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
-        again = times[inverse] > 1
+        again = (times + np.bincount(inverse, many, len(times)))[inverse] > 1
         sent = np.zeros(len(keys), bool)
         sent[first] = True
         # In the order of documents, which packs well.
@@ -132,31 +140,31 @@ class _Sender:
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFrame:
     """(row, places) with the first words (int32, little-endian) of all windows of `window` words whose word sequence
-    starts at least twice in docs(row, text); row is a long that rows with another text do not have. In several rows
-    each."""
-    spark = docs.sparkSession
-    # Windows are dealt by their anchor, so that neighbours come back together: few rows for each document.
-    buckets = 64 * partitions(spark)
+    starts at least twice in docs(row, text, many), whose rows differ. In several rows each."""
+    # Windows are dealt by their anchor, so that neighbours come back together: few rows for each document. Of a window
+    # for each word, of some six bytes, a part is sent.
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    buckets = bucket_count(docs.sparkSession, size / 12)
 
     def seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sender = _Sender(buckets)
+        sender = Sender(buckets)
         for batch in batches:
-            ids = batch.column(0).to_numpy()
+            ids, many = batch.column(0).to_numpy(), batch.column(2).to_numpy(zero_copy_only=False)
             for a, _, data, offsets in blocks(batch, "text"):
                 words = Words(data, offsets)
                 _, anchor, gram_hash = anchors(words, words.hashes(), window, seed)
                 anchor = np.unique(anchor)
                 row = words.row[anchor]
-                yield from sender.add(gram_hash[anchor], ids[a + row], anchor - words.first[row], gram_hash[anchor])
+                yield from sender.add(gram_hash[anchor], ids[a + row], anchor - words.first[row], gram_hash[anchor], many[a + row])
         yield from sender.flush()
 
-    shared = _flags(docs.mapInArrow(seeds, PACKED)).groupBy("row").agg(F.collect_list("places").alias("seeds"))
-    seeded = docs.join(shared.hint("shuffle_hash"), "row")
+    shared = flags(docs.mapInArrow(seeds, PACKED)).groupBy("row").agg(F.collect_list("places").alias("seeds"))
+    seeded = docs.join(shared.hint("merge"), "row").select("row", "text", "many", "seeds")
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sender = _Sender(buckets)
+        sender = Sender(buckets)
         for batch in batches:
-            ids, lists = batch.column(0).to_numpy(), batch.column(2)
+            ids, many, lists = batch.column(0).to_numpy(), batch.column(2).to_numpy(zero_copy_only=False), batch.column(3)
             for a, b, data, offsets in blocks(batch, "text"):
                 words = Words(data, offsets)
                 hashes = words.hashes()
@@ -169,10 +177,10 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> D
                 at, window_hash = words.windows(hashes, window)
                 keep = shared_at[anchor]
                 row = words.row[at[keep]]
-                yield from sender.add(window_hash[keep], ids[a + row], at[keep] - words.first[row], gram_hash[anchor[keep]])
+                yield from sender.add(window_hash[keep], ids[a + row], at[keep] - words.first[row], gram_hash[anchor[keep]], many[a + row])
         yield from sender.flush()
 
-    return _flags(seeded.select("row", "text", "seeds").mapInArrow(extend, PACKED))
+    return flags(seeded.mapInArrow(extend, PACKED))
 
 
 def covered(n_words: int, places: list[bytes], window: int) -> np.ndarray:
@@ -209,10 +217,10 @@ def _kept_texts(words: Words, gone: np.ndarray, rows: int) -> list[bytes]:
 
 def _with_spans(docs: DataFrame, window: int, seed: int) -> DataFrame:
     plain = docs.select(row_key().alias("row"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    spans = repeated_spans(plain, window, seed).groupBy("row").agg(F.collect_list("places").alias(SPANS))
+    spans = repeated_spans(distinct_rows(plain), window, seed).groupBy("row").agg(F.collect_list("places").alias(SPANS))
     row = free_name(docs, "_row")
     keyed = docs.withColumn(row, row_key())
-    return keyed.join(spans.withColumnRenamed("row", row).hint("shuffle_hash"), row, "left").drop(row)
+    return keyed.join(spans.withColumnRenamed("row", row).hint("merge"), row, "left").drop(row)
 
 
 def substring_dedup(docs: DataFrame, window: int = WINDOW, seed: int = SEED, with_text: bool = True) -> DataFrame:

@@ -53,3 +53,16 @@ def test_shared_and_null_doc_ids(spark):
     key = lambda r: (r[0] or 0, r[1:])
     assert sorted(got, key=key) == sorted(want, key=key)
     assert [r[2] for r in want] == [40, 0, 40, 0, 0, 40]
+
+
+def test_repeated_rows_cost_in_proportion(spark):
+    """What is sent for a row that occurs n times does not depend on n, and each copy gets it once."""
+    from pyspark.sql import functions as F
+
+    from quillstream.llm.substring_dedup import distinct_rows, repeated_spans
+
+    text, sizes = " ".join(f"w{k}" for k in range(60)), []
+    for n in (8, 16, 32):
+        rows = spark.range(n).select(F.lit(5).cast("long").alias("row"), F.lit(text).alias("text")).repartition(4)
+        sizes.append(repeated_spans(distinct_rows(rows)).agg(F.sum(F.octet_length("places"))).first()[0])
+    assert sizes[0] == sizes[1] == sizes[2] == 4 * 26
