@@ -414,7 +414,7 @@ windows AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 800)) AS key FROM (SELECT
 repeated AS (SELECT doc_id, i FROM windows JOIN (SELECT key FROM windows GROUP BY key HAVING count(*) > 1) USING (key)),
 opened AS (SELECT *, coalesce(i - lag(i) OVER w > 400, true) AS opens FROM repeated WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
 runs AS (SELECT doc_id, min(i) AS a, max(i) + 400 AS b FROM (SELECT *, sum(opens::INT) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM opened) GROUP BY doc_id, run),
-gaps AS (SELECT doc_id, b, coalesce(lead(a) OVER (PARTITION BY doc_id ORDER BY a), 1000000000000) AS next FROM (SELECT * FROM runs UNION ALL SELECT doc_id, -1, 0 FROM texts)),
+gaps AS (SELECT doc_id, b, coalesce(lead(a) OVER (PARTITION BY doc_id ORDER BY a), 1000000000) AS next FROM (SELECT * FROM runs UNION ALL SELECT doc_id, -1, 0 FROM texts)),
 kept AS (SELECT g.doc_id, string_agg(substr(h, 2 * b + 1, 2 * (next - b)), '' ORDER BY b) AS h FROM gaps g JOIN texts USING (doc_id) GROUP BY g.doc_id)
 SELECT doc_id, len(t.h) // 2 AS n_bytes, (len(t.h) - len(k.h)) // 2 AS n_removed, (SELECT count(*) FROM runs r WHERE r.doc_id = t.doc_id) AS n_spans, sha256(unhex(k.h)) AS kept_sha256 FROM texts t JOIN kept k USING (doc_id)
 """
