@@ -11,6 +11,7 @@ from quillstream.operators import ingest, status
 from quillstream.plans.base import query
 from quillstream.plans.registry import LINKS, RUNS, page_links, runs
 from quillstream.sources import shared
+from quillstream.sources.keyed import KeyedTable
 
 def doc_id() -> Column:
     return F.col("doc_id")
@@ -184,6 +185,30 @@ def body_store(read):
     return found.select("id", F.md5(F.col("text").cast("binary")).alias("md5"))
 
 
+@query("""WITH old AS (SELECT page_id, url AS address, page_id % 40 AS source_id FROM pages), changed AS (SELECT DISTINCT page_id % 40 AS source_id FROM pages WHERE page_id % 3 = 0 AND page_id % 40 < 20)
+SELECT source_id, address, 'old' AS origin FROM old WHERE source_id NOT IN (SELECT source_id FROM changed) AND source_id <> 39
+UNION ALL SELECT source_id, address, 'new' FROM old WHERE page_id % 3 = 0 AND source_id < 20""")
+def keyed_upsert(read):
+    """Entry sets of sources in a stored table: those of some sources replaced, one removed, each in a version of its own."""
+    own = read("pages").select((F.col("page_id") % 40).alias("source_id"), F.col("url").alias("address"), "page_id")
+    spark = own.sparkSession
+    table = KeyedTable(spark, shared.scratch(spark, "entrypoints"), "source_id long, address string, origin string", "source_id", bucket_rows=100)
+    table.append(lambda _: own.withColumn("origin", F.lit("old")))
+    table.upsert(own.where("page_id % 3 = 0 and source_id < 20").withColumn("origin", F.lit("new")))
+    table.remove(own.where("source_id = 39"))
+    return table.read()
+
+
+@query("SELECT doc_id AS id, doc_id % 2 = 0 OR n_chars > 500 AS summarized, CASE WHEN doc_id % 2 = 0 THEN 'm' END AS model FROM documents")
+def keyed_patch(read):
+    """Articles rewritten with what an analysis has found for some of them."""
+    rows = read("documents").select(doc_id().alias("id"), (F.col("n_chars") > 500).alias("summarized"), F.lit(None).cast("string").alias("model"))
+    table = KeyedTable(rows.sparkSession, shared.scratch(rows.sparkSession, "articles"), rows.schema, bucket_rows=200)
+    table.append(lambda _: rows)
+    table.patch(rows.where("id % 2 = 0").select("id", F.lit(True).alias("summarized"), F.lit("m").alias("model")))
+    return table.read()
+
+
 # --- one run of the ingest ----------------------------------------------------------------------------------------
 
 
@@ -207,11 +232,12 @@ def ingest_run(read):
 def stream_seen_ids(read):
     e = read("events").select((F.col("user_id") * 100 + F.dayofmonth("ts")).alias("id"), "event_id")
     spark = e.sparkSession
-    arrived, table, state = (shared.scratch(spark, n) for n in ("arrived", "seen", "state"))
+    arrived, root, state = (shared.scratch(spark, n) for n in ("arrived", "seen", "state"))
+    table = KeyedTable(spark, root, "id long", sketches=True)
     for part in (0, 1):  # two runs; the second meets ids of the first
         e.where(F.col("event_id") % 2 == part).select("id").write.mode("append").parquet(arrived)
         streaming.ingest_stream(spark.readStream.schema("id long").parquet(arrived), table, state).awaitTermination()
-    return spark.read.parquet(table)
+    return table.read()
 
 
 @query(RUNS + "SELECT source_id, datediff('day', DATE '1970-01-01', run) AS run, new AS total, zero_streak FROM streaks")

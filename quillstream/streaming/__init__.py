@@ -9,22 +9,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from quillstream.sources import shared
+from quillstream.sources.keyed import KeyedTable, Manifest
+
 
 def first_seen(articles: DataFrame, event_time: str, delay: str = "30 days") -> DataFrame:
     """Each id once; state is kept for `delay` of event time."""
     return articles.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(["id"])
 
 
-def ingest_stream(articles: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
-    """Appends new articles to a Parquet table: each micro-batch is made distinct and anti-joined with stored ids."""
+def unseen(batch: DataFrame, table: KeyedTable, manifest: Manifest) -> DataFrame:
+    """Distinct rows of a batch (a stored table, one row an id) whose id the table's version does not hold. Ids that the
+    filters of their bucket rule out are new; only parts that may hold one of the others are read."""
+    return batch.join(table.stored_keys(batch.select(table.key), manifest).hint("merge"), table.key, "left_anti")
+
+
+def ingest_stream(articles: DataFrame, table: KeyedTable, checkpoint: str, name: str = "ingest") -> StreamingQuery:
+    """Adds new articles to a keyed table with sketches: each micro-batch is made distinct by id and held against the ids
+    of its buckets. A batch that is run again after a failure finds its number in the manifest and adds nothing."""
 
-    def add(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        fresh = batch.dropDuplicates(["id"])
-        path = spark._jvm.org.apache.hadoop.fs.Path(table)
-        if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-            fresh = fresh.join(spark.read.parquet(table).select("id"), "id", "left_anti")
-        fresh.write.mode("append").parquet(table)
+    def add(batch: DataFrame, number: int) -> None:
+        fresh = shared.stored(batch.dropDuplicates([table.key]), "batch")
+        table.append(lambda manifest: unseen(fresh, table, manifest), commit=(name, number))
 
     return articles.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
