@@ -15,7 +15,6 @@ import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -164,17 +163,19 @@ def slack_plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tupl
     return plan
 
 
-def place(plan: list[tuple]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """Rows (.., length, rank) -> the same with sequence_id and offset."""
+def place(plan: list[tuple]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows (.., length, .., rank) -> the same without rank, with sequence_id and offset; other values go by untouched."""
     table = np.array(sorted(plan), np.int64).reshape(-1, 6)
     starts = (table[:, 0] << 48) | table[:, 1]
 
-    def placed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            length, rank = frame["length"].to_numpy(np.int64), frame["rank"].to_numpy(np.int64)
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            length, rank = (batch.column(c).to_numpy().astype(np.int64) for c in ("length", "rank"))
             _, first, _, sequence, copies, offset = table[np.searchsorted(starts, (length << 48) | rank, "right") - 1].T
             nth = rank - first
-            yield frame.drop(columns="rank").assign(sequence_id=sequence + nth // copies, offset=offset + nth % copies * length)
+            names = [n for n in batch.schema.names if n != "rank"]
+            columns = [*(batch.column(n) for n in names), pa.array(sequence + nth // copies), pa.array(offset + nth % copies * length)]
+            yield pa.RecordBatch.from_arrays(columns, names=[*names, "sequence_id", "offset"])
 
     return placed
 
@@ -189,10 +190,10 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     before = Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
     own = F.row_number().over(Window.partitionBy("length", "_salt").orderBy("doc_id", "piece")) - 1
-    ranked = salted.withColumn("_own", own).join(offsets.hint("shuffle_hash"), ["length", "_salt"])
+    ranked = salted.withColumn("_own", own).join(offsets.hint("merge"), ["length", "_salt"])
     ranked = ranked.withColumn("rank", F.col("_own") + F.col("_before")).select(*pieces.columns, "rank")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
-    return ranked.mapInPandas(place(slack_plan(histogram, capacity)), fields + ", sequence_id long, offset long")
+    return ranked.mapInArrow(place(slack_plan(histogram, capacity)), fields + ", sequence_id long, offset long")
 
 
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY, **kind) -> DataFrame:
