@@ -12,6 +12,7 @@ from quillstream.plans.base import query
 from quillstream.plans.registry import LINKS, RUNS, page_links, runs
 from quillstream.sources import shared
 from quillstream.sources.keyed import KeyedTable
+from quillstream.streaming import trials
 
 def doc_id() -> Column:
     return F.col("doc_id")
@@ -250,3 +251,33 @@ def stream_zero_streaks(read):
         found = streaming.zero_streak_stream(spark.readStream.schema(rows.schema).parquet(arrived))
         found.writeStream.format("parquet").option("path", out).option("checkpointLocation", state).outputMode("append").trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(out).withColumn("source_id", F.col("source_id").cast("long"))
+
+
+#: An event's user is tried; sign-ups ask for a start, every event is a check, those of a value over 30 are samples.
+TRIAL_EVENTS = """WITH RECURSIVE ev AS (SELECT user_id AS id, ts, event_id, CAST(ts AS DATE) AS day, event_type = 'signup' AS asked, event_type <> 'error' AS accessible, CAST(floor(value) AS BIGINT) % 5 AS articles,
+  CASE WHEN value > 30 THEN CAST(json_extract(props, '$.k') AS BIGINT) % 5 / 4.0::DOUBLE END AS score FROM events),
+checks AS (SELECT id, day, arg_min(accessible, (ts, event_id)) AS accessible, arg_min(articles, (ts, event_id)) AS articles FROM ev GROUP BY 1, 2),
+samples AS (SELECT id, day, arg_min(score, (ts, event_id)) AS score FROM ev WHERE score IS NOT NULL GROUP BY 1, 2),
+asked AS (SELECT DISTINCT id, day FROM ev WHERE asked),
+runs AS (SELECT a.id, a.day AS start, coalesce(c.articles, 0) AS articles, coalesce(c.days, 0) AS days, s.mean, coalesce(s.n, 0) AS n FROM asked a
+  LEFT JOIN LATERAL (SELECT sum(articles) FILTER (accessible)::BIGINT AS articles, count(*) FILTER (accessible AND articles > 0) AS days FROM checks c WHERE c.id = a.id AND c.day BETWEEN a.day AND a.day + 3) c ON true
+  LEFT JOIN LATERAL (SELECT avg(score) AS mean, count(*) AS n FROM samples s WHERE s.id = a.id AND s.day BETWEEN a.day AND a.day + 2) s ON true),
+judged AS (SELECT id, start, start + 3 AS decided, articles, days, round(coalesce(mean, 0.0), 3) AS mean, n, CASE WHEN days < 2 THEN 'fail_quantity' WHEN n = 0 OR mean < 0.5 THEN 'fail_quality' ELSE 'pass' END AS outcome FROM runs),
+taken AS (SELECT * FROM judged QUALIFY row_number() OVER (PARTITION BY id ORDER BY start) = 1
+  UNION ALL SELECT j.* FROM (SELECT id, decided + CASE outcome WHEN 'pass' THEN 7 ELSE 30 END AS free FROM taken) t JOIN LATERAL (SELECT * FROM judged j WHERE j.id = t.id AND j.start >= t.free ORDER BY j.start LIMIT 1) j ON true)
+"""
+
+
+@query(TRIAL_EVENTS + "SELECT id::VARCHAR AS trial_id, start AS start_date, decided AS decided_on, articles, days, mean, n AS n_samples, outcome FROM taken WHERE decided + 1 <= (SELECT max(ts)::DATE FROM events)")
+def stream_trials(read):
+    """The trial machine over events that arrive in three runs of the stream, each started anew from the checkpoint."""
+    e = read("events")
+    base = [F.col("user_id").alias("trial_id"), F.col("ts").cast("timestamp").alias("at"), F.col("event_id").alias("seq")]
+    of = lambda kind: e.select(*base, F.lit(kind).alias("kind"), (F.col("event_type") != "error").alias("accessible"), (F.floor("value") % 5).alias("articles"), F.array(F.get_json_object("props", "$.k").cast("long") % 5 / F.lit(4.0)).alias("scores"), "event_type", "value")
+    rows = status.union_all(of("start").where("event_type = 'signup'"), of("check"), of("sample").where("value > 30")).drop("event_type", "value")
+    spark = e.sparkSession
+    arrived, out, state = (shared.scratch(spark, n) for n in ("trial-events", "decisions", "state"))
+    for lo, hi in ((0, 11), (11, 19), (19, 99)):
+        rows.where(f"dayofmonth(at) > {lo} and dayofmonth(at) <= {hi}").write.mode("append").parquet(arrived)
+        trials.run_trials(spark.readStream.schema(rows.schema).parquet(arrived), out, state).awaitTermination()
+    return spark.read.schema(trials.DECISION).parquet(out)
