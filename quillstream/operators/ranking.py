@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillstream.functions import scoring
+from quillstream.operators import scan
 
 GOOD, BAD = "label = 'good'", "label = 'bad'"
 
@@ -68,9 +69,9 @@ def sweep(labelled: DataFrame, weights: DataFrame) -> DataFrame:
 
 
 def progress(experiments: DataFrame) -> DataFrame:
-    """experiments(seq, yield) with status: IMPROVED on the best before, else SAME. One window over a log of runs."""
-    before = F.max("yield").over(Window.orderBy("seq").rowsBetween(Window.unboundedPreceding, -1))
-    return experiments.withColumn("status", F.when(before.isNull() | (F.col("yield") > before), "IMPROVED").otherwise("SAME"))
+    """experiments(seq, yield) with status: IMPROVED on the best before, else SAME."""
+    rows = scan.prefix_scan(experiments, [F.col("seq")], {"_best": (scan.MAX, F.col("yield"))}, exclusive=True)
+    return rows.withColumn("status", F.when(F.col("_best").isNull() | (F.col("yield") > F.col("_best")), "IMPROVED").otherwise("SAME")).drop("_best")
 
 
 def is_saturated(experiments: DataFrame, n: int = 5) -> DataFrame:

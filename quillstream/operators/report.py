@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillstream.operators import scan
 from quillstream.operators.funnel import last_of, without
 from quillstream.operators.status import union_all
 
@@ -19,6 +20,11 @@ def pass_pending_rows(candidates: DataFrame, history: DataFrame, production: Dat
     return without(candidates, "id", production).join(last.drop("seq"), "id").withColumnsRenamed({"days": "trial_days", "articles": "trial_articles", "mean": "trial_quality"})
 
 
+def passed_list(pending: DataFrame) -> DataFrame:
+    """Every candidate whose trial passed, with its place: best fit first, ties by id."""
+    return scan.numbered(pending, [F.coalesce("fit_score", F.lit(0.0)).desc(), F.col("id")], "place")
+
+
 def report(candidates: DataFrame, active: DataFrame, history: DataFrame, production: DataFrame) -> DataFrame:
     """All rows of the report with their `section`. The queue takes validated candidates of any quality; a candidate on
     trial, passed or in production is not in it. production(id, name), active(id)."""

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillstream.functions import scoring, urls
+from quillstream.operators import scan
 
 # The statuses that a stage takes up, and those it takes up again when asked to.
 STAGES = {"discover": (["seed"], []), "screen": (["discovered", "screen_failed"], ["screened"]), "score": (["screened"], ["inaccessible"])}
@@ -181,7 +182,5 @@ def validation_due(entrypoints: DataFrame, as_of: Column, days: int = 7) -> Data
 
 
 def in_order(rows: DataFrame, by: str) -> DataFrame:
-    """A small table (one row for each source or fund) with its place by a column."""
-    from pyspark.sql import Window
-
-    return rows.withColumn("place", F.row_number().over(Window.orderBy(by)))
+    """A table with the place of each row by a column that tells rows apart."""
+    return scan.numbered(rows, [F.col(by)], "place")

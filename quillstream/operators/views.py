@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillstream.operators import scan
+
 GENERAL = "General"
 
 
@@ -12,17 +14,10 @@ def day_or_epoch() -> Column:
     return F.coalesce("date", F.lit("1970-01-01").cast("date"))
 
 
-def numbered(rows: DataFrame, keys: list[str], name: str = "position", block: int = 100_000) -> DataFrame:
-    """rows(keys.., date, seq) numbered within their keys, newest first, undated last, ties by seq. Rows are numbered in
-    blocks of seq within a day and shifted by the rows before, so that neither a large key nor a large day is one task;
-    the counts that are summed in one place are one for each day and block."""
-    rows = rows.withColumn("_day", day_or_epoch()).withColumn("_block", F.expr(f"seq div {block}"))
-    place = [*keys, "_day", "_block"]
-    counts = rows.groupBy(*place).agg(F.count(F.lit(1)).alias("_n"))
-    before = F.sum("_n").over(Window.partitionBy(*keys).orderBy(F.desc("_day"), "_block").rowsBetween(Window.unboundedPreceding, -1))
-    shifted = rows.join(counts.select(*place, F.coalesce(before, F.lit(0)).alias("_before")), place)
-    own = F.row_number().over(Window.partitionBy(*place).orderBy("seq"))
-    return shifted.withColumn(name, (own + F.col("_before")).cast("long")).drop("_day", "_block", "_before")
+def numbered(rows: DataFrame, keys: list[str], name: str = "position") -> DataFrame:
+    """rows(keys.., date, seq) numbered within their keys, newest first, undated last, ties by seq; neither a large key nor
+    a large day is one task."""
+    return scan.numbered(rows, [day_or_epoch().desc(), F.col("seq")], name, keys)
 
 
 def timeline(articles: DataFrame, visible: int = 20) -> DataFrame:
@@ -52,9 +47,7 @@ def theme_clusters(articles: DataFrame, as_of: Column) -> DataFrame:
         F.min("seq").alias("first_seq"),
     )
     grouped = grouped.withColumn("cross_fund", F.col("n_sources") >= 2).withColumn("last", F.col("cluster") == GENERAL)
-    # As many clusters as there are themes.
-    order = F.row_number().over(Window.orderBy("last", F.desc("n"), "first_seq"))
-    return grouped.withColumn("place", order)
+    return scan.numbered(grouped, [F.col("last"), F.desc("n"), F.col("first_seq")], "place")
 
 
 def cluster_members(articles: DataFrame) -> DataFrame:

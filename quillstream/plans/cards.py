@@ -108,13 +108,13 @@ BODY_PAGES = [
     ("man", '<div class="content">', "</div>"),
     ("aqr", "<div>", "</div>"),
 ]
-WORDS = "trim(regexp_replace(substr(regexp_replace(text, '[<>&]', ' ', 'g'), 1, 5000), '\\s+', ' ', 'g'))"
+WORDS = "trim(regexp_replace(regexp_replace(text, '[<>&]', ' ', 'g'), '\\s+', ' ', 'g'))"
 
 
 def body_pages(read) -> DataFrame:
     k = F.col("doc_id")
     pick = lambda n: F.element_at(F.array(*[F.lit(b[n]) for b in BODY_PAGES]), (k % len(BODY_PAGES) + 1).cast("int"))
-    words = F.trim(F.regexp_replace(F.substring(F.regexp_replace("text", "[<>&]", " "), 1, 5000), r"\s+", " "))
+    words = F.trim(F.regexp_replace(F.regexp_replace("text", "[<>&]", " "), r"\s+", " "))
     whole = F.concat(F.lit("<html><body><nav>menu of it</nav>"), pick(1), words, F.when(k % 4 == 3, " Terms of  Use").otherwise(""), pick(2), F.lit("<footer>foot of it</footer></body></html>"))
     return read("documents").select(k.alias("page_id"), pick(0).alias("source_id"), whole.alias("html"))
 

@@ -302,14 +302,10 @@ def report_stats(read):
     return report.report(*report_parts(read)).groupBy("section").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first_id"))
 
 
-@query(REPORT + "SELECT id, trial_days, trial_articles, trial_quality, row_number() OVER (ORDER BY coalesce(fit_score, 0) DESC, id) AS place FROM pending QUALIFY place <= 50")
+@query(REPORT + "SELECT id, trial_days, trial_articles, trial_quality, row_number() OVER (ORDER BY coalesce(fit_score, 0) DESC, id) AS place FROM pending")
 def passed_list(read):
-    from pyspark.sql import Window
-
     rows, _, passed, made = report_parts(read)
-    best = report.pass_pending_rows(rows, passed, made).orderBy(F.coalesce("fit_score", F.lit(0.0)).desc(), "id").limit(50)
-    place = F.row_number().over(Window.orderBy(F.coalesce("fit_score", F.lit(0.0)).desc(), "id"))
-    return best.select("id", "trial_days", "trial_articles", "trial_quality", place.alias("place"))
+    return report.passed_list(report.pass_pending_rows(rows, passed, made)).select("id", "trial_days", "trial_articles", "trial_quality", "place")
 
 
 @query(REPORT + "SELECT id, fit_score, priority FROM (SELECT c.id, c.fit_score, q.priority FROM candidates c JOIN active a USING (id) LEFT JOIN (SELECT id, round(" + "coalesce(nullif(quality_score, 0.0), CASE quality WHEN 'HIGH' THEN 1.0 WHEN 'MEDIUM' THEN 0.5 ELSE 0.0 END) * 0.6::DOUBLE + fit_score * 0.4::DOUBLE, 6) AS priority FROM candidates) q USING (id))")

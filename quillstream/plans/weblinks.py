@@ -101,9 +101,9 @@ def roots_of(read) -> DataFrame:
     return read("pages").groupBy(urls.host(F.col("url")).alias("host")).agg(F.min("page_id").alias("main"), F.max("page_id").alias("home"))
 
 
-@query(EVERY.replace("WHERE link_host = host OR", "WHERE true OR") + ", firsts AS (SELECT * FROM nav WHERE page_id % 2 = 0 QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY pos) <= 20), " + TARGETS + " SELECT f.page_id, target FROM firsts f JOIN targets t ON t.key = rtrim(f.url, '/')")
+@query(EVERY.replace("WHERE link_host = host OR", "WHERE true OR") + ", firsts AS (SELECT * FROM nav QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY pos) <= 20), " + TARGETS + " SELECT f.page_id, target FROM firsts f JOIN targets t ON t.key = rtrim(f.url, '/')")
 def two_hop(read):
-    nav = weblinks.nav_links(found_links(read), F.array(F.lit("com"), F.lit("net"), F.lit("org"), F.lit("example"), F.lit("other.example"))).where("page_id % 2 = 0")
+    nav = weblinks.nav_links(found_links(read), F.array(F.lit("com"), F.lit("net"), F.lit("org"), F.lit("example"), F.lit("other.example")))
     first = nav.withColumn("rn", F.row_number().over(weblinks.Window.partitionBy("page_id").orderBy("pos"))).where("rn <= 20")
     return weblinks.followed(first, read("pages")).select("page_id", "target")
 
