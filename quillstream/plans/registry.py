@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillstream.functions import dates, html, scoring, text, urls
+from quillstream.functions import dates, html, scoring, sql, text, urls
 from quillstream.operators import funnel, health, ingest, ranking, views
 from quillstream.plans.base import AS_OF, as_of, query
 from quillstream.sources import shared
@@ -89,6 +89,27 @@ def page_components(read):
     return read("pages").select("page_id", scoring.page_components(F.col("url"), F.col("html"), F.array(*map(F.lit, ALLOWED))).alias("s")).select("page_id", "s.*")
 
 
+def _page_score_sql(read) -> DataFrame:
+    spark = read("pages").sparkSession
+    sql.register(spark)
+    return spark.sql(f"SELECT page_id, s.* FROM (SELECT page_id, score_page(url, html, {sql.words(ALLOWED)}) AS s FROM {{pages}})", pages=read("pages"))
+
+
+@query(_sql_scores(urls.RESEARCH_WORDS, urls.OTHER_WORDS, scoring.WALL_PHRASES + scoring.NOTICE_PHRASES) + "SELECT page_id, round(domain_score, 4) AS domain_score, round(path_score, 4) AS path_score, round(structure_score, 4) AS structure_score, round(gate_penalty, 4) AS gate_penalty, round(final_score, 4) AS final_score FROM final")
+def page_scores_sql(read):
+    """page_components by the functions registered for SQL."""
+    return _page_score_sql(read)
+
+
+@query(f"SELECT w AS word, len(list_filter([w], lambda x: list_contains({_list(urls.RESEARCH_WORDS)}, x))) > 0 AS good, count(*) AS n FROM (SELECT unnest(list_distinct(regexp_split_to_array(lower({SQL_PATH}), '[/_-]'))) AS w FROM (SELECT CASE WHEN page_id % 3 = 0 THEN regexp_replace(url, '^([a-z]+://[^/?#]*)', '\\1/Research/about-team') ELSE url END AS url FROM pages)) WHERE list_contains({_list(urls.RESEARCH_WORDS + urls.OTHER_WORDS)}, w) GROUP BY 1, 2")
+def path_words(read):
+    """Words of paths that speak for or against a page, by a table function in a LATERAL join."""
+    spark = read("pages").sparkSession
+    sql.register(spark)
+    pages = read("pages").withColumn("url", F.when(F.col("page_id") % 3 == 0, F.regexp_replace("url", r"^([a-z]+://[^/?#]*)", "$1/Research/about-team")).otherwise(F.col("url")))
+    return spark.sql("SELECT word, good, count(*) AS n FROM {pages}, LATERAL path_words(url) GROUP BY word, good", pages=pages)
+
+
 @query(f"SELECT page_id, substr(sha256({SQL_HOST} || ':' || url), 1, 16) AS article_id FROM pages")
 def article_ids(read):
     return read("pages").select("page_id", urls.article_id(urls.host(F.col("url")), F.col("url")).alias("article_id"))
@@ -365,6 +386,15 @@ def ranking_overall(read):
     return ranking.overall(rated(read))
 
 
+@query(LABELLED + f"""SELECT fund_id, false AS pooled, n_good, n_bad, round(CASE WHEN n_good > 0 THEN good_above / n_good ELSE 1.0 END, 4) AS "precision", round(CASE WHEN n_bad > 0 THEN bad_below / n_bad ELSE 0.0 END, 4) AS reject_rate,
+round(CASE WHEN n_bad > 0 THEN coalesce(g, 0.0) - coalesce(b, 0.0) ELSE coalesce(g, 0.0) END, 9) AS separation, NULL::DOUBLE AS overall FROM (SELECT fund_id, {SQL_COUNTS} FROM scored GROUP BY 1)
+UNION ALL SELECT NULL, true, n_good, n_bad, round(p, 4), round(r, 4), NULL, round(p * 0.6 + r * 0.4, 4) FROM (
+SELECT n_good, n_bad, CASE WHEN n_good > 0 THEN good_above / n_good ELSE 0.0 END AS p, CASE WHEN n_bad > 0 THEN bad_below / n_bad ELSE 0.0 END AS r FROM (SELECT {SQL_COUNTS} FROM scored))""")
+def ranking_report(read):
+    rows = ranking.ranking_report(rated(read), digits=9)
+    return rows.select("fund_id", "pooled", "n_good", "n_bad", F.round("precision", 4).alias("precision"), F.round("reject_rate", 4).alias("reject_rate"), "separation", "overall")
+
+
 SWEEP = LABELLED + """, one AS (SELECT unnest(range(1, 10)) AS k),
 grid AS (SELECT a.k / 10.0::DOUBLE AS wd, b.k / 10.0::DOUBLE AS wp, c.k / 10.0::DOUBLE AS ws, (10 - a.k - b.k - c.k) / 10.0::DOUBLE AS wg, a.k * 10000 + b.k * 100 + c.k AS weight_id FROM one a, one b, one c),
 fine AS (SELECT * FROM grid WHERE wd BETWEEN 0.05 AND 0.6 AND wp BETWEEN 0.05 AND 0.6 AND ws BETWEEN 0.05 AND 0.6 AND wg BETWEEN 0.05 AND 0.6),

@@ -159,11 +159,12 @@ def upsert_stamped(read):
 @query(RUNS + "SELECT source_id, run, zero_streak, total FROM (SELECT source_id, run, new AS total, zero_streak, row_number() OVER (PARTITION BY source_id ORDER BY run DESC) AS rn FROM streaks) WHERE rn = 1")
 def folded_runs(read):
     rows = runs(read).select("source_id", "run", F.col("new").alias("total"), "mismatch", "gated_ratio", "valid_ratio")
-    table = shared.scratch(rows.sparkSession, "source-runs")
-    middle = F.lit("2024-01-15").cast("date")
-    sources.fold_run(rows.where(F.col("run") < middle), table)
-    state = sources.fold_run(rows.where(F.col("run") >= middle), table)
-    return state.select(F.col("source_id").cast("long").alias("source_id"), "run", "zero_streak", "total")
+    spark = rows.sparkSession
+    state = sources.run_state(spark, shared.scratch(spark, "source-state"), rows.schema)
+    cuts = ["2024-01-01", "2024-01-05", "2024-01-06", "2024-01-15", "2024-03-01"]
+    for lo, hi in (*zip(cuts, cuts[1:]), ("2024-01-05", "2024-01-15")):  # the last is folded already
+        folded = sources.fold_run(rows.where((F.col("run") >= lo) & (F.col("run") < hi)), state)
+    return folded.select(F.col("source_id").cast("long").alias("source_id"), "run", "zero_streak", "total")
 
 
 @query("SELECT source AS source_id, count(*) AS n, round(avg(n_chars), 6) AS mean FROM documents GROUP BY 1")

@@ -8,6 +8,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from quillstream.functions import dates, text
 from quillstream.operators import health, ingest
+from quillstream.sources import shared
+from quillstream.sources.keyed import KeyedTable
 
 ARTICLE = "id string, source_id string, source_name string, title string, url string, date date, date_raw string, fetched_at string, summarized boolean, content_path string, content_status string, summary_en string, summary_zh string, themes array<string>, key_takeaway_en string, key_takeaway_zh string, analysis_model string, analysis_confidence string"
 ENTRYPOINTS = "sources map<string, struct<entrypoints: array<struct<url: string, content_type: string, confidence: double, final_score: double, active: boolean, last_verified_at: string, verified_by: string>>>>"
@@ -99,11 +101,20 @@ def stamped_patch(old: DataFrame, changes: DataFrame, key: str, method: str, at:
     return rows.withColumns({"discovery_method": F.when(F.col("_hit"), method), "last_discovered_at": F.when(F.col("_hit"), F.lit(at).cast("timestamp"))}).drop("_hit")
 
 
-def fold_run(runs: DataFrame, table: str) -> DataFrame:
-    """Appends a run's raw metrics to the table of all runs and gives the state folded from it: the last metrics of each
-    source, its streak of empty runs and its alarms."""
-    append(runs, table)
-    return health.inspection_state(runs.sparkSession.read.parquet(table))
+def run_state(spark: SparkSession, root: str, runs: StructType, key: str = "source_id") -> KeyedTable:
+    """The stored state of sources: the last metrics (columns of runs) and the streak summary of each."""
+    return KeyedTable(spark, root, StructType([*runs.fields, *StructType.fromDDL("zero_streak long, all_zero boolean, n_runs long").fields]), key)
+
+
+def fold_run(runs: DataFrame, state: KeyedTable, log: str | None = None) -> DataFrame:
+    """Folds a run's metrics into the stored state, of which only the buckets of its sources are read and rewritten, and
+    gives all sources' last metrics, streaks of empty runs and alarms. A run folded before changes nothing. log: a table
+    that all runs are appended to as they are."""
+    runs = shared.stored(runs, "run")
+    if log:
+        append(runs, log)
+    now = state.change(state.touched_by(runs), lambda old: health.folded(old, runs, state.key))
+    return health.with_alerts(state.read(manifest=now))
 
 
 def write_report(df: DataFrame, path: str) -> None:

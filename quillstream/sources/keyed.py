@@ -267,7 +267,7 @@ class KeyedTable:
                 now = self.grow(more)
                 rows = shared.stored(make(now), "appended")
             buckets = now.buckets if now.version else self._buckets(more)
-            full = {b for b in self._touched(rows)(buckets) if len(now.writes.get(b, ())) >= self.parts}
+            full = {b for b in self.touched_by(rows)(buckets) if len(now.writes.get(b, ())) >= self.parts}
             name, counts = self.write(rows.unionByName(self.read(full, manifest=now)) if full else rows, buckets)
             writes = {b: list(w) for b, w in now.writes.items() if b not in full}
             for b in counts:
@@ -302,19 +302,20 @@ class KeyedTable:
                 continue
         raise Conflict(f"{attempts} attempts on {self.root}")
 
-    def _touched(self, keys: DataFrame) -> Callable[[int], set[int]]:
+    def touched_by(self, keys: DataFrame) -> Callable[[int], set[int]]:
+        """The buckets of some keys, whatever the number of buckets."""
         return lambda buckets: {r[0] for r in keys.select(self.bucket_of(buckets).alias("b")).distinct().collect()}
 
     def upsert(self, rows: DataFrame) -> Manifest:
         """Rows replace all stored ones of their keys. rows is read more than once: a table, or written before."""
-        return self.change(self._touched(rows), lambda old: old.join(rows.select(self.key).distinct(), self.key, "left_anti").unionByName(rows.select(*self.schema.fieldNames())))
+        return self.change(self.touched_by(rows), lambda old: old.join(rows.select(self.key).distinct(), self.key, "left_anti").unionByName(rows.select(*self.schema.fieldNames())))
 
     def patch(self, changes: DataFrame) -> Manifest:
         """Non-null values of changes(key, some columns), one row a key, are set in stored rows; new keys are not added."""
-        return self.change(self._touched(changes), lambda old: ingest.patch(old, changes, self.key))
+        return self.change(self.touched_by(changes), lambda old: ingest.patch(old, changes, self.key))
 
     def remove(self, keys: DataFrame) -> Manifest:
-        return self.change(self._touched(keys), lambda old: old.join(keys.select(self.key).distinct(), self.key, "left_anti"))
+        return self.change(self.touched_by(keys), lambda old: old.join(keys.select(self.key).distinct(), self.key, "left_anti"))
 
     def vacuum(self, keep: int = 2) -> list[str]:
         """Deletes all but the last `keep` versions and the writes that none of these names; for times without writers."""
