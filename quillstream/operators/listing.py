@@ -1,18 +1,19 @@
 """Cards of listing pages and bodies of articles by rules that are data: one parse of a page, one row for a card or body.
 
 A rule's field says where in a card a value stands: alternatives by ||, the first that gives something. Each is a
-selector, or . for the card; @attr takes an attribute; ^n in front looks inside the n-th ancestor and those before it, /
-in the whole page; %c after it takes the c-th of an element's own children; ~ takes loose text, outside p, a and h3.
+selector, or . for the card; @attr takes an attribute; ^n in front looks inside the n-th ancestor and those before it, ^n<
+among the elements before the n-th ancestor, the nearest first, / in the whole page; %c after it takes the c-th of an element's own children; ~ takes loose text, outside p, a and h3.
 """
 
 from __future__ import annotations
 
+import functools
 import json
 import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstream.functions import dates, dom, text, urls
@@ -24,7 +25,7 @@ LAYOUTS: dict[str, dict] = {
     "cambridge": {"base": "", "host": "cambridgeassociates.com", "card": "article.c-list-article", "title": "h2 a, h3 a", "link": "h2 a, h3 a@href", "date": "p.c-type--body-sm"},
     "man": {"base": "page", "host": "", "card": "div.teaser__wrap", "title": ".teaser__content .teaser__title", "link": "a.teaser@href", "date": "span.details__date", "category": "span.details__category", "summary": "div.teaser__text p", "drop": "strong, br", "least": 5, "skip": ["/insights"]},
     "bridgewater": {"base": "page", "host": "", "card": "a.Link[href*='/research-and-insights/']", "title": ".@aria-label || .", "link": ".@href", "date": "^2 .PromoC-date", "least": 5, "once": True, "skip": ["https://www.bridgewater.com/research-and-insights"], "no": ["research and insights", "read more", "learn more", "research & insights"]},
-    "aqr": {"base": "https://www.aqr.com", "host": "", "card": "div.search-list-v2__item", "title": "h2 a", "link": "h2 a@href", "date": "p.article__date", "category": "p.eyebrow", "summary": "p.article__summary", "featured": {"card": "a.insights-featured-article-v2", "title": ".", "link": ".@href", "date": "/ p.article-date", "summary": "/ p.text--small-v2"}},
+    "aqr": {"base": "https://www.aqr.com", "host": "", "card": "div.search-list-v2__item", "title": "h2 a", "link": "h2 a@href", "date": "p.article__date", "category": "p.eyebrow", "summary": "p.article__summary", "featured": {"card": "a.insights-featured-article-v2", "title": ".", "link": ".@href", "date": "/ p.article-date", "category": "^1< span", "summary": "/ p.text--small-v2"}},
     "oaktree": {"base": "https://www.oaktreecapital.com", "host": "oaktreecapital.com", "card": "div.insight-item", "title": "span.title-link", "link": "a[href]@href || a[href]@data-link", "iso": "time.date@datetime", "date": "time.date", "category": "span.insights-type", "kind": "span.read-more", "no": ["archived memos", "insights"], "prefer": "Read"},
     "wellington": {"base": "https://www.wellington.com", "host": "wellington.com", "card": "section.insight.article", "title": "a.insight__title", "link": "a.insight__link@href || a.insight__title@href", "iso": "date[datetime]@datetime", "date": "date[datetime]", "category": "div.insight__contentType span"},
     "troweprice": {"base": "https://www.troweprice.com", "host": "troweprice.com", "card": "div.b-grid-item--12-col", "title": "h2.beacon-article-tile__title a", "link": "h2.beacon-article-tile__title a@href", "date": "span.beacon-article-tile__eyebrow", "cut": "·"},
@@ -63,6 +64,11 @@ STRICT = ["article", "article p", "main article", "main article p", ".article-bo
 SAMPLE_CHROME = "nav, footer, header, .nav, .footer, .header, script, style, aside, .sidebar"
 SAMPLE = [".cmp-text", "[itemprop='articleBody']", ".rich-text", ".article-body", ".article-content", ".entry-content", ".post-content"]
 
+RULES = "source_id string, rule string"  # a layout, as JSON
+# What admits a card; the rest of a rule says where things stand in it.
+ADMISSION = "base string, host string, prefix string, skip array<string>, parts array<string>, not array<string>, end string, once boolean, noise boolean, least int, no array<string>, cut string, month boolean, first string, dated boolean, prefer string, newest boolean"
+FEW = 100_000  # rules that may be broadcast
+
 CARD = "page_id long, source_id string, pos int, title string, link string, iso string, date_raw string, category string, summary string, kind string, featured boolean"
 
 
@@ -77,6 +83,18 @@ def _layer(node: dom.Node, key: str) -> str:
     return next((link for v in fields if isinstance(v, dict) and (link := v.get("xdm:linkURL") or v.get("linkURL"))), "")
 
 
+def _before(card: dom.Node, ups: int, selector: str) -> dom.Node | None:
+    """The nearest sibling before the ups-th ancestor that the selector matches."""
+    node: dom.Node | None = card
+    for _ in range(ups):
+        node = node.parent if node is not None else None
+    if node is None or node.parent is None:
+        return None
+    chains = dom.compiled(selector)
+    siblings = [p for p in node.parent.parts if isinstance(p, dom.Node)]
+    return next((s for s in reversed(siblings[: siblings.index(node)]) if any(s.matches(c[-1]) for c in chains)), None)
+
+
 def value_of(card: dom.Node, field: str | None, root: dom.Node, drop: str = "", between: str = "") -> str:
     for one in (field or "").split(" || "):
         if one.startswith("@layer"):
@@ -84,11 +102,13 @@ def value_of(card: dom.Node, field: str | None, root: dom.Node, drop: str = "",
         elif one == "~":
             found = next((s for s, owner in card.strings() if owner.tag not in ("p", "a", "h3")), "")
         else:
-            m = re.fullmatch(r"(?:\^(\d+) |(/) )?(.*?)(?:%(\d+))?(?:@([\w:-]+))?", one)
-            ups, whole, selector, child, attr = m.groups()
+            m = re.fullmatch(r"(?:\^(\d+)(<)? |(/) )?(.*?)(?:%(\d+))?(?:@([\w:-]+))?", one)
+            ups, before, whole, selector, child, attr = m.groups()
             node = card if selector in (".", "") else None
+            if before:
+                node, ups = _before(card, int(ups), selector), 0
             scope: dom.Node | None = root if whole else card
-            for _ in range(int(ups or 0) or 1):
+            for _ in range(0 if before else int(ups or 0) or 1):
                 if node is not None or not selector or scope is None:
                     break
                 scope = scope.parent if ups and scope is not None else scope
@@ -128,8 +148,23 @@ def cards_of(page: str | None, rule: dict) -> Iterator[tuple]:
             yield title, value("link"), value("iso"), value("date", between=" " if own.get("month") else ""), value("category"), value("summary"), value("kind"), own.get("is", False)
 
 
-def cards(pages: DataFrame, layouts: dict[str, dict] = LAYOUTS) -> DataFrame:
-    """CARD rows of pages(page_id, source_id, html); a source without a layout has none."""
+def layout_rules(spark: SparkSession, layouts: dict[str, dict] = LAYOUTS) -> DataFrame:
+    """RULES: the layouts as rows. A source is added by a row, whatever table that comes from."""
+    return spark.createDataFrame([(s, json.dumps(rule)) for s, rule in layouts.items()], RULES)
+
+
+def by_source(rows: DataFrame, rules: DataFrame, how: str = "inner") -> DataFrame:
+    """rows joined with the rules of their source: broadcast where these are few, else by a shuffle."""
+    return rows.join(rules.hint("broadcast" if rules.limit(FEW + 1).count() <= FEW else "merge"), "source_id", how)
+
+
+@functools.lru_cache(1024)
+def _loaded(rule: str) -> dict:
+    return json.loads(rule)
+
+
+def cards(pages: DataFrame, rules: DataFrame) -> DataFrame:
+    """CARD rows of pages(page_id, source_id, html) by RULES; a source without a rule has none."""
     names = [x.split()[0] for x in CARD.split(", ")]
     types = [pa.int64(), pa.string(), pa.int32(), *[pa.string()] * 7, pa.bool_()]
 
@@ -137,29 +172,23 @@ def cards(pages: DataFrame, layouts: dict[str, dict] = LAYOUTS) -> DataFrame:
         for batch in batches:
             for a in range(0, len(batch), 200):
                 rows = []
-                for page, source, html in zip(*(c.to_pylist() for c in batch[a : a + 200].columns), strict=True):
-                    if source in layouts:
-                        rows += [(page, source, k, *card) for k, card in enumerate(cards_of(html, layouts[source]))]
+                for page, source, html, rule in zip(*(c.to_pylist() for c in batch[a : a + 200].columns), strict=True):
+                    rows += [(page, source, k, *card) for k, card in enumerate(cards_of(html, _loaded(rule)))]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
 
-    return pages.select("page_id", "source_id", "html").mapInArrow(run, CARD)
+    return by_source(pages, rules).select("page_id", "source_id", "html", "rule").mapInArrow(run, CARD)
 
 
-def _of(rules: dict[str, dict], name: str, default, kind: str) -> Column:
-    """A rule's value by source_id; the rules are a small registry."""
-    known = {s: r[name] for s, r in rules.items() if name in r}
-    if not known:
-        return F.lit(default).cast(kind)
-    literal = lambda v: F.array(*map(F.lit, v)) if isinstance(v, list) else F.lit(v)
-    held = F.create_map(*[c for s, v in known.items() for c in (F.lit(s), literal(v))])
-    return F.coalesce(F.try_element_at(held, F.col("source_id")), literal(default) if default != [] else F.array().cast(kind))
+def listing_rows(cards: DataFrame, rules: DataFrame, base: Column, most: int = 10) -> DataFrame:
+    """(page_id, source_id, rn, title, url, date, date_raw, category, summary): the cards that a source's rule admits, at
+    most `most` of a page. base: the page's own URL, a column of cards."""
+    rows = by_source(cards, rules.select("source_id", F.from_json("rule", ADMISSION).alias("_rule")))
 
+    def of(name: str, default, kind: str) -> Column:
+        literal = F.array(*map(F.lit, default)).cast(kind) if isinstance(default, list) else F.lit(default).cast(kind)
+        return F.coalesce(F.col("_rule")[name], literal)
 
-def listing_rows(rows: DataFrame, base: Column, layouts: dict[str, dict] = LAYOUTS, most: int = 10) -> DataFrame:
-    """(page_id, source_id, rn, title, url, date, date_raw, category, summary): the cards that a source's rules admit, at
-    most `most` of a page. base: the page's own URL."""
-    of = lambda name, default, kind: _of(layouts, name, default, kind)
     start = F.when(of("base", "", "string") == "page", base).otherwise(of("base", "", "string"))
     prefix = of("prefix", "", "string")
     link = F.when((prefix != "") & F.col("link").startswith(prefix), F.concat(F.lit("/"), F.expr("link").substr(F.length(prefix) + 1, F.length("link")))).otherwise(F.col("link"))
@@ -210,56 +239,3 @@ def json_rows(payloads: DataFrame, most: int = 10) -> DataFrame:
         url = urls.resolve(F.lit(rule["base"]), link)
         out.append(rows.select("page_id", "source_id", "pos", title.alias("title"), link.alias("_link"), url.alias("url"), date.alias("date"), author.alias("author"), F.coalesce(F.col("r")["Lock"] == "true", F.lit(False)).alias("gated")).where("title <> '' and _link <> ''").where(F.lit(rule["host"] == "") | urls.host_matches(urls.host(F.col("url")), F.lit(rule["host"]))))
     return ingest.top_n(status.union_all(*out), ["page_id", "source_id"], [F.col("pos")], most).drop("pos", "_link")
-
-
-def body_of(page: str | None, selector: str) -> str:
-    """Text of what the selector finds, else of the first fallback that finds something, else of the whole page."""
-    root = dom.parse(page)
-    root.remove(CHROME)
-    for one in [selector, *FALLBACKS]:
-        if found := root.select(one):
-            return "\n".join(n.text() for n in found)
-    return root.text()
-
-
-def strict_body(page: str | None, least: int, markers: list[str]) -> str | None:
-    """Text of the first of the ranked selectors that is long enough and no gate."""
-    root = dom.parse(page)
-    root.remove(STRICT_CHROME)
-    for selector in STRICT:
-        found = " ".join(" ".join(n.text(" ") for n in root.select(selector)).split())
-        if len(found) >= least and not any(m in found.lower() for m in markers):
-            return found
-    return None
-
-
-def sample_body(page: str | None, least: int = 200, most: int = 3000) -> str | None:
-    """The longest article, else the long parts of the first known container, else the page's main part."""
-    root = dom.parse(page)
-    root.remove(SAMPLE_CHROME)
-    longest = max((n.text(" ") for n in root.select("article")), key=len, default="")
-    if len(longest) > least:
-        return longest[:most]
-    for selector in SAMPLE:
-        joined = "\n\n".join(t for n in root.select(selector) if len(t := n.text(" ")) > 100)
-        if len(joined) > least:
-            return joined[:most]
-    node = root.first("main") or root.first("body")
-    found = node.text(" ") if node is not None else ""
-    return found[:most] if len(found) > least else None
-
-
-def bodies(pages: DataFrame, least: int = 100, markers: list[str] = ()) -> DataFrame:
-    """(page_id, body, strict, sample) of pages(page_id, source_id, html): by the source's selectors (null without such),
-    by ranked selectors with a gate, and as quality samples read it. A page is parsed where it is, nothing is shuffled."""
-    markers = list(markers)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a in range(0, len(batch), 200):
-                ids, sources, pages = (c.to_pylist() for c in batch[a : a + 200].columns)
-                body = [body_of(p, BODIES[s]) if s in BODIES else None for s, p in zip(sources, pages, strict=True)]
-                columns = [ids, [b if b is None or len(b) >= least else None for b in body], [strict_body(p, least, markers) for p in pages], [sample_body(p) for p in pages]]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), *[pa.string()] * 3), strict=True)], names=["page_id", "body", "strict", "sample"])
-
-    return pages.select("page_id", "source_id", "html").mapInArrow(run, "page_id long, body string, strict string, sample string")

@@ -26,6 +26,7 @@ LOGIN_PHRASES = ["log in", "sign in", "register", "subscribe to read", "create a
 
 PIECE = "#text"
 NODES = "page_id long, pos int, end_pos int, tag string, kind string, classes array<string>, text string"
+ATTRIBUTES = "attrs map<string, string>"
 
 
 class _Nodes(HTMLParser):
@@ -42,14 +43,14 @@ class _Nodes(HTMLParser):
     def _piece(self):
         if self.text and (piece := "".join(self.text).strip()):
             self.n += 1
-            self.rows.append([self.n, self.n, PIECE, None, None, piece])
+            self.rows.append([self.n, self.n, PIECE, None, None, piece, None])
         self.text = []
 
     def handle_starttag(self, tag, attrs):
         self._piece()
         self.n += 1
         named = dict(attrs)
-        row = [self.n, self.n, tag, named.get("type"), (named.get("class") or "").split(), None]
+        row = [self.n, self.n, tag, named.get("type"), (named.get("class") or "").split(), None, [(k, v or "") for k, v in named.items()]]
         self.rows.append(row)
         if tag not in VOID:
             self.open.append(row)
@@ -85,10 +86,11 @@ class _Nodes(HTMLParser):
         return self.rows
 
 
-def nodes(pages: DataFrame) -> DataFrame:
-    """NODES of pages(page_id, html): a row for every element and piece of text, where the page is."""
-    names = [x.split()[0] for x in NODES.split(", ")]
-    types = [pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.list_(pa.string()), pa.string()]
+def nodes(pages: DataFrame, attributes: bool = False) -> DataFrame:
+    """NODES of pages(page_id, html): a row for every element and piece of text, where the page is; with ATTRIBUTES if
+    they are asked for."""
+    types = [pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.list_(pa.string()), pa.string(), pa.map_(pa.string(), pa.string())][: 8 if attributes else 7]
+    names = ["page_id", "pos", "end_pos", "tag", "kind", "classes", "text", "attrs"][: len(types)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -97,11 +99,11 @@ def nodes(pages: DataFrame) -> DataFrame:
                 for page, html in zip(*(c.to_pylist() for c in batch[a : a + 100].columns), strict=True):
                     parser = _Nodes()
                     parser.feed(html or "")
-                    rows += [(page, *row) for row in parser.finish()]
+                    rows += [(page, *row)[: len(types)] for row in parser.finish()]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
 
-    return pages.select(F.col("page_id").cast("long"), "html").mapInArrow(run, NODES)
+    return pages.select(F.col("page_id").cast("long"), "html").mapInArrow(run, NODES + (f", {ATTRIBUTES}" if attributes else ""))
 
 
 def inside(tags: list[str], classes: list[str] = ()) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillstream.functions import scoring
-from quillstream.operators import listing
+from quillstream.operators import bodies, listing, status
 from quillstream.plans.base import query
 from quillstream.plans.registry import SQL_HOST
 from quillstream.sources import shared
@@ -75,9 +75,28 @@ UNION ALL SELECT *, 2, 'Second to ' || page_id * 10, origin || replace(rest, '{{
 SELECT page_id, source_id, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS rn, title, url, CASE WHEN undated THEN NULL WHEN monthly THEN date_trunc('month', day)::DATE ELSE day END AS date FROM every""")
 def listing_cards(read):
     pages = listing_pages(read)
-    found = shared.stored(listing.cards(pages), "cards")
+    rules = listing.layout_rules(pages.sparkSession)
+    found = shared.stored(listing.cards(pages, rules), "cards")
     rows = found.join(pages.select("page_id", "base").hint("merge"), "page_id")
-    return listing.listing_rows(rows, F.col("base")).select("page_id", "source_id", "rn", "title", "url", "date")
+    return listing.listing_rows(rows, rules, F.col("base")).select("page_id", "source_id", "rn", "title", "url", "date")
+
+
+FEATURED = """<div class="top"><span>Old</span><span>Kind {n}</span><div><a class="insights-featured-article-v2" href="/f/{n}">Featured {n}</a></div></div><p class="article-date">March 4, 2024</p><p class="text--small-v2">Short {n}</p>"""
+ADDED = {"base": "page", "host": "", "card": "li.entry", "title": "b", "link": "a@href", "date": "i", "category": "^1< h4"}
+
+
+@query("""SELECT page_id, 'aqr' AS source_id, 'Featured ' || page_id AS title, 'https://www.aqr.com/f/' || page_id AS url, DATE '2024-03-04' AS date, 'Kind ' || page_id AS category, 'Short ' || page_id AS summary FROM pages WHERE page_id % 2 = 0
+UNION ALL SELECT page_id, 'added', 'Entry ' || page_id, regexp_extract(url, '^[a-z]+://[^/?#]*') || '/e/' || page_id, DATE '2024-03-05', 'News ' || page_id, '' FROM pages WHERE page_id % 2 = 1""")
+def cards_by_added_rules(read):
+    """Featured cards with what stands before them, and those of a source that a further row of rules describes."""
+    k = F.col("page_id")
+    filled = lambda page: F.replace(F.lit(page), F.lit("{n}"), k.cast("string"))
+    entry = '<h4>News {n}</h4><ul><li class="entry"><a href="/e/{n}"><b>Entry {n}</b></a><i>March 5, 2024</i></li></ul>'
+    pages = read("pages").select("page_id", F.col("url").alias("base"), F.when(k % 2 == 0, "aqr").otherwise("added").alias("source_id"), F.when(k % 2 == 0, filled(FEATURED)).otherwise(filled(entry)).alias("html"))
+    rules = status.union_all(listing.layout_rules(pages.sparkSession), listing.layout_rules(pages.sparkSession, {"added": ADDED}))
+    found = shared.stored(listing.cards(pages, rules), "cards")
+    rows = found.join(pages.select("page_id", "base").hint("merge"), "page_id")
+    return listing.listing_rows(rows, rules, F.col("base")).select("page_id", "source_id", "title", "url", "date", "category", "summary")
 
 
 @query("""WITH p AS (SELECT page_id, ['gmo', 'gsam', 'jpmam'][page_id % 3 + 1] AS source_id, DATE '2024-01-01' + CAST(page_id % 50 AS INT) AS date FROM pages)
@@ -123,7 +142,8 @@ def body_pages(read) -> DataFrame:
 SELECT page_id, md5(CASE WHEN length(own) >= 100 THEN own END) AS body, md5(CASE WHEN kind IN (2, 5, 7) AND length(s) >= 100 AND NOT gates THEN s END) AS strict, length(CASE WHEN length(own) > 200 THEN substr(own, 1, 3000) END) AS sample
 FROM (SELECT *, regexp_replace(own, '\\s+', ' ', 'g') AS s, {' OR '.join(f"contains(lower(regexp_replace(own, '\\s+', ' ', 'g')), '{m}')" for m in scoring.GATE_MARKERS + scoring.DISCLAIMER_MARKERS)} AS gates FROM u)""")
 def article_bodies(read):
-    rows = listing.bodies(body_pages(read), 100, scoring.GATE_MARKERS + scoring.DISCLAIMER_MARKERS)
+    pages = body_pages(read)
+    rows = bodies.bodies(pages, bodies.body_rules(pages.sparkSession), 100, scoring.GATE_MARKERS + scoring.DISCLAIMER_MARKERS)
     return rows.select("page_id", F.md5(F.col("body").cast("binary")).alias("body"), F.md5(F.col("strict").cast("binary")).alias("strict"), F.length("sample").alias("sample"))
 
 
@@ -145,3 +165,18 @@ def chrome_removed(read):
     rows = html.without_chrome(html.elements(read("pages"))).groupBy("page_id").agg(F.count(F.lit(1)).alias("n_elements"))
     host = read("pages").select("page_id", urls.host(F.col("url")).alias("host"))
     return shared.stored(rows, "chrome").join(host.hint("merge"), "page_id").select("page_id", "host", "n_elements")
+
+
+@query(f"""WITH t AS (SELECT doc_id AS page_id, doc_id % {len(BODY_PAGES)} AS kind, doc_id % 13 AS s, lang, source, {WORDS} AS w, doc_id % 4 = 3 AS gated FROM documents), u AS (SELECT *, trim(w || CASE WHEN gated THEN ' Terms of  Use' ELSE '' END) AS own, kind = 2 AS ark, CASE s WHEN 0 THEN 403 WHEN 1 THEN NULL WHEN 2 THEN 500 ELSE 200 END AS status FROM t),
+v AS (SELECT *, CASE WHEN status = 200 AND length(own) >= 100 THEN own END AS body, 'Title: T' || page_id || chr(10) || 'Category: ' || lang || CASE WHEN page_id % 2 = 0 THEN chr(10) || 'Summary: about ' || source ELSE '' END AS meta FROM u)
+SELECT page_id, CASE WHEN body IS NOT NULL THEN 'ok' WHEN ark AND status IN (200, 403) THEN 'metadata_only' ELSE 'failed' END AS content_status, md5(CASE WHEN body IS NOT NULL THEN body WHEN ark AND status IN (200, 403) THEN meta END) AS content FROM v""")
+def article_contents(read):
+    """Bodies as they were fetched, or what a feed says where the page is closed or too short, with their status."""
+    k = F.col("page_id")
+    pages = body_pages(read)
+    rules = bodies.body_rules(pages.sparkSession)
+    known = read("documents").select(F.col("doc_id").alias("page_id"), F.col("lang").alias("category"), F.concat(F.lit("about "), "source").alias("_about"))
+    found = bodies.bodies(pages, rules).select("page_id", "body").join(pages.select("page_id", "source_id").hint("merge"), "page_id").join(known.hint("merge"), "page_id")
+    status_code = F.when(k % 13 == 0, 403).when(k % 13 == 1, None).when(k % 13 == 2, 500).otherwise(200)
+    rows = found.withColumns({"status": status_code, "title": F.concat(F.lit("T"), k.cast("string")), "summary": F.when(k % 2 == 0, F.col("_about"))})
+    return bodies.contents(rows, rules).select("page_id", "content_status", F.md5(F.col("content").cast("binary")).alias("content"))
