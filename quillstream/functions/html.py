@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillstream.sources import shared
+
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
 # Elements that are no content, and body selectors in order of preference.
 CHROME = ["nav", "footer", "header", "script", "style"]
@@ -61,9 +63,9 @@ class _Elements(HTMLParser):
         return self.rows
 
 
-def elements(pages: DataFrame) -> DataFrame:
-    """A row for every element of pages(page_id, html): pos and end_pos enclose those of what it holds; text is its own,
-    inner (of links) that of all it holds."""
+def elements(pages: DataFrame, tags: list[str] | None = None) -> DataFrame:
+    """A row for every element of pages(page_id, html), or for those of some tags: pos and end_pos enclose those of what it
+    holds; text is its own, inner (of links) that of all it holds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in ELEMENTS.split(", ")]
@@ -75,6 +77,8 @@ def elements(pages: DataFrame) -> DataFrame:
                     parser = _Elements()
                     parser.feed(text or "")
                     for r in parser.finish():
+                        if tags is not None and r["tag"] not in tags:
+                            continue
                         t = r["attrs"]
                         out.append((page, r["pos"], r["end"], r["tag"], t.get("href"), t.get("type"), t.get("rel"), t.get("class"), t.get("aria-label"), " ".join("".join(r["text"]).split()), " ".join(" ".join(r["inner"]).split()) if r["tag"] == "a" else None))
                 if out:
@@ -113,11 +117,6 @@ def body_text(rows: DataFrame, least: int = 0) -> DataFrame:
     return inside.groupBy("page_id").agg(text.alias("text")).where(F.length("text") >= least)
 
 
-def card_rules(spark, rules: list[tuple]) -> DataFrame:
-    """(source_id, card_tag, card_class, title_tag, date_tag): a listing's layout as data; null matches any."""
-    return spark.createDataFrame(rules, "source_id string, card_tag string, card_class string, title_tag string, date_tag string")
-
-
 def body_rules(spark, rules: list[tuple]) -> DataFrame:
     """(source_id, selector_rank, tag, class): where a source keeps its body, best first."""
     return spark.createDataFrame(rules, "source_id string, selector_rank int, body_tag string, body_class string")
@@ -127,32 +126,13 @@ def _has_class(name: str):
     return F.col(name).isNull() | F.array_contains(F.split(F.coalesce("classes", F.lit("")), " "), F.col(name))
 
 
-def cards(rows: DataFrame, rules: DataFrame) -> DataFrame:
-    """Listing rows of elements(source_id, page_id, ..): one for each card element of the source's rule, with its first
-    title, link and date text. What a card holds is found by a window over the page, not by joining its elements."""
-    from pyspark.sql import Window
-
-    marked = rows.join(rules, "source_id").withColumn("is_card", (F.col("tag") == F.col("card_tag")) & _has_class("card_class"))
-    seen = Window.partitionBy("page_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    last = F.max(F.when(F.col("is_card"), F.struct("pos", "end_pos"))).over(seen)
-    inside = marked.withColumn("_card", last).where("pos >= _card.pos and end_pos <= _card.end_pos")
-    first = lambda value, test: F.min_by(value, F.when(test & value.isNotNull() & (value != ""), F.col("pos")))
-    text = F.col("text")
-    found = inside.groupBy("source_id", "page_id", F.col("_card.pos").alias("pos")).agg(
-        first(text, F.col("tag") == F.col("title_tag")).alias("title"),
-        first(F.col("href"), F.col("tag") == "a").alias("href"),
-        first(text, F.col("tag") == F.coalesce("date_tag", F.lit("time"))).alias("date_raw"),
-    )
-    return found.where("title is not null")
-
-
 def body_by_rules(rows: DataFrame, rules: DataFrame, least: int = 100) -> DataFrame:
     """page_id, selector_rank and text: the first selector of the source's ranked rules whose text is longer than
     `least`, chrome left out; a page has at most as many candidates as its source has rules. rows are read twice: a stored
     table is not parsed twice."""
     from pyspark.sql import Window
 
-    hits = rows.join(rules, "source_id").where((F.col("tag") == F.col("body_tag")) & _has_class("body_class"))
+    hits = rows.join(shared.by_size(rules), "source_id").where((F.col("tag") == F.col("body_tag")) & _has_class("body_class"))
     order = F.row_number().over(Window.partitionBy("page_id", "selector_rank").orderBy("pos"))
     hits = hits.withColumn("_n", order).where("_n = 1").select("page_id", "selector_rank", F.col("pos").alias("_a"), F.col("end_pos").alias("_b"))
     inside = without_chrome(rows).where("text <> ''").join(hits.hint("merge"), "page_id").where("pos >= _a and end_pos <= _b")
@@ -167,7 +147,7 @@ def feeds(rows: DataFrame) -> DataFrame:
     return rows.where("tag = 'link' and trim(href) <> ''").where(F.lower("rel").contains("alternate") & (kind.contains("rss+xml") | kind.contains("atom+xml"))).select("page_id", "pos", F.trim("href").alias("href"))
 
 
-@F.udtf(returnType="pos int, href string, label string")
+@F.udtf(returnType="pos int, href string, label string", useArrow=True)
 class HtmlLinks:
     """html_links(html): links of one page as rows, for LATERAL joins in SQL."""
 
@@ -179,7 +159,7 @@ class HtmlLinks:
                 yield r["pos"], r["attrs"]["href"].strip(), (r["attrs"].get("aria-label") or " ".join(" ".join(r["inner"]).split()))[:100]
 
 
-@F.udtf(returnType="pos int, end_pos int, tag string, classes string, text string")
+@F.udtf(returnType="pos int, end_pos int, tag string, classes string, text string", useArrow=True)
 class HtmlElements:
     """html_elements(html): elements of one page as rows, for LATERAL joins in SQL."""
 

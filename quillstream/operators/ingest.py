@@ -48,6 +48,8 @@ def ingest(listing: DataFrame, sources: DataFrame, existing: DataFrame, default_
     """Listing rows to new articles: keep-first by url, host gate, cap per source, ids, anti join with stored ids. The
     gate comes before the cap. A second run over the same rows adds nothing."""
     first = keep_first(listing, ["source_id", "url"], [F.col("pos")])
+    # Listings come from generators, whose sizes Spark does not know.
+    sources = sources.hint("merge")
     gated = gate_by_host(first, sources).where("admitted").drop("admitted", "expected_hostname")
     caps = gated.join(sources.select("source_id", "max_articles"), "source_id", "left")
     capped = top_n(caps, ["source_id"], [F.col("pos")], F.coalesce("max_articles", F.lit(default_cap)))

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from quillstream.functions import dates, dom, text, urls
 from quillstream.operators import ingest, status
+from quillstream.sources import shared
 
 # The layouts of listing pages. base is where relative links start, host what links must lead to, once
 # whether a url counts once; drop is left out of titles, cut splits the date's text, least is a title's length.
@@ -67,7 +68,6 @@ SAMPLE = [".cmp-text", "[itemprop='articleBody']", ".rich-text", ".article-body"
 RULES = "source_id string, rule string"  # a layout, as JSON
 # What admits a card; the rest of a rule says where things stand in it.
 ADMISSION = "base string, host string, prefix string, skip array<string>, parts array<string>, not array<string>, end string, once boolean, noise boolean, least int, no array<string>, cut string, month boolean, first string, dated boolean, prefer string, newest boolean"
-FEW = 100_000  # rules that may be broadcast
 
 CARD = "page_id long, source_id string, pos int, title string, link string, iso string, date_raw string, category string, summary string, kind string, featured boolean"
 
@@ -155,7 +155,7 @@ def layout_rules(spark: SparkSession, layouts: dict[str, dict] = LAYOUTS) -> Dat
 
 def by_source(rows: DataFrame, rules: DataFrame, how: str = "inner") -> DataFrame:
     """rows joined with the rules of their source: broadcast where these are few, else by a shuffle."""
-    return rows.join(rules.hint("broadcast" if rules.limit(FEW + 1).count() <= FEW else "merge"), "source_id", how)
+    return rows.join(shared.by_size(rules), "source_id", how)
 
 
 @functools.lru_cache(1024)

@@ -75,19 +75,26 @@ def candidate_pages(main: DataFrame, main_links: DataFrame, home_links: DataFram
     return scored.unionByName(extra)
 
 
+def page_parts(pages: DataFrame, phrases: list[str] | None = None) -> DataFrame:
+    """(url, structure_score, gate_penalty) of pages(url, html): each page is scored where it is and its html goes no
+    further; of several pages of one url the lowest structure counts, with the lowest penalty of those."""
+    low = F.lower("html")
+    gate = scoring.gate_penalty(F.col("html"), phrases, low=low) if phrases else scoring.gate_penalty(F.col("html"), low=low)
+    each = pages.select("url", F.struct(scoring.structure_score(F.col("html"), low).alias("s"), gate.alias("g")).alias("_parts"))
+    return each.groupBy("url").agg(F.min("_parts").alias("_parts")).select("url", F.col("_parts.s").alias("structure_score"), F.col("_parts.g").alias("gate_penalty"))
+
+
 def scored_links(links: DataFrame, pages: DataFrame, allowed: Column, phrases: list[str] | None = None) -> DataFrame:
-    """links(page_id, url, pos, ..) with components and final score, to four digits; html of pages(url, html), '' where a
-    link's page was not fetched. Links off the allowed domains are left out before anything is scored."""
+    """links(page_id, url, pos, ..) with components and final score, to four digits, by the html of pages(url, html); a
+    link whose page was not fetched has no structure and no penalty. Links off the allowed domains are left out."""
     rows = links.withColumn("domain_score", urls.domain_score(F.col("url"), allowed)).where("domain_score > 0")
-    html = pages.groupBy("url").agg(F.first("html").alias("_html"))
-    rows = rows.join(html.hint("merge"), "url", "left").withColumn("_html", F.coalesce("_html", F.lit("")))
-    gate = scoring.gate_penalty(F.col("_html"), phrases) if phrases else scoring.gate_penalty(F.col("_html"))
-    rows = rows.withColumns({"path_score": urls.path_score(F.col("url")), "structure_score": scoring.structure_score(F.col("_html")), "gate_penalty": gate})
+    rows = rows.join(page_parts(pages, phrases).hint("merge"), "url", "left")
+    rows = rows.withColumns({"path_score": urls.path_score(F.col("url")), "structure_score": F.coalesce("structure_score", F.lit(0.0)), "gate_penalty": F.coalesce("gate_penalty", F.lit(0.0))})
     names = ("domain_score", "path_score", "structure_score", "gate_penalty")
     final = scoring.final_score(*map(F.col, names))
     if "is_index" in links.columns:
         final = scoring.adjusted(final, F.col("is_index"), F.col("confidence"))
-    return rows.withColumn("final_score", F.round(final, 4)).withColumns({n: F.round(n, 4) for n in names}).drop("_html")
+    return rows.withColumn("final_score", F.round(final, 4)).withColumns({n: F.round(n, 4) for n in names})
 
 
 def ranked(rows: DataFrame, key: str) -> DataFrame:

@@ -155,7 +155,7 @@ def element_counts(read):
     from quillstream.functions import html
 
     pages = read("pages").select("page_id", F.concat("html", F.when(F.col("page_id") % 3 == 0, '<INPUT TYPE="Password">').otherwise("")).alias("html"))
-    return html.tag_counts(html.elements(pages), TAGS)
+    return html.tag_counts(html.elements(pages, [*TAGS, "input"]), TAGS)
 
 
 @query(f"""SELECT page_id, {SQL_HOST} AS host, len(regexp_extract_all(regexp_replace(regexp_replace(html, '(?s)<(script|style)[^>]*>.*?</(script|style)>', '', 'g'), '(?s)<(nav|footer)>.*?</(nav|footer)>', '', 'g'), '<[a-z]'))::BIGINT AS n_elements FROM pages""")

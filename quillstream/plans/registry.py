@@ -225,7 +225,7 @@ def body_text_dom(read):
 def body_by_rules(read):
     rows = stored_elements(read).withColumn("source_id", F.lit(""))
     rules = html.body_rules(rows.sparkSession, [("", 1, "main", None), ("", 2, "article", None), ("", 3, "body", None)])
-    return html.body_by_rules(rows, F.broadcast(rules))
+    return html.body_by_rules(rows, rules)
 
 
 @query(f"""SELECT page_id, coalesce(list_sum(list_transform({_pieces(WITHOUT)}, lambda x: length(x))), 0)::BIGINT AS n_chars, len(regexp_extract_all({WITHOUT}, '<[a-z]'))::BIGINT AS n_elements FROM pages""")

@@ -93,7 +93,7 @@ def scan_trials(read):
     spark, path = read("customer").sparkSession, written_text(blocks.select(doc.alias("value")), "trials", True)
     out = []
     for kind, rows in (("active", sources.read_trials(spark, path)), ("history", sources.read_trials(spark, path, history=True))):
-        both = sources.daily_checks(rows).select("trial_id", "accessible").join(sources.quality_samples(rows).select("trial_id", "overall"), "trial_id")
+        both = sources.daily_checks(rows).select("trial_id", "accessible").join(sources.quality_samples(rows).select("trial_id", "overall").hint("merge"), "trial_id")
         out.append(both.select(F.lit(kind).alias("kind"), F.col("trial_id").alias("id"), "accessible", "overall"))
     return status.union_all(*out)
 

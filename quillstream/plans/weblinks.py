@@ -44,7 +44,7 @@ def linked_pages(read) -> DataFrame:
 def found_links(read) -> DataFrame:
     """(page_id, base, host, pos, href, label) of all links, parsed once and stored."""
     pages = linked_pages(read)
-    found = shared.stored(html.links(html.elements(pages)), "links")
+    found = shared.stored(html.links(html.elements(pages, ["a"])), "links")
     base = read("pages").select("page_id", F.col("url").alias("base"), urls.host(F.col("url")).alias("host"))
     return found.join(base.hint("merge"), "page_id")
 
@@ -89,7 +89,7 @@ def article_links(read):
 @query("WITH p AS (SELECT page_id, regexp_extract(url, '" + urls.ORIGIN + "', 1) AS origin FROM pages) SELECT page_id, origin || '/feed/' || page_id || '.xml' AS feed FROM p")
 def feed_discovery(read):
     base = read("pages").select("page_id", F.col("url").alias("base"))
-    found = shared.stored(html.feeds(html.elements(linked_pages(read))), "feeds")
+    found = shared.stored(html.feeds(html.elements(linked_pages(read), ["link"])), "feeds")
     return found.join(base.hint("merge"), "page_id").select("page_id", urls.resolve(F.col("base"), F.col("href")).alias("feed"))
 
 

@@ -30,3 +30,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+FEW = 100_000  # rows of a small registry
+
+
+def by_size(df: DataFrame, most: int = FEW) -> DataFrame:
+    """The smaller side of a join, as a table of rules or sources: broadcast where it has at most `most` rows, which are
+    counted, else shuffled and merged."""
+    return df.hint("broadcast" if df.limit(most + 1).count() <= most else "merge")

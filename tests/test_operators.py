@@ -127,12 +127,7 @@ def test_sources(spark, tmp_path):
     assert spark.read.json(f"{tmp_path}/view").count() == 1
 
 
-def test_cards_and_body_rules(spark):
-    card = '<div class="card x"><h3>{0}</h3><a href="/{0}">more</a><time>Mar {0}, 2026</time></div>'
-    page = "<body><nav><h3>no</h3></nav>" + card.format(1) + "<p>between</p>" + card.format(2) + '<div class="card"><p>no title</p></div></body>'
-    rows = html.elements(spark.createDataFrame([(1, page)], "page_id long, html string")).withColumn("source_id", F.lit("m"))
-    got = html.cards(rows, html.card_rules(spark, [("m", "div", "card", "h3", None), ("q", "p", None, "p", None)])).orderBy("pos").collect()
-    assert [(r.title, r.href, r.date_raw) for r in got] == [("1", "/1", "Mar 1, 2026"), ("2", "/2", "Mar 2, 2026")]
+def test_body_rules(spark):
     long = "<main>short</main><div class='body text'><nav>menu</nav><p>" + "words " * 30 + "</p></div>"
     rows = html.elements(spark.createDataFrame([(1, long)], "page_id long, html string")).withColumn("source_id", F.lit("m"))
     best = html.body_by_rules(rows, html.body_rules(spark, [("m", 1, "main", None), ("m", 2, "div", "body")])).first()
