@@ -1,4 +1,4 @@
 """The queries over the driver's tables, with their SQL."""
 
-from quillstream.plans import cards, registry, scalars, snapshots, states, stored, weblinks  # noqa: F401
+from quillstream.plans import cards, days, registry, scalars, snapshots, states, stored, weblinks  # noqa: F401
 from quillstream.plans.base import ORACLE, QUERIES  # noqa: F401

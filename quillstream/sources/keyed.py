@@ -317,6 +317,21 @@ class KeyedTable:
     def remove(self, keys: DataFrame) -> Manifest:
         return self.change(self.touched_by(keys), lambda old: old.join(keys.select(self.key).distinct(), self.key, "left_anti"))
 
+    def replace(self, rows: DataFrame, attempts: int = 10) -> Manifest:
+        """The whole table anew, in as many buckets as it is worth: readers of the version before keep that."""
+        n = rows.count()
+        buckets = self._buckets(n)
+        name, counts = self.write(rows, buckets)
+        for _ in range(attempts):
+            now = self.manifest()
+            following = Manifest(now.version + 1, buckets, {b: [name] for b in counts}, sum(counts.values()), now.commits)
+            try:
+                self.commit(following)
+                return following
+            except Conflict:
+                continue
+        raise Conflict(f"{attempts} attempts on {self.root}")
+
     def vacuum(self, keep: int = 2) -> list[str]:
         """Deletes all but the last `keep` versions and the writes that none of these names; for times without writers."""
         versions = self.versions()

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -39,3 +40,7 @@ def by_size(df: DataFrame, most: int = FEW) -> DataFrame:
     """The smaller side of a join, as a table of rules or sources: broadcast where it has at most `most` rows, which are
     counted, else shuffled and merged."""
     return df.hint("broadcast" if df.limit(most + 1).count() <= most else "merge")
+
+
+def schema(ddl: str) -> StructType:
+    return StructType.fromDDL(ddl)
