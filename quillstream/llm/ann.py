@@ -23,9 +23,10 @@ from pyspark.sql import functions as F
 
 from quillstream.llm.stage import written
 
-SAMPLE = 20_000  # most vectors that centroids are fitted on
 LIST = 400  # vectors a list holds on average
-CENTROIDS = 4_096  # most centroids; beyond, lists grow and are dealt over more parts
+CENTROIDS = 4_096  # most centroids, reached at CENTROIDS * LIST vectors; beyond, lists grow and are dealt over more parts
+FIT = 8  # vectors that a centroid is fitted on, at least
+SAMPLE = FIT * CENTROIDS  # most vectors that centroids are fitted on, but for a small share of each band
 REPLICATE, COPIES = 1.10, 4  # distance ratio within which a vector is put in further lists, at most so many in all
 PROBES, PRUNE = 32, 1.35  # lists that a query reads of each band, at most; distance ratio beyond which they are left
 BANDS, STEP = 16, 1.25  # the last band holds all norms below
@@ -117,10 +118,12 @@ class CentroidGraph:
 
 
 def banded(vectors: DataFrame) -> tuple[DataFrame, dict[int, int], float]:
-    """(vec_id, vector, band), rows of each band, largest squared norm."""
+    """(vec_id, vector, band), rows of each band, largest squared norm. Vectors of several lengths are an error."""
     square = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
     rows = vectors.select("vec_id", "vector", square.alias("_s"))
-    bound = rows.agg(F.max("_s")).first()[0]
+    bound, shortest, longest = rows.agg(F.max("_s"), F.min(F.size("vector")), F.max(F.size("vector"))).first()
+    if shortest != longest:
+        raise ValueError(f"vectors must have one length; there are some of {shortest} and of {longest} components")
     if bound is None:
         return rows.select("vec_id", "vector", F.lit(0).alias("band")), {}, 0.0
     band = F.least(F.floor(F.log(F.lit(bound) / F.col("_s")) / F.lit(2 * math.log(STEP))), F.lit(BANDS - 1)).cast("int")
@@ -160,11 +163,17 @@ def build(rows: DataFrame, counts: dict[int, int], bound: float, sample: int = S
     """Centroids of each band from its share of `sample` vectors, the first by a hash of their vec_id; a centroid for
     `list_size` of the band's rows."""
     total, graphs, index = sum(counts.values()), {}, Index({}, bound)
+    most = {band: max(sample // BANDS, sample * n // total) for band, n in counts.items()}
+    of = lambda values: F.element_at(F.create_map(*[F.lit(x) for pair in values.items() for x in pair]), F.col("band"))
+    # One pass for all bands: what can be among a band's first by hash, then its first.
+    reach = {band: float(min(1.0, (2 * m + 1000) / counts[band])) for band, m in most.items()}
+    picked = rows.withColumn("_h", F.xxhash64("vec_id")).where((F.col("_h") / F.lit(2.0**64) + 0.5) <= of(reach))
+    order = F.row_number().over(Window.partitionBy("band").orderBy("_h", "vec_id"))
+    own = picked.withColumn("_n", order).where(F.col("_n") <= of(most)).orderBy("band", "_n").select("band", "vector").toArrow()
+    bands, vectors = own.column("band").to_numpy(), _matrix(own.column("vector").combine_chunks())
     for band, n in counts.items():
-        most = max(sample // BANDS, sample * n // total)
-        own = rows.where(F.col("band") == band).orderBy(F.xxhash64("vec_id"), "vec_id").limit(most).select("vector").toPandas()
-        x = lifted(np.array(own["vector"].tolist(), float).reshape(len(own), -1), index.bound_of(band))
-        k = max(1, min(max(1, CENTROIDS * n // total), n // list_size, len(x) // 8))
+        x = lifted(vectors[bands == band], index.bound_of(band))
+        k = max(1, min(max(1, CENTROIDS * n // total), n // list_size, len(x) // FIT))
         graphs[band] = CentroidGraph(balanced_centroids(x, k))
     return Index(graphs, bound)
 
@@ -239,7 +248,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, probes: int = P
     ties to the smaller vec_id; all candidates where they are fewer.
 
     vectors, queries: (vec_id, vector) as from usable(). Rows repeated with one vec_id count once in a result; an empty
-    table gives no rows. All vectors must have one length: others are an error.
+    table gives no rows. All vectors, those of queries among them, must have one length: others are a ValueError.
     """
     rows, counts, bound = banded(vectors)
     if not counts:
