@@ -40,12 +40,16 @@ PLAIN = set("div section span a ul ol li dl dt dd table tbody thead tr td th cen
 #: Elements that are never content, roles and first parts of class or id names of such.
 OUT_TAGS = {"nav", "aside", "footer", "form", "button", "menu", "dialog", "fieldset"}
 OUT_ROLES = {"navigation", "banner", "contentinfo", "search", "complementary", "dialog", "alert", "alertdialog", "menu", "menubar", "form", "note", "status"}
-OUT_NAMES = re.compile(
-    r"(?:^|[-_])(?:ad|ads|adv|advert\w*|adsense|sponsor\w*|promo\w*|banner\w*|nav|navbar|navigation|menu\w*|breadcrumb\w*|footer\w*|sidebar\w*|aside|widget\w*|"
+_OUT = (
+    r"ad|ads|adv|advert\w*|adsense|sponsor\w*|promo\w*|banner\w*|nav|navbar|navigation|menu\w*|breadcrumb\w*|footer\w*|sidebar\w*|aside|widget\w*|"
     r"related\w*|recommend\w*|share\w*|sharing|social\w*|cookie\w*|consent\w*|gdpr|notice\w*|alert\w*|popup\w*|modal\w*|overlay\w*|subscri\w*|newsletter\w*|"
-    r"signup|login|comment\w*|disqus\w*|respond|replies|reply|pagination|pager|toolbar|skip|search\w*|copyright|disclaimer|masthead|topbar)(?:[-_]|$)",
-    re.I,
+    r"signup|login|comment\w*|disqus\w*|respond|replies|reply|pagination|pager|toolbar|skip|search\w*|copyright|disclaimer|masthead|topbar"
 )
+OUT_NAMES = re.compile(rf"(?:^|[-_])(?:{_OUT})(?:[-_]|$)", re.I)
+#: Inside an article such a word must be all that a class says, beside words that name no content of their own: share-price
+#: and related-work are topics, share-buttons and related-posts are not.
+OUT_WORD = re.compile(_OUT, re.I)
+NO_TOPIC = set("area articles bar block body bottom box button buttons container content entry field footer form group header icon icons inline inner item items label left links list main outer page post posts right section site slot stories thread title top unit wrap wrapper".split())
 OUT_HEADER = re.compile(r"^(?:(?:site|page|top|main|global|blog)[-_]?)?header$", re.I)
 
 
@@ -63,6 +67,12 @@ def _attributes(raw: str) -> dict[str, str]:
     return found
 
 
+def _says_out(name: str) -> bool:
+    """A class says that what it marks is no content, and nothing else."""
+    parts = [p for p in re.split(r"[-_]+", name.lower()) if p]
+    return any(OUT_WORD.fullmatch(p) for p in parts) and all(p in NO_TOPIC or p.isdigit() or OUT_WORD.fullmatch(p) for p in parts)
+
+
 def _is_out(tag: str, attrs: dict[str, str], in_label: bool) -> bool:
     if tag in OUT_TAGS or "hidden" in attrs or attrs.get("role", "").lower() in OUT_ROLES or attrs.get("aria-hidden", "").lower() == "true":
         return True
@@ -73,7 +83,7 @@ def _is_out(tag: str, attrs: dict[str, str], in_label: bool) -> bool:
         return not in_label
     if in_label:
         # Ids name an article's own sections and headings ("related-work"); only a container's class tells what it is.
-        names = attrs.get("class", "").split() if tag in PLAIN else []
+        return tag in PLAIN and any(_says_out(n) for n in attrs.get("class", "").split())
     return tag not in LABEL and tag not in ("body", "html") and any(OUT_NAMES.search(n) for n in names)
 
 

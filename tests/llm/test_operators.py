@@ -421,3 +421,10 @@ def test_warc_sources_outlive_the_tasks_that_read_them(spark, tmp_path, monkeypa
 def test_warc_broken_stream():
     with pytest.raises(ValueError):
         list(warc.split_records(iter([b"WARC/1.1\r\nContent-Length: 10\r\n\r\nabc"])))
+
+
+@pytest.mark.parametrize("name, kept", [("share-price", True), ("related-work", True), ("search-results", True), ("notice-period", True), ("widget-design", True), ("related-posts", False), ("share-buttons", False), ("comments", False), ("ad-slot", False), ("newsletter-signup", False), ("cookie_notice", False)])
+def test_html_text_keeps_topics_named_by_classes(name, kept):
+    page = f"<body><nav>menu</nav><article><h1>Title</h1><p>first words of it</p><div class='big {name}'><p>words in the part</p></div><p>last words of it</p></article></body>"
+    text = html_text.main_text(page, html_text.log_odds({}))
+    assert text == "\n\n".join(["Title", "first words of it", *(["words in the part"] if kept else []), "last words of it"])
