@@ -103,20 +103,23 @@ def tokenised_pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = EN
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = bpe_cache(vocabulary)
-        for batch in batches:
-            ids_of = batch.column(0)
-            for a, b, data, offsets in blocks(batch, "text"):
-                ids, at = token_ids(data, offsets, cache)
-                out = []
-                for row in range(b - a):
-                    own = np.append(ids[at[row] : at[row + 1]], np.uint16(end_id)).astype("<u4")
-                    first = len(own) % capacity or capacity
-                    cuts = [0, *range(first, len(own), capacity), len(own)] if len(own) > capacity else [0, len(own)]
-                    doc = ids_of[a + row].as_py()
-                    for piece, (x, y) in enumerate(zip(cuts, cuts[1:], strict=False)):
-                        out.append((doc, piece, x, y - x, zlib.crc32(own[x:y].tobytes())) + ((own[x:y].astype(np.int32),) if with_ids else ()))
-                types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out, strict=True), types, strict=False)], names=names)
+        try:
+            for batch in batches:
+                ids_of = batch.column(0)
+                for a, b, data, offsets in blocks(batch, "text"):
+                    ids, at = token_ids(data, offsets, cache)
+                    out = []
+                    for row in range(b - a):
+                        own = np.append(ids[at[row] : at[row + 1]], np.uint16(end_id)).astype("<u4")
+                        first = len(own) % capacity or capacity
+                        cuts = [0, *range(first, len(own), capacity), len(own)] if len(own) > capacity else [0, len(own)]
+                        doc = ids_of[a + row].as_py()
+                        for piece, (x, y) in enumerate(zip(cuts, cuts[1:], strict=False)):
+                            out.append((doc, piece, x, y - x, zlib.crc32(own[x:y].tobytes())) + ((own[x:y].astype(np.int32),) if with_ids else ()))
+                    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
+                    yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out, strict=True), types, strict=False)], names=names)
+        finally:
+            _caches.clear()  # a worker lives on, and later stages need its memory
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, schema)
 
