@@ -146,11 +146,13 @@ def run_day(store: Store, day: Day) -> list[str]:
             failed.append(name)
             continue
         try:
-            stage(store, day)
+            with shared.scratch_scope(store.spark):
+                stage(store, day)
         except Exception:
             log.exception("stage %s failed", name)
             failed.append(name)
-    publish(store, day)
+    with shared.scratch_scope(store.spark):
+        publish(store, day)
     return failed
 
 

@@ -110,10 +110,11 @@ def fold_run(runs: DataFrame, state: KeyedTable, log: str | None = None) -> Data
     """Folds a run's metrics into the stored state, of which only the buckets of its sources are read and rewritten, and
     gives all sources' last metrics, streaks of empty runs and alarms. A run folded before changes nothing. log: a table
     that all runs are appended to as they are."""
-    runs = shared.stored(runs, "run")
-    if log:
-        append(runs, log)
-    now = state.change(state.touched_by(runs), lambda old: health.folded(old, runs, state.key))
+    with shared.scratch_scope(runs.sparkSession):
+        run = shared.stored(runs, "run")
+        if log:
+            append(run, log)
+        now = state.change(state.touched_by(run), lambda old: health.folded(old, run, state.key))
     return health.with_alerts(state.read(manifest=now))
 
 

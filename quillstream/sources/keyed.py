@@ -257,6 +257,10 @@ class KeyedTable:
 
         commit: (stream, batch), kept in the manifest: a batch that is there already, or an earlier one, is not added
         again. What make gives may depend on the version, so that an attempt is made anew after a conflict."""
+        with shared.scratch_scope(self.spark):
+            return self._append(make, commit, attempts)
+
+    def _append(self, make: Callable[[Manifest], DataFrame], commit: tuple[str, int] | None, attempts: int) -> Manifest:
         for _ in range(attempts):
             now = self.manifest()
             if commit and now.commits.get(commit[0], -1) >= commit[1]:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -21,9 +24,29 @@ def shared_folder(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+_scopes = threading.local()
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """What `scratch` and `stored` make inside is deleted at the end: for work whose results do not read it any more. A
+    scope inside another deletes its own alone."""
+    stack = _scopes.__dict__.setdefault("stack", [])
+    stack.append([])
+    try:
+        yield
+    finally:
+        for name in stack.pop():
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    if stack := getattr(_scopes, "stack", None):
+        stack[-1].append(path)
+    return path
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -29,8 +29,9 @@ def ingest_stream(articles: DataFrame, table: KeyedTable, checkpoint: str, name:
     of its buckets. A batch that is run again after a failure finds its number in the manifest and adds nothing."""
 
     def add(batch: DataFrame, number: int) -> None:
-        fresh = shared.stored(batch.dropDuplicates([table.key]), "batch")
-        table.append(lambda manifest: unseen(fresh, table, manifest), commit=(name, number))
+        with shared.scratch_scope(batch.sparkSession):
+            fresh = shared.stored(batch.dropDuplicates([table.key]), "batch")
+            table.append(lambda manifest: unseen(fresh, table, manifest), commit=(name, number))
 
     return articles.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

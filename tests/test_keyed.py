@@ -186,3 +186,26 @@ def test_a_batch_run_again_adds_nothing(spark):
         t.append(lambda _: rows_of(spark, range(3)), commit=("s", 4))
     t.append(lambda _: rows_of(spark, range(3)), commit=("s", 3))
     assert t.manifest().rows == 3 and t.versions() == [1]
+
+
+def test_scratch_is_deleted(spark):
+    """What appends and batches write on the way is gone when they have committed."""
+    import os
+    from urllib.parse import urlparse
+
+    def folders():
+        return {n for n in os.listdir(urlparse(shared.shared_folder(spark)).path) if not n.startswith(("keyed", "arrived", "state"))}
+
+    t = table(spark, sketches=True)
+    arrived, state = shared.scratch(spark, "arrived"), shared.scratch(spark, "state")
+    before = folders()
+    rows_of(spark, range(9)).write.parquet(arrived)
+    streaming.ingest_stream(spark.readStream.schema(t.schema).parquet(arrived), t, state).awaitTermination()
+    t.upsert(rows_of(spark, [1], "b"))
+    assert folders() == before and t.read().count() == 9
+    with shared.scratch_scope(spark):
+        kept = shared.stored(rows_of(spark, [1]), "one")
+        with shared.scratch_scope(spark):
+            shared.stored(kept, "two")
+        assert kept.count() == 1 and len(folders() - before) == 1
+    assert folders() == before
