@@ -175,12 +175,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Learns labels.quality from labelled rows whose fold is not 0: the `sample` first by a hash of their doc_id.
 
     Several labels of one document are averaged (a half counts as 1); null labels, labels without a document and null
-    texts are left out. Without any label the model is as it was before training.
+    texts are left out. Of rows that share a doc_id the smallest text is learned, once. Without any label the model is as
+    it was before training.
     """
     chosen = labels.where("quality is not null and doc_id is not null").where(fold("doc_id") != 0)
     chosen = chosen.groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("int").alias("_y"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "_y")
+    rows = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(chosen), "doc_id")
+    rows = rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("_y").alias("_y"))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

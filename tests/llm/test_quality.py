@@ -90,3 +90,12 @@ def test_without_labels_and_on_odd_rows(spark):
     got = quality.score(docs, quality.fit(docs, labels)).collect()
     assert len(got) == 5 and all(0 <= r.score <= 1 for r in got) and {r.n_passages for r in got} == {1, 4167}
     assert quality.keep_good(docs, quality.fit(docs, labels)).columns == docs.columns
+
+
+def test_repeated_rows_are_learned_once(spark):
+    rows = list(texts(60))
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, quality int")
+    once = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    again = once.unionByName(once.where("doc_id % 3 = 0")).unionByName(once.where("doc_id = 7")).repartition(3)
+    scores = lambda model: sorted((r.doc_id, r.score) for r in quality.score(once, model).collect())
+    assert scores(quality.fit(once, labels)) == scores(quality.fit(again, labels))
