@@ -3,8 +3,9 @@
 Rows are dealt into runs by a hash of doc_id. A run keeps, sorted by digest, the smallest and the largest identifier and
 the number of copies of every digest. Runs are exchanged in binomial rounds: in each, the FAN runs whose numbers differ
 in the next log2(FAN) bits alone (as many rounds of pairs at once) are merged into one, which is written sorted, until
-one run is left (spread over all partitions by digest, never in one task); then the result goes down the same tree. A
-digest held by a third of all rows is thus at most FAN rows per key in every merge and every join, whatever its count.
+one run is left (spread over all partitions by digest, never in one task); then the result goes down the same tree by
+merge joins. A run's merge is one of sorted rows: they are exchanged, sorted and merged where they are next to each other,
+without a hash table, so that it spills. A digest held by a third of all rows is thus at most FAN rows per key in every merge and every join, whatever its count.
 
 A digest is SHA-256 with the text's length and a second, independent hash beside it: identifiers are kept for equal
 values of all three at every level, so that no identifier stands for a text that merely shares one of them.
@@ -35,17 +36,19 @@ def tree_merge(rows: DataFrame, key: list[str], id_column: str, runs: int, fan:
     bits = fan.bit_length() - 1
     rows = rows.withColumn("_run", F.pmod(F.xxhash64(F.col(id_column)), F.lit(runs)))
     sums = lambda least, most, n: [least.alias("smallest_id"), most.alias("largest_id"), n.alias("group_size")]
+    # Structs are merged in sorted order; a null is none of them.
+    of = lambda aggregate, c: aggregate(F.when(F.col(c).isNotNull(), F.struct(c)))[c]
     levels = [sorted_run(rows.groupBy("_run", *key).agg(*sums(F.min(id_column), F.max(id_column), F.count(F.lit(1)))), key)]
     while runs > 1:
         runs = -(-runs // fan)
         merged = levels[-1].withColumn("_run", F.shiftright("_run", bits)).groupBy("_run", *key)
-        levels.append(sorted_run(merged.agg(*sums(F.min("smallest_id"), F.max("largest_id"), F.sum("group_size"))), key))
+        levels.append(sorted_run(merged.agg(*sums(of(F.min, "smallest_id"), of(F.max, "largest_id"), F.sum("group_size"))), key))
     top = levels.pop()
     while levels:
         parent = top.select(F.col("_run").alias("_parent"), *key, "smallest_id", "largest_id", "group_size")
         child = levels.pop().select("_run", *key, F.shiftright("_run", bits).alias("_parent"))
-        top = child.join(parent.hint("shuffle_hash"), ["_parent", *key]).drop("_parent")
-    return rows.join(top.hint("shuffle_hash"), ["_run", *key]).drop("_run")
+        top = child.join(parent.hint("merge"), ["_parent", *key]).drop("_parent")
+    return rows.join(top.hint("merge"), ["_run", *key]).drop("_run")
 
 
 VERIFIED = ["text_sha256", "text_bytes", "text_check"]
@@ -88,7 +91,7 @@ def one_of_each_key(docs: DataFrame, kept: DataFrame, key: str) -> DataFrame:
     row = F.struct(*[F.col(f"`{c}`") for c in columns])
     orderable = not any(t in docs.schema.simpleString() for t in ("map<", "variant", "interval"))
     one = docs.groupBy(F.col(key).alias("_key")).agg((F.min(row) if orderable else F.first(row)).alias("_row"))
-    return one.join(kept.hint("shuffle_hash"), "_key", "left_semi").select("_row.*")
+    return one.join(kept.hint("merge"), "_key", "left_semi").select("_row.*")
 
 
 def keep_first_copies(docs: DataFrame) -> DataFrame:

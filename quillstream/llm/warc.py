@@ -43,7 +43,7 @@ def records_of(pages: DataFrame) -> DataFrame:
     least = tree_merge(keys, ["payload_digest"], "page_id", runs).where("page_id <> smallest_id")
     least = least.select(F.col("page_id").alias("_id"), F.col("payload_digest").alias("_digest"), F.col("smallest_id").alias("refers_to")).distinct()
     same = (F.col("page_id") == F.col("_id")) & (F.col("payload_digest") == F.col("_digest"))
-    return rows.join(least.hint("shuffle_hash"), same, "left").drop("_id", "_digest")
+    return rows.join(least.hint("merge"), same, "left").drop("_id", "_digest")
 
 
 def _record_id(page_id) -> str:
