@@ -238,7 +238,7 @@ def stream_seen_ids(read):
     table = KeyedTable(spark, root, "id long", sketches=True)
     for part in (0, 1):  # two runs; the second meets ids of the first
         e.where(F.col("event_id") % 2 == part).select("id").write.mode("append").parquet(arrived)
-        streaming.ingest_stream(spark.readStream.schema("id long").parquet(arrived), table, state).awaitTermination()
+        streaming.ingest_keyed_stream(spark.readStream.schema("id long").parquet(arrived), table, state).awaitTermination()
     return table.read()
 
 

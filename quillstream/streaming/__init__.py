@@ -24,7 +24,22 @@ def unseen(batch: DataFrame, table: KeyedTable, manifest: Manifest) -> DataFrame
     return batch.join(table.stored_keys(batch.select(table.key), manifest).hint("merge"), table.key, "left_anti")
 
 
-def ingest_stream(articles: DataFrame, table: KeyedTable, checkpoint: str, name: str = "ingest") -> StreamingQuery:
+def ingest_stream(articles: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
+    """Appends new articles to a plain Parquet table, whose ids every micro-batch reads: for small ones. A table that grows
+    is a keyed one, see `ingest_keyed_stream`."""
+
+    def add(batch: DataFrame, _: int) -> None:
+        spark = batch.sparkSession
+        fresh = batch.dropDuplicates(["id"])
+        path = spark._jvm.org.apache.hadoop.fs.Path(table)
+        if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+            fresh = fresh.join(spark.read.parquet(table).select("id"), "id", "left_anti")
+        fresh.write.mode("append").parquet(table)
+
+    return articles.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def ingest_keyed_stream(articles: DataFrame, table: KeyedTable, checkpoint: str, name: str = "ingest") -> StreamingQuery:
     """Adds new articles to a keyed table with sketches: each micro-batch is made distinct by id and held against the ids
     of its buckets. A batch that is run again after a failure finds its number in the manifest and adds nothing."""
 

@@ -26,3 +26,13 @@ def test_entry_without_the_optional_parts(tmp_path, gone):
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, env={"PATH": "/usr/bin:/bin"})
     assert done.returncode == 0, done.stderr
     assert int(done.stdout) > 50
+
+
+def test_the_rest_passes_without_the_optional_parts(tmp_path):
+    """Tests of the library run in a copy that has neither the llm folders nor the pipeline."""
+    for name in ("quillstream", "tests"):
+        shutil.copytree(REPO / name, tmp_path / name, ignore=shutil.ignore_patterns("__pycache__", "llm"))
+    shutil.copy(REPO / "__spark_entry__.py", tmp_path)
+    assert not (tmp_path / "quillstream/llm").exists()
+    done = subprocess.run([sys.executable, "-m", "pytest", "-q", "-p", "no:cacheprovider", "tests/test_scoring.py", "tests/test_pages.py", "tests/test_trials.py::test_machine_equals_daily_runs_however_days_are_closed"], cwd=tmp_path, capture_output=True, text=True)
+    assert done.returncode == 0, done.stdout[-3000:]

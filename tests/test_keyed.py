@@ -175,7 +175,7 @@ def test_overlapping_runs_add_each_id_once(spark):
     t = table(spark, bucket_rows=50, sketches=True)
     for ids in (range(0, 120), range(60, 200), range(0, 200)):
         rows_of(spark, [*ids, *ids]).write.mode("append").parquet(arrived)
-        streaming.ingest_stream(spark.readStream.schema(t.schema).parquet(arrived), t, state).awaitTermination()
+        streaming.ingest_keyed_stream(spark.readStream.schema(t.schema).parquet(arrived), t, state).awaitTermination()
     assert held(t.read()) == [(i, "a") for i in range(200)]
     assert t.manifest().commits == {"ingest": 2}
 
@@ -200,7 +200,7 @@ def test_scratch_is_deleted(spark):
     arrived, state = shared.scratch(spark, "arrived"), shared.scratch(spark, "state")
     before = folders()
     rows_of(spark, range(9)).write.parquet(arrived)
-    streaming.ingest_stream(spark.readStream.schema(t.schema).parquet(arrived), t, state).awaitTermination()
+    streaming.ingest_keyed_stream(spark.readStream.schema(t.schema).parquet(arrived), t, state).awaitTermination()
     t.upsert(rows_of(spark, [1], "b"))
     assert folders() == before and t.read().count() == 9
     with shared.scratch_scope(spark):
@@ -209,3 +209,15 @@ def test_scratch_is_deleted(spark):
             shared.stored(kept, "two")
         assert kept.count() == 1 and len(folders() - before) == 1
     assert folders() == before
+
+
+def test_commits_on_other_file_systems(spark, tmp_path):
+    """Where a link is not to be had, a version is published by a rename that fails if it is there already."""
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.keyed.link./in", f"file://{tmp_path}")
+    t = KeyedTable(spark, "viewfs://keyed/in/t", "id long, value string")
+    t.append(lambda _: rows_of(spark, range(4)))
+    t.upsert(rows_of(spark, [1], "b"))
+    with pytest.raises(Conflict):
+        t.commit(Manifest(1, 1))
+    assert t.versions() == [1, 2] and held(t.read()) == [(0, "a"), (1, "b"), (2, "a"), (3, "a")]
+    assert not list((tmp_path / "t/manifest").glob(".draft-*"))
