@@ -1,4 +1,4 @@
-"""The daily run over three days of a store that starts empty: documents as articles, listed again from day to day."""
+"""The daily run over days of a store that starts empty: documents as articles, listed again from day to day."""
 
 from __future__ import annotations
 
@@ -37,7 +37,7 @@ def _days(read, numbers):
         yield daily.Day(DATES[n], listing.where(k % 3 <= n).drop("doc_id"), registry, pages, rules, answers)
 
 
-def _ran(read, numbers=(0, 1, 2)) -> daily.Store:
+def _ran(read, numbers=(0, 2)) -> daily.Store:
     spark = read("documents").sparkSession
     store = daily.Store(spark, shared.scratch(spark, "daily"))
     for day in _days(read, numbers):
@@ -47,7 +47,7 @@ def _ran(read, numbers=(0, 1, 2)) -> daily.Store:
 
 
 DAYS = f"""WITH d AS (SELECT doc_id, source AS source_id, CASE WHEN doc_id % 17 = 0 THEN 'other' ELSE source END AS h, trim(regexp_replace(regexp_replace(text, '[<>&]', ' ', 'g'), '\\s+', ' ', 'g')) AS body FROM documents),
-listed AS (SELECT *, n FROM d, (SELECT unnest([0, 1, 2]) AS n) WHERE doc_id % 3 <= n),
+listed AS (SELECT *, n FROM d, (SELECT unnest([0, 2]) AS n) WHERE doc_id % 3 <= n),
 kept AS (SELECT * FROM listed WHERE doc_id % 17 <> 0 QUALIFY row_number() OVER (PARTITION BY n, source_id ORDER BY doc_id) <= {CAP}),
 arts AS (SELECT doc_id, any_value(source_id) AS source_id, any_value(body) AS body, min(n) AS first_day FROM kept GROUP BY doc_id),
 fetched AS (SELECT *, substr(sha256(source_id || ':https://' || source_id || '.example/' || doc_id), 1, 16) AS id, CASE WHEN doc_id % 13 > 1 AND length(body) >= 100 THEN 'ok' WHEN doc_id % 13 <> 1 AND contains(source_id, '1') THEN 'metadata_only' ELSE 'failed' END AS content_status FROM arts),
@@ -57,12 +57,12 @@ final AS (SELECT *, content_status <> 'failed' AND doc_id % 7 <> 3 AS summarized
 
 @query(DAYS + "SELECT id, source_id, content_status, summarized, CASE WHEN summarized THEN CASE WHEN doc_id % 5 = 0 THEN 'm1' ELSE 'm0' END END AS analysis_model, CASE WHEN summarized AND content_status = 'metadata_only' THEN 'low' END AS analysis_confidence, CASE WHEN summarized THEN 'Macro/Rates,AI/Tech' END AS themes, ('2024-02-0' || (first_day + 1)) AS fetched_at FROM final")
 def daily_articles(read):
-    """Articles after three daily runs."""
+    """Articles after two daily runs."""
     rows = _ran(read).articles.read()
     return rows.select("id", "source_id", "content_status", "summarized", "analysis_model", "analysis_confidence", F.array_join("themes", ",").alias("themes"), "fetched_at")
 
 
-@query(DAYS.replace("[0, 1, 2]", "[2]") + """SELECT 'fund' AS view, source_id AS name, count(id) AS n, count(*) FILTER (summarized) AS analysed FROM (SELECT DISTINCT source_id FROM d) LEFT JOIN final USING (source_id) GROUP BY 2
+@query(DAYS.replace("[0, 2]", "[2]") + """SELECT 'fund' AS view, source_id AS name, count(id) AS n, count(*) FILTER (summarized) AS analysed FROM (SELECT DISTINCT source_id FROM d) LEFT JOIN final USING (source_id) GROUP BY 2
 UNION ALL SELECT 'cluster', CASE WHEN summarized THEN 'Macro/Rates' ELSE 'General' END, count(*), count(*) FILTER (summarized) FROM final GROUP BY 2
 UNION ALL SELECT 'day', (DATE '2024-01-01' + CAST(doc_id % 30 AS INT))::VARCHAR, count(*), NULL FROM final GROUP BY 2""")
 def daily_published(read):
