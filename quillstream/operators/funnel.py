@@ -51,12 +51,14 @@ def first_of_day(checks: DataFrame, keys: list[str], order: list[str]) -> DataFr
 
 
 def trial_rollup(checks: DataFrame, samples: DataFrame) -> DataFrame:
-    """Per trial: articles and days with articles over accessible checks, mean and number of samples, outcome."""
+    """Per trial: articles and days with articles over accessible checks, mean (exact, then of three digits, halves up) and
+    number of samples, outcome."""
     seen = F.col("accessible")
     a = checks.groupBy("trial_id").agg(F.coalesce(F.sum(F.when(seen, F.col("article_count"))), F.lit(0)).alias("articles"), F.count_if(seen & (F.col("article_count") > 0)).alias("days"))
-    b = samples.groupBy("trial_id").agg(F.avg("overall").alias("mean"), F.count("overall").alias("n_samples"))
+    score = scoring.exact(F.col("overall"))
+    b = samples.groupBy("trial_id").agg(F.avg(score).alias("mean"), F.count(score).alias("n_samples"))
     rows = a.join(b, "trial_id", "left").withColumn("n_samples", F.coalesce("n_samples", F.lit(0)))
-    return rows.withColumn("outcome", scoring.trial_outcome(F.col("days"), F.col("mean"), F.col("n_samples"))).withColumn("mean", F.round(F.coalesce("mean", F.lit(0.0)), 3))
+    return rows.withColumn("outcome", scoring.trial_outcome(F.col("days"), F.col("mean"), F.col("n_samples"))).withColumn("mean", scoring.rounded_mean(F.col("mean")))
 
 
 def decided(trials: DataFrame, rollup: DataFrame, as_of: Column, days: int = 3) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillstream.functions import scoring
 from quillstream.operators import scan
 from quillstream.operators.funnel import last_of, without
 from quillstream.operators.status import union_all
@@ -47,10 +48,10 @@ def trial_progress(checks: DataFrame, samples: DataFrame, active: DataFrame) ->
     """A line for each active trial: days checked, articles, days with articles, mean quality so far."""
     seen = F.coalesce("accessible", F.lit(False))
     a = checks.groupBy("trial_id").agg(F.count(F.lit(1)).alias("checked"), F.coalesce(F.sum(F.when(seen, F.col("article_count"))), F.lit(0)).alias("articles"), F.count_if(seen & (F.col("article_count") > 0)).alias("days"))
-    b = samples.groupBy("trial_id").agg(F.avg("overall").alias("mean"))
+    b = samples.groupBy("trial_id").agg(F.avg(scoring.exact(F.col("overall"))).alias("mean"))
     zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
     rows = active.select("trial_id").join(a, "trial_id", "left").join(b, "trial_id", "left")
-    return rows.select("trial_id", zero("checked"), zero("articles"), zero("days"), F.round(F.coalesce("mean", F.lit(0.0)), 3).alias("mean"))
+    return rows.select("trial_id", zero("checked"), zero("articles"), zero("days"), scoring.rounded_mean(F.col("mean")).alias("mean"))
 
 
 def listing_size(listings: DataFrame, keys: list[str]) -> DataFrame:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 import quillstream.sources as sources
 from quillstream import streaming
 from quillstream.functions import html
-from quillstream.operators import funnel, health, ingest, ranking, views
+from quillstream.operators import funnel, health, ingest, ranking, report, views
 
 
 def test_ingest_is_idempotent_and_filters_before_the_cap(spark, tmp_path):
@@ -85,6 +85,18 @@ def test_trials_and_queue(spark):
     assert [r.id for r in funnel.fill_slots(queue, spark.createDataFrame([("z",)], "id string")).collect()] == ["e", "b"]
 
 
+def test_means_of_trials_do_not_depend_on_the_order_of_rows(spark):
+    """Sums of doubles are a bit under the threshold, or beside the half that is rounded, in some orders."""
+    checks = spark.createDataFrame([(t, True, 5) for t in ("even", "tie") for _ in range(2)], "trial_id string, accessible boolean, article_count int")
+    hundredths = {"even": [20, 95, 13, 55, 48, 69], "tie": [90, 10] * 19 + [55, 75]}
+    for turn in (1, -1):
+        samples = spark.createDataFrame([(t, h / 100) for t, own in hundredths.items() for h in own[::turn]], "trial_id string, overall double").coalesce(1)
+        got = {r.trial_id: (r.mean, r.n_samples, r.outcome) for r in funnel.trial_rollup(checks, samples).collect()}
+        assert got == {"even": (0.5, 6, "pass"), "tie": (0.508, 40, "pass")}
+        lines = report.trial_progress(checks, samples, checks.select("trial_id").distinct())
+        assert {r.trial_id: r.mean for r in lines.collect()} == {"even": 0.5, "tie": 0.508}
+
+
 def test_screen_verdict(spark):
     rows = [(404, False, 0, 9, 9, 9, 9), (200, True, 0, 9, 9, 9, 9), (200, False, 2, 9, 9, 9, 9), (200, False, 1, 2, 2, 0, 0), (200, False, 0, 0, 0, 0, 3), (200, False, 0, 2, 1, 1, 2)]
     got = funnel.screen_verdict(spark.createDataFrame(rows, "status int, has_password boolean, login_phrases int, articles int, times int, dates int, h2 int").coalesce(1))
