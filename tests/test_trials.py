@@ -114,3 +114,27 @@ def test_late_rows_within_the_delay_count_and_others_do_not(spark):
 
 def test_undecided_trials_stay(spark):
     assert decisions(spark, [events(spark, story("a")[:8])]) == []
+
+
+def test_state_is_read_once_and_written_once():
+    """A call to the executor for each day of a candidate made the stream's time grow with days and candidates."""
+
+    class Handle:
+        def __init__(self):
+            self.calls, self.value = 0, None
+
+        def __getattr__(self, name):
+            def call(*args):
+                self.calls += 1
+                if name == "update":
+                    self.value = args[0]
+                return self.value if name == "get" else self
+
+            return call
+
+    machine, handle = trials.TrialMachine(), Handle()
+    machine.init(handle)
+    handle.calls = 0
+    rows = [{"at_us": day * 86_400_000_000 + 1, "kind": "check", "seq": day, "accessible": True, "articles": 1, "scores": None} for day in range(30)]
+    assert list(machine.handleInputRows(("a",), iter(rows), None)) == []
+    assert handle.calls == 3  # read, a timer, written
