@@ -176,7 +176,7 @@ def article_contents(read):
     pages = body_pages(read)
     rules = bodies.body_rules(pages.sparkSession)
     known = read("documents").select(F.col("doc_id").alias("page_id"), F.col("lang").alias("category"), F.concat(F.lit("about "), "source").alias("_about"))
-    found = bodies.bodies(pages, rules).select("page_id", "body").join(pages.select("page_id", "source_id").hint("merge"), "page_id").join(known.hint("merge"), "page_id")
+    found = bodies.bodies(pages, rules, kinds=("body",)).select("page_id", "body").join(pages.select("page_id", "source_id").hint("merge"), "page_id").join(known.hint("merge"), "page_id")
     status_code = F.when(k % 13 == 0, 403).when(k % 13 == 1, None).when(k % 13 == 2, 500).otherwise(200)
     rows = found.withColumns({"status": status_code, "title": F.concat(F.lit("T"), k.cast("string")), "summary": F.when(k % 2 == 0, F.col("_about"))})
     return bodies.contents(rows, rules).select("page_id", "content_status", F.md5(F.col("content").cast("binary")).alias("content"))

@@ -102,3 +102,14 @@ def test_no_rules_and_no_pages(spark):
     assert bodies.bodies(empty, bodies.body_rules(spark)).count() == 0
     none = bodies.bodies(spark.createDataFrame([(1, "man", "<p>x</p>")], empty.schema), spark.createDataFrame([], bodies.RULES)).collect()
     assert [tuple(r) for r in none] == [(1, None, None, None)]
+
+
+def test_only_the_kinds_asked_for_are_made(spark):
+    """The daily run reads bodies alone: samples and strict texts are several times the work."""
+    page = "<main><article><p>" + "word " * 60 + "</p></article><article><p>more of it</p><script>x</script></article></main>"
+    found = spark.createDataFrame([(1, "man", page), (2, "ark", page), (3, "other", page), (4, "man", None)], "page_id long, source_id string, html string")
+    rules = bodies.body_rules(spark)
+    every, body = bodies.bodies(found, rules).collect(), bodies.bodies(found, rules, kinds=("body",)).collect()
+    assert {r.page_id: r.body for r in body} == {r.page_id: r.body for r in every}
+    assert all(r.strict is None and r.sample is None for r in body) and any(r.strict and r.sample for r in every)
+    assert {r.kind for r in bodies.texts(found, rules, ("body",)).collect()} == {"body"}
