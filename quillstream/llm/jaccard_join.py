@@ -261,7 +261,8 @@ def _open(rows: DataFrame, percent: int, size: int) -> tuple[DataFrame, int]:
         rows = rows.join(of_one.hint("merge"), "signature").where(f"{100 + percent} * m >= {percent} * (n + _least)").drop("_least", "_sets")
         rows = written(sized(rows, size), "open-rows")
         size = rows.count()
-        if size > 0.9 * before:
+        # Another pass shuffles all rows, which only pays where many go.
+        if size > 0.5 * before:
             return rows, size
 
 
@@ -288,9 +289,14 @@ def _labels(kept: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             near += f" and {100 + percent} * ({differ}) <= {100 - percent} * (n + p_n)"
         pairs = rows.join(chosen.hint("merge"), "signature").where(near)
         pairs = written(sized(pairs.select(F.least("set_id", "p_set_id").alias("u"), F.greatest("set_id", "p_set_id").alias("v")).distinct(), size), "pairs")
-        # A joined table is sized by its larger side; sets are wide rows.
-        wide = 10 * max(5 * pairs.count(), n_sets)
-        links = written(sized(linked(pairs, sets, percent, wide), wide), "links")
+        asked, n_pairs = sets, pairs.count()
+        if 4 * n_pairs < n_sets and 2 * n_pairs <= FEW:
+            # Sets are wide rows: only those of the pairs are shuffled, where that is less than all.
+            ids = pairs.select(F.col("u").alias("set_id")).unionByName(pairs.select(F.col("v").alias("set_id"))).distinct()
+            asked = sets.join(ids.hint("broadcast"), "set_id", "left_semi")
+        # A joined table is sized by its larger side.
+        wide = 10 * max(5 * n_pairs, n_sets if asked is sets else 2 * n_pairs)
+        links = written(sized(linked(pairs, asked, percent, wide), wide), "links")
         done = chosen.select("signature", F.col("p_set_id").alias("set_id"))
         rows = sized(rows.join(done.hint("merge"), ["signature", "set_id"], "left_anti"), size)
         if n_links := links.count():

@@ -3,6 +3,7 @@ import re
 
 import pytest
 
+from quillstream.llm import jaccard_join
 from quillstream.llm.jaccard_join import jaccard_components
 
 
@@ -58,6 +59,20 @@ def test_against_brute_force(spark, seed):
     assert len({c for _, c in got.values()}) < len(rows) - 20
 
 
+def test_late_rounds_take_the_sets_of_their_pairs_only(spark, monkeypatch):
+    rows, calls = corpus(1), []
+
+    def linked(pairs, sets, percent, size, plain=jaccard_join.linked):
+        calls.append((pairs.count(), sets.count()))
+        return plain(pairs, sets, percent, size)
+
+    monkeypatch.setattr(jaccard_join, "linked", linked)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(docs).collect()} == brute(rows)
+    late = [(pairs, sets) for pairs, sets in calls if 4 * pairs < calls[0][1]]
+    assert late and all(sets <= 2 * pairs for pairs, sets in late)
+
+
 def test_empty_table(spark):
     assert jaccard_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
