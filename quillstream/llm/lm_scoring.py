@@ -36,6 +36,8 @@ END = 50256  # free in this vocabulary: the end token, and the end of a word
 CLASSES, WIDTH, CONTEXT, OVERLAP = 96, 16, 32, 16
 BATCH, STEPS, ROUNDS = 128, 1_250, 4  # windows of a step; steps that small corpora are passed over for; rounds of large ones
 BLOCK, FLUSH = 1 << 19, 1 << 19  # bytes of text, and rare words, that a task holds at a time
+SCORED_AT_ONCE = 128  # windows
+ONES = np.ones(max(CLASSES, CONTEXT), np.float32)
 MOST = 60.0  # logits are held within this, either way, so that no exponential overflows
 CHUNK = 1_024  # embeddings that are averaged together
 HOT = 250_000  # most words in the broadcast table: those with one in HOT of all occurrences, or more
@@ -49,7 +51,8 @@ class Spelled:
         self.words = words = Words(data, offsets, lower=True)
         self.hashes = words.hashes()
         cache = bpe_cache(VOCABULARY)
-        _, one, at, self.n, self.which = cache.distinct(self.hashes ^ np.uint64(0x5851F42D4C957F2D), lambda i: " " + words.text(i))
+        together = lambda new: cache.encode_words(words.data, words.starts[new], words.ends[new])
+        _, one, at, self.n, self.which = cache.distinct(self.hashes ^ np.uint64(0x5851F42D4C957F2D), encode=together)
         self.times = np.bincount(self.which, minlength=len(one))
         self.kind_hashes = self.hashes[one]
         self.flat = cache.ids[ragged(at, self.n)].astype(np.int64)
@@ -211,69 +214,114 @@ class Attention:
         shapes = {"emb": (N_IDS, WIDTH), "pos": (CONTEXT, WIDTH), "Q": (WIDTH, WIDTH), "K": (WIDTH, WIDTH), "V": (WIDTH, WIDTH), "A": (WIDTH, 2 * WIDTH), "B": (2 * WIDTH, WIDTH), "out": (WIDTH, CLASSES)}
         return cls({k: rng.normal(0, 0.3 if k in ("emb",) else 0.25, s).astype(np.float32) for k, s in shapes.items()} | {"bias": np.zeros(CLASSES, np.float32)})
 
+    def _joined(self) -> np.ndarray:
+        """Q (divided by the root of its width), K and V beside each other."""
+        return np.concatenate([self.w["Q"] * np.float32(WIDTH**-0.5), self.w["K"], self.w["V"]], 1)
+
+    def _weights(self, q: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(weights, one over each place's sum of them) of the last places as queries, as many as q has."""
+        s = q @ k.transpose(0, 2, 1)
+        np.exp(np.clip(s, -MOST, MOST, out=s), out=s)
+        s *= self.mask[CONTEXT - q.shape[1] :]
+        return s, 1 / (s.reshape(-1, CONTEXT) @ ONES[:CONTEXT])[:, None]
+
+    def _classes(self, z: np.ndarray) -> np.ndarray:
+        """Logits of the classes; z has a column of ones at its end."""
+        o = z @ np.concatenate([self.w["out"], self.w["bias"][None]])
+        return np.clip(o, -MOST, MOST, out=o)
+
+    def places(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, tuple]:
+        """(exponentials of the classes' logits, their sums, what gradients needs) at every place, in rows, of inputs
+        (windows, CONTEXT, WIDTH)."""
+        w = self.w
+        x = (x + w["pos"]).reshape(-1, WIDTH)
+        joined = (x @ self._joined()).reshape(-1, CONTEXT, 3 * WIDTH)
+        q, k, v = joined[:, :, :WIDTH], joined[:, :, WIDTH : 2 * WIDTH], joined[:, :, 2 * WIDTH :]
+        s, inverse = self._weights(q, k)
+        given = (s @ v).reshape(-1, WIDTH)
+        given *= inverse
+        h = x + given
+        r = np.clip(h @ w["A"], 0, np.inf)
+        z = np.ones((len(h), WIDTH + 1), np.float32)
+        np.add(h, r @ w["B"], out=z[:, :WIDTH])
+        p = self._classes(z)
+        np.exp(p, out=p)
+        return p, p @ ONES[:CLASSES], (x, q, k, v, s, inverse, given, h, r, z)
+
     def forward(self, x: np.ndarray) -> tuple[np.ndarray, tuple]:
         """Log probabilities (natural) of the next class at every place of inputs (windows, CONTEXT, WIDTH)."""
+        p, total, kept = self.places(x)
+        return np.log(p / total[:, None]).reshape(*x.shape[:2], CLASSES), (p, total, kept)
+
+    def scored(self, x: np.ndarray, window: np.ndarray, place: np.ndarray, target: np.ndarray, since: int = 0) -> np.ndarray:
+        """log10 probabilities of target classes at some places of windows, none before `since`; the same sums as forward,
+        without what only training needs."""
         w = self.w
         x = x + w["pos"]
-        q, k, v = x @ w["Q"], x @ w["K"], x @ w["V"]
-        s = q @ (k * np.float32(WIDTH**-0.5)).transpose(0, 2, 1)
-        np.exp(np.clip(s, -MOST, MOST, out=s), out=s)
-        s *= self.mask
-        s /= s.sum(-1, keepdims=True)
-        h = x + s @ v
-        r = np.maximum(h @ w["A"], 0)
-        z = h + r @ w["B"]
-        o = z @ w["out"] + w["bias"]
-        p = np.exp(np.clip(o, -MOST, MOST, out=o))
-        total = p.sum(-1, keepdims=True)
-        p /= total
-        o -= np.log(total)
-        return o, (x, q, k, v, s, h, r, z, p)
-
-    def scored(self, x: np.ndarray, window: np.ndarray, place: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """log10 probabilities of target classes at some places of windows; the same sums as forward, without what only
-        training needs."""
-        w = self.w
-        x = x + w["pos"]
-        s = (x @ (w["Q"] * np.float32(WIDTH**-0.5))) @ (x @ w["K"]).transpose(0, 2, 1)
-        np.exp(np.clip(s, -MOST, MOST, out=s), out=s)
-        s *= self.mask
-        # A column of ones beside the values gives the weights' sum.
-        v = np.concatenate([x @ w["V"], np.ones((*x.shape[:2], 1), np.float32)], -1)
-        v = (s @ v)[window, place]
-        h = x[window, place] + v[:, :-1] / v[:, -1:]
-        o = (h + np.maximum(h @ w["A"], 0) @ w["B"]) @ w["out"] + w["bias"]
-        np.clip(o, -MOST, MOST, out=o)
+        joined = self._joined()
+        kv = (x.reshape(-1, WIDTH) @ joined[:, WIDTH:]).reshape(-1, CONTEXT, 2 * WIDTH)
+        q = (x[:, since:].reshape(-1, WIDTH) @ joined[:, :WIDTH]).reshape(-1, CONTEXT - since, WIDTH)
+        s, inverse = self._weights(q, kv[:, :, :WIDTH])
+        own = window * (CONTEXT - since) + (place - since)
+        h = x[window, place] + (s @ kv[:, :, WIDTH:]).reshape(-1, WIDTH)[own] * inverse[own]
+        z = np.ones((len(h), WIDTH + 1), np.float32)
+        np.add(h, np.clip(h @ w["A"], 0, np.inf) @ w["B"], out=z[:, :WIDTH])
+        o = self._classes(z)
         own = o[np.arange(len(o)), target]
         np.exp(o, out=o)
-        return (own - np.log(o.sum(-1))) / math.log(10)
-
-    def gradients(self, o: np.ndarray, kept: tuple, target: np.ndarray, valid: np.ndarray) -> tuple[dict, np.ndarray]:
-        """(gradients of the parameters, of the inputs) of the mean negative log probability. Uses up what forward kept."""
-        w, (x, q, k, v, s, h, r, z, d) = self.w, kept
-        d[np.arange(len(o))[:, None], np.arange(CONTEXT), target] -= 1
-        d *= (valid / max(valid.sum(), 1))[:, :, None].astype(np.float32)
-        flat = lambda a: a.reshape(-1, a.shape[-1])
-        g = {"out": flat(z).T @ flat(d), "bias": flat(d).sum(0)}
-        dz = d @ w["out"].T
-        g["B"] = flat(r).T @ flat(dz)
-        dr = (dz @ w["B"].T) * (r > 0)
-        g["A"] = flat(h).T @ flat(dr)
+        return (own - np.log(o @ ONES[:CLASSES])) / math.log(10)
+
+    def gradients(self, p: np.ndarray, total: np.ndarray, kept: tuple, target: np.ndarray, valid: np.ndarray) -> tuple[dict, np.ndarray]:
+        """(gradients of the parameters, of the inputs in rows) of the mean negative log probability of target classes at
+        the valid places. Uses up what places() gave."""
+        w, (x, q, k, v, s, inverse, given, h, r, z) = self.w, kept
+        share = valid.ravel() / np.float32(max(valid.sum(), 1))
+        p *= (share / total)[:, None]
+        p[np.arange(len(p)), target.ravel()] -= share
+        g_out = z.T @ p
+        dz = p @ w["out"].T
+        dr = dz @ w["B"].T
+        dr *= r > 0
         dh = dz + dr @ w["A"].T
-        dv = s.transpose(0, 2, 1) @ dh
-        ds = dh @ v.transpose(0, 2, 1)
-        ds = s * (ds - (ds * s).sum(-1, keepdims=True)) * np.float32(WIDTH**-0.5)
-        dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-        g |= {"Q": flat(x).T @ flat(dq), "K": flat(x).T @ flat(dk), "V": flat(x).T @ flat(dv)}
-        dx = dh + dq @ w["Q"].T + dk @ w["K"].T + dv @ w["V"].T
-        return g | {"pos": dx.sum(0)}, dx
+        # Of a softmax: weights times (their gradients less the weighted mean of these).
+        own = dh * inverse
+        less = np.einsum("ij,ij->i", own, given)
+        own = own.reshape(-1, CONTEXT, WIDTH)
+        ds = own @ v.transpose(0, 2, 1)
+        ds -= less.reshape(-1, CONTEXT, 1)
+        ds *= s
+        back = np.concatenate([ds @ k, ds.transpose(0, 2, 1) @ q, s.transpose(0, 2, 1) @ own], 2).reshape(-1, 3 * WIDTH)
+        g_joined = x.T @ back
+        dx = dh + back @ self._joined().T
+        g = {"out": g_out[:-1], "bias": g_out[-1], "B": r.T @ dz, "A": h.T @ dr, "Q": g_joined[:, :WIDTH] * np.float32(WIDTH**-0.5)}
+        return g | {"K": g_joined[:, WIDTH : 2 * WIDTH], "V": g_joined[:, 2 * WIDTH :], "pos": dx.reshape(-1, CONTEXT, WIDTH).sum(0)}, dx
 
     def embedded(self, at: np.ndarray, n: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """Mean subword embedding of every word."""
-        if not len(at):
-            return np.zeros((0, WIDTH), np.float32)
-        rows = self.w["emb"][ids[ragged(at, n)]]
-        return np.add.reduceat(rows, np.cumsum(n) - n, axis=0) / n[:, None].astype(np.float32)
+        return self.means(at, n, ids)[0]
+
+    def means(self, at: np.ndarray, n: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], list[np.ndarray]]:
+        """(mean subword embedding of every word, the words longest first, and, for first subwords, second ones and so on to
+        the eighth, the rest of long words last: which of the words in that order has each, and their ids)."""
+        emb = self.w["emb"]
+        order = np.argsort(-np.minimum(n, 9).astype(np.int8), kind="stable")
+        at, n = at[order], n[order]
+        sums = np.zeros((len(at), WIDTH), np.float32)
+        which, rows = [], []
+        for nth in range(min(8, int(n[0]) if len(n) else 0)):
+            some = np.count_nonzero(n > nth)
+            which.append(np.arange(some))
+            rows.append(ids[at[:some] + nth])
+            sums[:some] += emb.take(rows[-1], axis=0)
+        if some := np.count_nonzero(n > 8):
+            rest = n[:some] - 8
+            which.append(np.repeat(np.arange(some), rest))
+            rows.append(ids[ragged(at[:some] + 8, rest)])
+            sums[:some] += np.add.reduceat(emb.take(rows[-1], axis=0), np.cumsum(rest) - rest, axis=0)
+        sums /= n[:, None].astype(np.float32)
+        out = np.empty_like(sums)
+        out[order] = sums
+        return out, order, which, rows
 
 
 def windows(length: int) -> list[int]:
@@ -281,13 +329,6 @@ def windows(length: int) -> list[int]:
     return [0, *range(CONTEXT - OVERLAP, max(length - OVERLAP, 0), CONTEXT - OVERLAP)]
 
 
-def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(order that sorts values, where each distinct one begins in it)."""
-    order = np.argsort(values, kind="stable")
-    held = values[order]
-    return order, np.flatnonzero(np.r_[True, held[1:] != held[:-1]])
-
-
 class Learner:
     """Adam over the windows of blocks of texts, from some weights; what it changed, in chunks."""
 
@@ -296,7 +337,7 @@ class Learner:
         self.klass, self.rate, self.rng = klass, rate, np.random.default_rng(seed)
         self.moments: dict[str, tuple] = {}
         self.emb_m, self.emb_v = np.zeros_like(w["emb"]), np.zeros_like(w["emb"])
-        self.touched = np.zeros(N_IDS, bool)
+        self.touched, self.met, self.number = np.zeros(N_IDS, bool), np.zeros(N_IDS, bool), np.zeros(N_IDS, np.int64)
         self.step, self.windows = 0, 0
 
     def learn(self, s: Spelled) -> None:
@@ -322,27 +363,31 @@ class Learner:
 
     def _step(self, ids, at, n, given, target, valid) -> None:
         self.step += 1
+        first = at
         model, lr = self.model, self.rate(self.step)
-        order, starts = _runs(given.ravel())
-        used, inverse = given.ravel()[order[starts]], np.empty(given.size, np.int64)
-        inverse[order] = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, given.size)))
-        x = model.embedded(at[used], n[used], ids)[inverse.reshape(given.shape)]
-        o, kept = model.forward(x)
-        grads, dx = model.gradients(o, kept, self.klass[ids[at[target]]], valid)
+        at, n = at[given.ravel()], n[given.ravel()]
+        x, order, which, rows = model.means(at, n, ids)
+        p, total, kept = model.places(x.reshape(*given.shape, WIDTH))
+        grads, dx = model.gradients(p, total, kept, self.klass[ids[first[target]]], valid)
         for name, g in grads.items():
             m, v = self.moments.get(name, (0.0, 0.0))
             m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
             self.moments[name] = m, v
             model.w[name] = (model.w[name] - lr * (m / (1 - 0.9**self.step)) / (np.sqrt(v / (1 - 0.99**self.step)) + 1e-8)).astype(np.float32)
-        dword = np.add.reduceat(dx.reshape(-1, WIDTH)[order], starts, axis=0) / n[used][:, None].astype(np.float32)
-        rows = ids[ragged(at[used], n[used])]
-        order, starts = _runs(rows)
-        own = rows[order[starts]]
-        g = np.add.reduceat(dword[np.repeat(np.arange(len(used)), n[used])[order]], starts, axis=0)
+        rows = np.concatenate(rows)
+        self.met[rows] = True
+        own = np.flatnonzero(self.met)
+        self.met[own] = False
         self.touched[own] = True
-        m, v = self.emb_m, self.emb_v
-        m[own], v[own] = 0.8 * m[own] + 0.2 * g, 0.95 * v[own] + 0.05 * g * g
-        model.w["emb"][own] -= lr * m[own] / (np.sqrt(v[own]) + 1e-8)
+        self.number[own] = np.arange(0, WIDTH * len(own), WIDTH)
+        # Each subword's gradients summed by place in a table of WIDTH columns.
+        dx /= n[:, None].astype(np.float32)
+        each = dx.take(order, axis=0).take(np.concatenate(which), axis=0)
+        cells = self.number.take(rows)[:, None] + np.arange(WIDTH)
+        g = np.bincount(cells.ravel(), each.ravel(), WIDTH * len(own)).reshape(-1, WIDTH).astype(np.float32)
+        m, v = 0.8 * self.emb_m.take(own, axis=0) + 0.2 * g, 0.95 * self.emb_v.take(own, axis=0) + 0.05 * g * g
+        self.emb_m[own], self.emb_v[own] = m, v
+        model.w["emb"][own] -= lr * m / (np.sqrt(v) + 1e-8)
 
     def changes(self, task: int) -> pa.RecordBatch:
         """(chunk, task, windows, ids, change): embeddings by chunk, those touched only; all else as chunk -1."""
@@ -438,15 +483,16 @@ def model_scores(s: Spelled, model: Attention, speller: Speller) -> np.ndarray:
     nth = np.arange(int(n_windows.sum())) - np.repeat(np.cumsum(n_windows) - n_windows, n_windows)
     row = np.repeat(np.arange(rows), n_windows)
     begin = base[row] + nth * step
-    score_from = np.where(nth > 0, OVERLAP, 0)
     size = np.minimum(CONTEXT, places[row] - nth * step)
     out = speller.within[first_id]
-    for a in range(0, len(begin), 256):
-        b, lo, hi = begin[a : a + 256, None], score_from[a : a + 256, None], size[a : a + 256, None]
-        w, p = np.nonzero((np.arange(CONTEXT) >= lo) & (np.arange(CONTEXT) < hi))
-        place = np.minimum(b + np.arange(CONTEXT), len(x) - 1)
-        target = place[w, p]
-        out[target] += model.scored(x[place], w, p, klass[target])
+    # A text's first window, and those of which only places after OVERLAP are scored.
+    for since, some in ((0, np.flatnonzero(nth == 0)), (OVERLAP, np.flatnonzero(nth > 0))):
+        for a in range(0, len(some), SCORED_AT_ONCE):
+            own = some[a : a + SCORED_AT_ONCE]
+            w, p = np.nonzero(np.arange(since, CONTEXT) < size[own, None])
+            place = np.minimum(begin[own, None] + np.arange(CONTEXT), len(x) - 1)
+            target = place[w, p + since]
+            out[target] += model.scored(x[place], w, p + since, klass[target], since)
     return np.bincount(row_of, out, rows)
 
 

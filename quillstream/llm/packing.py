@@ -66,10 +66,39 @@ def isolate_added(data: np.ndarray, offsets: np.ndarray, starts: np.ndarray) ->
     return starts
 
 
-_caches: dict[tuple, PieceCache] = {}
+#: White space of the BPE's pattern other than what parts words.
+_WIDE_BLANK = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 
 
-def bpe_cache(vocabulary: str) -> PieceCache:
+class BpeCache(PieceCache):
+    """Ids of chunks by a byte-level BPE."""
+
+    def __init__(self, model, ranks: dict[bytes, int]):
+        super().__init__(lambda texts: flattened([[ADDED_ID] if t == ADDED else model.encode_ordinary(t) for t in texts]))
+        self.model, self.size = model, np.zeros(max(ranks.values()) + 1, np.int64)
+        self.size[list(ranks.values())] = [len(x) for x in ranks]
+
+    def encode_words(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(number of ids of each, all ids) of words data[start:end] that each have a space put before them.
+
+        The pattern always begins a token at such a space, so that they are encoded as one text; words that hold white
+        space of other kinds, which could go together with the next word's space, are encoded alone."""
+        size = ends - starts + 1
+        stop = np.cumsum(size)
+        joined = np.full(int(size.sum()), 0x20, np.uint8)
+        joined[ragged(stop - size + 1, size - 1)] = data[ragged(starts, size - 1)]
+        raw = joined.tobytes()
+        alone = np.searchsorted(stop, [m.start() for m in _WIDE_BLANK.finditer(raw)], "right")
+        cuts = np.unique(np.r_[0, (stop - size)[alone], stop[alone], len(raw)]).tolist()
+        ids = [self.model.encode_ordinary(raw[a:b].decode()) for a, b in zip(cuts, cuts[1:], strict=False)]
+        flat = np.concatenate([np.zeros(0, np.int64), *(np.array(x, np.int64) for x in ids)])
+        return np.diff(np.searchsorted(np.cumsum(self.size[flat]), stop) + 1, prepend=0), flat
+
+
+_caches: dict[tuple, BpeCache] = {}
+
+
+def bpe_cache(vocabulary: str) -> BpeCache:
     """The worker's cache for a byte-level BPE vocabulary of the public tokenizers (its ranks file)."""
     if ("bpe", vocabulary) not in _caches:
         import public_tokenizers
@@ -78,7 +107,7 @@ def bpe_cache(vocabulary: str) -> PieceCache:
         with open(public_tokenizers.path(vocabulary)) as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(str.split, lines)}
         model = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        _caches["bpe", vocabulary] = PieceCache(lambda texts: flattened([[ADDED_ID] if t == ADDED else model.encode_ordinary(t) for t in texts]))
+        _caches["bpe", vocabulary] = BpeCache(model, ranks)
     return _caches["bpe", vocabulary]
 
 

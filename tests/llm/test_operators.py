@@ -334,6 +334,52 @@ def test_lm_probabilities_sum_to_one_over_classes():
         assert scored == list(range(length)) and len(lm_scoring.windows(length)) == max(1, -(-(length - lm_scoring.OVERLAP) // step))
 
 
+def test_lm_layer_gradients_against_differences():
+    rng = np.random.default_rng(3)
+    model = lm_scoring.Attention({k: v * np.float32(0.5) for k, v in lm_scoring.Attention.fresh().w.items()})
+    x = rng.normal(size=(2, lm_scoring.CONTEXT, lm_scoring.WIDTH)).astype(np.float32)
+    target = rng.integers(0, lm_scoring.CLASSES, x.shape[:2])
+    valid = np.arange(lm_scoring.CONTEXT) < np.array([[32], [9]])
+    loss = lambda x: -np.take_along_axis(model.forward(x)[0].astype(float), target[:, :, None], 2)[:, :, 0][valid].mean()
+    grads, dx = model.gradients(*model.places(x), target, valid)
+    assert set(grads) == set(model.w) - {"emb"}
+    for name, own, g in [*((k, model.w[k], g) for k, g in grads.items()), ("x", x, dx.reshape(x.shape))]:
+        # Along the gradient and half as far along a random way: float32 losses tell too little along a random one alone.
+        random_way = rng.normal(size=own.shape)
+        way = (g / np.linalg.norm(g) + 0.5 * random_way / np.linalg.norm(random_way)).astype(np.float32)
+        held, losses = own.copy(), []
+        for step in (0.05, -0.05):
+            own[...] = held + np.float32(step) * way
+            losses.append(loss(x))
+        own[...] = held
+        assert math.isclose((losses[0] - losses[1]) / 0.1, float((g * way).sum()), rel_tol=0.01), name
+
+
+def test_lm_words_are_encoded_together_as_each_alone(monkeypatch):
+    """New words of a block go to the encoder as one text; white space inside words, marks and long words change nothing."""
+    rng = random.Random(9)
+    letters = ["a", "B", "7", "'", "'s", "é", "漢", "\u3000", "\xa0", "\x85", "\u2028", "\x1c", "\x00", "-", "…", "😀", "<|endoftext|>"]
+    words = list(dict.fromkeys("".join(rng.choice(letters) for _ in range(rng.randrange(1, 7))) for _ in range(3000))) + ["q" * 3000, "ab1" * 700]
+    plain = [f"word{i}" for i in range(500)]
+    cache = packing.bpe_cache(lm_scoring.VOCABULARY)
+    for own in (words, plain):
+        calls = []
+        cache._clear()
+        with monkeypatch.context() as patch:
+            patch.setattr(type(cache.model), "encode_ordinary", lambda self, t, plain=type(cache.model).encode_ordinary: calls.append(t) or plain(self, t))
+            s = lm_scoring.Spelled(*textcore.column_bytes(pa.array([" ".join(own), "\t".join(own[::-1])])))
+        assert len(calls) == 1 or own is words
+        at = s.which[: len(own)]
+        for i, w in zip(at.tolist(), own, strict=True):
+            assert s.flat[s.begin[i] : s.begin[i] + s.n[i]].tolist() == cache.model.encode_ordinary(" " + w.lower() if w.isascii() else " " + "".join(c.lower() if c.isascii() else c for c in w)), repr(w)
+    emb = lm_scoring.Attention.fresh()
+    at, n = s.begin[s.which], s.n[s.which]
+    assert np.allclose(emb.embedded(at, n, s.flat), [emb.w["emb"][s.flat[a : a + k]].mean(0) for a, k in zip(at, n, strict=True)], atol=1e-6)
+    long = lm_scoring.Spelled(*textcore.column_bytes(pa.array([" ".join(words)])))
+    at, n = long.begin[long.which], long.n[long.which]
+    assert n.max() > 100 and np.allclose(emb.embedded(at, n, long.flat), [emb.w["emb"][long.flat[a : a + k]].astype(float).mean(0) for a, k in zip(at, n, strict=True)], atol=1e-4)
+
+
 @pytest.mark.parametrize("n", [15, 1500])
 def test_ann_recall(spark, n):
     rng = np.random.default_rng(4)
