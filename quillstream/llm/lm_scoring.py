@@ -36,9 +36,10 @@ END = 50256  # free in this vocabulary: the end token, and the end of a word
 CLASSES, WIDTH, CONTEXT, OVERLAP = 96, 16, 32, 16
 BATCH, STEPS, ROUNDS = 128, 1_250, 4  # windows of a step; steps that small corpora are passed over for; rounds of large ones
 BLOCK, FLUSH = 1 << 19, 1 << 19  # bytes of text, and rare words, that a task holds at a time
-SCORED_AT_ONCE = 128  # windows
+SCORED_AT_ONCE = 512  # windows
 ONES = np.ones(max(CLASSES, CONTEXT), np.float32)
 MOST = 60.0  # logits are held within this, either way, so that no exponential overflows
+WORDS_HELD = 3_000_000  # spelled words that a worker keeps from one task to the next, of some 50 bytes each
 CHUNK = 1_024  # embeddings that are averaged together
 HOT = 250_000  # most words in the broadcast table: those with one in HOT of all occurrences, or more
 
@@ -50,7 +51,7 @@ class Spelled:
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
         self.words = words = Words(data, offsets, lower=True)
         self.hashes = words.hashes()
-        cache = bpe_cache(VOCABULARY)
+        cache = bpe_cache(VOCABULARY, WORDS_HELD)
         together = lambda new: cache.encode_words(words.data, words.starts[new], words.ends[new])
         _, one, at, self.n, self.which = cache.distinct(self.hashes ^ np.uint64(0x5851F42D4C957F2D), encode=together)
         self.times = np.bincount(self.which, minlength=len(one))
@@ -335,7 +336,7 @@ class Learner:
     def __init__(self, w: dict[str, np.ndarray], klass: np.ndarray, rate, seed: int):
         self.start, self.model = w, Attention({k: v.copy() for k, v in w.items()})
         self.klass, self.rate, self.rng = klass, rate, np.random.default_rng(seed)
-        self.moments: dict[str, tuple] = {}
+        self.moments = 0.0, 0.0
         self.emb_m, self.emb_v = np.zeros_like(w["emb"]), np.zeros_like(w["emb"])
         self.touched, self.met, self.number = np.zeros(N_IDS, bool), np.zeros(N_IDS, bool), np.zeros(N_IDS, np.int64)
         self.step, self.windows = 0, 0
@@ -369,11 +370,13 @@ class Learner:
         x, order, which, rows = model.means(at, n, ids)
         p, total, kept = model.places(x.reshape(*given.shape, WIDTH))
         grads, dx = model.gradients(p, total, kept, self.klass[ids[first[target]]], valid)
-        for name, g in grads.items():
-            m, v = self.moments.get(name, (0.0, 0.0))
-            m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
-            self.moments[name] = m, v
-            model.w[name] = (model.w[name] - lr * (m / (1 - 0.9**self.step)) / (np.sqrt(v / (1 - 0.99**self.step)) + 1e-8)).astype(np.float32)
+        g = np.concatenate([x.ravel() for x in grads.values()])
+        m, v = self.moments
+        self.moments = m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
+        change, done = lr * (m / (1 - 0.9**self.step)) / (np.sqrt(v / (1 - 0.99**self.step)) + 1e-8), 0
+        for name, own in grads.items():
+            model.w[name] = (model.w[name] - change[done : done + own.size].reshape(own.shape)).astype(np.float32)
+            done += own.size
         rows = np.concatenate(rows)
         self.met[rows] = True
         own = np.flatnonzero(self.met)
@@ -382,7 +385,7 @@ class Learner:
         self.number[own] = np.arange(0, WIDTH * len(own), WIDTH)
         # Each subword's gradients summed by place in a table of WIDTH columns.
         dx /= n[:, None].astype(np.float32)
-        each = dx.take(order, axis=0).take(np.concatenate(which), axis=0)
+        each = dx.take(order.take(np.concatenate(which)), axis=0)
         cells = self.number.take(rows)[:, None] + np.arange(WIDTH)
         g = np.bincount(cells.ravel(), each.ravel(), WIDTH * len(own)).reshape(-1, WIDTH).astype(np.float32)
         m, v = 0.8 * self.emb_m.take(own, axis=0) + 0.2 * g, 0.95 * self.emb_v.take(own, axis=0) + 0.05 * g * g
@@ -474,9 +477,10 @@ def model_scores(s: Spelled, model: Attention, speller: Speller) -> np.ndarray:
     first_id = np.full(len(row_of), END)
     first_id[~is_end] = s.first_id
     klass = speller.klass[first_id]
-    x = np.zeros((len(row_of), WIDTH), np.float32)
-    x[np.flatnonzero(~is_end) + 1] = model.embedded(s.begin, s.n, s.flat)[s.which]
-    x[index == 0] = model.w["emb"][END]
+    # What is behind an end is a row's first place, whose input is the end token.
+    inputs = np.concatenate([model.embedded(s.begin, s.n, s.flat), model.w["emb"][END:][:1]])
+    given = np.full(len(row_of), len(inputs) - 1)
+    given[np.flatnonzero(~is_end) + 1] = s.which
     base = np.cumsum(places) - places
     step = CONTEXT - OVERLAP
     n_windows = np.maximum(1, -(-(places - OVERLAP) // step))
@@ -490,9 +494,9 @@ def model_scores(s: Spelled, model: Attention, speller: Speller) -> np.ndarray:
         for a in range(0, len(some), SCORED_AT_ONCE):
             own = some[a : a + SCORED_AT_ONCE]
             w, p = np.nonzero(np.arange(since, CONTEXT) < size[own, None])
-            place = np.minimum(begin[own, None] + np.arange(CONTEXT), len(x) - 1)
+            place = np.minimum(begin[own, None] + np.arange(CONTEXT), len(given) - 1)
             target = place[w, p + since]
-            out[target] += model.scored(x[place], w, p + since, klass[target], since)
+            out[target] += model.scored(inputs.take(given.take(place), axis=0), w, p + since, klass[target], since)
     return np.bincount(row_of, out, rows)
 
 

@@ -73,8 +73,8 @@ _WIDE_BLANK = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\x
 class BpeCache(PieceCache):
     """Ids of chunks by a byte-level BPE."""
 
-    def __init__(self, model, ranks: dict[bytes, int]):
-        super().__init__(lambda texts: flattened([[ADDED_ID] if t == ADDED else model.encode_ordinary(t) for t in texts]))
+    def __init__(self, model, ranks: dict[bytes, int], most: int):
+        super().__init__(lambda texts: flattened([[ADDED_ID] if t == ADDED else model.encode_ordinary(t) for t in texts]), most)
         self.model, self.size = model, np.zeros(max(ranks.values()) + 1, np.int64)
         self.size[list(ranks.values())] = [len(x) for x in ranks]
 
@@ -98,17 +98,17 @@ class BpeCache(PieceCache):
 _caches: dict[tuple, BpeCache] = {}
 
 
-def bpe_cache(vocabulary: str) -> BpeCache:
+def bpe_cache(vocabulary: str, most: int = 1_000_000) -> BpeCache:
     """The worker's cache for a byte-level BPE vocabulary of the public tokenizers (its ranks file)."""
-    if ("bpe", vocabulary) not in _caches:
+    if (vocabulary, most) not in _caches:
         import public_tokenizers
         import tiktoken
 
         with open(public_tokenizers.path(vocabulary)) as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(str.split, lines)}
         model = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        _caches["bpe", vocabulary] = BpeCache(model, ranks)
-    return _caches["bpe", vocabulary]
+        _caches[vocabulary, most] = BpeCache(model, ranks, most)
+    return _caches[vocabulary, most]
 
 
 def token_ids(data: np.ndarray, offsets: np.ndarray, cache: PieceCache) -> tuple[np.ndarray, np.ndarray]:

@@ -361,7 +361,7 @@ def test_lm_words_are_encoded_together_as_each_alone(monkeypatch):
     letters = ["a", "B", "7", "'", "'s", "é", "漢", "\u3000", "\xa0", "\x85", "\u2028", "\x1c", "\x00", "-", "…", "😀", "<|endoftext|>"]
     words = list(dict.fromkeys("".join(rng.choice(letters) for _ in range(rng.randrange(1, 7))) for _ in range(3000))) + ["q" * 3000, "ab1" * 700]
     plain = [f"word{i}" for i in range(500)]
-    cache = packing.bpe_cache(lm_scoring.VOCABULARY)
+    cache = packing.bpe_cache(lm_scoring.VOCABULARY, lm_scoring.WORDS_HELD)
     for own in (words, plain):
         calls = []
         cache._clear()
